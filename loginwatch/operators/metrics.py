@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loginwatch.operators.normalize import failures
@@ -48,12 +49,27 @@ def _designed_rule(names: list[str]) -> Column:
     return F.try_element_at(F.create_map(*pairs), F.col("anomaly_class"))
 
 
-def _for_every_rule(names: list[str], *tables: DataFrame) -> DataFrame:
-    """Per-rule counts joined on the rule name, with zero rows for rules without any."""
-    spark = tables[0].sparkSession
-    rows = spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("rule"))
-    joined = reduce(lambda left, right: left.join(right, "rule", "left"), tables, rows)
-    return joined.na.fill(0)
+def _totals(ledger: DataFrame, names: list[str]) -> DataFrame:
+    """Ledger rows to counts per rule, rules without any row included.
+
+    ``rows`` counts flagged rows, ``flagged`` says whether the item was caught.
+    """
+    columns = ["rows", "flagged", "malicious", "expected"]
+    every = ledger.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(n) for n in names])).alias("rule"),
+        *[F.lit(0).cast("bigint").alias(c) for c in columns],
+    )
+    rows = ledger.select("rule", *columns).unionByName(every)
+    return rows.groupBy("rule").agg(*[
+        F.coalesce(F.expr(f"sum({value})"), F.lit(0).cast("bigint")).alias(name)
+        for name, value in {
+            "flagged": "rows",
+            "tp": "if(malicious > 0, rows, 0)",
+            "fp": "if(malicious > 0, 0, rows)",
+            "tp_designed": "if(flagged > 0, expected, 0)",
+            "fn": "if(flagged > 0, 0, expected)",
+        }.items()
+    ])
 
 
 def event_findings(detections: Mapping[str, DataFrame]) -> DataFrame:
@@ -63,125 +79,128 @@ def event_findings(detections: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def _flag_verdicts(findings: DataFrame, labels: DataFrame) -> DataFrame:
-    """Every flagged row with the verdict of its event; unlabelled means not malicious."""
-    ids = findings.select("event_id").distinct()
-    verdict = labels.join(ids, "event_id", "left_semi").groupBy("event_id").agg(
-        F.max("is_malicious").alias("is_malicious")
-    )
-    return findings.join(verdict, "event_id", "left").withColumn(
-        "is_malicious", F.coalesce("is_malicious", F.lit(0))
-    )
-
+def _event_ledger(findings: DataFrame, labels: DataFrame) -> DataFrame:
+    """Per rule and event: rows flagged, malicious under any class, designed anchor.
 
-def _anchor_hits(findings: DataFrame, labels: DataFrame) -> DataFrame:
-    """Every anchor of a designed class, and whether its rule flagged it."""
-    hits = findings.distinct().withColumn("hit", F.lit(True))
-    anchors = labels.where(F.col("is_anchor") == 1).select(
-        _designed_rule(rules_of("event")).alias("rule"), "event_id"
-    ).where(F.col("rule").isNotNull())
-    return anchors.join(hits, ["rule", "event_id"], "left").withColumn(
-        "hit", F.coalesce("hit", F.lit(False))
+    Findings and labels are stacked and met once by event id; each input is read once.
+    Benign labels that are nobody's anchor cannot change a count and stay out.
+    """
+    rule = _designed_rule(rules_of("event"))
+    marked = labels.select(
+        "event_id", F.when(F.col("is_anchor") == 1, rule).alias("rule"),
+        F.lit(0).cast("bigint").alias("flagged"), F.col("is_malicious").cast("bigint").alias("malicious"),
+    ).where((F.col("malicious") > 0) | F.col("rule").isNotNull())
+    stacked = findings.select(
+        "event_id", "rule", F.lit(1).cast("bigint").alias("flagged"), F.lit(0).cast("bigint").alias("malicious")
+    ).withColumn("expected", F.lit(0).cast("bigint")).unionByName(
+        marked.withColumn("expected", F.col("rule").isNotNull().cast("bigint"))
+    )
+    cells = stacked.repartition("event_id").groupBy("event_id", "rule").agg(
+        F.sum("flagged").alias("flagged"), F.max("malicious").alias("malicious"),
+        F.max("expected").alias("expected"),
     )
+    # An event has at most one cell per rule and one without, so this window is tiny.
+    verdict = F.max("malicious").over(Window.partitionBy("event_id"))
+    return cells.withColumn("malicious", verdict).where(F.col("rule").isNotNull())
 
 
 def event_metrics(findings: DataFrame, labels: DataFrame) -> DataFrame:
     """Counts for all event-grain rules; ``findings`` is ``(rule, event_id)`` rows."""
-    flagged = _flag_verdicts(findings, labels).groupBy("rule").agg(
-        F.count(F.lit(1)).alias("flagged"),
-        F.count_if(F.col("is_malicious") > 0).alias("tp"),
-        F.count_if(F.col("is_malicious") <= 0).alias("fp"),
-    )
-    anchors = _anchor_hits(findings, labels).groupBy("rule").agg(
-        F.count_if("hit").alias("tp_designed"), F.count_if(~F.col("hit")).alias("fn")
-    )
-    return _for_every_rule(rules_of("event"), flagged, anchors)
+    ledger = _event_ledger(findings, labels).withColumn("rows", F.col("flagged"))
+    return _totals(ledger, rules_of("event"))
 
 
 def event_errors(findings: DataFrame, labels: DataFrame) -> DataFrame:
-    """The false positives and missed anchors themselves, as rows."""
-    wrong = _flag_verdicts(findings, labels).where(F.col("is_malicious") <= 0)
-    missed = _anchor_hits(findings, labels).where(~F.col("hit"))
-    return wrong.select("rule", F.lit("FP").alias("error"), "event_id").unionByName(
-        missed.select("rule", F.lit("FN").alias("error"), "event_id")
+    """The flagged benign events and the missed anchors themselves, one row each."""
+    missed = (F.col("flagged") == 0) & (F.col("expected") > 0)
+    false_alarm = (F.col("flagged") > 0) & (F.col("malicious") <= 0)
+    return _event_ledger(findings, labels).where(missed | false_alarm).select(
+        "rule", F.when(missed, "FN").otherwise("FP").alias("error"), "event_id"
     )
 
 
-def _campaign_cells(detections: Mapping[str, DataFrame], events: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per rule, flagged key and labelled campaign: whether any member is malicious.
+def _campaign_ledger(
+    detections: Mapping[str, DataFrame], events: DataFrame, labels: DataFrame
+) -> DataFrame:
+    """Per rule, one row for every flagged key and one for every campaign in play.
 
-    Members are the failures sharing the key's columns. They are joined to labels once
-    for both rules; key columns are carried, never parsed out of the key text.
+    Members of a key are the failures sharing its columns, which are carried and never
+    parsed out of the key text. Failures meet their labels by event id first and are
+    folded per account, source, day and campaign, so a busy source reaches the key
+    joins as a few rows.
     """
-    spray = detections["password_spray"].select(
-        F.lit("password_spray").alias("rule"), "campaign_key", "source_ip", "login_date"
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    marks = labels.where(F.col("campaign_id").isNotNull() | (F.col("is_malicious") > 0)).select(
+        "event_id", F.col("is_malicious").cast("bigint").alias("malicious"), "campaign_id"
     )
-    guess = detections["bruteforce_failed"].select(
-        F.lit("bruteforce_failed").alias("rule"), "campaign_key", "username", "source_ip", "login_date"
+    marked = (
+        failures(events).select("event_id", "username", "source_ip", "login_date")
+        .join(marks, "event_id")
+        .groupBy("username", "source_ip", "login_date", "campaign_id")
+        .agg(F.max("malicious").alias("malicious"))
     )
-    lost = failures(events).select("event_id", "username", "source_ip", "login_date")
+    spray_key, guess_key = ["source_ip", "login_date"], ["username", "source_ip", "login_date"]
+    columns = ["rule", "campaign_key", "campaign_id", "malicious"]
     members = (
-        lost.join(spray, ["source_ip", "login_date"]).select("rule", "campaign_key", "event_id")
+        detections["password_spray"].select(F.lit("password_spray").alias("rule"), "campaign_key", *spray_key)
+        .join(marked, spray_key, "left").select(*columns)
         .unionByName(
-            lost.join(guess, ["username", "source_ip", "login_date"]).select("rule", "campaign_key", "event_id")
+            detections["bruteforce_failed"]
+            .select(F.lit("bruteforce_failed").alias("rule"), "campaign_key", *guess_key)
+            .join(marked, guess_key, "left").select(*columns)
         )
     )
-    return members.join(labels.select("event_id", "is_malicious", "campaign_id"), "event_id").groupBy(
-        "rule", "campaign_key", "campaign_id"
-    ).agg(F.max("is_malicious").alias("is_malicious"))
-
-
-def _campaign_keys(detections: Mapping[str, DataFrame]) -> DataFrame:
-    return reduce(
-        DataFrame.unionByName,
-        [detections[n].select(F.lit(n).alias("rule"), "campaign_key") for n in rules_of("campaign")],
+    cells = members.groupBy("rule", "campaign_key", "campaign_id").agg(
+        F.max(F.coalesce("malicious", zero)).alias("malicious")
     )
-
-
-def _campaign_verdicts(detections: Mapping[str, DataFrame], cells: DataFrame) -> DataFrame:
-    verdict = cells.groupBy("rule", "campaign_key").agg(F.max("is_malicious").alias("is_malicious"))
-    return _campaign_keys(detections).join(verdict, ["rule", "campaign_key"], "left").withColumn(
-        "is_malicious", F.coalesce("is_malicious", F.lit(0))
+    per_key = Window.partitionBy("rule", "campaign_key")
+    keyed = cells.withColumn("key_bad", F.max("malicious").over(per_key)).withColumn(
+        "is_first", F.row_number().over(per_key.orderBy("campaign_id")) == 1
     )
 
+    def fact(kind: str, item: str, flagged: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), F.col(item).alias("item"), flagged.alias("flagged"),
+            F.when(F.lit(kind == "key"), F.col("key_bad")).otherwise(zero).alias("malicious"),
+            zero.alias("expected"),
+        )
 
-def _campaign_hits(cells: DataFrame, labels: DataFrame) -> DataFrame:
-    """Every expected campaign, and whether a true-positive key of its rule covers it."""
-    malicious_keys = cells.where(F.col("is_malicious") > 0).select("rule", "campaign_key").distinct()
-    covered = (
-        cells.where(F.col("campaign_id").isNotNull())
-        .join(malicious_keys, ["rule", "campaign_key"], "left_semi")
-        .select("rule", "campaign_id").distinct().withColumn("hit", F.lit(True))
-    )
+    covers = F.col("campaign_id").isNotNull() & (F.col("key_bad") > 0)
+    facts = keyed.select("rule", F.explode(F.array(
+        F.when(F.col("is_first"), fact("key", "campaign_key", one)),
+        F.when(covers, fact("campaign", "campaign_id", one)),
+    )).alias("f")).where(F.col("f").isNotNull()).select("rule", "f.*")
     expected = labels.where(F.col("campaign_id").isNotNull()).select(
-        _designed_rule(rules_of("campaign")).alias("rule"), "campaign_id"
-    ).where(F.col("rule").isNotNull()).distinct()
-    return expected.join(covered, ["rule", "campaign_id"], "left").withColumn(
-        "hit", F.coalesce("hit", F.lit(False))
+        _designed_rule(rules_of("campaign")).alias("rule"), F.lit("campaign").alias("kind"),
+        F.col("campaign_id").alias("item"), zero.alias("flagged"), zero.alias("malicious"),
+        one.alias("expected"),
+    ).where(F.col("rule").isNotNull())
+    return facts.unionByName(expected).groupBy("rule", "kind", "item").agg(
+        *[F.max(c).alias(c) for c in ("flagged", "malicious", "expected")]
     )
 
 
-def campaign_metrics(detections: Mapping[str, DataFrame], events: DataFrame, labels: DataFrame) -> DataFrame:
+def campaign_metrics(
+    detections: Mapping[str, DataFrame], events: DataFrame, labels: DataFrame
+) -> DataFrame:
     """Counts for both campaign-grain rules."""
-    cells = _campaign_cells(detections, events, labels)
-    flagged = _campaign_verdicts(detections, cells).groupBy("rule").agg(
-        F.count(F.lit(1)).alias("flagged"),
-        F.count_if(F.col("is_malicious") > 0).alias("tp"),
-        F.count_if(F.col("is_malicious") <= 0).alias("fp"),
-    )
-    campaigns = _campaign_hits(cells, labels).groupBy("rule").agg(
-        F.count_if("hit").alias("tp_designed"), F.count_if(~F.col("hit")).alias("fn")
+    # A covered campaign is a hit, but only keys are flagged rows.
+    is_key = F.col("kind") == "key"
+    ledger = _campaign_ledger(detections, events, labels).withColumn(
+        "rows", F.when(is_key, F.col("flagged")).otherwise(0)
     )
-    return _for_every_rule(rules_of("campaign"), flagged, campaigns)
+    return _totals(ledger, rules_of("campaign"))
 
 
-def campaign_errors(detections: Mapping[str, DataFrame], events: DataFrame, labels: DataFrame) -> DataFrame:
+def campaign_errors(
+    detections: Mapping[str, DataFrame], events: DataFrame, labels: DataFrame
+) -> DataFrame:
     """The benign keys flagged and the campaigns missed, as rows."""
-    cells = _campaign_cells(detections, events, labels)
-    wrong = _campaign_verdicts(detections, cells).where(F.col("is_malicious") <= 0)
-    missed = _campaign_hits(cells, labels).where(~F.col("hit"))
-    return wrong.select("rule", F.lit("FP").alias("error"), F.col("campaign_key").alias("item")).unionByName(
-        missed.select("rule", F.lit("FN").alias("error"), F.col("campaign_id").alias("item"))
+    ledger = _campaign_ledger(detections, events, labels)
+    wrong_key = (F.col("kind") == "key") & (F.col("malicious") <= 0)
+    missed = (F.col("kind") == "campaign") & (F.col("flagged") == 0)
+    return ledger.where(wrong_key | missed).select(
+        "rule", F.when(wrong_key, "FP").otherwise("FN").alias("error"), "item"
     )
 
 

@@ -2,33 +2,58 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Mapping
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loginwatch import schemas
 from loginwatch.config import HuntConfig
 from loginwatch.operators import after_hours, baselines, brute_force, impossible_travel, integrity
 from loginwatch.operators import inactive_account, metrics, password_spray, triage, unfamiliar_country
 from loginwatch.operators.enrich import ThreatFeed
-from loginwatch.operators.normalize import login_events
+from loginwatch.operators.normalize import login_events, since_day
+from loginwatch.plans.session import stored
 from loginwatch.sources import demo, reference
+from loginwatch.sources.tables import read_login_log, read_table
 
 
-@dataclass(frozen=True)
 class Hunt:
-    """The tables of one hunt. Methods build lazy DataFrames over them."""
-
-    attempts: DataFrame
-    events: DataFrame
-    employees: DataFrame
-    machines: DataFrame
-    machines_backup: DataFrame
-    feed: ThreatFeed
-    country_distance: DataFrame
-    travel_exceptions: DataFrame
-    labels: DataFrame
-    asset_labels: DataFrame
-    cfg: HuntConfig
+    """The tables of one hunt, and what is built over them; all of it lazy.
+
+    ``tables`` maps table names to functions, so a query only plans what it reads.
+    """
+
+    def __init__(self, tables: Mapping[str, Callable[[], DataFrame]], cfg: HuntConfig):
+        self._tables = tables
+        self._built: dict[str, DataFrame] = {}
+        self.cfg = cfg
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._tables[name]()
+        return self._built[name]
+
+    attempts = property(lambda self: self.table("log_in_attempts"))
+    employees = property(lambda self: self.table("employees"))
+    machines = property(lambda self: self.table("machines"))
+    machines_backup = property(lambda self: self.table("machines_backup"))
+    country_distance = property(lambda self: self.table("country_distance"))
+    travel_exceptions = property(lambda self: self.table("travel_exceptions"))
+    labels = property(lambda self: self.table("ground_truth"))
+    asset_labels = property(lambda self: self.table("ground_truth_assets"))
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return login_events(self.attempts)
+
+    @property
+    def window_events(self) -> DataFrame:
+        return since_day(self.events, self.cfg.detection_start)
+
+    @cached_property
+    def feed(self) -> ThreatFeed:
+        return ThreatFeed.load(self.table("ip_enrichment"))
 
     def unfamiliar_country(self) -> DataFrame:
         return unfamiliar_country.detect_unfamiliar_country(self.events, self.employees, self.cfg)
@@ -57,8 +82,19 @@ class Hunt:
     def inactive_account(self) -> DataFrame:
         return inactive_account.detect_inactive_account(self.events, self.employees)
 
-    def detections(self) -> dict[str, DataFrame]:
-        return {rule: getattr(self, rule)() for rule in triage.RULE_TAGS}
+    def detections(self, rules: Iterable[str] = tuple(triage.RULE_TAGS)) -> dict[str, DataFrame]:
+        return {rule: getattr(self, rule)() for rule in rules}
+
+    def event_findings(self) -> DataFrame:
+        return metrics.event_findings(self.detections(metrics.rules_of("event")))
+
+    def campaign_findings(self) -> dict[str, DataFrame]:
+        return self.detections(metrics.rules_of("campaign"))
+
+    @cached_property
+    def stored_queue(self) -> DataFrame:
+        """The queue written once, for hand-off steps that read it several times."""
+        return stored(self.queue(), "triage_queue")
 
     def queue(self) -> DataFrame:
         return triage.triage_queue(self.detections(), self.feed)
@@ -76,10 +112,9 @@ class Hunt:
         return integrity.users_without_devices(self.employees, self.machines)
 
     def scores(self) -> DataFrame:
-        found = self.detections()
         return metrics.rule_scores(
-            metrics.event_metrics(metrics.event_findings(found), self.labels),
-            metrics.campaign_metrics(found, self.events, self.labels),
+            metrics.event_metrics(self.event_findings(), self.labels),
+            metrics.campaign_metrics(self.campaign_findings(), self.window_events, self.labels),
         )
 
     def summary(self) -> DataFrame:
@@ -91,17 +126,21 @@ class Hunt:
 
 def demo_hunt(spark: SparkSession, sf_dir: str, cfg: HuntConfig = demo.DEMO_CONFIG) -> Hunt:
     """A hunt over the demo log of ``sf_dir``."""
-    attempts = demo.log_in_attempts(spark, sf_dir)
-    return Hunt(
-        attempts=attempts,
-        events=login_events(attempts),
-        employees=demo.employees(spark, sf_dir),
-        machines=demo.machines(spark, sf_dir),
-        machines_backup=demo.machines_backup(spark, sf_dir),
-        feed=ThreatFeed.load(reference.ip_enrichment_table(spark)),
-        country_distance=reference.country_distance_table(spark),
-        travel_exceptions=reference.travel_exceptions_table(spark),
-        labels=demo.ground_truth(spark, sf_dir),
-        asset_labels=demo.ground_truth_assets(spark, sf_dir),
-        cfg=cfg,
-    )
+    derived = ["log_in_attempts", "employees", "machines", "machines_backup", "ground_truth",
+               "ground_truth_assets"]
+    fixed = ["ip_enrichment", "country_distance", "travel_exceptions"]
+    tables = {name: partial(getattr(demo, name), spark, sf_dir) for name in derived}
+    tables |= {name: partial(getattr(reference, f"{name}_table"), spark) for name in fixed}
+    return Hunt(tables, cfg)
+
+
+def stored_hunt(spark: SparkSession, path: str) -> Hunt:
+    """A hunt over stored tables: one Parquet folder per table name below ``path``."""
+    names = ["employees", "machines", "machines_backup", "ip_enrichment", "country_distance",
+             "travel_exceptions", "ground_truth", "ground_truth_assets"]
+    tables = {
+        n: partial(read_table, spark, f"{path}/{n}", getattr(schemas, n.upper())) for n in names
+    }
+    tables["log_in_attempts"] = partial(read_login_log, spark, f"{path}/log_in_attempts")
+    config = read_table(spark, f"{path}/hunt_config", schemas.HUNT_CONFIG)
+    return Hunt(tables, HuntConfig.from_table(config))

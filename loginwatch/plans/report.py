@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,65 +11,61 @@ from loginwatch.operators.triage import in_queue_order
 from loginwatch.plans.hunt import Hunt
 
 
-def detection_report(hunt: Hunt) -> dict[str, DataFrame]:
-    """Report tables in their fixed order; unordered, :func:`sorted_report` orders them."""
-    queue, subject = hunt.queue(), F.coalesce("username", "source_ip").alias("subject")
-    intel = F.coalesce("intel_tags", F.lit("-")).alias("intel")
+def _queue_rows(queue: DataFrame) -> DataFrame:
+    return queue.selectExpr(
+        "detection_type", "mitre_technique", "severity", "coalesce(username, source_ip) AS subject",
+        "timestamp", "coalesce(intel_tags, '-') AS intel",
+    )
+
+
+def detection_report(hunt: Hunt) -> dict[str, Callable[[], DataFrame]]:
+    """Report tables in their fixed order, each built when called; rows are unordered."""
     return {
-        "triage_queue": queue.select(
-            "detection_type", "mitre_technique", "severity", subject, "timestamp", intel
-        ),
-        "unfamiliar_country": hunt.unfamiliar_country().select(
+        "triage_queue": lambda: _queue_rows(hunt.queue()),
+        "unfamiliar_country": lambda: hunt.unfamiliar_country().select(
             "event_id", "username", "anomaly_country", "baseline_state", "severity"
         ),
-        "impossible_travel": hunt.impossible_travel().select(
+        "impossible_travel": lambda: hunt.impossible_travel().select(
             "event_id", "username", "country_1", "country_2", "hours_apart", "required_kmh", "severity"
         ),
-        "after_hours": hunt.after_hours().select(
+        "after_hours": lambda: hunt.after_hours().select(
             "event_id", "username", "login_hour", "baseline_source", "window_start", "window_end"
         ),
-        "brute_force": hunt.brute_force().select("event_id", "username", "failure_count", "success_ip"),
-        "password_spray": hunt.password_spray().select(
+        "brute_force": lambda: hunt.brute_force().select(
+            "event_id", "username", "failure_count", "success_ip"
+        ),
+        "password_spray": lambda: hunt.password_spray().select(
             "source_ip", "login_date", "accounts_targeted", "total_failures", "severity"
         ),
-        "bruteforce_failed": hunt.bruteforce_failed().select("username", "source_ip", "failure_count"),
-        "inactive_account": hunt.inactive_account().select("event_id", "username", "outcome", "country"),
-        "orphan_devices": hunt.orphans().select("device_id", "listed_owner", "issue"),
-        "inventory_mismatch": hunt.mismatches().select("device_id", "primary_owner", "backup_owner"),
-        "users_without_devices": hunt.deviceless().select("employee_id", "employee_name", "department"),
-        "critical_patch": hunt.patches().where(F.col("patch_risk") == "CRITICAL").select(
+        "bruteforce_failed": lambda: hunt.bruteforce_failed().select("username", "source_ip", "failure_count"),
+        "inactive_account": lambda: hunt.inactive_account().select(
+            "event_id", "username", "outcome", "country"
+        ),
+        "orphan_devices": lambda: hunt.orphans().select("device_id", "listed_owner", "issue"),
+        "inventory_mismatch": lambda: hunt.mismatches().select("device_id", "primary_owner", "backup_owner"),
+        "users_without_devices": lambda: hunt.deviceless().select(
+            "employee_id", "employee_name", "department"
+        ),
+        "critical_patch": lambda: hunt.patches().where(F.col("patch_risk") == "CRITICAL").select(
             "device_id", "owner_name", "days_since_patch", "patch_risk"
         ),
     }
 
 
-# Display order per table; the others are shown by their first column.
-_ORDER = {
-    "password_spray": [F.desc, "accounts_targeted"],
-    "critical_patch": [F.desc, "days_since_patch"],
-}
+# Sections not shown by their first column.
+_WIDEST_FIRST = {"password_spray": "accounts_targeted", "critical_patch": "days_since_patch"}
 
 
-def sorted_report(hunt: Hunt) -> dict[str, DataFrame]:
-    """The same tables in display order, for showing rather than storing."""
-    out = {}
-    for name, table in detection_report(hunt).items():
-        if name == "triage_queue":
-            rows = in_queue_order(hunt.queue())
-            out[name] = rows.select(
-                "detection_type", "mitre_technique", "severity",
-                F.coalesce("username", "source_ip").alias("subject"), "timestamp",
-                F.coalesce("intel_tags", F.lit("-")).alias("intel"),
-            )
-        elif name in _ORDER:
-            direction, column = _ORDER[name]
-            out[name] = table.orderBy(direction(column))
-        else:
-            out[name] = table.orderBy(table.columns[0])
-    return out
+def in_display_order(hunt: Hunt, section: str) -> DataFrame:
+    """One section sorted for showing; stored tables stay unsorted."""
+    if section == "triage_queue":
+        return _queue_rows(in_queue_order(hunt.queue()))
+    table = detection_report(hunt)[section]()
+    widest = _WIDEST_FIRST.get(section)
+    return table.orderBy(F.desc(widest)) if widest else table.orderBy(table.columns[0])
 
 
 def write_report(hunt: Hunt, path: str, mode: str = "overwrite") -> None:
     """One Parquet table per report section."""
     for name, table in detection_report(hunt).items():
-        table.write.mode(mode).parquet(f"{path}/{name}")
+        table().write.mode(mode).parquet(f"{path}/{name}")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -18,6 +18,7 @@ def local_session(cores: str = "8", app: str = "loginwatch") -> SparkSession:
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
@@ -43,3 +44,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a shared folder")
         base = tempfile.mkdtemp(prefix="loginwatch-")
     return os.path.join(base, "loginwatch", purpose, uuid.uuid4().hex)
+
+
+def stored(frame: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and go on from the table.
+
+    For results that several later steps read, such as the triage queue: they are
+    computed once, survive lost executors, and come back with file statistics.
+    """
+    path = shared_dir(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
@@ -32,32 +32,32 @@ DEMO_CONFIG = HuntConfig(
 )
 
 
-def account_id(n: Column) -> Column:
-    """``U000007``; one number in 37 is a service account."""
-    prefix = F.when(n % 37 == 36, "svc_").otherwise("U")
-    return F.concat(prefix, F.lpad(n.cast("string"), 6, "0"))
+# ``U000007``; one account number in 37 is a service account.
+_ACCOUNT = "concat(if({n} % 37 = 36, 'svc_', 'U'), lpad(cast({n} AS string), 6, '0'))"
+
+# One account number in ten never owns a device.
+_OWNER = "if(o_custkey % 10 = 9, o_custkey - 1, o_custkey)"
 
 
 def _with_attempt_columns(events: DataFrame) -> DataFrame:
-    n = F.col("user_id")
-    k = F.col("k")
-    dormant = (n % 11 == 10) & (F.col("ts").cast("date") < F.lit(SPLIT))
-    internal = F.concat_ws(".", F.lit("10"), n % 8, F.lit("1"), n % 50)
-    return events.withColumn("k", F.get_json_object("props", "$.k").cast("int")).select(
-        F.col("event_id"),
-        account_id(n).alias("username"),
-        F.col("ts").cast("date").alias("login_date"),
-        F.date_format("ts", "HH:mm:ss").alias("login_time"),
-        F.when(k < 70, "US").when(k < 82, "CA").when(k < 90, "DE").when(k < 95, "CN")
-        .otherwise("RU").alias("country"),
-        F.when((F.col("event_type") == "error") | dormant, 0).otherwise(1).alias("success"),
-        F.when(k == 93, F.lit(None).cast("string"))
-        .when(k == 94, F.concat(F.lit("2001:db8::"), (n % 16).cast("string")))
-        .when(F.col("event_type") == "error", F.concat(F.lit("45.33.32."), (n % 4).cast("string")))
-        .when(k >= 95, F.concat(F.lit("185.220.101."), (k % 7).cast("string")))
-        .otherwise(internal).alias("source_ip"),
-        n.alias("account_no"),
-        k,
+    return events.withColumn("k", F.expr("cast(get_json_object(props, '$.k') AS int)")).selectExpr(
+        "event_id",
+        f"{_ACCOUNT.format(n='user_id')} AS username",
+        "cast(ts AS date) AS login_date",
+        "date_format(ts, 'HH:mm:ss') AS login_time",
+        """CASE WHEN k < 70 THEN 'US' WHEN k < 82 THEN 'CA' WHEN k < 90 THEN 'DE'
+                WHEN k < 95 THEN 'CN' ELSE 'RU' END AS country""",
+        # Accounts that stay dormant until the split fail every earlier attempt.
+        f"""CASE WHEN event_type = 'error' THEN 0
+                 WHEN user_id % 11 = 10 AND cast(ts AS date) < date'{SPLIT}' THEN 0
+                 ELSE 1 END AS success""",
+        """CASE WHEN k = 93 THEN cast(NULL AS string)
+                WHEN k = 94 THEN concat('2001:db8::', user_id % 16)
+                WHEN event_type = 'error' OR k = 92 THEN concat('45.33.32.', user_id % 4)
+                WHEN k >= 95 THEN concat('185.220.101.', k % 7)
+                ELSE concat_ws('.', '10', user_id % 8, '1', user_id % 50) END AS source_ip""",
+        "user_id AS account_no",
+        "k",
     )
 
 
@@ -76,32 +76,29 @@ def attempts_from(events: DataFrame) -> DataFrame:
 
 
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("c_custkey")
-    segment = F.col("c_mktsegment")
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
-        account_id(n).alias("employee_id"),
-        F.substring_index("c_name", "#", 1).alias("first_name"),
-        F.substring_index("c_name", "#", -1).alias("last_name"),
-        F.when(segment == "MACHINERY", "IT Security").when(segment == "HOUSEHOLD", "IT Infrastructure")
-        .otherwise(segment).alias("department"),
-        F.concat(F.lit("Office-"), F.col("c_nationkey").cast("string")).alias("office"),
-        F.when(n % 43 == 42, F.lit(None).cast("string")).when(n % 7 == 6, "Terminated")
-        .when(n % 41 == 40, "On Leave").otherwise("Active").alias("status"),
-        F.date_add(F.lit(date(2015, 1, 1)), (n % 2000).cast("int")).alias("hire_date"),
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(
+        f"{_ACCOUNT.format(n='c_custkey')} AS employee_id",
+        "substring_index(c_name, '#', 1) AS first_name",
+        "substring_index(c_name, '#', -1) AS last_name",
+        """CASE c_mktsegment WHEN 'MACHINERY' THEN 'IT Security'
+                WHEN 'HOUSEHOLD' THEN 'IT Infrastructure' ELSE c_mktsegment END AS department""",
+        "concat('Office-', c_nationkey) AS office",
+        """CASE WHEN c_custkey % 43 = 42 THEN cast(NULL AS string) WHEN c_custkey % 7 = 6 THEN 'Terminated'
+                WHEN c_custkey % 41 = 40 THEN 'On Leave' ELSE 'Active' END AS status""",
+        "date_add(date'2015-01-01', cast(c_custkey % 2000 AS int)) AS hire_date",
     )
 
 
 def machines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, owner = F.col("o_orderkey"), F.col("o_custkey")
-    assigned = F.when(owner % 10 == 9, owner - 1).otherwise(owner)
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        F.concat(F.lit("DEV-"), key.cast("string")).alias("device_id"),
-        F.when(key % 89 == 0, F.lit(None).cast("string"))
-        .when(key % 97 == 0, F.concat(F.lit("X"), key.cast("string")))
-        .otherwise(account_id(assigned)).alias("employee_id"),
-        F.col("o_orderpriority").alias("operating_system"),
-        F.col("o_orderdate").cast("date").alias("os_patch_date"),
-        F.col("o_orderstatus").alias("device_type"),
+    """One device per order; some have no recorded owner or one the directory lacks."""
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "concat('DEV-', o_orderkey) AS device_id",
+        f"""CASE WHEN o_orderkey % 89 = 0 THEN cast(NULL AS string)
+                 WHEN o_orderkey % 97 = 0 THEN concat('X', o_orderkey)
+                 ELSE {_ACCOUNT.format(n=_OWNER)} END AS employee_id""",
+        "o_orderpriority AS operating_system",
+        "cast(o_orderdate AS date) AS os_patch_date",
+        "o_orderstatus AS device_type",
     )
 
 
@@ -110,13 +107,10 @@ def machines_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     One in 53 is listed under an old device id, so it exists in one inventory only.
     """
-    key, owner = F.col("o_orderkey"), F.col("o_custkey")
-    assigned = F.when(owner % 10 == 9, owner - 1).otherwise(owner)
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        F.concat(F.when(key % 53 == 52, "OLD-").otherwise("DEV-"), key.cast("string"))
-        .alias("device_id"),
-        F.when(key % 50 == 0, account_id(assigned + 1)).otherwise(account_id(assigned))
-        .alias("employee_id"),
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "concat(if(o_orderkey % 53 = 52, 'OLD-', 'DEV-'), o_orderkey) AS device_id",
+        f"""if(o_orderkey % 50 = 0, {_ACCOUNT.format(n=f'({_OWNER} + 1)')},
+               {_ACCOUNT.format(n=_OWNER)}) AS employee_id""",
     )
 
 
@@ -126,59 +120,52 @@ def identity_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _labelled(rows: DataFrame, key: str, labels: list[str]) -> DataFrame:
+    """One row per label that applies; each is ``if(condition, struct, NULL)``."""
+    found = rows.selectExpr(key, f"explode(array({', '.join(labels)})) AS l")
+    return found.where("l IS NOT NULL").selectExpr(key.split(" AS ")[-1], "l.*")
+
+
 def ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multi-label ground truth; most events carry none."""
-    a = attempts_with_origin(spark, sf_dir)
-    n, k = F.col("account_no"), F.col("k")
-    won, lost = F.col("success") == 1, F.col("success") == 0
-    recent = F.col("login_date") >= F.lit(SPLIT)
-    scanner = F.col("source_ip").startswith("45.33.32.")
-    day = F.col("login_date").cast("string")
-
-    def label(when: Column, malicious: int, name: str, anchor: Column, campaign: Column) -> Column:
-        return F.when(when, F.struct(
-            F.lit(malicious).alias("is_malicious"), F.lit(name).alias("anomaly_class"),
-            anchor.cast("int").alias("is_anchor"), campaign.cast("string").alias("campaign_id"),
-            F.lit("demo " + name).alias("notes"),
-        ))
-
-    none = F.lit(None).cast("string")
-    labels = F.array(
-        label(won & recent & k.between(90, 99), 1, "unfamiliar_country", k >= 97, none),
-        label(won & recent & k.isin(91, 97, 99), 1, "impossible_travel", F.lit(1), none),
-        label(won & recent & (k >= 95) & F.col("login_time").startswith("03"), 1, "after_hours",
-              F.lit(1), none),
-        label(won & recent & (k % 20 == 19), 1, "brute_force_success", F.lit(1), none),
-        label(lost & recent & scanner & (n % 3 == 0), 1, "brute_force_failed", F.lit(0),
-              F.concat(F.lit("bf-"), F.col("username"), F.lit("-"), day)),
-        label(lost & recent & scanner & (n % 4 != 2), 1, "password_spray", F.lit(0),
-              F.concat(F.lit("spray-"), F.col("source_ip"), F.lit("-"), day)),
-        label(n % 7 == 6, 1, "terminated_account", F.lit(1), none),
-        label(k == 50, 0, "benign_no_baseline", F.lit(0), none),
-    )
-    return a.select("event_id", F.explode(labels).alias("l")).where(F.col("l").isNotNull()).select(
-        "event_id", "l.*"
-    )
+    won = f"success = 1 AND login_date >= date'{SPLIT}'"
+    lost = f"success = 0 AND login_date >= date'{SPLIT}' AND source_ip LIKE '45.33.32.%'"
+    bf = "concat('bf-', username, '-', login_date)"
+    spray = "concat('spray-', source_ip, '-', login_date)"
+
+    def label(when: str, malicious: int, name: str, anchor: str, campaign: str = "NULL") -> str:
+        return (
+            f"if({when}, named_struct('is_malicious', {malicious}, 'anomaly_class', '{name}', "
+            f"'is_anchor', {anchor}, 'campaign_id', cast({campaign} AS string), 'notes', 'demo {name}'), NULL)"
+        )
+
+    return _labelled(attempts_with_origin(spark, sf_dir), "event_id", [
+        label(f"{won} AND k BETWEEN 90 AND 99", 1, "unfamiliar_country", "if(k >= 97, 1, 0)"),
+        label(f"{won} AND k IN (91, 97, 99)", 1, "impossible_travel", "1"),
+        label(f"{won} AND k >= 95 AND login_time LIKE '03%'", 1, "after_hours", "1"),
+        label(f"{won} AND k % 20 = 19", 1, "brute_force_success", "1"),
+        label(f"{lost} AND account_no % 3 = 0", 1, "brute_force_failed", "0", bf),
+        label(f"{lost} AND account_no % 4 <> 2", 1, "password_spray", "0", spray),
+        label("account_no % 7 = 6", 1, "terminated_account", "1"),
+        label("k = 50", 0, "benign_no_baseline", "0"),
+    ])
 
 
 def ground_truth_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Asset labels for devices and accounts, some of them deliberately wrong."""
-    key = F.col("o_orderkey")
-
-    def label(when: Column, name: str) -> Column:
-        return F.when(when, F.struct(F.lit(name).alias("anomaly_class"), F.lit("demo").alias("notes")))
-
-    devices = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        F.concat(F.lit("DEV-"), key.cast("string")).alias("asset_id"),
-        F.explode(F.array(
-            label(key % 97 == 0, "orphan_device"),
-            label(key % 150 == 0, "inventory_mismatch"),
-            label(F.col("o_orderdate").cast("date") < F.lit(date(2000, 1, 1)), "critical_patch_age"),
-        )).alias("l"),
+    def label(when: str, name: str) -> str:
+        return f"if({when}, named_struct('anomaly_class', '{name}', 'notes', 'demo'), NULL)"
+
+    devices = _labelled(
+        spark.read.parquet(f"{sf_dir}/orders.parquet"), "concat('DEV-', o_orderkey) AS asset_id", [
+            label("o_orderkey % 97 = 0", "orphan_device"),
+            label("o_orderkey % 150 = 0", "inventory_mismatch"),
+            label("cast(o_orderdate AS date) < date'2000-01-01'", "critical_patch_age"),
+        ],
     )
-    people = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
-        account_id(F.col("c_custkey")).alias("asset_id"),
-        F.explode(F.array(label(F.col("c_custkey") % 10 == 9, "user_without_device"))).alias("l"),
+    people = _labelled(
+        spark.read.parquet(f"{sf_dir}/customer.parquet"),
+        f"{_ACCOUNT.format(n='c_custkey')} AS asset_id",
+        [label("c_custkey % 10 = 9", "user_without_device")],
     )
-    both = devices.unionByName(people).where(F.col("l").isNotNull())
-    return both.select("asset_id", "l.anomaly_class", "l.notes")
+    return devices.unionByName(people)
