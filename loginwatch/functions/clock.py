@@ -1,4 +1,8 @@
-"""Login instants, their text forms and exact time arithmetic (UTC)."""
+"""Login instants, their text forms and exact time arithmetic (UTC).
+
+Functions that take column names or expressions as text return SQL text for ``expr``
+and ``selectExpr``; a whole projection then reaches the planner in one call.
+"""
 
 from __future__ import annotations
 
@@ -7,52 +11,36 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MICROS = 1_000_000
-
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
-def seconds_of_day(login_time: Column) -> Column:
-    """``HH:MM:SS`` text to seconds; malformed text gives NULL."""
-    def part(start: int) -> Column:
-        return F.substring(login_time, start, 2).try_cast("int")
 
-    return part(1) * 3600 + part(4) * 60 + part(7)
+def hour_of(login_time: str = "login_time") -> str:
+    """Hour of an ``HH:MM:SS`` text; NULL when malformed."""
+    return f"try_cast(substring({login_time}, 1, 2) AS int)"
 
 
-def login_instant(login_date: Column, login_time: Column) -> Column:
-    """Date plus time-of-day text as a timestamp, without parsing a joined string."""
-    days = F.unix_date(login_date).cast("bigint")
-    return F.timestamp_seconds(days * 86400 + seconds_of_day(login_time))
+def login_instant(login_date: str = "login_date", login_time: str = "login_time") -> str:
+    """Date plus time-of-day text as a timestamp, by arithmetic and not by parsing."""
+    return (
+        f"timestamp_seconds(cast(unix_date({login_date}) AS bigint) * 86400 + {hour_of(login_time)} * 3600"
+        f" + try_cast(substring({login_time}, 4, 2) AS int) * 60"
+        f" + try_cast(substring({login_time}, 7, 2) AS int))"
+    )
 
 
-def stamp(login_date: Column, login_time: Column) -> Column:
+def stamp(login_date: str = "login_date", login_time: str = "login_time") -> str:
     """``YYYY-MM-DD HH:MM:SS`` as shown in findings."""
-    return F.concat(login_date.cast("string"), F.lit(" "), login_time)
-
-
-def stamp_of(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
-
-
-def time_of(ts: Column) -> Column:
-    return F.date_format(ts, "HH:mm:ss")
+    return f"concat({login_date}, ' ', {login_time})"
 
 
-def micros(ts: Column) -> Column:
-    return F.unix_micros(ts)
+def round_ratio(numerator: str, denominator: str) -> str:
+    """Half-up quotient of non-negative integers, exact."""
+    return f"((2 * ({numerator}) + ({denominator})) div (2 * ({denominator})))"
 
 
-def instant_of(micros_col: Column) -> Column:
-    return F.timestamp_micros(micros_col)
-
-
-def round_ratio(numerator: Column, denominator: Column) -> Column:
-    """Half-up ``numerator / denominator`` for non-negative integers, exact."""
-    return F.call_function("div", numerator * 2 + denominator, denominator * 2)
-
-
-def tenths(numerator: Column, denominator: Column) -> Column:
+def tenths(numerator: str, denominator: str) -> str:
     """Half-up quotient to one decimal, exact in integers until the last step."""
-    return round_ratio(numerator * 10, denominator).cast("double") / F.lit(10.0)
+    return f"(cast({round_ratio(f'10 * ({numerator})', denominator)} AS double) / 10D)"
 
 
 def utc(moment: datetime | date) -> datetime:
@@ -62,10 +50,13 @@ def utc(moment: datetime | date) -> datetime:
     return moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
 
 
+def micros_of(moment: datetime | date) -> int:
+    return (utc(moment) - EPOCH) // timedelta(microseconds=1)
+
+
 def instant(moment: datetime | date) -> Column:
     """A timestamp literal that does not depend on the driver's local zone."""
-    epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
-    return F.timestamp_micros(F.lit((utc(moment) - epoch) // timedelta(microseconds=1)))
+    return F.expr(f"timestamp_micros({micros_of(moment)})")
 
 
 def dates_from(moment: datetime | date) -> date:

@@ -1,31 +1,29 @@
-"""Great-circle distance from country centroids."""
+"""Great-circle distance from country centroids, as SQL text."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 EARTH_RADIUS_KM = 6371.0
 
+Centroids = Mapping[str, tuple[float, float]]
+
 
-def great_circle_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    half_lat = F.radians(lat2 - lat1) / 2
-    half_lon = F.radians(lon2 - lon1) / 2
-    h = F.pow(F.sin(half_lat), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(
-        F.sin(half_lon), 2
+def great_circle_km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    h = (
+        f"pow(sin(radians({lat2} - {lat1}) / 2), 2)"
+        f" + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2)"
     )
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+    return f"{2 * EARTH_RADIUS_KM}D * asin(sqrt(least(1D, {h})))"
 
 
-def centroid(country: Column, centroids: Mapping[str, tuple[float, float]], axis: int) -> Column:
+def centroid(country: str, centroids: Centroids, axis: int) -> str:
     """Latitude (axis 0) or longitude (axis 1) of a country; NULL when unknown."""
-    pairs = [F.lit(v) for code, point in centroids.items() for v in (code, float(point[axis]))]
-    return F.try_element_at(F.create_map(*pairs), country)
+    cases = " ".join(f"WHEN '{code}' THEN {float(point[axis])!r}D" for code, point in centroids.items())
+    return f"(CASE {country} {cases} END)"
 
 
-def country_km(a: Column, b: Column, centroids: Mapping[str, tuple[float, float]]) -> Column:
+def country_km(a: str, b: str, centroids: Centroids) -> str:
     return great_circle_km(
         centroid(a, centroids, 0), centroid(a, centroids, 1),
         centroid(b, centroids, 0), centroid(b, centroids, 1),

@@ -1,40 +1,31 @@
-"""IPv4 addresses as integers."""
+"""IPv4 addresses as integers, as SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def ipv4_number(address: Column) -> Column:
+def ipv4_number(address: str) -> str:
     """Dotted quad to BIGINT; NULL for NULL, IPv6 and malformed text."""
-    parts = F.split(address, r"\.")
-    octets = [F.try_element_at(parts, F.lit(i)).try_cast("int") for i in range(1, 5)]
-    number = F.lit(0).cast("bigint")
-    valid = F.size(parts) == 4
-    for octet in octets:
-        number = number * 256 + octet
-        valid = valid & octet.between(0, 255)
-    return F.when(valid, number)
+    octets = [f"try_cast(split({address}, '[.]')[{i}] AS int)" for i in range(4)]
+    valid = " AND ".join(f"{o} BETWEEN 0 AND 255" for o in octets)
+    number = " + ".join(f"{o} * {256 ** (3 - i)}L" for i, o in enumerate(octets))
+    return f"CASE WHEN size(split({address}, '[.]')) = 4 THEN if({valid}, {number}, NULL) END"
 
 
-def network_of(number: Column, prefix_length: int) -> Column:
+def network_of(number: str, prefix_length: int) -> str:
     """The network address of ``number`` under a mask of ``prefix_length`` bits."""
-    span = 1 << (32 - prefix_length)
-    return number - F.pmod(number, F.lit(span).cast("bigint"))
+    return f"({number} - pmod({number}, {1 << (32 - prefix_length)}L))"
 
 
-def cidr_length(cidr: Column) -> Column:
-    return F.substring_index(cidr, "/", -1).try_cast("int")
+def cidr_length(cidr: str) -> str:
+    return f"try_cast(substring_index({cidr}, '/', -1) AS int)"
 
 
-def cidr_base(cidr: Column) -> Column:
+def cidr_base(cidr: str) -> str:
     """Network address of a CIDR text, host bits cleared."""
-    number = ipv4_number(F.substring_index(cidr, "/", 1))
-    span = F.pow(F.lit(2.0), F.lit(32) - cidr_length(cidr)).cast("bigint")
-    return number - F.pmod(number, span)
+    number = ipv4_number(f"substring_index({cidr}, '/', 1)")
+    return f"({number}) - pmod({number}, cast(pow(2D, 32 - {cidr_length(cidr)}) AS bigint))"
 
 
-def leading_octets(address: Column, octets: int) -> Column:
+def leading_octets(address: str, octets: int) -> str:
     """``a.b.c.`` style prefix text made of the first ``octets`` parts."""
-    return F.concat(F.substring_index(address, ".", octets), F.lit("."))
+    return f"concat(substring_index({address}, '.', {octets}), '.')"

@@ -1,16 +1,13 @@
-"""Text forms used at the display edge."""
+"""Text forms used at the display edge, as SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def joined(values: str, separator: str = ",") -> str:
+    """A list as sorted, separated text; NULL stays NULL."""
+    return f"array_join(array_sort({values}), '{separator}')"
 
-def joined(values: Column, separator: str = ",") -> Column:
-    """A set-valued column as sorted, separated text; NULL stays NULL."""
-    return F.array_join(F.array_sort(values), separator)
 
-
-def short_number(value: Column) -> Column:
+def short_number(value: str) -> str:
     """``7.5`` and ``30`` rather than ``30.0``."""
-    return F.regexp_replace(value.cast("string"), r"\.0$", "")
+    return f"regexp_replace(cast({value} AS string), '[.]0$', '')"

@@ -3,31 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
 from loginwatch.functions import clock
-from loginwatch.functions.accounts import IT_DEPARTMENTS, is_service
+from loginwatch.functions.accounts import IT_DEPARTMENTS, is_service, text_list
 from loginwatch.operators.baselines import account_windows
 from loginwatch.operators.normalize import since_day, successes
 
 
 def detect_after_hours(events: DataFrame, employees: DataFrame, cfg: HuntConfig) -> DataFrame:
     """Both bounds are inclusive; accounts missing from the directory drop out."""
-    recent = since_day(successes(events), cfg.detection_start).where(~is_service(F.col("username")))
-    hour = F.col("login_hour")
+    recent = since_day(successes(events), cfg.detection_start).where(f"NOT {is_service()}")
     hits = recent.join(account_windows(events, employees, cfg), "username").where(
-        (hour < F.col("window_start")) | (hour > F.col("window_end"))
+        "login_hour < window_start OR login_hour > window_end"
     )
-    reason = F.concat(
-        F.lit("Login at "), F.col("login_time"), F.lit(" UTC outside "), F.col("baseline_source"),
-        F.lit(" hour window ["), F.col("window_start").cast("string"), F.lit(":00-"),
-        F.col("window_end").cast("string"), F.lit(":59]"),
-    )
-    return hits.select(
-        "event_id", "username", "user_name", "department",
-        clock.stamp(F.col("login_date"), F.col("login_time")).alias("timestamp"),
+    return hits.selectExpr(
+        "event_id", "username", "user_name", "department", f"{clock.stamp()} AS timestamp",
         "login_hour", "country", "source_ip", "baseline_source", "window_start", "window_end",
-        F.when(F.col("department").isin(IT_DEPARTMENTS), "LOW").otherwise("MEDIUM").alias("severity"),
-        reason.alias("reason"),
+        f"if(department IN ({text_list(IT_DEPARTMENTS)}), 'LOW', 'MEDIUM') AS severity",
+        """concat('Login at ', login_time, ' UTC outside ', baseline_source, ' hour window [',
+                  window_start, ':00-', window_end, ':59]') AS reason""",
     )

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
 from loginwatch.functions import clock
-from loginwatch.functions.accounts import full_name, is_service
+from loginwatch.functions.accounts import FULL_NAME, is_service
 from loginwatch.functions.text import joined
 from loginwatch.operators.normalize import directory, successes
 
@@ -17,7 +16,7 @@ DEFAULT_WINDOW = (6, 20)
 
 
 def baseline_successes(events: DataFrame, cfg: HuntConfig) -> DataFrame:
-    return successes(events).where(F.col("login_date") < F.lit(cfg.baseline_end))
+    return successes(events).where(f"login_date < date'{cfg.baseline_end}'")
 
 
 def user_country_baseline(events: DataFrame, cfg: HuntConfig) -> DataFrame:
@@ -28,8 +27,8 @@ def user_country_baseline(events: DataFrame, cfg: HuntConfig) -> DataFrame:
 def user_country_baseline_display(events: DataFrame, cfg: HuntConfig) -> DataFrame:
     """The baseline as sorted text. The list is bounded by the number of countries."""
     return user_country_baseline(events, cfg).groupBy("username").agg(
-        joined(F.collect_list("country")).alias("known_countries"),
-        F.count(F.lit(1)).alias("country_count"),
+        F.expr(f"{joined('collect_list(country)')} AS known_countries"),
+        F.expr("count(1) AS country_count"),
     )
 
 
@@ -39,70 +38,59 @@ def country_profile(events: DataFrame, cfg: HuntConfig) -> DataFrame:
     One hash aggregate with map-side combine reads the history; the window runs over
     its pairs, of which an account has at most one per country.
     """
-    pairs = successes(events).groupBy("username", "country").agg(F.min("ts").alias("first_ts"))
-    known = F.col("first_ts") < clock.instant(cfg.baseline_end)
-    account = Window.partitionBy("username")
-    return pairs.withColumn("known", known).select(
-        "username", "country", "first_ts", "known",
-        F.array_sort(F.collect_list(F.when(F.col("known"), F.col("country"))).over(account))
-        .alias("known_countries"),
-        F.min("first_ts").over(account).alias("account_first_ts"),
+    pairs = successes(events).groupBy("username", "country").agg(F.expr("min(ts) AS first_ts"))
+    known = f"first_ts < timestamp_micros({clock.micros_of(cfg.baseline_end)})"
+    account = "OVER (PARTITION BY username)"
+    return pairs.selectExpr(
+        "username", "country", "first_ts", f"{known} AS known",
+        f"array_sort(collect_list(if({known}, country, NULL)) {account}) AS known_countries",
+        f"min(first_ts) {account} AS account_first_ts",
     )
 
 
 def hourly_distribution(events: DataFrame) -> DataFrame:
     """Successes by hour and their share of all successes in percent."""
-    by_hour = successes(events).groupBy("login_hour").agg(F.count(F.lit(1)).alias("login_count"))
-    total = F.sum("login_count").over(Window.partitionBy())
-    return by_hour.withColumn("total", total).select(
-        "login_hour", "login_count",
-        clock.tenths(F.col("login_count") * 100, F.col("total")).alias("pct"),
-    )
+    by_hour = successes(events).groupBy("login_hour").agg(F.expr("count(1) AS login_count"))
+    # At most 24 rows reach the total.
+    share = clock.tenths("100 * login_count", "sum(login_count) OVER ()")
+    return by_hour.selectExpr("login_hour", "login_count", f"{share} AS pct")
 
 
 def user_hour_baseline(events: DataFrame, cfg: HuntConfig) -> DataFrame:
     return baseline_successes(events, cfg).groupBy("username").agg(
-        F.count(F.lit(1)).alias("baseline_logins"),
-        F.min("login_hour").alias("min_hour"),
-        F.max("login_hour").alias("max_hour"),
+        F.expr("count(1) AS baseline_logins"), F.expr("min(login_hour) AS min_hour"),
+        F.expr("max(login_hour) AS max_hour"),
     )
 
 
 def dept_hour_baseline(events: DataFrame, employees: DataFrame, cfg: HuntConfig) -> DataFrame:
     """Department hours, rolled up from the per-account rows; service accounts excluded."""
-    people = user_hour_baseline(events, cfg).where(~is_service(F.col("username")))
+    people = user_hour_baseline(events, cfg).where(f"NOT {is_service()}")
     return people.join(directory(employees), "username").groupBy("department").agg(
-        F.sum("baseline_logins").alias("baseline_logins"),
-        F.min("min_hour").alias("min_hour"),
-        F.max("max_hour").alias("max_hour"),
+        F.expr("sum(baseline_logins) AS baseline_logins"), F.expr("min(min_hour) AS min_hour"),
+        F.expr("max(max_hour) AS max_hour"),
     )
 
 
 def account_windows(events: DataFrame, employees: DataFrame, cfg: HuntConfig) -> DataFrame:
     """Hour window of every directory account, with its display columns."""
-    user = user_hour_baseline(events, cfg).select(
-        "username", F.col("baseline_logins").alias("u_n"),
-        F.col("min_hour").alias("u_min"), F.col("max_hour").alias("u_max"),
+    user = user_hour_baseline(events, cfg).selectExpr(
+        "username", "baseline_logins AS u_n", "min_hour AS u_min", "max_hour AS u_max"
     )
-    dept = dept_hour_baseline(events, employees, cfg).select(
-        "department", F.col("baseline_logins").alias("d_n"),
-        F.col("min_hour").alias("d_min"), F.col("max_hour").alias("d_max"),
+    dept = dept_hour_baseline(events, employees, cfg).selectExpr(
+        "department", "baseline_logins AS d_n", "min_hour AS d_min", "max_hour AS d_max"
     )
-    enough = cfg.hour_baseline_min_samples
+    enough, slack = cfg.hour_baseline_min_samples, cfg.hour_tolerance
 
-    def tier(user_value: Column, dept_value: Column, default: Column) -> Column:
-        return (
-            F.when(F.col("u_n") >= enough, user_value)
-            .when(F.col("d_n") >= enough, dept_value)
-            .otherwise(default)
-        )
+    def tier(user_value: str, dept_value: str, default: str) -> str:
+        return f"CASE WHEN u_n >= {enough} THEN {user_value} WHEN d_n >= {enough} THEN {dept_value} ELSE {default} END"
 
-    slack = cfg.hour_tolerance
-    return directory(employees).join(user, "username", "left").join(dept, "department", "left").select(
+    tiers = directory(employees).join(user, "username", "left").join(dept, "department", "left")
+    return tiers.selectExpr(
         "username", "user_name", "department",
-        tier(F.lit("user"), F.lit("department"), F.lit("global-default")).alias("baseline_source"),
-        tier(F.col("u_min") - slack, F.col("d_min") - slack, F.lit(DEFAULT_WINDOW[0])).alias("window_start"),
-        tier(F.col("u_max") + slack, F.col("d_max") + slack, F.lit(DEFAULT_WINDOW[1])).alias("window_end"),
+        tier("'user'", "'department'", "'global-default'") + " AS baseline_source",
+        tier(f"u_min - {slack}", f"d_min - {slack}", str(DEFAULT_WINDOW[0])) + " AS window_start",
+        tier(f"u_max + {slack}", f"d_max + {slack}", str(DEFAULT_WINDOW[1])) + " AS window_end",
     )
 
 
@@ -114,12 +102,10 @@ def hour_windows(events: DataFrame, employees: DataFrame, cfg: HuntConfig) -> Da
 
 def patch_status(machines: DataFrame, employees: DataFrame, cfg: HuntConfig) -> DataFrame:
     """Days since each device was patched, and the risk band."""
-    owners = employees.select(
-        "employee_id", full_name(F.col("first_name"), F.col("last_name")).alias("owner_name"), "department"
-    )
-    days = F.datediff(F.lit(cfg.asof_date), F.col("os_patch_date"))
-    risk = F.when(days > 180, "CRITICAL").when(days > 90, "WARNING").otherwise("OK")
-    return machines.join(owners, "employee_id", "left").select(
+    owners = employees.selectExpr("employee_id", f"{FULL_NAME} AS owner_name", "department")
+    days = f"datediff(date'{cfg.asof_date}', os_patch_date)"
+    return machines.join(owners, "employee_id", "left").selectExpr(
         "device_id", "employee_id", "owner_name", "department", "operating_system", "os_patch_date",
-        days.alias("days_since_patch"), risk.alias("patch_risk"),
+        f"{days} AS days_since_patch",
+        f"CASE WHEN {days} > 180 THEN 'CRITICAL' WHEN {days} > 90 THEN 'WARNING' ELSE 'OK' END AS patch_risk",
     )

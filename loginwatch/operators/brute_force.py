@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
@@ -22,30 +21,26 @@ def failure_runs(events: DataFrame, cfg: HuntConfig) -> DataFrame:
     ordered pass linear and bounded, with no interval join.
     """
     span = timedelta(minutes=cfg.bf_window_minutes)
+    start = clock.micros_of(cfg.detection_start)
     earliest = clock.utc(cfg.detection_start) - span
     reach = since_day(events, clock.dates_from(earliest)).where(F.col("ts") >= clock.instant(earliest))
     points = account_points(reach.select("username", "ts", "success"))
-    later = Window.partitionBy("username").orderBy(F.col("at").desc()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    won_at = F.when(F.col("wins") > 0, F.col("at"))
-    next_win = F.last(won_at, ignorenulls=True).over(later)
+    # Newest first, so the last success instant seen so far is the next one in time.
+    next_win = """last(if(wins > 0, at, NULL), true) OVER (PARTITION BY username ORDER BY at DESC
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
     targets = (
-        points.withColumn("next_win", next_win)
-        .where(F.col("failures") > 0)
-        .select("username", "at", "failures", F.explode(F.array(won_at, F.col("next_win"))).alias("target"))
-        .where(
-            (F.col("target") - F.col("at") <= F.lit(span // timedelta(microseconds=1)))
-            & (F.col("target") >= clock.micros(clock.instant(cfg.detection_start)))
-        )
+        points.selectExpr("username", "at", "failures", "wins", f"{next_win} AS next_win")
+        .where("failures > 0")
+        .selectExpr("username", "at", "failures", "explode(array(if(wins > 0, at, NULL), next_win)) AS target")
+        .where(f"target - at <= {span // timedelta(microseconds=1)}L AND target >= {start}L")
     )
     return (
         targets.groupBy("username", "target")
-        .agg(F.sum("failures").alias("failure_count"), F.min("at").alias("first_at"))
-        .where(F.col("failure_count") >= cfg.bf_min_failures)
-        .select(
-            "username", clock.instant_of(F.col("target")).alias("ts"), "failure_count",
-            clock.instant_of(F.col("first_at")).alias("first_failure_ts"),
+        .agg(F.expr("sum(failures) AS failure_count"), F.expr("min(at) AS first_at"))
+        .where(f"failure_count >= {cfg.bf_min_failures}")
+        .selectExpr(
+            "username", "timestamp_micros(target) AS ts", "failure_count",
+            "timestamp_micros(first_at) AS first_failure_ts",
         )
     )
 
@@ -53,17 +48,12 @@ def failure_runs(events: DataFrame, cfg: HuntConfig) -> DataFrame:
 def detect_brute_force(events: DataFrame, employees: DataFrame, cfg: HuntConfig) -> DataFrame:
     recent = since_day(successes(events), cfg.detection_start)
     hits = recent.join(failure_runs(events, cfg), ["username", "ts"])
-    reason = F.concat(
-        F.lit("Brute force: "), F.col("failure_count").cast("string"),
-        F.lit(f" uninterrupted failures within {cfg.bf_window_minutes} min preceding success from "),
-        F.col("source_ip"),
-    )
-    return named(hits, employees).select(
+    return named(hits, employees).selectExpr(
         "event_id", "username", "user_name", "department",
-        clock.stamp_of(F.col("first_failure_ts")).alias("first_failure"),
-        clock.stamp(F.col("login_date"), F.col("login_time")).alias("success_time"),
-        "failure_count", F.col("source_ip").alias("success_ip"),
-        F.lit("HIGH").alias("severity"), reason.alias("reason"),
+        "date_format(first_failure_ts, 'yyyy-MM-dd HH:mm:ss') AS first_failure",
+        f"{clock.stamp()} AS success_time", "failure_count", "source_ip AS success_ip", "'HIGH' AS severity",
+        f"""concat('Brute force: ', failure_count, ' uninterrupted failures within {cfg.bf_window_minutes} min ',
+                   'preceding success from ', source_ip) AS reason""",
     )
 
 
@@ -73,31 +63,22 @@ def detect_bruteforce_failed(events: DataFrame, employees: DataFrame, cfg: HuntC
     Success and failure share the grouping key, so the exclusion is part of the same
     map-side combined aggregate. A success never excludes an unknown source.
     """
-    failed_ts = F.when(F.col("success") == 0, F.col("ts"))
     groups = (
         since_day(events, cfg.detection_start)
         .groupBy("username", "source_ip", "login_date")
         .agg(
-            F.count_if(F.col("success") == 0).alias("failure_count"),
-            F.count_if(F.col("success") == 1).alias("wins"),
-            F.min(failed_ts).alias("first_ts"),
-            F.max(failed_ts).alias("last_ts"),
+            F.expr("count_if(success = 0) AS failure_count"),
+            F.expr("count_if(success = 1) AS wins"),
+            F.expr("min(if(success = 0, ts, NULL)) AS first_ts"),
+            F.expr("max(if(success = 0, ts, NULL)) AS last_ts"),
         )
-        .where(
-            (F.col("failure_count") >= cfg.bf_failed_min_failures)
-            & ((F.col("wins") == 0) | F.col("source_ip").isNull())
-        )
-    )
-    day = F.col("login_date").cast("string")
-    reason = F.concat(
-        F.lit("Failed brute force: "), F.col("failure_count").cast("string"),
-        F.lit(" failures on one account from "), F.col("source_ip"), F.lit(" on "), day,
-        F.lit(", no success from that source"),
+        .where(f"failure_count >= {cfg.bf_failed_min_failures} AND (wins = 0 OR source_ip IS NULL)")
     )
-    return named(groups, employees).select(
+    return named(groups, employees).selectExpr(
         "username", "user_name", "department", "login_date", "source_ip", "failure_count",
-        clock.time_of(F.col("first_ts")).alias("first_attempt"),
-        clock.time_of(F.col("last_ts")).alias("last_attempt"),
-        F.concat("username", F.lit("|"), "source_ip", F.lit("|"), day).alias("campaign_key"),
-        F.lit("MEDIUM").alias("severity"), reason.alias("reason"),
+        "date_format(first_ts, 'HH:mm:ss') AS first_attempt",
+        "date_format(last_ts, 'HH:mm:ss') AS last_attempt",
+        "concat(username, '|', source_ip, '|', login_date) AS campaign_key", "'MEDIUM' AS severity",
+        """concat('Failed brute force: ', failure_count, ' failures on one account from ', source_ip, ' on ',
+                  login_date, ', no success from that source') AS reason""",
     )

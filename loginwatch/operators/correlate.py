@@ -5,10 +5,8 @@ from __future__ import annotations
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from loginwatch.functions import clock
 from loginwatch.operators.timeline import merge_instants, running_total, trailing_total
 
 HOUR = timedelta(hours=1)
@@ -25,9 +23,9 @@ def correlate_event_count(
 
     ``events`` is the rule's base selection, such as the failures.
     """
-    totals = trailing_total(events, group, F.lit(1).cast("bigint"), _micros(timespan))
-    return totals.where(F.col("trailing") >= gte).select(
-        group, clock.instant_of(F.col("at")).alias("ts"), F.col("trailing").alias("event_count")
+    totals = trailing_total(events, group, "1L", _micros(timespan))
+    return totals.where(f"trailing >= {gte}").selectExpr(
+        group, "timestamp_micros(at) AS ts", "trailing AS event_count"
     )
 
 
@@ -45,50 +43,41 @@ def correlate_value_count(
     summed in order: the distinct count is exact and no set of values is ever built.
     """
     span = _micros(timespan)
-    seen = events.where(F.col(field).isNotNull()).groupBy(group, field, "ts").agg(
-        F.count(F.lit(1)).alias("n")
-    ).withColumn("at", clock.micros(F.col("ts")))
-    w = Window.partitionBy(group, field).orderBy("at")
-    enters = F.coalesce(F.col("at") - F.lag("at").over(w) > span, F.lit(True)).cast("bigint")
-    leaves = F.coalesce(F.lead("at").over(w) - F.col("at") > span, F.lit(True))
-    arrival = F.struct(F.col("at").alias("t"), F.col("enters").alias("delta"), F.lit(True).alias("arrives"))
-    expiry = F.when(
-        F.col("leaves"),
-        F.struct(
-            (F.col("at") + F.lit(span + 1)).alias("t"), F.lit(-1).cast("bigint").alias("delta"),
-            F.lit(False).alias("arrives"),
-        ),
+    seen = events.where(f"{field} IS NOT NULL").groupBy(group, field, "ts").agg(F.expr("count(1) AS n"))
+    order = f"OVER (PARTITION BY {group}, {field} ORDER BY at)"
+    stays = seen.selectExpr(group, field, "unix_micros(ts) AS at").selectExpr(
+        group, "at",
+        f"if(at - lag(at) {order} <= {span}L, 0L, 1L) AS enters",
+        f"coalesce(lead(at) {order} - at > {span}L, true) AS leaves",
     )
-    moves = (
-        seen.withColumn("enters", enters).withColumn("leaves", leaves)
-        .select(group, F.explode(F.array(arrival, expiry)).alias("m"))
-        .where(F.col("m").isNotNull()).select(group, "m.*")
+    moves = stays.selectExpr(
+        group,
+        f"""inline(array_compact(array(
+            struct(at AS t, enters AS delta, true AS arrives),
+            if(leaves, struct(at + {span + 1}L AS t, -1L AS delta, false AS arrives), NULL))))""",
     )
-    return running_total(moves, group).where(F.col("trailing") >= gte).select(
-        group, clock.instant_of(F.col("at")).alias("ts"), F.col("trailing").alias("value_count")
+    return running_total(moves, group).where(f"trailing >= {gte}").selectExpr(
+        group, "timestamp_micros(at) AS ts", "trailing AS value_count"
     )
 
 
 def merge_alerts(alerts: DataFrame, group: str, measure: str, gap: timedelta = HOUR) -> DataFrame:
     """Fold alert instants at most ``gap`` apart into one burst per group."""
-    instants = alerts.withColumn("at", clock.micros(F.col("ts")))
-    return merge_instants(instants, group, _micros(gap), measure).select(
-        group, clock.instant_of(F.col("first_at")).alias("first_alert"),
-        clock.instant_of(F.col("last_at")).alias("last_alert"), "instants", F.col("peak").alias(measure),
+    instants = alerts.selectExpr("*", "unix_micros(ts) AS at")
+    return merge_instants(instants, group, _micros(gap), measure).selectExpr(
+        group, "timestamp_micros(first_at) AS first_alert", "timestamp_micros(last_at) AS last_alert",
+        "instants", f"peak AS {measure}",
     )
 
 
 def merge_windows(alerts: DataFrame, group: str, measure: str) -> DataFrame:
     """Fold overlapping or touching alert windows of the streaming form into one burst."""
-    w = Window.partitionBy(group).orderBy("window_start")
-    reach = F.max("window_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    opened = alerts.withColumn(
-        "opens", F.coalesce(F.col("window_start") > reach, F.lit(True)).cast("int")
-    )
-    numbered = opened.withColumn(
-        "burst", F.sum("opens").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    order = f"OVER (PARTITION BY {group} ORDER BY window_start"
+    reach = f"max(window_end) {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    numbered = alerts.selectExpr("*", f"if(window_start <= {reach}, 0, 1) AS opens").selectExpr(
+        "*", f"sum(opens) {order} ROWS UNBOUNDED PRECEDING) AS burst"
     )
     return numbered.groupBy(group, "burst").agg(
-        F.min("window_start").alias("first_window_start"), F.max("window_end").alias("last_window_end"),
-        F.count(F.lit(1)).alias("windows"), F.max(measure).alias(measure),
+        F.expr("min(window_start) AS first_window_start"), F.expr("max(window_end) AS last_window_end"),
+        F.expr("count(1) AS windows"), F.expr(f"max({measure}) AS {measure}"),
     ).drop("burst")

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loginwatch.functions import net
@@ -13,12 +12,13 @@ from loginwatch.functions import net
 # A range row is about 100 bytes; 200,000 of them are broadcast, more are shuffled.
 BROADCAST_RANGES = 200_000
 
-_RANGE = ["cidr", "is_malicious", "confidence", "source", "tags"]
+_INTEL = ["cidr", "is_malicious", "confidence", "source", "tags"]
+_INTEL_TYPE = "STRUCT<cidr STRING, is_malicious INT, confidence DOUBLE, source STRING, tags STRING>"
 
 
 @dataclass(frozen=True)
 class ThreatFeed:
-    """A feed with the facts a plan needs: which mask widths occur, and how many rows.
+    """A feed with the facts a plan needs: the mask widths that occur, and its size.
 
     ``ranges`` has one row per listed range with ``width`` and ``key``: prefix length
     and network number, or, in ``prefix`` mode, octet count and dotted prefix text.
@@ -27,33 +27,38 @@ class ThreatFeed:
     ranges: DataFrame
     widths: tuple[int, ...]
     rows: int
+    unique: bool
     mode: str
 
     @classmethod
     def load(cls, ip_enrichment: DataFrame, mode: str = "network") -> ThreatFeed:
         """Index a feed. One small aggregate runs here; it returns at most 33 rows."""
         if mode == "network":
-            width, key = net.cidr_length(F.col("cidr")), net.cidr_base(F.col("cidr"))
+            width, key = net.cidr_length("cidr"), net.cidr_base("cidr")
         elif mode == "prefix":
-            width = F.size(F.split("ip_prefix", r"\.")) - 1
-            key = F.col("ip_prefix")
+            width, key = "size(split(ip_prefix, '[.]')) - 1", "ip_prefix"
         else:
             raise ValueError(f"unknown match mode {mode!r}")
-        ranges = ip_enrichment.select(
-            width.alias("width"), key.alias("key"), F.struct(*_RANGE).alias("intel")
-        ).where(F.col("key").isNotNull())
-        counts = ranges.groupBy("width").count().collect()
-        widths = tuple(sorted(r["width"] for r in counts))
-        return cls(ranges, widths, sum(r["count"] for r in counts), mode)
+        ranges = ip_enrichment.selectExpr(
+            f"{width} AS width", f"{key} AS key", f"cast(struct({', '.join(_INTEL)}) AS {_INTEL_TYPE}) AS intel"
+        ).where("key IS NOT NULL")
+        facts = ranges.groupBy("width").agg(
+            F.expr("count(1) AS n"), F.expr("count(DISTINCT key) AS keys")
+        ).collect()
+        return cls(
+            ranges, tuple(sorted(r["width"] for r in facts)), sum(r["n"] for r in facts),
+            all(r["n"] == r["keys"] for r in facts), mode,
+        )
 
     @property
     def fits_broadcast(self) -> bool:
         return self.rows <= BROADCAST_RANGES
 
-    def key_for(self, address: Column, width: int) -> Column:
+    def key_for(self, width: int) -> str:
+        """Key of ``source_ip`` at a width, given its number as ``ip_number``."""
         if self.mode == "prefix":
-            return net.leading_octets(address, width)
-        return net.network_of(net.ipv4_number(address), width)
+            return net.leading_octets("source_ip", width)
+        return net.network_of("ip_number", width)
 
 
 def with_intel(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFrame:
@@ -63,38 +68,36 @@ def with_intel(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFrame:
     in the scan stage. A larger one is matched against the distinct addresses first.
     """
     if not feed.widths:
-        none = F.lit(None).cast(feed.ranges.schema["intel"].dataType)
-        unmatched = rows.withColumn("intel", none)
-        return unmatched if outer else unmatched.where(F.lit(False))
-    return _broadcast_match(rows, feed, outer) if feed.fits_broadcast else _address_match(rows, feed, outer)
+        unmatched = rows.selectExpr("*", f"cast(NULL AS {_INTEL_TYPE}) AS intel")
+        return unmatched if outer else unmatched.where("false")
+    match = _broadcast_match if feed.fits_broadcast else _address_match
+    return match(rows, feed, outer)
 
 
 def _broadcast_match(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFrame:
-    hits = []
+    columns = rows.columns
+    rows = rows.selectExpr("*", f"{net.ipv4_number('source_ip')} AS ip_number").selectExpr(
+        *columns, *[f"{feed.key_for(w)} AS key_{w}" for w in feed.widths]
+    )
     for width in feed.widths:
-        name, key = f"intel_{width}", f"net_{width}"
-        ranges = (
-            feed.ranges.where(F.col("width") == width)
-            .groupBy("key").agg(F.collect_list("intel").alias(name))
-            .withColumnRenamed("key", key)
-        )
-        rows = rows.withColumn(key, feed.key_for(F.col("source_ip"), width))
-        rows = rows.join(F.broadcast(ranges), key, "left").drop(key)
-        hits.append(name)
-    empty = F.filter(F.array(F.lit(None).cast(feed.ranges.schema["intel"].dataType)), lambda x: F.lit(False))
-    every = reduce(F.concat, [F.coalesce(F.col(h), empty) for h in hits])
-    explode = F.explode_outer if outer else F.explode
-    return rows.withColumn("intel", explode(every)).drop(*hits)
+        ranges = feed.ranges.where(f"width = {width}")
+        if feed.unique:
+            ranges = ranges.selectExpr(f"key AS key_{width}", f"array(intel) AS intel_{width}")
+        else:
+            ranges = ranges.groupBy(F.expr(f"key AS key_{width}")).agg(
+                F.expr(f"collect_list(intel) AS intel_{width}")
+            )
+        rows = rows.join(F.broadcast(ranges), f"key_{width}", "left")
+    every = f"flatten(array_compact(array({', '.join(f'intel_{w}' for w in feed.widths)})))"
+    return rows.selectExpr(*columns, f"{'explode_outer' if outer else 'explode'}({every}) AS intel")
 
 
 def _address_match(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFrame:
-    address = F.col("source_ip")
-    keys = F.array(*[
-        F.struct(F.lit(w).alias("width"), feed.key_for(address, w).alias("key")) for w in feed.widths
-    ])
+    keys = ", ".join(f"struct({w} AS width, {feed.key_for(w)} AS key)" for w in feed.widths)
     matched = (
-        rows.select("source_ip").where(address.isNotNull()).distinct()
-        .select("source_ip", F.explode(keys).alias("k")).select("source_ip", "k.*")
+        rows.select("source_ip").where("source_ip IS NOT NULL").distinct()
+        .selectExpr("source_ip", f"{net.ipv4_number('source_ip')} AS ip_number")
+        .selectExpr("source_ip", f"inline(array({keys}))")
         .join(feed.ranges, ["width", "key"]).select("source_ip", "intel")
     )
     return rows.join(matched, "source_ip", "left" if outer else "inner")
@@ -103,23 +106,17 @@ def _address_match(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFrame:
 def ip_enrichment(events: DataFrame, feed: ThreatFeed) -> DataFrame:
     """Events whose source lies in a listed range, once per matching range."""
     rows = with_intel(events.select("event_id", "source_ip"), feed, outer=False)
-    return rows.select("event_id", "source_ip", *[f"intel.{c}" for c in _RANGE])
+    return rows.select("event_id", "source_ip", "intel.*")
 
 
 def classify_source(events: DataFrame, feed: ThreatFeed) -> DataFrame:
     """Every event with INTERNAL, the feed's tags, or an external-unknown label."""
-    rows = with_intel(
-        events.select("event_id", "username", "login_date", "source_ip", "country"), feed, outer=True
-    )
-    label = (
-        F.when(F.col("source_ip").startswith("10."), "INTERNAL")
-        .when(F.col("intel.tags").isNotNull(), F.col("intel.tags"))
-        .otherwise("EXTERNAL (no intel match)")
-    )
-    return rows.select(
-        "event_id", "username", "login_date", "source_ip", "country",
-        label.alias("ip_classification"),
-        F.col("intel.source").alias("intel_source"), F.col("intel.confidence").alias("confidence"),
+    columns = ["event_id", "username", "login_date", "source_ip", "country"]
+    return with_intel(events.select(*columns), feed, outer=True).selectExpr(
+        *columns,
+        """CASE WHEN startswith(source_ip, '10.') THEN 'INTERNAL' WHEN intel.tags IS NOT NULL THEN intel.tags
+                ELSE 'EXTERNAL (no intel match)' END AS ip_classification""",
+        "intel.source AS intel_source", "intel.confidence AS confidence",
     )
 
 
@@ -128,7 +125,5 @@ def account_status(events: DataFrame, employees: DataFrame) -> DataFrame:
 
     Works on a streaming ``events`` too: a stream-static join without state.
     """
-    status = employees.select(
-        F.col("employee_id").alias("username"), F.col("status").alias("account_status")
-    )
+    status = employees.selectExpr("employee_id AS username", "status AS account_status")
     return events.join(status, "username", "left")

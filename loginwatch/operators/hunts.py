@@ -10,20 +10,19 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loginwatch.functions import clock
 from loginwatch.functions.accounts import country_severity, starts_as_service
 from loginwatch.functions.text import joined
-from loginwatch.operators.impossible_travel import with_pair
+from loginwatch.operators.impossible_travel import CHANGED_COUNTRY, with_pair
 from loginwatch.operators.normalize import after, failures, successes
 from loginwatch.operators.password_spray import source_day_accounts
 from loginwatch.operators.timeline import HOT_ROWS, with_previous
 
 
-def _is_detect_phase(asof: datetime, split: timedelta):
-    return F.col("ts") >= clock.instant(clock.utc(asof) - split)
+def _detect_phase(asof: datetime, split: timedelta) -> str:
+    return f"ts >= timestamp_micros({clock.micros_of(clock.utc(asof) - split)})"
 
 
 def _recent(events: DataFrame, asof: datetime, lookback: timedelta) -> DataFrame:
@@ -42,14 +41,13 @@ def hunt_after_hours(
     The hour range is one map-side combined aggregate joined back, so no account's
     events are gathered in one place. Accounts without a baseline never fire.
     """
-    recent = successes(_recent(events, asof, lookback)).where(~starts_as_service(F.col("username")))
-    detect = _is_detect_phase(asof, split)
-    usual = recent.where(~detect).groupBy("username").agg(
-        F.min("login_hour").alias("min_hour"), F.max("login_hour").alias("max_hour")
+    recent = successes(_recent(events, asof, lookback)).where(f"NOT {starts_as_service()}")
+    detect = _detect_phase(asof, split)
+    usual = recent.where(f"NOT {detect}").groupBy("username").agg(
+        F.expr("min(login_hour) AS min_hour"), F.expr("max(login_hour) AS max_hour")
     )
-    hour = F.col("login_hour")
     return recent.where(detect).join(usual, "username").where(
-        (hour < F.col("min_hour") - slack) | (hour > F.col("max_hour") + slack)
+        f"login_hour < min_hour - {slack} OR login_hour > max_hour + {slack}"
     ).select("event_id", "username", "ts", "login_hour", "min_hour", "max_hour", "source_ip")
 
 
@@ -65,21 +63,20 @@ def hunt_unfamiliar_country(
     ``latest`` looks at each account's newest detect-phase login, ``all`` at every one.
     """
     recent = successes(_recent(events, asof, lookback))
-    detect = _is_detect_phase(asof, split)
-    pairs = recent.where(~detect).select("username", "country").distinct()
-    known = pairs.groupBy("username").agg(F.array_sort(F.collect_list("country")).alias("known"))
+    detect = _detect_phase(asof, split)
+    pairs = recent.where(f"NOT {detect}").select("username", "country").distinct()
+    known = pairs.groupBy("username").agg(F.expr("array_sort(collect_list(country)) AS known"))
     if mode == "latest":
-        newest = F.max(F.struct("ts", "event_id", "country", "source_ip")).alias("m")
+        newest = F.expr("max(struct(ts, event_id, country, source_ip)) AS m")
         logins = recent.where(detect).groupBy("username").agg(newest).select("username", "m.*")
     elif mode == "all":
         logins = recent.where(detect).select("username", "ts", "event_id", "country", "source_ip")
     else:
         raise ValueError(f"unknown mode {mode!r}")
     rows = logins.join(known, "username", "left")
-    return rows.where(~F.coalesce(F.array_contains("known", F.col("country")), F.lit(False))).select(
-        "event_id", "username", F.col("country").alias("detect_country"),
-        F.coalesce(F.array_join("known", ","), F.lit("")).alias("baseline"),
-        "source_ip", country_severity(F.col("country")).alias("severity"),
+    return rows.where("NOT coalesce(array_contains(known, country), false)").selectExpr(
+        "event_id", "username", "country AS detect_country",
+        "coalesce(array_join(known, ','), '') AS baseline", "source_ip", f"{country_severity()} AS severity",
     )
 
 
@@ -98,21 +95,14 @@ def hunt_impossible_travel(
     """
     fields = ["event_id", "ts", "country"]
     recent = successes(_recent(events, asof, lookback)).select("username", *fields)
-    legs = with_previous(recent, fields, lambda prev: prev["country"] != F.col("country"), hot_rows)
-    legs = with_pair(legs, F.col("prev.country")).join(
+    legs = with_pair(with_previous(recent, fields, CHANGED_COUNTRY, hot_rows), "prev.country").join(
         F.broadcast(country_distance), ["country_a", "country_b"]
     )
-    seconds = F.unix_seconds("ts") - F.unix_seconds("prev.ts")
-    kmh = F.when(
-        F.col("seconds") > 0,
-        clock.round_ratio(F.col("distance_km").cast("bigint") * 3600, F.col("seconds")),
-    )
-    return legs.withColumn("seconds", seconds).withColumn("required_kmh", kmh).where(
-        (F.col("seconds") == 0) | (F.col("required_kmh") > max_kmh)
-    ).select(
-        "event_id", "username", F.col("prev.country").alias("prev_country"), "country",
-        (F.col("seconds") / F.lit(3600.0)).alias("hours"), "required_kmh",
-    )
+    kmh = clock.round_ratio("distance_km * 3600L", "seconds")
+    return legs.selectExpr("*", "unix_seconds(ts) - unix_seconds(prev.ts) AS seconds").selectExpr(
+        "event_id", "username", "prev.country AS prev_country", "country", "seconds",
+        "seconds / 3600D AS hours", f"CASE WHEN seconds > 0 THEN {kmh} END AS required_kmh",
+    ).where(f"seconds = 0 OR required_kmh > {max_kmh!r}D").drop("seconds")
 
 
 def hunt_failures_since_success(
@@ -126,26 +116,21 @@ def hunt_failures_since_success(
     Failures of an instant precede its successes; the success with the lowest id closes
     the run. Works on one row per account and second, so the running count is bounded.
     """
-    recent = _recent(events, asof, lookback)
-    won = F.col("success") == 1
-    points = recent.groupBy("username", "ts").agg(
-        F.count_if(~won).alias("failures"),
-        F.min(F.when(won, F.struct("event_id", "source_ip"))).alias("closer"),
+    points = _recent(events, asof, lookback).groupBy("username", "ts").agg(
+        F.expr("count_if(success != 1) AS failures"),
+        F.expr("min(if(success = 1, struct(event_id, source_ip), NULL)) AS closer"),
     )
-    before = Window.partitionBy("username").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
-    run = F.coalesce(F.sum(F.col("closer").isNotNull().cast("int")).over(before), F.lit(0))
-    runs = points.withColumn("run_no", run).groupBy("username", "run_no").agg(
-        F.sum("failures").alias("failures_since_success"),
-        F.min(F.when(F.col("failures") > 0, F.col("ts"))).alias("first_failure"),
-        F.max(F.when(F.col("closer").isNotNull(), F.struct("ts", "closer"))).alias("end"),
+    run = """coalesce(count_if(closer IS NOT NULL) OVER (PARTITION BY username ORDER BY ts
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L)"""
+    runs = points.selectExpr("*", f"{run} AS run_no").groupBy("username", "run_no").agg(
+        F.expr("sum(failures) AS failures_since_success"),
+        F.expr("min(if(failures > 0, ts, NULL)) AS first_failure"),
+        F.expr("max(if(closer IS NOT NULL, struct(ts, closer), NULL)) AS end"),
     )
-    return runs.where(
-        F.col("end").isNotNull() & (F.col("failures_since_success") >= min_failures)
-    ).select(
-        F.col("end.closer.event_id").alias("event_id"), "username", F.col("end.ts").alias("ts"),
-        F.col("end.closer.source_ip").alias("source_ip"), "failures_since_success", "first_failure",
-        clock.tenths(F.unix_seconds("end.ts") - F.unix_seconds("first_failure"), F.lit(60).cast("bigint"))
-        .alias("time_window_minutes"),
+    minutes = clock.tenths("unix_seconds(end.ts) - unix_seconds(first_failure)", "60L")
+    return runs.where(f"end IS NOT NULL AND failures_since_success >= {min_failures}").selectExpr(
+        "end.closer.event_id AS event_id", "username", "end.ts AS ts", "end.closer.source_ip AS source_ip",
+        "failures_since_success", "first_failure", f"{minutes} AS time_window_minutes",
     )
 
 
@@ -156,15 +141,10 @@ def hunt_failed_bruteforce(
     min_failures: int = 10,
 ) -> DataFrame:
     """Account, source and day with many failures and no success; one aggregate."""
-    return (
-        _recent(events, asof, lookback)
-        .groupBy("username", "source_ip", F.col("login_date").alias("day"))
-        .agg(
-            F.count_if(F.col("success") != 1).alias("failures"),
-            F.count_if(F.col("success") == 1).alias("successes"),
-        )
-        .where((F.col("failures") >= min_failures) & (F.col("successes") == 0))
+    groups = _recent(events, asof, lookback).groupBy("username", "source_ip", F.expr("login_date AS day")).agg(
+        F.expr("count_if(success != 1) AS failures"), F.expr("count_if(success = 1) AS successes")
     )
+    return groups.where(f"failures >= {min_failures} AND successes = 0")
 
 
 def hunt_password_spray(
@@ -180,20 +160,17 @@ def hunt_password_spray(
     and also names the accounts.
     """
     failed = failures(_recent(events, asof, lookback))
-    key = ["source_ip", F.col("login_date").alias("day")]
+    key = ["source_ip", F.expr("login_date AS day")]
     if exact:
-        accounts = source_day_accounts(failed)
-        groups = accounts.groupBy(*key).agg(
-            F.count(F.lit(1)).alias("accounts_targeted"),
-            F.sum("failures").alias("total_failures"),
-            joined(F.collect_list("username")).alias("usernames"),
+        groups = source_day_accounts(failed).groupBy(*key).agg(
+            F.expr("count(1) AS accounts_targeted"), F.expr("sum(failures) AS total_failures"),
+            F.expr(f"{joined('collect_list(username)')} AS usernames"),
         )
     else:
         groups = failed.groupBy(*key).agg(
-            F.approx_count_distinct("username").alias("accounts_targeted"),
-            F.count(F.lit(1)).alias("total_failures"),
+            F.expr("approx_count_distinct(username) AS accounts_targeted"), F.expr("count(1) AS total_failures")
         )
-    return groups.where(F.col("accounts_targeted") >= min_accounts)
+    return groups.where(f"accounts_targeted >= {min_accounts}")
 
 
 def hunt_inactive_account(
@@ -203,10 +180,10 @@ def hunt_inactive_account(
     lookback: timedelta = timedelta(days=30),
 ) -> DataFrame:
     """Recent attempts on accounts the identity feed does not list as active."""
-    inactive = identity_feed.where(F.col("account_status") != "Active").select(
-        F.col("principal").alias("username"), "account_status"
+    inactive = identity_feed.where("account_status != 'Active'").selectExpr(
+        "principal AS username", "account_status"
     )
-    return _recent(events, asof, lookback).join(inactive, "username").select(
+    return _recent(events, asof, lookback).join(inactive, "username").selectExpr(
         "event_id", "username", "account_status", "ts", "success", "source_ip", "country",
-        F.when(F.col("success") == 1, "CRITICAL").otherwise("HIGH").alias("severity"),
+        "if(success = 1, 'CRITICAL', 'HIGH') AS severity",
     )

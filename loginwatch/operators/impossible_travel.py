@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
@@ -14,9 +14,7 @@ from loginwatch.operators.timeline import HOT_ROWS, with_previous
 
 _CARRIED = ["event_id", "ts", "login_date", "login_time", "country", "source_ip"]
 
-
-def _changed_country(prev: Column) -> Column:
-    return prev["country"] != F.col("country")
+CHANGED_COUNTRY = "prev.country != country"
 
 
 def _successes_since(events: DataFrame, since: date) -> DataFrame:
@@ -26,32 +24,27 @@ def _successes_since(events: DataFrame, since: date) -> DataFrame:
     """
     columns = ["username", *_CARRIED]
     won = successes(events)
-    newest = F.struct("ts", "event_id", "login_date", "login_time", "country", "source_ip")
-    before = (
-        won.where(F.col("login_date") < F.lit(since))
-        .groupBy("username").agg(F.max(newest).alias("m")).select("username", "m.*")
-    )
-    return since_day(won, since).select(columns).unionByName(before.select(columns))
+    newest = "max(struct(ts, event_id, login_date, login_time, country, source_ip)) AS m"
+    before = won.where(f"login_date < date'{since}'").groupBy("username").agg(F.expr(newest))
+    return since_day(won, since).select(columns).unionByName(before.select("username", "m.*"))
 
 
 def travel_transitions(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every success with the account's previous success beside it."""
     rows = with_previous(successes(events).select("username", *_CARRIED), _CARRIED, hot_rows=hot_rows)
-    return rows.select(
+    return rows.selectExpr(
         "event_id", "username", "login_date", "login_time", "country", "source_ip", "ts",
-        F.col("prev.event_id").alias("prev_event_id"), F.col("prev.country").alias("prev_country"),
-        F.col("prev.ts").alias("prev_ts"), F.col("prev.source_ip").alias("prev_ip"),
-        F.col("prev.login_date").alias("prev_login_date"),
-        F.col("prev.login_time").alias("prev_login_time"),
+        "prev.event_id AS prev_event_id", "prev.country AS prev_country", "prev.ts AS prev_ts",
+        "prev.source_ip AS prev_ip", "prev.login_date AS prev_login_date",
+        "prev.login_time AS prev_login_time",
     )
 
 
-def with_pair(legs: DataFrame, prev_country: Column) -> DataFrame:
+def with_pair(legs: DataFrame, prev_country: str) -> DataFrame:
     """Normalised country pair. Both sides are known to be non-NULL here."""
-    return legs.withColumns({
-        "country_a": F.least(F.col("country"), prev_country),
-        "country_b": F.greatest(F.col("country"), prev_country),
-    })
+    return legs.selectExpr(
+        "*", f"least(country, {prev_country}) AS country_a", f"greatest(country, {prev_country}) AS country_b"
+    )
 
 
 def detect_impossible_travel(
@@ -67,39 +60,31 @@ def detect_impossible_travel(
     The pair tables have one row per unordered country pair, at most about 31,000, so
     broadcasting them is bounded. Arithmetic is in whole seconds and kilometres.
     """
-    legs = with_previous(
-        _successes_since(events, cfg.detection_start), _CARRIED, _changed_country, hot_rows
-    ).where(F.col("login_date") >= F.lit(cfg.detection_start))
-    legs = with_pair(legs, F.col("prev.country"))
     pair = ["country_a", "country_b"]
-    legs = legs.join(F.broadcast(country_distance), pair).join(
-        F.broadcast(travel_exceptions), pair, "left"
+    legs = with_previous(
+        _successes_since(events, cfg.detection_start), _CARRIED, CHANGED_COUNTRY, hot_rows
     )
-    gap = F.unix_seconds("ts") - F.unix_seconds("prev.ts")
+    legs = with_pair(since_day(legs, cfg.detection_start), "prev.country").join(
+        F.broadcast(country_distance), pair
+    ).join(F.broadcast(travel_exceptions), pair, "left")
     # Same-instant pairs count as one minute apart, so they fire instead of dividing by zero.
-    guarded = F.greatest(F.col("gap"), F.lit(60).cast("bigint"))
-    km_hours = F.col("distance_km").cast("bigint") * 3600
-    legs = legs.withColumn("gap", gap).where(
-        km_hours.cast("double") > F.lit(cfg.max_travel_speed_kmh) * guarded
-    )
-    legs = legs.withColumns({
-        "hours_apart": clock.tenths(F.col("gap"), F.lit(3600).cast("bigint")),
-        "required_kmh": clock.round_ratio(km_hours, guarded).cast("int"),
-    })
-    reason = F.concat(
-        F.lit("Impossible travel: "), F.col("prev.country"), F.lit(" -> "), F.col("country"),
-        F.lit(" in "), F.col("hours_apart").cast("string"), F.lit("h requires ~"),
-        F.col("required_kmh").cast("string"),
-        F.lit(f" km/h (gate: {cfg.speed_text()} km/h)"),
-        F.coalesce(F.concat(F.lit(" [exception: "), F.col("rationale"), F.lit("]")), F.lit("")),
+    legs = legs.selectExpr(
+        "*", "unix_seconds(ts) - unix_seconds(prev.ts) AS gap",
+        "greatest(unix_seconds(ts) - unix_seconds(prev.ts), 60L) AS guarded",
+        "distance_km * 3600L AS km_seconds",
+    ).where(f"cast(km_seconds AS double) > {cfg.max_travel_speed_kmh!r}D * guarded")
+    legs = legs.selectExpr(
+        "*", f"{clock.tenths('gap', '3600L')} AS hours_apart",
+        f"cast({clock.round_ratio('km_seconds', 'guarded')} AS int) AS required_kmh",
     )
-    return named(legs, employees).select(
-        "event_id", F.col("prev.event_id").alias("prev_event_id"), "username", "user_name", "department",
-        clock.stamp(F.col("prev.login_date"), F.col("prev.login_time")).alias("timestamp_1"),
-        F.col("prev.country").alias("country_1"), F.col("prev.source_ip").alias("ip_1"),
-        clock.stamp(F.col("login_date"), F.col("login_time")).alias("timestamp_2"),
-        F.col("country").alias("country_2"), F.col("source_ip").alias("ip_2"),
+    return named(legs, employees).selectExpr(
+        "event_id", "prev.event_id AS prev_event_id", "username", "user_name", "department",
+        f"{clock.stamp('prev.login_date', 'prev.login_time')} AS timestamp_1",
+        "prev.country AS country_1", "prev.source_ip AS ip_1",
+        f"{clock.stamp()} AS timestamp_2", "country AS country_2", "source_ip AS ip_2",
         "hours_apart", "distance_km", "required_kmh",
-        F.when(F.col("rationale").isNotNull(), "MEDIUM").otherwise("HIGH").alias("severity"),
-        reason.alias("reason"),
+        "if(rationale IS NULL, 'HIGH', 'MEDIUM') AS severity",
+        f"""concat('Impossible travel: ', prev.country, ' -> ', country, ' in ', hours_apart,
+                   'h requires ~', required_kmh, ' km/h (gate: {cfg.speed_text()} km/h)',
+                   coalesce(concat(' [exception: ', rationale, ']'), '')) AS reason""",
     )

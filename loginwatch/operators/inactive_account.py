@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from loginwatch.functions import clock
-from loginwatch.functions.accounts import full_name
+from loginwatch.functions.accounts import FULL_NAME, text_list
 
 # Statuses the terminated-account rule selects.
 TERMINATED_STATUSES = ["Terminated", "Disabled", "Suspended"]
@@ -14,25 +13,17 @@ TERMINATED_STATUSES = ["Terminated", "Disabled", "Suspended"]
 
 def detect_inactive_account(events: DataFrame, employees: DataFrame) -> DataFrame:
     """The whole history, success or not. A NULL status is not evidence and stays out."""
-    inactive = employees.where(F.col("status") != "Active").select(
-        F.col("employee_id").alias("username"),
-        full_name(F.col("first_name"), F.col("last_name")).alias("user_name"),
-        "department", F.col("status").alias("account_status"),
+    inactive = employees.where("status != 'Active'").selectExpr(
+        "employee_id AS username", f"{FULL_NAME} AS user_name", "department", "status AS account_status"
     )
-    hits = events.join(inactive, "username")
-    landed = F.col("success") == 1
-    where_from = F.concat(F.col("account_status"), F.lit(" account from "), F.col("country"))
-    return hits.select(
-        "event_id", "username", "user_name", "department", "account_status",
-        clock.stamp(F.col("login_date"), F.col("login_time")).alias("timestamp"),
-        "country", "source_ip",
-        F.when(landed, "SUCCESS").otherwise("FAILED").alias("outcome"),
-        F.lit("HIGH").alias("severity"),
-        F.when(landed, F.concat(F.lit("CRITICAL: Successful login on "), where_from))
-        .otherwise(F.concat(F.lit("Login attempt on "), where_from)).alias("reason"),
+    return events.join(inactive, "username").selectExpr(
+        "event_id", "username", "user_name", "department", "account_status", f"{clock.stamp()} AS timestamp",
+        "country", "source_ip", "if(success = 1, 'SUCCESS', 'FAILED') AS outcome", "'HIGH' AS severity",
+        """concat(if(success = 1, 'CRITICAL: Successful login on ', 'Login attempt on '), account_status,
+                  ' account from ', country) AS reason""",
     )
 
 
 def select_terminated(events_with_status: DataFrame) -> DataFrame:
     """The rule form: enriched events whose status is on the rule's list."""
-    return events_with_status.where(F.col("account_status").isin(TERMINATED_STATUSES))
+    return events_with_status.where(f"account_status IN ({text_list(TERMINATED_STATUSES)})")

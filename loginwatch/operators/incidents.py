@@ -7,20 +7,19 @@ combine map-side.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
 from loginwatch.functions import clock
-from loginwatch.functions.accounts import severity_rank
-from loginwatch.functions.geo import centroid, country_km
+from loginwatch.functions.accounts import SEVERITY_RANK
+from loginwatch.functions.geo import Centroids, centroid, country_km
 from loginwatch.functions.text import short_number
 from loginwatch.operators.enrich import ThreatFeed, with_intel
+from loginwatch.operators.impossible_travel import CHANGED_COUNTRY
 from loginwatch.operators.normalize import since_day
 from loginwatch.operators.timeline import HOT_ROWS, trailing_total, with_previous
 from loginwatch.operators.triage import RULE_TAGS
@@ -51,29 +50,19 @@ def findings_by_user(queue: DataFrame) -> DataFrame:
 
     Folded to one row per account and rule first; lists hold at most seven entries.
     """
-    rank = severity_rank(F.col("severity"))
-    order = F.create_map(*[
-        F.lit(v) for i, (tag, _) in enumerate(RULE_TAGS.values()) for v in (tag, -i)
-    ])
-    # The largest key is the earliest place in the queue: severity, newest, rule order.
-    per_rule = queue.where(F.col("username").isNotNull()).groupBy(
+    # The largest place is the earliest in the queue: severity, newest, rule order.
+    per_rule = queue.where("username IS NOT NULL").groupBy(
         "username", "detection_type", "mitre_technique"
-    ).agg(F.max(F.struct((-rank).alias("r"), "timestamp")).alias("best"))
-    place = F.struct(
-        F.col("best.r").alias("r"), F.col("best.timestamp").alias("t"),
-        order[F.col("detection_type")].alias("o"), F.col("detection_type").alias("name"),
-    )
-    grouped = per_rule.groupBy("username").agg(
-        F.sort_array(F.collect_list(place), asc=False).alias("places"),
-        F.array_sort(F.collect_set("mitre_technique")).alias("techniques"),
-        F.max("best.r").alias("top"),
-    )
-    return grouped.select(
-        "username",
-        F.when(F.col("top") == -1, "HIGH").when(F.col("top") == -2, "MEDIUM").otherwise("LOW")
-        .alias("severity"),
-        F.transform("places", lambda p: p["name"]).alias("detections"),
-        "techniques",
+    ).agg(F.expr(f"max(struct(-({SEVERITY_RANK}) AS r, timestamp AS t)) AS best"))
+    order = " ".join(f"WHEN '{tag}' THEN {-i}" for i, (tag, _) in enumerate(RULE_TAGS.values()))
+    place = f"struct(best.r, best.t, CASE detection_type {order} END AS o, detection_type AS name)"
+    return per_rule.groupBy("username").agg(
+        F.expr(f"sort_array(collect_list({place}), false) AS places"),
+        F.expr("array_sort(collect_set(mitre_technique)) AS techniques"),
+        F.expr("max(best.r) AS top"),
+    ).selectExpr(
+        "username", "CASE top WHEN -1 THEN 'HIGH' WHEN -2 THEN 'MEDIUM' ELSE 'LOW' END AS severity",
+        "places.name AS detections", "techniques",
     )
 
 
@@ -95,17 +84,14 @@ def assemble_incidents(
     account's last attempt in the window.
     """
     totals = incident_attempts(events, findings, cfg).groupBy("username").agg(
-        F.count(F.lit(1)).alias("event_count"),
-        F.count_if(F.col("success") == 0).alias("failure_count"),
-        F.max("ts").alias("created_time"),
+        F.expr("count(1) AS event_n"), F.expr("count_if(success = 0) AS failure_n"),
+        F.expr("max(ts) AS created_time"),
     )
-    zero = F.lit(0).cast("bigint")
-    return findings.join(totals, "username", "left").select(
-        F.concat(F.lit(id_prefix), "username").alias("incident_id"),
-        "username", F.concat(F.lower("username"), F.lit(upn_suffix)).alias("principal"),
-        "severity", "detections", F.col("techniques").alias("technique_ids"),
-        F.coalesce("event_count", zero).alias("event_count"),
-        F.coalesce("failure_count", zero).alias("failure_count"), "created_time",
+    return findings.join(totals, "username", "left").selectExpr(
+        f"concat('{id_prefix}', username) AS incident_id", "username",
+        f"concat(lower(username), '{upn_suffix}') AS principal", "severity", "detections",
+        "techniques AS technique_ids", "coalesce(event_n, 0L) AS event_count",
+        "coalesce(failure_n, 0L) AS failure_count", "created_time",
     )
 
 
@@ -113,7 +99,7 @@ def incident_events(
     events: DataFrame,
     findings: DataFrame,
     cfg: HuntConfig,
-    centroids: Mapping[str, tuple[float, float]],
+    centroids: Centroids,
     id_prefix: str = "INC-",
 ) -> DataFrame:
     """Sign-in records of every incident, numbered in time order.
@@ -122,49 +108,44 @@ def incident_events(
     the place within the second; no account is sorted as a whole.
     """
     attempts = incident_attempts(events, findings, cfg)
-    seconds = attempts.groupBy("username", "ts").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("username").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = seconds.select(
-        "username", "ts", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier")
+    seconds = attempts.groupBy("username", "ts").agg(F.expr("count(1) AS n"))
+    offsets = seconds.selectExpr(
+        "username", "ts",
+        """coalesce(sum(n) OVER (PARTITION BY username ORDER BY ts
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS earlier""",
     )
-    place = F.row_number().over(Window.partitionBy("username", "ts").orderBy("event_id"))
-    country = F.col("country")
-    return attempts.join(offsets, ["username", "ts"]).select(
-        F.concat(F.lit(id_prefix), "username").alias("incident_id"),
-        (F.col("earlier") + place).alias("seq"), "event_id", "ts",
-        F.col("source_ip").alias("ip_address"),
-        centroid(country, centroids, 0).alias("lat"), centroid(country, centroids, 1).alias("lon"),
-        "country", F.when(F.col("success") == 1, "success").otherwise("failure").alias("auth_status"),
+    place = "row_number() OVER (PARTITION BY username, ts ORDER BY event_id)"
+    return attempts.join(offsets, ["username", "ts"]).selectExpr(
+        f"concat('{id_prefix}', username) AS incident_id", f"earlier + {place} AS seq", "event_id", "ts",
+        "source_ip AS ip_address", f"{centroid('country', centroids, 0)} AS lat",
+        f"{centroid('country', centroids, 1)} AS lon", "country",
+        "if(success = 1, 'success', 'failure') AS auth_status",
     )
 
 
 def incident_pages(records: DataFrame, page_rows: int = 10_000) -> DataFrame:
     """Nested sign-in records, at most ``page_rows`` to a page; every record is in one."""
-    page = F.call_function("div", F.col("seq") - 1, F.lit(page_rows)).alias("page")
-    record = F.struct("seq", "ts", "ip_address", "lat", "lon", "country", "auth_status")
-    return records.groupBy("incident_id", page).agg(F.array_sort(F.collect_list(record)).alias("events"))
+    record = "struct(seq, ts, ip_address, lat, lon, country, auth_status)"
+    return records.groupBy("incident_id", F.expr(f"(seq - 1) div {page_rows} AS page")).agg(
+        F.expr(f"array_sort(collect_list({record})) AS events")
+    )
 
 
-def _travel_speed(
-    attempts: DataFrame, centroids: Mapping[str, tuple[float, float]], hot_rows: int
-) -> DataFrame:
+def _travel_speed(attempts: DataFrame, centroids: Centroids, hot_rows: int) -> DataFrame:
     """Fastest leg between consecutive attempts of each account, in km/h."""
     fields = ["event_id", "ts", "country"]
-    legs = with_previous(
-        attempts.select("username", *fields), fields, lambda prev: prev["country"] != F.col("country"), hot_rows
-    )
-    seconds = F.greatest(F.unix_seconds("ts") - F.unix_seconds("prev.ts"), F.lit(60).cast("bigint"))
-    kmh = country_km(F.col("prev.country"), F.col("country"), centroids) * 3600 / seconds
-    return legs.select("username", kmh.alias("kmh")).groupBy("username").agg(F.max("kmh").alias("max_kmh"))
+    legs = with_previous(attempts.select("username", *fields), fields, CHANGED_COUNTRY, hot_rows)
+    km = country_km("prev.country", "country", centroids)
+    kmh = f"{km} * 3600 / greatest(unix_seconds(ts) - unix_seconds(prev.ts), 60L)"
+    return legs.groupBy("username").agg(F.expr(f"max({kmh}) AS max_kmh"))
 
 
 def _burst(attempts: DataFrame, weights: SignalWeights) -> DataFrame:
     """First instant each account had enough failures within the trailing window."""
     span = weights.burst_window // timedelta(microseconds=1)
-    failed = attempts.where(F.col("success") == 0)
-    totals = trailing_total(failed, "username", F.lit(1).cast("bigint"), span)
-    return totals.where(F.col("trailing") >= weights.burst_failures).groupBy("username").agg(
-        F.min("at").alias("burst_at")
+    totals = trailing_total(attempts.where("success = 0"), "username", "1L", span)
+    return totals.where(f"trailing >= {weights.burst_failures}").groupBy("username").agg(
+        F.expr("min(at) AS burst_at")
     )
 
 
@@ -173,80 +154,67 @@ def incident_signals(
     users: DataFrame,
     feed: ThreatFeed,
     cfg: HuntConfig,
-    centroids: Mapping[str, tuple[float, float]],
+    centroids: Centroids,
     weights: SignalWeights = SignalWeights(),
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Five scores per flagged account over its detection-window attempts.
 
-    The scoring engine they imitate is not part of the work; totals are not claimed to
-    agree with it beyond its published examples.
+    ``users`` is read several times, so pass a stored table. The scoring engine these
+    imitate is not part of the work; totals are not claimed to agree with it beyond its
+    published examples.
     """
     attempts = incident_attempts(events, users, cfg)
-    hour = F.col("login_hour")
-    off = (hour < weights.day_start) | (hour >= weights.day_end)
     totals = attempts.groupBy("username").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(off).alias("off_n"),
-        F.max(F.when(F.col("success") == 1, clock.micros(F.col("ts")))).alias("last_win"),
+        F.expr("count(1) AS n"),
+        F.expr(f"count_if(login_hour < {weights.day_start} OR login_hour >= {weights.day_end}) AS off_n"),
+        F.expr("max(if(success = 1, unix_micros(ts), NULL)) AS last_win"),
     )
     matched = with_intel(attempts.select("username", "source_ip"), feed, outer=False)
-    hits = matched.where(F.col("intel.is_malicious") == 1).select("username").distinct().withColumn(
-        "bad_source", F.lit(True)
+    hits = matched.where("intel.is_malicious = 1").select("username").distinct().selectExpr(
+        "username", "true AS bad_source"
     )
     rows = (
         totals.join(_travel_speed(attempts, centroids, hot_rows), "username", "left")
         .join(_burst(attempts, weights), "username", "left")
         .join(hits, "username", "left")
     )
-
-    def score(fires: Column, value: float) -> Column:
-        return F.when(fires, F.lit(value)).otherwise(F.lit(0.0))
-
-    share = clock.tenths(
-        F.col("off_n") * int(weights.off_hours * 10), F.col("n") * 10
-    )
-    return rows.select(
+    share = clock.tenths(f"off_n * {int(weights.off_hours * 10)}", "n * 10")
+    return rows.selectExpr(
         "username",
-        score(F.col("max_kmh") > weights.travel_kmh, weights.travel).alias("impossible_travel"),
-        score(F.col("burst_at") < F.col("last_win"), weights.burst).alias("mfa_fatigue"),
-        score(F.col("bad_source").isNotNull(), weights.reputation).alias("ip_reputation"),
-        F.lit(weights.unmanaged_device).alias("device_novelty"),
-        share.alias("login_hour_anomaly"),
+        f"if(max_kmh > {weights.travel_kmh!r}D, {weights.travel!r}D, 0D) AS impossible_travel",
+        f"if(burst_at < last_win, {weights.burst!r}D, 0D) AS mfa_fatigue",
+        f"if(bad_source, {weights.reputation!r}D, 0D) AS ip_reputation",
+        f"{weights.unmanaged_device!r}D AS device_novelty",
+        f"{share} AS login_hour_anomaly",
     )
 
 
 def risk_band(signals: DataFrame) -> DataFrame:
     """Additive total, rounded half to even, and its band."""
-    total = sum((F.col(s) for s in SIGNALS[1:]), F.col(SIGNALS[0]))
-    score = F.bround(total, 0).cast("int")
-    band = (
-        F.when(F.col("risk_score") < 30, "low_risk")
-        .when(F.col("risk_score") > 70, "high_risk").otherwise("medium_risk")
+    return signals.selectExpr("*", f"cast(bround({' + '.join(SIGNALS)}, 0) AS int) AS risk_score").selectExpr(
+        "*",
+        """CASE WHEN risk_score < 30 THEN 'low_risk' WHEN risk_score > 70 THEN 'high_risk'
+                ELSE 'medium_risk' END AS verdict""",
     )
-    return signals.withColumn("risk_score", score).withColumn("verdict", band)
 
 
 def signal_summary(signals: DataFrame) -> DataFrame:
     """Firing signals as text, strongest first; ties keep the signal order."""
-    entries = F.array(*[
-        F.struct((-F.col(s)).alias("k"), F.lit(i).alias("i"), F.lit(s).alias("name"), F.col(s).alias("score"))
-        for i, s in enumerate(SIGNALS)
-    ])
-    firing = F.array_sort(F.filter(entries, lambda e: e["score"] > 0))
-    text = F.array_join(
-        F.transform(firing, lambda e: F.concat(e["name"], F.lit(" "), short_number(e["score"]))), "; "
+    entries = ", ".join(
+        f"struct(-{s} AS k, {i} AS i, '{s}' AS name, {s} AS score)" for i, s in enumerate(SIGNALS)
     )
-    return signals.select("username", F.when(text == "", "—").otherwise(text).alias("firing_signals"))
+    firing = f"array_sort(filter(array({entries}), e -> e.score > 0))"
+    line = f"concat(e.name, ' ', {short_number('e.score')})"
+    text = f"array_join(transform({firing}, e -> {line}), '; ')"
+    return signals.selectExpr("username", f"coalesce(nullif({text}, ''), '—') AS firing_signals")
 
 
 def handoff_records(incidents: DataFrame, scored: DataFrame, summaries: DataFrame) -> DataFrame:
     """The nested per-account record of the hand-off file."""
-    rationale = F.array(*[
-        F.struct(F.lit(s).alias("signal"), F.col(s).alias("score")) for s in SIGNALS
-    ])
-    return incidents.join(scored, "username").join(summaries, "username").select(
+    rationale = ", ".join(f"struct('{s}' AS signal, {s} AS score)" for s in SIGNALS)
+    return incidents.join(scored, "username").join(summaries, "username").selectExpr(
         "username", "incident_id", "principal", "created_time",
-        F.struct("severity", "detections", F.col("technique_ids").alias("techniques")).alias("lab"),
-        F.struct("risk_score", "verdict", "firing_signals", rationale.alias("rationale")).alias("risk"),
+        "struct(severity, detections, technique_ids AS techniques) AS lab",
+        f"struct(risk_score, verdict, firing_signals, array({rationale}) AS rationale) AS risk",
     )

@@ -5,50 +5,43 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
-from loginwatch.functions.accounts import full_name, is_service
+from loginwatch.functions.accounts import FULL_NAME, is_service, text_list
 
 
 def orphan_devices(machines: DataFrame, employees: DataFrame) -> DataFrame:
     """Devices whose owner is unknown to the directory, or not recorded."""
-    return machines.join(employees.select("employee_id"), "employee_id", "left_anti").select(
-        "device_id", F.col("employee_id").alias("listed_owner"), "operating_system", "os_patch_date",
-        F.lit("Device has no valid owner in employee directory").alias("issue"),
-    )
-
-
-def _names(employees: DataFrame, key: str, name: str) -> DataFrame:
-    return employees.select(
-        F.col("employee_id").alias(key), full_name(F.col("first_name"), F.col("last_name")).alias(name)
+    return machines.join(employees.select("employee_id"), "employee_id", "left_anti").selectExpr(
+        "device_id", "employee_id AS listed_owner", "operating_system", "os_patch_date",
+        "'Device has no valid owner in employee directory' AS issue",
     )
 
 
 def inventory_mismatch(machines: DataFrame, machines_backup: DataFrame, employees: DataFrame) -> DataFrame:
     """Devices in both inventories under different owners."""
-    backup = machines_backup.select("device_id", F.col("employee_id").alias("backup_owner"))
-    both = machines.select("device_id", F.col("employee_id").alias("primary_owner")).join(
+    backup = machines_backup.selectExpr("device_id", "employee_id AS backup_owner")
+    both = machines.selectExpr("device_id", "employee_id AS primary_owner").join(
         backup, "device_id"
-    ).where(F.col("primary_owner") != F.col("backup_owner"))
-    return (
-        both.join(_names(employees, "primary_owner", "primary_owner_name"), "primary_owner", "left")
-        .join(_names(employees, "backup_owner", "backup_owner_name"), "backup_owner", "left")
-        .select(
-            "device_id", "primary_owner", "primary_owner_name", "backup_owner", "backup_owner_name",
-            F.lit("Ownership conflict between inventories").alias("issue"),
-        )
+    ).where("primary_owner != backup_owner")
+    for side in ("primary_owner", "backup_owner"):
+        names = employees.selectExpr(f"employee_id AS {side}", f"{FULL_NAME} AS {side}_name")
+        both = both.join(names, side, "left")
+    return both.selectExpr(
+        "device_id", "primary_owner", "primary_owner_name", "backup_owner", "backup_owner_name",
+        "'Ownership conflict between inventories' AS issue",
     )
 
 
 def users_without_devices(employees: DataFrame, machines: DataFrame) -> DataFrame:
     """Active people without a device. Owners are de-duplicated before the join."""
     owners = machines.select("employee_id").distinct()
-    people = employees.where((F.col("status") == "Active") & ~is_service(F.col("employee_id")))
-    return people.join(owners, "employee_id", "left_anti").select(
-        "employee_id", full_name(F.col("first_name"), F.col("last_name")).alias("employee_name"),
-        "department", "status", F.lit("Active employee has no assigned device").alias("issue"),
+    people = employees.where(f"status = 'Active' AND NOT {is_service('employee_id')}")
+    return people.join(owners, "employee_id", "left_anti").selectExpr(
+        "employee_id", f"{FULL_NAME} AS employee_name", "department", "status",
+        "'Active employee has no assigned device' AS issue",
     )
 
 
@@ -60,35 +53,34 @@ def containment_preflight(
     ``stop`` is set when the inventories disagree, the device has no valid owner, or the
     account is unknown.
     """
-    mismatched = inventory_mismatch(machines, machines_backup, employees).select(
-        "device_id", F.lit(True).alias("mismatch")
+    mismatched = inventory_mismatch(machines, machines_backup, employees).selectExpr(
+        "device_id", "true AS mismatch"
     )
-    orphaned = orphan_devices(machines, employees).select("device_id", F.lit(True).alias("orphan"))
-    accounts = employees.select(F.col("employee_id").alias("username"), "status", "department")
-    rows = (
+    orphaned = orphan_devices(machines, employees).selectExpr("device_id", "true AS orphan")
+    accounts = employees.selectExpr("employee_id AS username", "status", "department")
+    return (
         targets.select("device_id", "username")
         .join(mismatched, "device_id", "left")
         .join(orphaned, "device_id", "left")
         .join(accounts, "username", "left")
-    )
-    flag = {c: F.coalesce(F.col(c), F.lit(False)) for c in ("mismatch", "orphan")}
-    return rows.select(
-        "device_id", "username", "status", "department",
-        flag["mismatch"].alias("ownership_mismatch"), flag["orphan"].alias("orphan_device"),
-        (flag["mismatch"] | flag["orphan"] | F.col("status").isNull()).alias("stop"),
+        .selectExpr(
+            "device_id", "username", "status", "department",
+            "mismatch IS NOT NULL AS ownership_mismatch", "orphan IS NOT NULL AS orphan_device",
+            "mismatch IS NOT NULL OR orphan IS NOT NULL OR status IS NULL AS stop",
+        )
     )
 
 
 def mismatch_live_subjects(mismatches: DataFrame, travel: DataFrame) -> DataFrame:
     """Conflicting devices whose backup owner is under investigation for travel."""
-    subjects = travel.select(F.col("username").alias("backup_owner")).distinct()
+    subjects = travel.selectExpr("username AS backup_owner").distinct()
     return mismatches.join(subjects, "backup_owner", "left_semi").select(
         "device_id", "primary_owner", "backup_owner"
     )
 
 
-def _violations(check: str, rows: DataFrame) -> DataFrame:
-    return rows.agg(F.count(F.lit(1)).alias("value")).select(F.lit(check).alias("check"), "value")
+def _violations(check: str, rows: DataFrame, value: str = "count(1)") -> DataFrame:
+    return rows.agg(F.expr(f"cast({value} AS bigint) AS value")).selectExpr(f"'{check}' AS check", "value")
 
 
 def dataset_invariants(
@@ -99,34 +91,29 @@ def dataset_invariants(
     first_id: int = 1,
 ) -> DataFrame:
     """``(check, value)`` rows: violations per invariant, and the label totals."""
-    ids = log_in_attempts.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
-
-    def measure(name: str, expression: Column) -> Column:
-        return F.struct(F.lit(name).alias("check"), expression.cast("bigint").alias("value"))
-
-    expected = F.greatest(F.max("event_id") - F.lit(first_id) + 1, F.lit(0))
-    # An id outside first_id..max is out of sequence; a missing one leaves a gap.
-    below = F.count_if(F.col("event_id") < first_id)
-    id_checks = ids.agg(F.array(
-        measure("non_contiguous_ids", expected - (F.count(F.lit(1)) - below) + below),
-        measure("duplicate_event_ids", F.count_if(F.col("n") > 1)),
-        measure("total_events", F.coalesce(F.sum("n"), F.lit(0))),
-    ).alias("m")).select(F.explode("m").alias("m")).select("m.*")
-
+    # An id below first_id is out of sequence; one missing up to the largest is a gap.
+    below = f"count_if(event_id < {first_id})"
+    gaps = f"greatest(coalesce(max(event_id) - {first_id} + 1, 0), 0) - (count(1) - {below}) + {below}"
+    ids = log_in_attempts.groupBy("event_id").agg(F.expr("count(1) AS n"))
+    id_checks = ids.agg(
+        F.expr(f"cast({gaps} AS bigint) AS gaps"), F.expr("count_if(n > 1) AS duplicates"),
+        F.expr("coalesce(sum(n), 0L) AS total"),
+    ).selectExpr(
+        "stack(3, 'non_contiguous_ids', gaps, 'duplicate_event_ids', duplicates, 'total_events', total)"
+        " AS (check, value)"
+    )
+    keys = HuntConfig.keys()
+    found = f"count(DISTINCT if(key IN ({text_list(keys)}), key, NULL))"
     unlabelled = log_in_attempts.join(labels.select("event_id").distinct(), "event_id", "left_anti")
-    malicious = labels.where(F.col("is_malicious") == 1).select("event_id").distinct()
-    present = [F.max((F.col("key") == k).cast("int")) for k in HuntConfig.keys()]
-    missing = reduce(lambda a, b: a + b, [1 - F.coalesce(p, F.lit(0)) for p in present])
+    malicious = labels.where("is_malicious = 1").select("event_id").distinct()
     checks = [
         id_checks,
         _violations("unlabelled_events", unlabelled),
         _violations("malicious_events", malicious),
-        hunt_config.agg(missing.cast("bigint").alias("value")).select(
-            F.lit("missing_config_keys").alias("check"), "value"
-        ),
+        _violations("missing_config_keys", hunt_config, f"{len(keys)} - {found}"),
     ]
     for name, table in pair_tables.items():
-        pairs = table.groupBy("country_a", "country_b").agg(F.count(F.lit(1)).alias("n"))
-        checks.append(_violations(f"{name}_unordered_pairs", table.where(F.col("country_a") >= F.col("country_b"))))
-        checks.append(_violations(f"{name}_duplicate_pairs", pairs.where(F.col("n") > 1)))
+        pairs = table.groupBy("country_a", "country_b").agg(F.expr("count(1) AS n"))
+        checks.append(_violations(f"{name}_unordered_pairs", table.where("country_a >= country_b")))
+        checks.append(_violations(f"{name}_duplicate_pairs", pairs.where("n > 1")))
     return reduce(DataFrame.unionByName, checks)

@@ -8,30 +8,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loginwatch.functions import clock
-from loginwatch.functions.accounts import full_name
+from loginwatch.functions.accounts import FULL_NAME
 
 
 def login_events(log_in_attempts: DataFrame) -> DataFrame:
     """Add ``ts`` and ``login_hour`` to every attempt. A projection: no shuffle."""
-    return log_in_attempts.select(
+    return log_in_attempts.selectExpr(
         "event_id", "username", "login_date", "login_time", "country", "success", "source_ip",
-        clock.login_instant(F.col("login_date"), F.col("login_time")).alias("ts"),
-        F.substring("login_time", 1, 2).try_cast("int").alias("login_hour"),
+        f"{clock.login_instant()} AS ts", f"{clock.hour_of()} AS login_hour",
     )
 
 
 def successes(events: DataFrame) -> DataFrame:
-    return events.where(F.col("success") == 1)
+    return events.where("success = 1")
 
 
 def failures(events: DataFrame) -> DataFrame:
     """The base selection of the failure correlations."""
-    return events.where(F.col("success") == 0)
+    return events.where("success = 0")
 
 
 def since_day(events: DataFrame, day: date) -> DataFrame:
     """Events of ``day`` and later; the bound is a literal and prunes partitions."""
-    return events.where(F.col("login_date") >= F.lit(day))
+    return events.where(f"login_date >= date'{day}'")
 
 
 def after(events: DataFrame, moment: datetime | date) -> DataFrame:
@@ -41,11 +40,7 @@ def after(events: DataFrame, moment: datetime | date) -> DataFrame:
 
 def directory(employees: DataFrame) -> DataFrame:
     """Account, display name and department, keyed like events by ``username``."""
-    return employees.select(
-        F.col("employee_id").alias("username"),
-        full_name(F.col("first_name"), F.col("last_name")).alias("user_name"),
-        F.col("department"),
-    )
+    return employees.selectExpr("employee_id AS username", f"{FULL_NAME} AS user_name", "department")
 
 
 def named(rows: DataFrame, employees: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
-from loginwatch.functions import clock
 from loginwatch.functions.text import joined
 from loginwatch.operators.normalize import since_day
 
@@ -18,10 +17,8 @@ def source_day_accounts(events: DataFrame) -> DataFrame:
     distinct count of the second level into a plain one.
     """
     return events.groupBy("source_ip", "login_date", "username").agg(
-        F.count_if(F.col("success") == 0).alias("failures"),
-        F.count_if(F.col("success") == 1).alias("wins"),
-        F.min("ts").alias("first_ts"),
-        F.max("ts").alias("last_ts"),
+        F.expr("count_if(success = 0) AS failures"), F.expr("count_if(success = 1) AS wins"),
+        F.expr("min(ts) AS first_ts"), F.expr("max(ts) AS last_ts"),
     )
 
 
@@ -31,48 +28,41 @@ def spray_groups(events: DataFrame, cfg: HuntConfig) -> DataFrame:
     return (
         accounts.groupBy("source_ip", "login_date")
         .agg(
-            F.count_if(F.col("failures") > 0).alias("accounts_targeted"),
-            F.sum("failures").alias("total_failures"),
-            F.sum("wins").alias("successes"),
-            F.min("first_ts").alias("first_ts"),
-            F.max("last_ts").alias("last_ts"),
+            F.expr("count_if(failures > 0) AS accounts_targeted"),
+            F.expr("sum(failures) AS total_failures"), F.expr("sum(wins) AS successes"),
+            F.expr("min(first_ts) AS first_ts"), F.expr("max(last_ts) AS last_ts"),
         )
-        .where(F.col("accounts_targeted") >= cfg.spray_min_accounts)
+        .where(f"accounts_targeted >= {cfg.spray_min_accounts}")
     )
 
 
+def _keyed(groups: DataFrame, *columns: str) -> DataFrame:
+    """The group key under other names, for joins in which an unknown source matches itself."""
+    return groups.selectExpr("source_ip AS key_ip", "login_date AS key_date", *columns)
+
+
+_SAME_KEY = "source_ip <=> key_ip AND login_date = key_date"
+
+
 def spray_accounts(events: DataFrame, cfg: HuntConfig) -> DataFrame:
     """Accounts a firing source touched that day, one row each: the unbounded form."""
     accounts = source_day_accounts(since_day(events, cfg.detection_start))
-    fired = spray_groups(events, cfg).select(
-        F.col("source_ip").alias("fired_ip"), F.col("login_date").alias("fired_date")
-    )
-    same = F.col("source_ip").eqNullSafe(F.col("fired_ip")) & (F.col("login_date") == F.col("fired_date"))
-    return accounts.join(fired, same, "left_semi").select(
+    return accounts.join(_keyed(spray_groups(events, cfg)), F.expr(_SAME_KEY), "left_semi").select(
         "source_ip", "login_date", "username", "failures", "wins"
     )
 
 
 def spray_findings(events: DataFrame, cfg: HuntConfig) -> DataFrame:
     """Everything about a firing source but the account names."""
-    day = F.col("login_date").cast("string")
-    landed = F.col("successes") > 0
-    reason = F.concat(
-        F.lit("Password spray: "), F.col("accounts_targeted").cast("string"), F.lit(" accounts, "),
-        F.col("total_failures").cast("string"), F.lit(" failures from "), F.col("source_ip"),
-        F.lit(" on "), day,
-        F.when(
-            landed,
-            F.concat(F.lit(" - INCLUDES "), F.col("successes").cast("string"), F.lit(" SUCCESS(ES)")),
-        ).otherwise(""),
-    )
-    return spray_groups(events, cfg).select(
+    return spray_groups(events, cfg).selectExpr(
         "source_ip", "login_date", "accounts_targeted", "total_failures", "successes",
-        clock.time_of(F.col("first_ts")).alias("first_attempt"),
-        clock.time_of(F.col("last_ts")).alias("last_attempt"),
-        F.concat("source_ip", F.lit("|"), day).alias("campaign_key"),
-        F.when(landed, "HIGH").otherwise("MEDIUM").alias("severity"),
-        reason.alias("reason"),
+        "date_format(first_ts, 'HH:mm:ss') AS first_attempt",
+        "date_format(last_ts, 'HH:mm:ss') AS last_attempt",
+        "concat(source_ip, '|', login_date) AS campaign_key",
+        "if(successes > 0, 'HIGH', 'MEDIUM') AS severity",
+        """concat('Password spray: ', accounts_targeted, ' accounts, ', total_failures, ' failures from ',
+                  source_ip, ' on ', login_date,
+                  if(successes > 0, concat(' - INCLUDES ', successes, ' SUCCESS(ES)'), '')) AS reason""",
     )
 
 
@@ -83,10 +73,9 @@ def detect_password_spray(events: DataFrame, cfg: HuntConfig) -> DataFrame:
     that the triage queue never builds it.
     """
     names = spray_accounts(events, cfg).groupBy("source_ip", "login_date").agg(
-        joined(F.collect_list("username")).alias("usernames")
-    ).select(F.col("source_ip").alias("named_ip"), F.col("login_date").alias("named_date"), "usernames")
-    same = F.col("source_ip").eqNullSafe(F.col("named_ip")) & (F.col("login_date") == F.col("named_date"))
-    return spray_findings(events, cfg).join(names, same).select(
+        F.expr(f"{joined('collect_list(username)')} AS usernames")
+    )
+    return spray_findings(events, cfg).join(_keyed(names, "usernames"), F.expr(_SAME_KEY)).select(
         "source_ip", "login_date", "accounts_targeted", "total_failures", "successes", "usernames",
         "first_attempt", "last_attempt", "campaign_key", "severity", "reason",
     )

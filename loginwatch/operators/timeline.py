@@ -14,22 +14,19 @@ Three devices are used instead of a plain window over an account's whole history
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loginwatch.functions import clock
-
 # Rows of one account a single sort may see before the account is cut up.
 HOT_ROWS = 4_000_000
 
 
 def hot_accounts(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Accounts with more than ``hot_rows`` rows: at most rows / hot_rows of them."""
-    counts = rows.groupBy("username").agg(F.count(F.lit(1)).alias("n"))
-    return counts.where(F.col("n") > hot_rows).select("username", F.lit(True).alias("is_hot"))
+    counts = rows.groupBy("username").agg(F.expr("count(1) AS n"))
+    return counts.where(f"n > {hot_rows}").selectExpr("username", "true AS is_hot")
 
 
 def with_chunk(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -39,72 +36,56 @@ def with_chunk(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     (250,000 for 10^12 rows), and a name is all a row carries.
     """
     hot = F.broadcast(hot_accounts(rows, hot_rows))
-    second = F.unix_seconds("ts")
-    return (
-        rows.join(hot, "username", "left")
-        .withColumn("chunk", F.when(F.col("is_hot"), second).otherwise(F.lit(0).cast("bigint")))
-        .drop("is_hot")
+    return rows.join(hot, "username", "left").selectExpr(
+        *rows.columns, "if(is_hot, unix_seconds(ts), 0L) AS chunk"
     )
 
 
 def with_previous(
-    rows: DataFrame,
-    fields: Sequence[str],
-    keep: Callable[[Column], Column] | None = None,
-    hot_rows: int = HOT_ROWS,
+    rows: DataFrame, fields: Sequence[str], keep: str | None = None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Add ``prev``, a struct of ``fields`` from the account's preceding row.
 
-    Order is ``(ts, event_id)``. ``keep(prev)`` names the rows the caller wants; rows
-    that fail it inside a chunk are dropped before the second exchange.
+    Order is ``(ts, event_id)``. ``keep`` is a condition that may use ``prev``; rows that
+    fail it inside a chunk are dropped before the second exchange.
     """
-    order = [F.col("ts"), F.col("event_id")]
-    inside = Window.partitionBy("username", "chunk").orderBy(*order)
-    local = (
-        with_chunk(rows, hot_rows)
-        .withColumn("prev", F.lag(F.struct(*fields)).over(inside))
-        .withColumn("is_last", F.lead("event_id").over(inside).isNull())
-        .withColumn("is_edge", F.col("prev").isNull() | F.col("is_last"))
+    columns, carried = rows.columns, f"lag(struct({', '.join(fields)}))"
+    inside = "OVER (PARTITION BY username, chunk ORDER BY ts, event_id)"
+    local = with_chunk(rows, hot_rows).selectExpr(
+        "*", f"{carried} {inside} AS prev", f"lead(event_id) {inside} IS NULL AS is_last"
     )
     if keep is not None:
-        local = local.where(F.col("is_edge") | keep(F.col("prev")))
-    # Edges of one account meet in one group, at most two per chunk; inner rows stay apart.
+        local = local.where(f"prev IS NULL OR is_last OR ({keep})")
+    # Edges of one account meet in one lane, at most two per chunk; inner rows stay apart.
     # The row before a chunk's first row is the last row of the chunk before it: an edge.
-    lane = F.when(F.col("is_edge"), F.lit(-1).cast("bigint")).otherwise(F.col("chunk"))
-    across = Window.partitionBy("username", "lane").orderBy(*order)
-    carried = local.withColumn("lane", lane).withColumn(
-        "carried", F.lag(F.struct(*fields)).over(across)
-    )
-    out = carried.withColumn("prev", F.coalesce("prev", "carried")).drop(
-        "carried", "lane", "chunk", "is_edge", "is_last"
+    lane = "if(prev IS NULL OR is_last, -1L, chunk)"
+    across = f"OVER (PARTITION BY username, {lane} ORDER BY ts, event_id)"
+    out = local.selectExpr(*columns, "prev", f"{carried} {across} AS carried").selectExpr(
+        *columns, "coalesce(prev, carried) AS prev"
     )
-    return out.where(keep(F.col("prev"))) if keep is not None else out
+    return out.where(keep) if keep is not None else out
 
 
 def account_points(events: DataFrame) -> DataFrame:
     """One row per account and second: ``failures``, ``wins`` and the instant in micros."""
-    return (
-        events.groupBy("username", "ts")
-        .agg(
-            F.count_if(F.col("success") == 0).alias("failures"),
-            F.count_if(F.col("success") == 1).alias("wins"),
-        )
-        .withColumn("at", clock.micros(F.col("ts")))
+    points = events.groupBy("username", "ts").agg(
+        F.expr("count_if(success = 0) AS failures"), F.expr("count_if(success = 1) AS wins")
     )
+    return points.selectExpr("*", "unix_micros(ts) AS at")
 
 
-def trailing_total(rows: DataFrame, key: str, value: Column, span_micros: int) -> DataFrame:
+def trailing_total(rows: DataFrame, key: str, value: str, span_micros: int) -> DataFrame:
     """Per key and instant ``at``: the sum of ``value`` over ``[at - span, at]``.
 
     Each row arrives at its instant and expires one microsecond after its span, so
     exactly ``span`` ago still counts.
     """
-    at = clock.micros(F.col("ts"))
-    arrival = F.struct(at.alias("t"), value.alias("delta"), F.lit(True).alias("arrives"))
-    expiry = F.struct(
-        (at + F.lit(span_micros + 1)).alias("t"), (-value).alias("delta"), F.lit(False).alias("arrives")
+    moves = rows.selectExpr(
+        key,
+        f"""inline(array(
+            struct(unix_micros(ts) AS t, {value} AS delta, true AS arrives),
+            struct(unix_micros(ts) + {span_micros + 1}L AS t, -({value}) AS delta, false AS arrives)))""",
     )
-    moves = rows.select(key, F.explode(F.array(arrival, expiry)).alias("m")).select(key, "m.*")
     return running_total(moves, key)
 
 
@@ -115,26 +96,22 @@ def running_total(moves: DataFrame, key: str) -> DataFrame:
     ordered pass at most two rows per key and second.
     """
     netted = moves.groupBy(key, "t").agg(
-        F.sum("delta").alias("delta"), F.max("arrives").alias("arrives")
+        F.expr("sum(delta) AS delta"), F.expr("max(arrives) AS arrives")
     )
-    w = Window.partitionBy(key).orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        netted.withColumn("trailing", F.sum("delta").over(w))
-        .where("arrives")
-        .select(key, F.col("t").alias("at"), "trailing")
+    running = f"sum(delta) OVER (PARTITION BY {key} ORDER BY t ROWS UNBOUNDED PRECEDING)"
+    return netted.selectExpr(key, "t AS at", f"{running} AS trailing", "arrives").where("arrives").drop(
+        "arrives"
     )
 
 
 def merge_instants(instants: DataFrame, key: str, gap_micros: int, measure: str) -> DataFrame:
     """Fold instants at most ``gap`` apart into spans: first, last, count, peak measure."""
-    w = Window.partitionBy(key).orderBy("at")
-    breaks = instants.withColumn(
-        "opens", F.coalesce(F.col("at") - F.lag("at").over(w) > gap_micros, F.lit(True)).cast("int")
-    )
-    spans = breaks.withColumn(
-        "span_no", F.sum("opens").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    order = f"OVER (PARTITION BY {key} ORDER BY at"
+    opens = f"if(at - lag(at) {order}) <= {gap_micros}L, 0, 1)"
+    spans = instants.selectExpr("*", f"{opens} AS opens").selectExpr(
+        "*", f"sum(opens) {order} ROWS UNBOUNDED PRECEDING) AS span_no"
     )
     return spans.groupBy(key, "span_no").agg(
-        F.min("at").alias("first_at"), F.max("at").alias("last_at"),
-        F.count(F.lit(1)).alias("instants"), F.max(measure).alias("peak"),
+        F.expr("min(at) AS first_at"), F.expr("max(at) AS last_at"), F.expr("count(1) AS instants"),
+        F.expr(f"max({measure}) AS peak"),
     ).drop("span_no")

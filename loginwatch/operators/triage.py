@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
-from loginwatch.functions.accounts import severity_rank
+from loginwatch.functions.accounts import SEVERITY_RANK
 from loginwatch.operators.enrich import ThreatFeed, with_intel
 from loginwatch.operators.normalize import since_day
-from loginwatch.schemas import FINDING_COLUMNS, INTEL_COLUMNS
+from loginwatch.schemas import FINDING_COLUMNS
 
 # Queue tag and ATT&CK technique per rule, in queue order.
 RULE_TAGS = {
@@ -26,30 +26,26 @@ RULE_TAGS = {
 }
 
 
-def _branch_columns(rule: str) -> dict[str, Column]:
-    """Where a rule's output differs from the finding's own column names."""
-    no_text, no_id = F.lit(None).cast("string"), F.lit(None).cast("bigint")
-    started = F.concat(F.col("login_date").cast("string"), F.lit(" "), F.col("first_attempt"))
-    return {
-        "impossible_travel": {"timestamp": F.col("timestamp_2"), "source_ip": F.col("ip_2")},
-        "brute_force": {"timestamp": F.col("success_time"), "source_ip": F.col("success_ip")},
-        "password_spray": {
-            "event_id": no_id, "username": no_text, "user_name": no_text, "department": no_text,
-            "timestamp": started, "campaign_key": F.col("campaign_key"),
-        },
-        "bruteforce_failed": {
-            "event_id": no_id, "timestamp": started, "campaign_key": F.col("campaign_key"),
-        },
-    }.get(rule, {})
+_STARTED = {"event_id": "cast(NULL AS bigint)", "campaign_key": "campaign_key",
+            "timestamp": "concat(login_date, ' ', first_attempt)"}
+_NO_TEXT = "cast(NULL AS string)"
+
+# Where a rule's output differs from the finding's own column names.
+_BRANCH_COLUMNS = {
+    "impossible_travel": {"timestamp": "timestamp_2", "source_ip": "ip_2"},
+    "brute_force": {"timestamp": "success_time", "source_ip": "success_ip"},
+    "password_spray": {**_STARTED, "username": _NO_TEXT, "user_name": _NO_TEXT, "department": _NO_TEXT},
+    "bruteforce_failed": _STARTED,
+}
 
 
 def as_findings(rule: str, detection: DataFrame) -> DataFrame:
     tag, technique = RULE_TAGS[rule]
-    columns = {
-        "detection_type": F.lit(tag), "mitre_technique": F.lit(technique),
-        "campaign_key": F.lit(None).cast("string"), **_branch_columns(rule),
+    source = {
+        "detection_type": f"'{tag}'", "mitre_technique": f"'{technique}'", "campaign_key": _NO_TEXT,
+        **_BRANCH_COLUMNS.get(rule, {}),
     }
-    return detection.select(*[columns.get(c, F.col(c)).alias(c) for c in FINDING_COLUMNS])
+    return detection.selectExpr(*[f"{source.get(c, c)} AS {c}" for c in FINDING_COLUMNS])
 
 
 def triage_queue(detections: Mapping[str, DataFrame], feed: ThreatFeed) -> DataFrame:
@@ -58,36 +54,31 @@ def triage_queue(detections: Mapping[str, DataFrame], feed: ThreatFeed) -> DataF
     Write it with :func:`loginwatch.sources.tables.write_findings`; only reports sort it.
     """
     branches = [as_findings(rule, detections[rule]) for rule in RULE_TAGS]
-    findings = reduce(DataFrame.unionByName, branches)
-    return with_intel(findings, feed, outer=True).select(
-        *FINDING_COLUMNS,
-        F.col("intel.source").alias(INTEL_COLUMNS[0]),
-        F.col("intel.tags").alias(INTEL_COLUMNS[1]),
-        F.col("intel.confidence").alias(INTEL_COLUMNS[2]),
+    findings = reduce(DataFrame.union, branches)
+    return with_intel(findings, feed, outer=True).selectExpr(
+        *FINDING_COLUMNS, "intel.source AS intel_source", "intel.tags AS intel_tags",
+        "intel.confidence AS intel_confidence",
     )
 
 
 def in_queue_order(queue: DataFrame) -> DataFrame:
     return queue.orderBy(
-        severity_rank(F.col("severity")), F.desc("timestamp"), "detection_type",
-        "event_id", "campaign_key", "intel_source",
+        F.expr(SEVERITY_RANK), F.desc("timestamp"), "detection_type", "event_id", "campaign_key", "intel_source"
     )
 
 
 def triage_summary(queue: DataFrame) -> DataFrame:
     """Findings in total and by severity, one row."""
     return queue.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(F.col("severity") == s).alias(s.lower()) for s in ("HIGH", "MEDIUM", "LOW")],
+        F.expr("count(1) AS total"),
+        *[F.expr(f"count_if(severity = '{s}') AS {s.lower()}") for s in ("HIGH", "MEDIUM", "LOW")],
     )
 
 
 def high_severity_findings(queue: DataFrame) -> DataFrame:
-    high = queue.where(F.col("severity") == "HIGH")
-    return high.select(
-        "detection_type", "mitre_technique", F.coalesce("username", "source_ip").alias("subject"),
-        "timestamp", F.coalesce("intel_tags", F.lit("-")).alias("intel"),
-        F.substring("reason", 1, 60).alias("summary"),
+    return queue.where("severity = 'HIGH'").selectExpr(
+        "detection_type", "mitre_technique", "coalesce(username, source_ip) AS subject", "timestamp",
+        "coalesce(intel_tags, '-') AS intel", "substring(reason, 1, 60) AS summary",
     )
 
 
@@ -113,9 +104,8 @@ def spray_campaigns(sprays: DataFrame) -> DataFrame:
 
 
 def live_compromise_sprays(sprays: DataFrame) -> DataFrame:
-    return sprays.where(F.col("successes") > 0)
+    return sprays.where("successes > 0")
 
 
 def flagged_users(queue: DataFrame) -> DataFrame:
-    return queue.where(F.col("username").isNotNull()).select("username").distinct()
-
+    return queue.where("username IS NOT NULL").select("username").distinct()

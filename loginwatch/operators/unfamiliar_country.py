@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
 from loginwatch.functions import clock
@@ -18,12 +17,12 @@ def suspect_pairs(events: DataFrame, cfg: HuntConfig) -> DataFrame:
     With a baseline: countries not in it, at any time. Without one: only the account's
     first success, so the pair carries the instant that must be met.
     """
-    has_baseline = F.size("known_countries") > 0
-    first_ever = F.col("first_ts") == F.col("account_first_ts")
-    return country_profile(events, cfg).where(~F.col("known") & (has_baseline | first_ever)).select(
+    return country_profile(events, cfg).where(
+        "NOT known AND (size(known_countries) > 0 OR first_ts = account_first_ts)"
+    ).selectExpr(
         "username", "country",
-        F.when(~has_baseline, F.col("account_first_ts")).alias("only_at"),
-        F.when(has_baseline, F.array_join("known_countries", ",")).alias("baseline_countries"),
+        "if(size(known_countries) = 0, account_first_ts, NULL) AS only_at",
+        "if(size(known_countries) > 0, array_join(known_countries, ','), NULL) AS baseline_countries",
     )
 
 
@@ -31,26 +30,15 @@ def detect_unfamiliar_country(events: DataFrame, employees: DataFrame, cfg: Hunt
     """One equi-join of window successes with the few suspect pairs."""
     recent = since_day(successes(events), cfg.detection_start)
     hits = recent.join(suspect_pairs(events, cfg), ["username", "country"]).where(
-        F.col("only_at").isNull() | (F.col("ts") == F.col("only_at"))
+        "only_at IS NULL OR ts = only_at"
     )
-    new_account = F.col("only_at").isNotNull()
-    reason = F.when(
-        new_account,
-        F.concat(
-            F.lit("No geographic baseline (new or dormant account): first observed success from "),
-            F.col("country"),
-        ),
-    ).otherwise(
-        F.concat(
-            F.lit("Unfamiliar login location: "), F.col("country"), F.lit(" not in baseline ["),
-            F.col("baseline_countries"), F.lit("]"),
-        )
-    )
-    return named(hits, employees).select(
-        "event_id", "username", "user_name", "department",
-        clock.stamp(F.col("login_date"), F.col("login_time")).alias("timestamp"),
-        F.col("country").alias("anomaly_country"), "baseline_countries", "source_ip",
-        F.when(new_account, "no_baseline").otherwise("baseline").alias("baseline_state"),
-        country_severity(F.col("country")).alias("severity"),
-        reason.alias("reason"),
+    return named(hits, employees).selectExpr(
+        "event_id", "username", "user_name", "department", f"{clock.stamp()} AS timestamp",
+        "country AS anomaly_country", "baseline_countries", "source_ip",
+        "if(only_at IS NULL, 'baseline', 'no_baseline') AS baseline_state",
+        f"{country_severity()} AS severity",
+        """if(only_at IS NULL,
+              concat('Unfamiliar login location: ', country, ' not in baseline [', baseline_countries, ']'),
+              concat('No geographic baseline (new or dormant account): first observed success from ', country)
+           ) AS reason""",
     )

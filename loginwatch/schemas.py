@@ -32,4 +32,3 @@ FINDING_COLUMNS = [
     "detection_type", "event_id", "campaign_key", "username", "user_name", "department",
     "timestamp", "source_ip", "severity", "mitre_technique", "reason",
 ]
-INTEL_COLUMNS = ["intel_source", "intel_tags", "intel_confidence"]
