@@ -27,5 +27,8 @@ def cidr_base(cidr: str) -> str:
 
 
 def leading_octets(address: str, octets: int) -> str:
-    """``a.b.c.`` style prefix text made of the first ``octets`` parts."""
-    return f"concat(substring_index({address}, '.', {octets}), '.')"
+    """``a.b.c.`` style prefix text; NULL unless more follows the first ``octets`` parts."""
+    return (
+        f"if(size(split({address}, '[.]')) > {octets},"
+        f" concat(substring_index({address}, '.', {octets}), '.'), NULL)"
+    )
