@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 
-def ipv4_number(address: str) -> str:
-    """Dotted quad to BIGINT; NULL for NULL, IPv6 and malformed text."""
-    octets = [f"try_cast(split({address}, '[.]')[{i}] AS int)" for i in range(4)]
-    valid = " AND ".join(f"{o} BETWEEN 0 AND 255" for o in octets)
-    number = " + ".join(f"{o} * {256 ** (3 - i)}L" for i, o in enumerate(octets))
-    return f"CASE WHEN size(split({address}, '[.]')) = 4 THEN if({valid}, {number}, NULL) END"
+# Splitting is the costly step: project it once, then build the number from the parts.
+OCTETS = r"split({address}, '\\.')"
+
+
+def ipv4_number(octets: str) -> str:
+    """Parts of a dotted quad to BIGINT; NULL for NULL, IPv6 and malformed text."""
+    parts = [f"try_cast({octets}[{i}] AS int)" for i in range(4)]
+    valid = " AND ".join(f"{p} BETWEEN 0 AND 255" for p in parts)
+    number = " + ".join(f"{p} * {256 ** (3 - i)}L" for i, p in enumerate(parts))
+    return f"CASE WHEN size({octets}) = 4 THEN if({valid}, {number}, NULL) END"
 
 
 def network_of(number: str, prefix_length: int) -> str:
@@ -22,13 +26,13 @@ def cidr_length(cidr: str) -> str:
 
 def cidr_base(cidr: str) -> str:
     """Network address of a CIDR text, host bits cleared."""
-    number = ipv4_number(f"substring_index({cidr}, '/', 1)")
+    number = ipv4_number(OCTETS.format(address=f"substring_index({cidr}, '/', 1)"))
     return f"({number}) - pmod({number}, cast(pow(2D, 32 - {cidr_length(cidr)}) AS bigint))"
 
 
 def leading_octets(address: str, octets: int) -> str:
     """``a.b.c.`` style prefix text; NULL unless more follows the first ``octets`` parts."""
     return (
-        f"if(size(split({address}, '[.]')) > {octets},"
+        f"if(size({OCTETS.format(address=address)}) > {octets},"
         f" concat(substring_index({address}, '.', {octets}), '.'), NULL)"
     )

@@ -11,10 +11,12 @@ from loginwatch.operators.baselines import account_windows
 from loginwatch.operators.normalize import since_day, successes
 
 
-def detect_after_hours(events: DataFrame, employees: DataFrame, cfg: HuntConfig) -> DataFrame:
+def detect_after_hours(
+    events: DataFrame, employees: DataFrame, cfg: HuntConfig, history: DataFrame | None = None
+) -> DataFrame:
     """Both bounds are inclusive; accounts missing from the directory drop out."""
     recent = since_day(successes(events), cfg.detection_start).where(f"NOT {is_service()}")
-    hits = recent.join(account_windows(events, employees, cfg), "username").where(
+    hits = recent.join(account_windows(events, employees, cfg, history), "username").where(
         "login_hour < window_start OR login_hour > window_end"
     )
     return hits.selectExpr(

@@ -9,7 +9,7 @@ from loginwatch.config import HuntConfig
 from loginwatch.functions import clock
 from loginwatch.functions.accounts import FULL_NAME, is_service
 from loginwatch.functions.text import joined
-from loginwatch.operators.normalize import directory, successes
+from loginwatch.operators.normalize import directory, since_day, successes
 
 # The window of accounts without any baseline.
 DEFAULT_WINDOW = (6, 20)
@@ -32,13 +32,21 @@ def user_country_baseline_display(events: DataFrame, cfg: HuntConfig) -> DataFra
     )
 
 
-def country_profile(events: DataFrame, cfg: HuntConfig) -> DataFrame:
+def country_profile(events: DataFrame, cfg: HuntConfig, history: DataFrame | None = None) -> DataFrame:
     """Per account and country: first success, and what the account knew at baseline.
 
-    One hash aggregate with map-side combine reads the history; the window runs over
-    its pairs, of which an account has at most one per country.
+    One hash aggregate with map-side combine reads the log; the window runs over its
+    pairs, of which an account has at most one per country. With a stored ``history``
+    only the detection window is read.
     """
-    pairs = successes(events).groupBy("username", "country").agg(F.expr("min(ts) AS first_ts"))
+    first = F.expr("min(ts) AS first_ts")
+    if history is None:
+        pairs = successes(events).groupBy("username", "country").agg(first)
+    else:
+        fresh = since_day(successes(events), cfg.detection_start).groupBy("username", "country").agg(first)
+        pairs = fresh.unionByName(history.select("username", "country", "first_ts")).groupBy(
+            "username", "country"
+        ).agg(F.expr("min(first_ts) AS first_ts"))
     known = f"first_ts < timestamp_micros({clock.micros_of(cfg.baseline_end)})"
     account = "OVER (PARTITION BY username)"
     return pairs.selectExpr(
@@ -56,28 +64,37 @@ def hourly_distribution(events: DataFrame) -> DataFrame:
     return by_hour.selectExpr("login_hour", "login_count", f"{share} AS pct")
 
 
-def user_hour_baseline(events: DataFrame, cfg: HuntConfig) -> DataFrame:
+def user_hour_baseline(events: DataFrame, cfg: HuntConfig, history: DataFrame | None = None) -> DataFrame:
+    if history is not None:
+        return history.where("baseline_logins > 0").groupBy("username").agg(
+            F.expr("sum(baseline_logins) AS baseline_logins"), F.expr("min(min_hour) AS min_hour"),
+            F.expr("max(max_hour) AS max_hour"),
+        )
     return baseline_successes(events, cfg).groupBy("username").agg(
         F.expr("count(1) AS baseline_logins"), F.expr("min(login_hour) AS min_hour"),
         F.expr("max(login_hour) AS max_hour"),
     )
 
 
-def dept_hour_baseline(events: DataFrame, employees: DataFrame, cfg: HuntConfig) -> DataFrame:
+def dept_hour_baseline(
+    events: DataFrame, employees: DataFrame, cfg: HuntConfig, history: DataFrame | None = None
+) -> DataFrame:
     """Department hours, rolled up from the per-account rows; service accounts excluded."""
-    people = user_hour_baseline(events, cfg).where(f"NOT {is_service()}")
+    people = user_hour_baseline(events, cfg, history).where(f"NOT {is_service()}")
     return people.join(directory(employees), "username").groupBy("department").agg(
         F.expr("sum(baseline_logins) AS baseline_logins"), F.expr("min(min_hour) AS min_hour"),
         F.expr("max(max_hour) AS max_hour"),
     )
 
 
-def account_windows(events: DataFrame, employees: DataFrame, cfg: HuntConfig) -> DataFrame:
+def account_windows(
+    events: DataFrame, employees: DataFrame, cfg: HuntConfig, history: DataFrame | None = None
+) -> DataFrame:
     """Hour window of every directory account, with its display columns."""
-    user = user_hour_baseline(events, cfg).selectExpr(
+    user = user_hour_baseline(events, cfg, history).selectExpr(
         "username", "baseline_logins AS u_n", "min_hour AS u_min", "max_hour AS u_max"
     )
-    dept = dept_hour_baseline(events, employees, cfg).selectExpr(
+    dept = dept_hour_baseline(events, employees, cfg, history).selectExpr(
         "department", "baseline_logins AS d_n", "min_hour AS d_min", "max_hour AS d_max"
     )
     enough, slack = cfg.hour_baseline_min_samples, cfg.hour_tolerance

@@ -36,7 +36,7 @@ class ThreatFeed:
         if mode == "network":
             width, key = net.cidr_length("cidr"), net.cidr_base("cidr")
         elif mode == "prefix":
-            width, key = "size(split(ip_prefix, '[.]')) - 1", "ip_prefix"
+            width, key = f"size({net.OCTETS.format(address='ip_prefix')}) - 1", "ip_prefix"
         else:
             raise ValueError(f"unknown match mode {mode!r}")
         ranges = ip_enrichment.selectExpr(
@@ -74,11 +74,14 @@ def with_intel(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFrame:
     return match(rows, feed, outer)
 
 
+def _with_number(rows: DataFrame) -> DataFrame:
+    parts = rows.selectExpr("*", f"{net.OCTETS.format(address='source_ip')} AS octets")
+    return parts.selectExpr(*rows.columns, f"{net.ipv4_number('octets')} AS ip_number")
+
+
 def _broadcast_match(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFrame:
     columns = rows.columns
-    rows = rows.selectExpr("*", f"{net.ipv4_number('source_ip')} AS ip_number").selectExpr(
-        *columns, *[f"{feed.key_for(w)} AS key_{w}" for w in feed.widths]
-    )
+    rows = _with_number(rows).selectExpr(*columns, *[f"{feed.key_for(w)} AS key_{w}" for w in feed.widths])
     for width in feed.widths:
         ranges = feed.ranges.where(f"width = {width}")
         if feed.unique:
@@ -94,10 +97,9 @@ def _broadcast_match(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFram
 
 def _address_match(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFrame:
     keys = ", ".join(f"struct({w} AS width, {feed.key_for(w)} AS key)" for w in feed.widths)
+    addresses = rows.select("source_ip").where("source_ip IS NOT NULL").distinct()
     matched = (
-        rows.select("source_ip").where("source_ip IS NOT NULL").distinct()
-        .selectExpr("source_ip", f"{net.ipv4_number('source_ip')} AS ip_number")
-        .selectExpr("source_ip", f"inline(array({keys}))")
+        _with_number(addresses).selectExpr("source_ip", f"inline(array({keys}))")
         .join(feed.ranges, ["width", "key"]).select("source_ip", "intel")
     )
     return rows.join(matched, "source_ip", "left" if outer else "inner")

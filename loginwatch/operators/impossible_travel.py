@@ -17,16 +17,15 @@ _CARRIED = ["event_id", "ts", "login_date", "login_time", "country", "source_ip"
 CHANGED_COUNTRY = "prev.country != country"
 
 
-def _successes_since(events: DataFrame, since: date) -> DataFrame:
-    """Successes from ``since`` on plus each account's last one before it.
-
-    The history is folded map-side to one row per account instead of being shuffled.
-    """
-    columns = ["username", *_CARRIED]
-    won = successes(events)
-    newest = "max(struct(ts, event_id, login_date, login_time, country, source_ip)) AS m"
-    before = won.where(f"login_date < date'{since}'").groupBy("username").agg(F.expr(newest))
-    return since_day(won, since).select(columns).unionByName(before.select("username", "m.*"))
+def _last_before(events: DataFrame, since: date, history: DataFrame | None) -> DataFrame:
+    """Each account's last success before ``since``, folded map-side or from the history."""
+    columns = "ts, event_id, login_date, login_time, country, source_ip"
+    if history is None:
+        rows = successes(events).where(f"login_date < date'{since}'")
+    else:
+        rows = history.where("last_success IS NOT NULL").select("username", "country", "last_success.*")
+    newest = rows.groupBy("username").agg(F.expr(f"max(struct({columns})) AS m"))
+    return newest.select("username", "m.*").select("username", *_CARRIED)
 
 
 def travel_transitions(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -54,16 +53,18 @@ def detect_impossible_travel(
     travel_exceptions: DataFrame,
     cfg: HuntConfig,
     hot_rows: int = HOT_ROWS,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Legs whose required speed exceeds the gate; excepted pairs drop to MEDIUM.
 
     The pair tables have one row per unordered country pair, at most about 31,000, so
-    broadcasting them is bounded. Arithmetic is in whole seconds and kilometres.
+    broadcasting them is bounded. Arithmetic is in whole seconds and kilometres. Of the
+    time before the window only one row per account takes part.
     """
     pair = ["country_a", "country_b"]
-    legs = with_previous(
-        _successes_since(events, cfg.detection_start), _CARRIED, CHANGED_COUNTRY, hot_rows
-    )
+    recent = since_day(successes(events), cfg.detection_start).select("username", *_CARRIED)
+    rows = recent.unionByName(_last_before(events, cfg.detection_start, history))
+    legs = with_previous(rows, _CARRIED, CHANGED_COUNTRY, hot_rows, counted=recent)
     legs = with_pair(since_day(legs, cfg.detection_start), "prev.country").join(
         F.broadcast(country_distance), pair
     ).join(F.broadcast(travel_exceptions), pair, "left")

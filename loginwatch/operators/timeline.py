@@ -29,20 +29,25 @@ def hot_accounts(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return counts.where(f"n > {hot_rows}").selectExpr("username", "true AS is_hot")
 
 
-def with_chunk(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_chunk(rows: DataFrame, hot_rows: int = HOT_ROWS, counted: DataFrame | None = None) -> DataFrame:
     """Add ``chunk``: 0 for ordinary accounts, the second of the event for hot ones.
 
+    ``counted`` may name the rows that decide, where ``rows`` adds only a few to them.
     The hot list is broadcast; by counting it holds at most rows / hot_rows names
     (250,000 for 10^12 rows), and a name is all a row carries.
     """
-    hot = F.broadcast(hot_accounts(rows, hot_rows))
+    hot = F.broadcast(hot_accounts(rows if counted is None else counted, hot_rows))
     return rows.join(hot, "username", "left").selectExpr(
         *rows.columns, "if(is_hot, unix_seconds(ts), 0L) AS chunk"
     )
 
 
 def with_previous(
-    rows: DataFrame, fields: Sequence[str], keep: str | None = None, hot_rows: int = HOT_ROWS
+    rows: DataFrame,
+    fields: Sequence[str],
+    keep: str | None = None,
+    hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``prev``, a struct of ``fields`` from the account's preceding row.
 
@@ -51,7 +56,7 @@ def with_previous(
     """
     columns, carried = rows.columns, f"lag(struct({', '.join(fields)}))"
     inside = "OVER (PARTITION BY username, chunk ORDER BY ts, event_id)"
-    local = with_chunk(rows, hot_rows).selectExpr(
+    local = with_chunk(rows, hot_rows, counted).selectExpr(
         "*", f"{carried} {inside} AS prev", f"lead(event_id) {inside} IS NULL AS is_last"
     )
     if keep is not None:

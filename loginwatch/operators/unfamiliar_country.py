@@ -11,13 +11,13 @@ from loginwatch.operators.baselines import country_profile
 from loginwatch.operators.normalize import named, since_day, successes
 
 
-def suspect_pairs(events: DataFrame, cfg: HuntConfig) -> DataFrame:
+def suspect_pairs(events: DataFrame, cfg: HuntConfig, history: DataFrame | None = None) -> DataFrame:
     """The account-country pairs that can fire.
 
     With a baseline: countries not in it, at any time. Without one: only the account's
     first success, so the pair carries the instant that must be met.
     """
-    return country_profile(events, cfg).where(
+    return country_profile(events, cfg, history).where(
         "NOT known AND (size(known_countries) > 0 OR first_ts = account_first_ts)"
     ).selectExpr(
         "username", "country",
@@ -26,10 +26,12 @@ def suspect_pairs(events: DataFrame, cfg: HuntConfig) -> DataFrame:
     )
 
 
-def detect_unfamiliar_country(events: DataFrame, employees: DataFrame, cfg: HuntConfig) -> DataFrame:
+def detect_unfamiliar_country(
+    events: DataFrame, employees: DataFrame, cfg: HuntConfig, history: DataFrame | None = None
+) -> DataFrame:
     """One equi-join of window successes with the few suspect pairs."""
     recent = since_day(successes(events), cfg.detection_start)
-    hits = recent.join(suspect_pairs(events, cfg), ["username", "country"]).where(
+    hits = recent.join(suspect_pairs(events, cfg, history), ["username", "country"]).where(
         "only_at IS NULL OR ts = only_at"
     )
     return named(hits, employees).selectExpr(

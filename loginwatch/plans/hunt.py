@@ -12,6 +12,7 @@ from loginwatch.config import HuntConfig
 from loginwatch.operators import after_hours, baselines, brute_force, impossible_travel, integrity
 from loginwatch.operators import inactive_account, metrics, password_spray, triage, unfamiliar_country
 from loginwatch.operators.enrich import ThreatFeed
+from loginwatch.operators.history import account_history
 from loginwatch.operators.normalize import login_events, since_day
 from loginwatch.plans.session import stored
 from loginwatch.sources import demo, reference
@@ -24,10 +25,20 @@ class Hunt:
     ``tables`` maps table names to functions, so a query only plans what it reads.
     """
 
-    def __init__(self, tables: Mapping[str, Callable[[], DataFrame]], cfg: HuntConfig):
+    def __init__(
+        self,
+        tables: Mapping[str, Callable[[], DataFrame]],
+        cfg: HuntConfig,
+        history: DataFrame | None = None,
+    ):
         self._tables = tables
         self._built: dict[str, DataFrame] = {}
         self.cfg = cfg
+        self.history = history
+
+    def with_stored_history(self) -> Hunt:
+        """The same hunt over a stored account history: later steps skip the old days."""
+        return Hunt(self._tables, self.cfg, stored(account_history(self.events, self.cfg), "history"))
 
     def table(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -56,15 +67,18 @@ class Hunt:
         return ThreatFeed.load(self.table("ip_enrichment"))
 
     def unfamiliar_country(self) -> DataFrame:
-        return unfamiliar_country.detect_unfamiliar_country(self.events, self.employees, self.cfg)
+        return unfamiliar_country.detect_unfamiliar_country(
+            self.events, self.employees, self.cfg, self.history
+        )
 
     def impossible_travel(self) -> DataFrame:
         return impossible_travel.detect_impossible_travel(
-            self.events, self.employees, self.country_distance, self.travel_exceptions, self.cfg
+            self.events, self.employees, self.country_distance, self.travel_exceptions, self.cfg,
+            history=self.history,
         )
 
     def after_hours(self) -> DataFrame:
-        return after_hours.detect_after_hours(self.events, self.employees, self.cfg)
+        return after_hours.detect_after_hours(self.events, self.employees, self.cfg, self.history)
 
     def brute_force(self) -> DataFrame:
         return brute_force.detect_brute_force(self.events, self.employees, self.cfg)

@@ -426,6 +426,11 @@ _BODIES: dict[str, str] = {
     "dept_hour_baseline": "SELECT * FROM dept_hours",
     "hour_windows": "SELECT * FROM windows",
     "patch_status": "SELECT * FROM patches",
+    "account_history": f"""
+        SELECT username, country, {_text('min(ts)')} AS first_ts, count(*) AS baseline_logins,
+               min(login_hour) AS min_hour, max(login_hour) AS max_hour,
+               max_by(event_id, (ts, event_id)) AS last_event_id
+        FROM wins WHERE login_date < {_START} GROUP BY username, country""",
     "detect_unfamiliar_country": "SELECT * FROM det_unfamiliar",
     "travel_transitions": f"""
         SELECT event_id, username, CAST(login_date AS VARCHAR) AS login_date, login_time, country, source_ip,
@@ -444,6 +449,7 @@ _BODIES: dict[str, str] = {
     "detect_bruteforce_failed": "SELECT * REPLACE (CAST(login_date AS VARCHAR) AS login_date) FROM det_failed",
     "detect_inactive_account": "SELECT * FROM det_inactive",
     "triage_queue": f"SELECT {_QUEUE_COLUMNS} FROM queue",
+    "triage_queue_from_history": f"SELECT {_QUEUE_COLUMNS} FROM queue",
     "triage_summary": """
         SELECT count(*) AS total, count(*) FILTER (WHERE severity = 'HIGH') AS high,
                count(*) FILTER (WHERE severity = 'MEDIUM') AS medium, count(*) FILTER (WHERE severity = 'LOW') AS low

@@ -13,6 +13,7 @@ from loginwatch.operators import baselines, correlate, geography, hunts, impossi
 from loginwatch.operators import incidents, inactive_account, integrity, labels, metrics
 from loginwatch.operators import password_spray, triage
 from loginwatch.operators.enrich import ThreatFeed, account_status, classify_source, ip_enrichment
+from loginwatch.operators.history import account_history
 from loginwatch.operators.normalize import failures, login_events
 from loginwatch.plans.hunt import Hunt, demo_hunt
 from loginwatch.plans.report import detection_report
@@ -86,6 +87,10 @@ QUERIES: dict[str, Query] = {
     "dept_hour_baseline": lambda h, s, d: baselines.dept_hour_baseline(h.events, h.employees, h.cfg),
     "hour_windows": lambda h, s, d: baselines.hour_windows(h.events, h.employees, h.cfg),
     "patch_status": lambda h, s, d: h.patches(),
+    "account_history": lambda h, s, d: account_history(h.events, h.cfg).select(
+        "username", "country", "first_ts", "baseline_logins", "min_hour", "max_hour",
+        F.col("last_success.event_id").alias("last_event_id"),
+    ),
     # Detections
     "detect_unfamiliar_country": lambda h, s, d: h.unfamiliar_country(),
     "travel_transitions": lambda h, s, d: impossible_travel.travel_transitions(h.events),
@@ -98,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "detect_inactive_account": lambda h, s, d: h.inactive_account(),
     # Triage and integrity
     "triage_queue": lambda h, s, d: h.queue(),
+    "triage_queue_from_history": lambda h, s, d: h.with_stored_history().queue(),
     "triage_summary": lambda h, s, d: triage.triage_summary(h.queue()),
     "high_severity_findings": lambda h, s, d: triage.high_severity_findings(h.queue()),
     "user_timeline": lambda h, s, d: triage.user_timeline(h.events, h.brute_force(), h.cfg),

@@ -125,3 +125,40 @@ def test_prefix_mode_and_empty_feed(tables):
     empty = ThreatFeed.load(tables.table([], IP_ENRICHMENT))
     assert ip_enrichment(events, empty).count() == 0
     assert with_intel(events, empty, outer=True).count() == len(ADDRESSES)
+
+
+def test_history_merges_and_replaces_the_old_days(tables):
+    from loginwatch.operators import after_hours, baselines, unfamiliar_country
+    from loginwatch.operators.history import account_history, merge_history
+    from loginwatch.operators.normalize import since_day
+    from loginwatch.schemas import COUNTRY_DISTANCE, TRAVEL_EXCEPTIONS
+
+    cfg = config(hour_baseline_min_samples=3, baseline_end="2024-05-09")   # a day between the two
+    rnd = random.Random(11)
+    rows = [
+        (i, f"u{rnd.randrange(6)}", day(rnd.randrange(-4, 3), f"{rnd.randrange(24):02d}:00:0{rnd.randrange(3)}"),
+         rnd.choice(["US", "DE", "CA", "RU"]), int(rnd.random() < 0.6), "1.1.1.1") for i in range(90)
+    ]
+    rows = [r for r in rows if not (r[1] == "u5" and r[2] < day(0, "00:00:00"))]
+    events, staff = tables.events(rows), tables.employees([(f"u{i}", "Sales", "Active") for i in range(6)])
+    cut = "login_date < date'2024-05-08'"
+    parts = [account_history(events.where(c), cfg) for c in (cut, f"NOT {cut}")]
+    history = merge_history(*parts)
+    as_set = lambda frame: sorted(map(str, frame.collect()))
+    assert as_set(history.orderBy("username")) == as_set(account_history(events, cfg).orderBy("username"))
+    window = since_day(events, cfg.detection_start)
+    km = tables.table([("DE", "US", 7800), ("CA", "US", 1900), ("CA", "RU", 6650)], COUNTRY_DISTANCE)
+    excused = tables.table([], TRAVEL_EXCEPTIONS)
+    assert as_set(baselines.hour_windows(events, staff, cfg)) == as_set(
+        baselines.account_windows(window, staff, cfg, history).select(
+            "username", "baseline_source", "window_start", "window_end"))
+    pairs = [
+        (unfamiliar_country.detect_unfamiliar_country(events, staff, cfg),
+         unfamiliar_country.detect_unfamiliar_country(window, staff, cfg, history)),
+        (after_hours.detect_after_hours(events, staff, cfg),
+         after_hours.detect_after_hours(window, staff, cfg, history)),
+        (impossible_travel.detect_impossible_travel(events, staff, km, excused, cfg),
+         impossible_travel.detect_impossible_travel(window, staff, km, excused, cfg, history=history)),
+    ]
+    for whole, from_history in pairs:
+        assert as_set(whole) == as_set(from_history) and whole.count() > 0
