@@ -18,6 +18,7 @@ from loginwatch.functions.text import joined
 from loginwatch.operators.impossible_travel import CHANGED_COUNTRY, with_pair
 from loginwatch.operators.normalize import after, failures, successes
 from loginwatch.operators.password_spray import source_day_accounts
+from loginwatch.operators.sizing import broadcast_if_small
 from loginwatch.operators.timeline import HOT_ROWS, with_previous
 
 
@@ -183,7 +184,7 @@ def hunt_inactive_account(
     inactive = identity_feed.where("account_status != 'Active'").selectExpr(
         "principal AS username", "account_status"
     )
-    return _recent(events, asof, lookback).join(inactive, "username").selectExpr(
+    return _recent(events, asof, lookback).join(broadcast_if_small(inactive), "username").selectExpr(
         "event_id", "username", "account_status", "ts", "success", "source_ip", "country",
         "if(success = 1, 'CRITICAL', 'HIGH') AS severity",
     )
