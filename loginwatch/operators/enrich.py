@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loginwatch.functions import net
+from loginwatch.operators.sizing import broadcast_if_small
 
 # A range row is about 100 bytes; 200,000 of them are broadcast, more are shuffled.
 BROADCAST_RANGES = 200_000
@@ -128,4 +129,4 @@ def account_status(events: DataFrame, employees: DataFrame) -> DataFrame:
     Works on a streaming ``events`` too: a stream-static join without state.
     """
     status = employees.selectExpr("employee_id AS username", "status AS account_status")
-    return events.join(status, "username", "left")
+    return events.join(broadcast_if_small(status), "username", "left")

@@ -56,8 +56,7 @@ def as_text(frame: DataFrame) -> DataFrame:
 
 def _stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The demo log as a stream over the same file."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    raw = spark.readStream.schema(demo.EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     return login_events(demo.attempts_from(raw))
 
 

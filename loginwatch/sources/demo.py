@@ -10,10 +10,18 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
 
+EVENTS = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+)
+CUSTOMER = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+ORDERS = (
+    "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+)
+
 SPLIT = date(2024, 1, 16)
 ASOF_PATCH = date(2001, 8, 1)
 
@@ -40,7 +48,9 @@ _OWNER = "if(o_custkey % 10 = 9, o_custkey - 1, o_custkey)"
 
 
 def _with_attempt_columns(events: DataFrame) -> DataFrame:
-    return events.withColumn("k", F.expr("cast(get_json_object(props, '$.k') AS int)")).selectExpr(
+    # props is {"k": n}
+    k = "cast(substring_index(substring_index(props, ': ', -1), '}', 1) AS int) AS k"
+    return events.selectExpr("event_id", "ts", "user_id", "event_type", k).selectExpr(
         "event_id",
         f"{_ACCOUNT.format(n='user_id')} AS username",
         "cast(ts AS date) AS login_date",
@@ -63,7 +73,7 @@ def _with_attempt_columns(events: DataFrame) -> DataFrame:
 
 def attempts_with_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attempts plus the two source columns the demo labels are derived from."""
-    return _with_attempt_columns(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return _with_attempt_columns(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
 def log_in_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +86,7 @@ def attempts_from(events: DataFrame) -> DataFrame:
 
 
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(
+    return spark.read.schema(CUSTOMER).parquet(f"{sf_dir}/customer.parquet").selectExpr(
         f"{_ACCOUNT.format(n='c_custkey')} AS employee_id",
         "substring_index(c_name, '#', 1) AS first_name",
         "substring_index(c_name, '#', -1) AS last_name",
@@ -91,7 +101,7 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def machines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One device per order; some have no recorded owner or one the directory lacks."""
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+    return spark.read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet").selectExpr(
         "concat('DEV-', o_orderkey) AS device_id",
         f"""CASE WHEN o_orderkey % 89 = 0 THEN cast(NULL AS string)
                  WHEN o_orderkey % 97 = 0 THEN concat('X', o_orderkey)
@@ -107,7 +117,7 @@ def machines_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     One in 53 is listed under an old device id, so it exists in one inventory only.
     """
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+    return spark.read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet").selectExpr(
         "concat(if(o_orderkey % 53 = 52, 'OLD-', 'DEV-'), o_orderkey) AS device_id",
         f"""if(o_orderkey % 50 = 0, {_ACCOUNT.format(n=f'({_OWNER} + 1)')},
                {_ACCOUNT.format(n=_OWNER)}) AS employee_id""",
@@ -115,9 +125,7 @@ def machines_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def identity_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return employees(spark, sf_dir).select(
-        F.col("employee_id").alias("principal"), F.col("status").alias("account_status")
-    )
+    return employees(spark, sf_dir).selectExpr("employee_id AS principal", "status AS account_status")
 
 
 def _labelled(rows: DataFrame, key: str, labels: list[str]) -> DataFrame:
@@ -157,14 +165,14 @@ def ground_truth_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
         return f"if({when}, named_struct('anomaly_class', '{name}', 'notes', 'demo'), NULL)"
 
     devices = _labelled(
-        spark.read.parquet(f"{sf_dir}/orders.parquet"), "concat('DEV-', o_orderkey) AS asset_id", [
+        spark.read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet"), "concat('DEV-', o_orderkey) AS asset_id", [
             label("o_orderkey % 97 = 0", "orphan_device"),
             label("o_orderkey % 150 = 0", "inventory_mismatch"),
             label("cast(o_orderdate AS date) < date'2000-01-01'", "critical_patch_age"),
         ],
     )
     people = _labelled(
-        spark.read.parquet(f"{sf_dir}/customer.parquet"),
+        spark.read.schema(CUSTOMER).parquet(f"{sf_dir}/customer.parquet"),
         f"{_ACCOUNT.format(n='c_custkey')} AS asset_id",
         [label("c_custkey % 10 = 9", "user_without_device")],
     )

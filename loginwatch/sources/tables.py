@@ -26,15 +26,14 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow_schema))
 
 
-def write_login_log(attempts: DataFrame, path: str, mode: str = "append") -> None:
-    """Write the event log one directory per day.
+def write_login_log(attempts: DataFrame, path: str, mode: str = "append", files_per_day: int = 32) -> None:
+    """Write the event log one directory per day, in ``files_per_day`` files.
 
-    Rows of a day are spread over tasks by a hash of the event id, so one busy day
-    or account is never a single writer.
+    Rows of a day are spread by a hash of the event id, so one busy day or account is
+    never a single writer.
     """
-    attempts.repartition("login_date", F.pmod(F.xxhash64("event_id"), F.lit(32))).write.mode(
-        mode
-    ).partitionBy("login_date").parquet(path)
+    part = F.expr(f"pmod(xxhash64(event_id), {files_per_day})")
+    attempts.repartition("login_date", part).write.mode(mode).partitionBy("login_date").parquet(path)
 
 
 def read_login_log(spark: SparkSession, path: str) -> DataFrame:
