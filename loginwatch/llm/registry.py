@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loginwatch.llm import bpe, decontamination, sharding, simhash
+from loginwatch.llm import bpe, decontamination, quality_rules, sharding, simhash
 from loginwatch.llm.common import table
 
 #: Where the vocabulary lies; a parameter of the operator.
@@ -15,6 +15,9 @@ BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": lambda s, d: sharding.document_shards(table(s, d, "documents")),
+    "op2_quality_rules": lambda s, d: quality_rules.quality_report(
+        table(s, d, "documents"), table(s, d, "labels")
+    ),
     "op3_simhash": lambda s, d: simhash.near_copy_classes(table(s, d, "documents")),
     "op4_bpe": lambda s, d: bpe.token_digests(table(s, d, "documents"), BPE_FILE),
     "op5_decontamination": lambda s, d: decontamination.contamination_report(

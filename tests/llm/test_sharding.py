@@ -1,0 +1,58 @@
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from loginwatch.llm import sharding
+
+from .cases import documents, odd_documents, table
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 16, 17, 255, 1000, 4097])
+def test_permutation_is_one_to_one_and_invertible(size):
+    p = sharding.Permutation(size, seed=7)
+    out = p.forward(np.arange(size))
+    assert sorted(out) == list(range(size))
+    assert (p.inverse(out) == np.arange(size)).all()
+
+
+def test_permutation_depends_on_seed_and_mixes():
+    a, b = (sharding.Permutation(10_000, s).forward(np.arange(10_000)) for s in (1, 2))
+    assert (a == b).mean() < 0.01
+    assert abs(np.corrcoef(a, np.arange(10_000))[0, 1]) < 0.05
+
+
+@pytest.mark.parametrize("make", [odd_documents, lambda s: table(s, "documents"), lambda s: documents(s, [])])
+def test_shards_are_even_gapless_and_computable(spark, make):
+    docs = make(spark)
+    rows = sharding.document_shards(docs, 16, seed=3).collect()
+    assert len(rows) == docs.count()
+    counts = Counter(r.shard for r in rows)
+    assert not rows or max(counts.values()) - min(counts[s] for s in range(16)) <= 1
+    for s, n in counts.items():
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(n))
+    order = sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.size, r.text_crc32))
+    assert [(r.doc_id, r.size) for r in sorted(rows, key=lambda r: r.row)] == [(r.doc_id, r.size) for r in order]
+    for r in rows:
+        assert sharding.locate(r.row, len(rows), 16, 3) == (r.shard, r.slot)
+        assert sharding.row_at(r.shard, r.slot, len(rows), 16, 3) == r.row
+    texts = Counter((d.doc_id, d.text) for d in docs.select("doc_id", "text").collect())
+    want = Counter()
+    for (i, t), n in texts.items():
+        want[(i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode()))] += n
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == want
+    assert {(r.law, r.grown_shard) for r in rows} <= {("rows", None)}
+
+
+def test_result_does_not_depend_on_partitions(spark):
+    docs = table(spark, "documents")
+    one, many = (
+        {tuple(r) for r in sharding.document_shards(d).collect()} for d in (docs.coalesce(1), docs.repartition(7))
+    )
+    assert one == many
+
+
+def test_clashing_columns_are_replaced(spark):
+    frame = spark.createDataFrame([(1, 5, 6), (2, 5, 6)], "key long, row long, slot long")
+    assert sorted(r.row for r in sharding.shard(frame, ["key"], 2).collect()) == [0, 1]
