@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 import numpy as np
@@ -21,6 +23,25 @@ LEAF = 1024
 BATCH = 1 << 20
 
 
+@contextmanager
+def library_threads(on: bool):
+    """Whether the library splits a batch over threads; it reads the variable at each call.
+
+    Off for batches of whole texts, where Spark's tasks fill the cores; on for the leaves
+    of one long piece, which no other task can share.
+    """
+    name = "TOKENIZERS_PARALLELISM"
+    before = os.environ.get(name)
+    os.environ[name] = "true" if on else "false"
+    try:
+        yield
+    finally:
+        if before is None:
+            del os.environ[name]
+        else:
+            os.environ[name] = before
+
+
 class TreeEncoder:
     """A tokenizer file, with long pieces encoded in halves."""
 
@@ -83,7 +104,8 @@ class TreeEncoder:
         """The tree: leaves are encoded side by side by the library's threads, then joined
         in pairs, level by level."""
         leaves = [piece[i: i + self.leaf] for i in range(0, len(piece), self.leaf)]
-        level = [e.ids for e in self.piece.encode_batch_fast(leaves, add_special_tokens=False)]
+        with library_threads(True):
+            level = [e.ids for e in self.piece.encode_batch_fast(leaves, add_special_tokens=False)]
         while len(level) > 1:
             joined = [self.concatenate(level[i], level[i + 1]) for i in range(0, len(level) - 1, 2)]
             level = joined + level[len(joined) * 2:]
@@ -136,10 +158,11 @@ def encode_decode(frame: DataFrame, path: str, column: str = "text") -> DataFram
     @F.pandas_udf(result)
     def run(texts: pd.Series) -> pd.DataFrame:
         encoder, ids, decoded = _encoder(path), [], []
-        for part in _slices(texts.tolist()):
-            got = encoder.encode_batch(part)
-            ids += [x.tobytes() for x in got]
-            decoded += encoder.decode_batch(got)
+        with library_threads(False):
+            for part in _slices(texts.tolist()):
+                got = encoder.encode_batch(part)
+                ids += [x.tobytes() for x in got]
+                decoded += encoder.decode_batch(got)
         return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(decoded, dtype=object)})
 
     other = [c for c in frame.columns if c not in ("ids", "decoded")]
