@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loginwatch.llm import bpe, decontamination, quality_rules, sharding, simhash
+from loginwatch.llm import bpe, classifier, decontamination, pii, quality_rules, sharding, simhash, url_filters
 from loginwatch.llm.common import table
 
 #: Where the vocabulary lies; a parameter of the operator.
@@ -23,6 +23,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": lambda s, d: decontamination.contamination_report(
         table(s, d, "documents"), table(s, d, "benchmark")
     ),
+    "op6_url_filters": lambda s, d: url_filters.url_verdicts(table(s, d, "pages")),
+    "op8_classifier": lambda s, d: classifier.quality_scores(
+        table(s, d, "documents"), table(s, d, "labels")
+    ),
+    "op9_pii": lambda s, d: pii.span_report(table(s, d, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {}
