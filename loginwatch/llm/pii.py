@@ -177,22 +177,27 @@ def disclosing(mentions: DataFrame, counts: DataFrame) -> DataFrame:
     differ must show the pair: copies of one passage are no evidence.
     """
     pairs = mentions.groupBy("pair", "entity", "term").agg(
-        F.sum("times").alias("together"), F.count(F.lit(1)).alias("n"),
+        F.sum("times").alias("together"), F.count(F.lit(1)).alias("mentions"),
         (F.min("window") < F.max("window")).alias("shown"),
     )
     entities = mentions.groupBy("entity").agg(F.sum("times").alias("in_windows"))
-    everything = counts.agg(F.sum("n").alias("n"))
     shown = stored(pairs.where("shown").drop("shown"), "pii_pairs")
-    # Terms and entities that occur in few pairs each; a hot one has its few rows salted by the other key.
-    weighed = (
-        shown.join(entities, "entity").join(counts.withColumnRenamed("n", "seen"), "term")
-        .withColumn("everything", everything.scalar())
+    total = shown.count()
+    per_entity = shown.groupBy("entity").agg(F.count(F.lit(1)).alias("n")).join(entities, "entity")
+    per_term = shown.groupBy("term").agg(F.count(F.lit(1)).alias("n")).join(
+        counts.withColumnRenamed("n", "seen"), "term"
+    )
+    half = stored(split_join(shown, stored(per_entity, "pii_entities"), "entity", total).drop("n"), "pii_weighed")
+    weighed = split_join(half, stored(per_term, "pii_seen"), "term", total).drop("n").withColumn(
+        "everything", counts.agg(F.sum("n")).scalar()
     )
     share = F.log2(F.col("together") * F.col("everything") / (F.col("seen") * F.col("in_windows")))
     content = F.log2(F.col("everything") / F.col("in_windows"))
     return weighed.withColumn("share", F.when(content > 0, share / content).otherwise(0.0)).where(
         f"share >= {GENERALISE}"
-    ).select("pair", F.expr(f"if(share >= {REMOVE}, {REMOVED}, {GENERAL})").alias("kind"), "n")
+    ).select(
+        "pair", F.expr(f"if(share >= {REMOVE}, {REMOVED}, {GENERAL})").alias("kind"), F.col("mentions").alias("n"),
+    )
 
 
 def found_data(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -243,7 +248,7 @@ def span_report(documents: DataFrame) -> DataFrame:
     """The result of the query."""
     return personal_data(documents).select(
         "doc_id",
-        *[F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in BASE],
+        *[F.expr(f"bigint(size(filter(base, s -> s.kind = {k})))").alias(f"n_{KINDS[k]}") for k in BASE],
         F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"),
     )
 

@@ -140,7 +140,10 @@ def links(prints: DataFrame) -> DataFrame:
     within one bit of both, so each is replicated to its 65 words, and the at most 65
     fingerprints of a word are linked to the least of them. No pair is lost either way.
     """
-    placed = stored(prints.select("fp").mapInPandas(_anchors, "anchor long, fp long, home boolean"), "anchors")
+    # Each row grows by two orders: many tasks, however few files hold the fingerprints.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = prints.select("fp").repartition(parts, "fp")
+    placed = stored(spread.mapInPandas(_anchors, "anchor long, fp long, home boolean"), "anchors")
     sizes = placed.groupBy("anchor").agg(F.count(F.lit(1)).alias("members"), F.max("home").alias("lived"))
     used = placed.join(sizes.where("lived AND members > 1"), "anchor")
     home, reach = used.where(f"home AND members <= {CROWD}"), used.where(f"members <= {CROWD}")
