@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loginwatch.llm import bpe, classifier, decontamination, pii, quality_rules, sharding, simhash, url_filters
+from loginwatch.llm import bpe, classifier, decontamination, pii, quality_rules, sharding, simhash, url_filters, warc
 from loginwatch.llm.common import table
+from loginwatch.plans.session import shared_dir
 
 #: Where the vocabulary lies; a parameter of the operator.
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         table(s, d, "documents"), table(s, d, "benchmark")
     ),
     "op6_url_filters": lambda s, d: url_filters.url_verdicts(table(s, d, "pages")),
+    "op7_warc": lambda s, d: warc.archived(table(s, d, "pages"), shared_dir(s, "warc")),
     "op8_classifier": lambda s, d: classifier.quality_scores(
         table(s, d, "documents"), table(s, d, "labels")
     ),
