@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loginwatch.llm import bpe, classifier, decontamination, pii, quality_rules, sharding, simhash, url_filters, warc
+from loginwatch.llm import bpe, classifier, decontamination, html_text, pii, quality_rules, sharding, simhash, url_filters, warc
 from loginwatch.llm.common import table
 from loginwatch.plans.session import shared_dir
 
@@ -30,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         table(s, d, "documents"), table(s, d, "labels")
     ),
     "op9_pii": lambda s, d: pii.span_report(table(s, d, "documents")),
+    "op10_html_text": lambda s, d: html_text.page_texts(table(s, d, "pages")),
 }
 
 ORACLE_SQL: dict[str, str] = {}
