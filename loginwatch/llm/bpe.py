@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -13,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tiktoken import Encoding
 from tokenizers import Tokenizer
 
 #: Characters of a run that the pre-tokenizer leaves whole, from which it is halved.
@@ -21,6 +23,10 @@ LONG = 4096
 LEAF = 1024
 #: Characters handed to the library at once.
 BATCH = 1 << 20
+#: The split of a byte-level pre-tokenizer; a fixed value.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Characters beyond those whose classes are the same in every edition of Unicode's tables.
+_UNUSUAL = re.compile("[^\0-\u024f\u2000-\u206f]")
 
 
 @contextmanager
@@ -42,6 +48,33 @@ def library_threads(on: bool):
             os.environ[name] = before
 
 
+def _bytes_of_letters() -> dict[str, int]:
+    """The byte alphabet: printable Latin-1 stands for itself, other bytes from 256 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def _by_rank(path: str, added: dict[str, int]) -> Encoding | None:
+    """The same encoding by ranks, which takes a third of the time; None for a file whose
+    merges are not in the order of their ids or that splits in another way."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    model, pre = spec["model"], spec["pre_tokenizer"] or {}
+    merges = [m if isinstance(m, str) else " ".join(m) for m in model.get("merges", ())]
+    ids = [model["vocab"].get(m.replace(" ", "")) for m in merges]
+    plain = (
+        model["type"] == "BPE" and spec["normalizer"] is None and pre.get("type") == "ByteLevel" and pre.get("use_regex")
+        and not pre.get("add_prefix_space") and not model.get("dropout") and not model.get("ignore_merges")
+        and None not in ids and ids == sorted(set(ids))
+    )
+    if not plain:
+        return None
+    letters = _bytes_of_letters()
+    ranks = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items() if t not in added}
+    return Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=added)
+
+
 class TreeEncoder:
     """A tokenizer file, with long pieces encoded in halves."""
 
@@ -52,19 +85,26 @@ class TreeEncoder:
         # The merges alone: what it gets is one piece, in the byte alphabet of the vocabulary.
         self.piece = Tokenizer(self.whole.model)
         self.long, self.leaf = long, leaf
-        added = sorted((t.content for t in self.whole.get_added_tokens_decoder().values()), key=len, reverse=True)
+        specials = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items()}
+        added = sorted(specials, key=len, reverse=True)
         self.added = re.compile(f"({'|'.join(map(re.escape, added))})") if added else None
+        self.ranks = _by_rank(path, specials)
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text, as the library gives them without adding special tokens."""
-        out: list[np.ndarray | None] = [
-            self._encode_long(t) if self._has_long_run(t) else None for t in texts
-        ]
+        out = [self._encode_one(t) for t in texts]
         plain = [i for i, ids in enumerate(out) if ids is None]
         for i, got in zip(plain, self.whole.encode_batch_fast([texts[i] for i in plain], add_special_tokens=False)):
             out[i] = np.array(got.ids, "<u4")
         return out
 
+    def _encode_one(self, text: str) -> np.ndarray | None:
+        if self._has_long_run(text):
+            return self._encode_long(text)
+        if self.ranks and not _UNUSUAL.search(text):
+            return np.array(self.ranks.encode(text, allowed_special="all"), "<u4")
+        return None
+
     def decode_batch(self, ids: list[np.ndarray]) -> list[str]:
         return self.whole.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
 

@@ -38,6 +38,22 @@ def test_tree_equals_the_library_on_long_runs(library, leaf):
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text[:40]
 
 
+def test_ranks_equal_the_library_on_all_usual_characters(library):
+    encoder = bpe.TreeEncoder(PATH)
+    assert encoder.ranks
+    usual = [chr(c) for c in [*range(0x250), *range(0x2000, 0x2070)]]
+    texts = [f"a{c}b {c} {c}{c} 1{c}2 {c}'s\n{c}\n" for c in usual] + ["".join(usual), "<|endoftext|>", "x<|endoftext|> <|endoftext|"]
+    for text, ids in zip(texts, encoder.encode_batch(texts)):
+        assert encoder._encode_one(text) is not None
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    assert encoder._encode_one("中") is None
+
+
+def test_other_tokenizer_files_go_through_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert bpe._by_rank(path, {}) is None
+
+
 def test_joins_of_any_halves(library):
     encoder = bpe.TreeEncoder(PATH)
     rng = random.Random(1)
