@@ -14,17 +14,30 @@ from pyspark.sql import functions as F
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
+#: ``HH:MM`` or ``HH:MM:SS``, with or without a fraction, within one day.
+_TIME_OF_DAY = "^([01][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9]([.][0-9]+)?)?$"
+
+
+def is_time_of_day(login_time: str = "login_time") -> str:
+    return f"coalesce({login_time} RLIKE '{_TIME_OF_DAY}', false)"
+
+
 def hour_of(login_time: str = "login_time") -> str:
-    """Hour of an ``HH:MM:SS`` text; NULL when malformed."""
-    return f"try_cast(substring({login_time}, 1, 2) AS int)"
+    """Hour of a time of day; NULL for NULL and for text that is none, such as ``25:00:00``."""
+    return f"if({is_time_of_day(login_time)}, cast(substring({login_time}, 1, 2) AS int), NULL)"
 
 
 def login_instant(login_date: str = "login_date", login_time: str = "login_time") -> str:
-    """Date plus time-of-day text as a timestamp, by arithmetic and not by parsing."""
+    """Date plus time-of-day text as a timestamp, by arithmetic; missing seconds are 0.
+
+    NULL where the text is no time of day: an impossible time never rolls into another
+    day. :func:`loginwatch.operators.integrity.dataset_invariants` counts those rows.
+    """
     return (
-        f"timestamp_seconds(cast(unix_date({login_date}) AS bigint) * 86400 + {hour_of(login_time)} * 3600"
-        f" + try_cast(substring({login_time}, 4, 2) AS int) * 60"
-        f" + try_cast(substring({login_time}, 7, 2) AS int))"
+        f"if({is_time_of_day(login_time)},"
+        f" timestamp_seconds(cast(unix_date({login_date}) AS bigint) * 86400"
+        f" + cast(substring({login_time}, 1, 2) AS int) * 3600 + cast(substring({login_time}, 4, 2) AS int) * 60"
+        f" + coalesce(try_cast(substring({login_time}, 7, 2) AS int), 0)), NULL)"
     )
 
 

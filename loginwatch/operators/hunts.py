@@ -14,10 +14,9 @@ from pyspark.sql import functions as F
 
 from loginwatch.functions import clock
 from loginwatch.functions.accounts import country_severity, starts_as_service
-from loginwatch.functions.text import joined
 from loginwatch.operators.impossible_travel import CHANGED_COUNTRY, with_pair
 from loginwatch.operators.normalize import after, failures, successes
-from loginwatch.operators.password_spray import source_day_accounts
+from loginwatch.operators.password_spray import source_day_accounts, with_name_pages
 from loginwatch.operators.sizing import broadcast_if_small
 from loginwatch.operators.timeline import HOT_ROWS, with_previous
 
@@ -153,25 +152,45 @@ def hunt_password_spray(
     asof: datetime,
     lookback: timedelta = timedelta(days=7),
     min_accounts: int = 5,
-    exact: bool = False,
+    page: int | None = None,
 ) -> DataFrame:
-    """Sources failing against many accounts in a day.
+    """Sources failing against many accounts in a day; breadth is counted exactly.
 
-    The default estimates breadth with a sketch and one small shuffle; ``exact`` counts
-    and also names the accounts.
+    Accounts are folded per source and day first, so that a busy source is spread over
+    its accounts. With ``page``, their names come too, on pages of about that many.
+    """
+    accounts = source_day_accounts(failures(_recent(events, asof, lookback)))
+    groups = accounts.groupBy("source_ip", "login_date").agg(
+        F.expr("count_if(username IS NOT NULL) AS accounts_targeted"), F.expr("sum(failures) AS total_failures"),
+        F.expr("count(1) AS accounts"),
+    ).where(f"accounts_targeted >= {min_accounts}")
+    if page is not None:
+        groups = with_name_pages(groups, accounts, page)
+    return groups.drop("accounts").withColumnRenamed("login_date", "day")
+
+
+def hunt_password_spray_estimate(
+    events: DataFrame,
+    asof: datetime,
+    lookback: timedelta = timedelta(days=7),
+    min_accounts: int = 5,
+    error: float = 0.05,
+) -> DataFrame:
+    """The exact hunt with ``estimate``, the breadth as a sketch sees it.
+
+    The sketch needs one small shuffle and serves dashboards; it never decides who is
+    reported. ``close`` tells whether it is within ``error`` of the exact count (or off by
+    one account at most).
     """
-    failed = failures(_recent(events, asof, lookback))
     key = ["source_ip", F.expr("login_date AS day")]
-    if exact:
-        groups = source_day_accounts(failed).groupBy(*key).agg(
-            F.expr("count(1) AS accounts_targeted"), F.expr("sum(failures) AS total_failures"),
-            F.expr(f"{joined('collect_list(username)')} AS usernames"),
-        )
-    else:
-        groups = failed.groupBy(*key).agg(
-            F.expr("approx_count_distinct(username) AS accounts_targeted"), F.expr("count(1) AS total_failures")
-        )
-    return groups.where(f"accounts_targeted >= {min_accounts}")
+    sketch = failures(_recent(events, asof, lookback)).groupBy(*key).agg(
+        F.expr(f"approx_count_distinct(username, {error / 3!r}D) AS estimate")
+    ).withColumnsRenamed({"source_ip": "key_ip", "day": "key_day"})
+    exact = hunt_password_spray(events, asof, lookback, min_accounts)
+    return exact.join(sketch, F.expr("source_ip <=> key_ip AND day = key_day")).selectExpr(
+        "source_ip", "day", "accounts_targeted", "total_failures",
+        f"abs(estimate - accounts_targeted) <= greatest(1, {error!r}D * accounts_targeted) AS close",
+    )
 
 
 def hunt_inactive_account(

@@ -124,8 +124,8 @@ def _campaign_ledger(
 ) -> DataFrame:
     """Per rule, one row for every flagged key and one for every campaign in play.
 
-    Members of a key are the failures sharing its columns, which are carried and never
-    parsed out of the key text. Failures meet their labels by event id first and are
+    A key is its account, source and day, not its text, which is NULL for an unknown source.
+    Members are the failures sharing these columns. Failures meet their labels by event id first and are
     folded per account, source, day and campaign, so a busy source reaches the key
     joins as a few rows.
     """
@@ -139,30 +139,32 @@ def _campaign_ledger(
         .groupBy("username", "source_ip", "login_date", "campaign_id")
         .agg(F.max("malicious").alias("malicious"))
     )
-    spray_key, guess_key = ["source_ip", "login_date"], ["username", "source_ip", "login_date"]
-    columns = ["rule", "campaign_key", "campaign_id", "malicious"]
-    members = (
-        detections["password_spray"].select(F.lit("password_spray").alias("rule"), "campaign_key", *spray_key)
-        .join(marked, spray_key, "left").select(*columns)
-        .unionByName(
-            detections["bruteforce_failed"]
-            .select(F.lit("bruteforce_failed").alias("rule"), "campaign_key", *guess_key)
-            .join(marked, guess_key, "left").select(*columns)
-        )
+    marked = marked.selectExpr(
+        "username AS m_user", "source_ip AS m_ip", "login_date AS m_date", "campaign_id", "malicious"
     )
-    cells = members.groupBy("rule", "campaign_key", "campaign_id").agg(
+    key = ["rule", "username", "source_ip", "login_date"]
+
+    def members(rule: str, username: str) -> DataFrame:
+        found = detections[rule].selectExpr(f"'{rule}' AS rule", f"{username} AS username", "source_ip", "login_date", "campaign_key")
+        # An unknown source is a source of its own, as in the rules' grouping.
+        same = "source_ip <=> m_ip AND login_date = m_date" + (" AND username = m_user" if username == "username" else "")
+        return found.join(marked, F.expr(same), "left").select(*key, "campaign_key", "campaign_id", "malicious")
+
+    every = members("password_spray", "cast(NULL AS string)").unionByName(members("bruteforce_failed", "username"))
+    cells = every.groupBy(*key, "campaign_key", "campaign_id").agg(
         F.max(F.coalesce("malicious", zero)).alias("malicious")
     )
-    per_key = Window.partitionBy("rule", "campaign_key")
+    per_key = Window.partitionBy(*key)
     keyed = cells.withColumn("key_bad", F.max("malicious").over(per_key)).withColumn(
         "is_first", F.row_number().over(per_key.orderBy("campaign_id")) == 1
     )
 
     def fact(kind: str, item: str, flagged: Column) -> Column:
+        own = F.lit(kind == "key")
         return F.struct(
-            F.lit(kind).alias("kind"), F.col(item).alias("item"), flagged.alias("flagged"),
-            F.when(F.lit(kind == "key"), F.col("key_bad")).otherwise(zero).alias("malicious"),
-            zero.alias("expected"),
+            F.lit(kind).alias("kind"), F.col(item).alias("item"),
+            *[F.when(own, F.col(c)).alias(c) for c in key[1:]], flagged.alias("flagged"),
+            F.when(own, F.col("key_bad")).otherwise(zero).alias("malicious"), zero.alias("expected"),
         )
 
     covers = F.col("campaign_id").isNotNull() & (F.col("key_bad") > 0)
@@ -172,10 +174,10 @@ def _campaign_ledger(
     )).alias("f")).where(F.col("f").isNotNull()).select("rule", "f.*")
     expected = labels.where(F.col("campaign_id").isNotNull()).select(
         _designed_rule(rules_of("campaign")).alias("rule"), F.lit("campaign").alias("kind"),
-        F.col("campaign_id").alias("item"), zero.alias("flagged"), zero.alias("malicious"),
-        one.alias("expected"),
+        F.col("campaign_id").alias("item"), *[F.lit(None).cast(t).alias(c) for c, t in keyed.select(*key[1:]).dtypes],
+        zero.alias("flagged"), zero.alias("malicious"), one.alias("expected"),
     ).where(F.col("rule").isNotNull())
-    return facts.unionByName(expected).groupBy("rule", "kind", "item").agg(
+    return facts.unionByName(expected).groupBy("rule", "kind", "item", *key[1:]).agg(
         *[F.max(c).alias(c) for c in ("flagged", "malicious", "expected")]
     )
 
@@ -192,15 +194,30 @@ def campaign_metrics(
     return _totals(ledger, rules_of("campaign"))
 
 
+def campaign_findings_counted(
+    detections: Mapping[str, DataFrame], events: DataFrame, labels: DataFrame
+) -> DataFrame:
+    """Per campaign rule the findings and what the scores call flagged; they must agree."""
+    found = reduce(DataFrame.unionByName, [
+        detections[n].agg(F.count(F.lit(1)).alias("findings")).select(F.lit(n).alias("rule"), "findings")
+        for n in rules_of("campaign")
+    ])
+    return found.join(campaign_metrics(detections, events, labels).select("rule", "flagged"), "rule")
+
+
 def campaign_errors(
     detections: Mapping[str, DataFrame], events: DataFrame, labels: DataFrame
 ) -> DataFrame:
-    """The benign keys flagged and the campaigns missed, as rows."""
+    """The benign keys flagged and the campaigns missed, as rows.
+
+    ``item`` is a campaign or the text of a key; a key's columns tell keys of unknown
+    sources apart, whose text is NULL.
+    """
     ledger = _campaign_ledger(detections, events, labels)
     wrong_key = (F.col("kind") == "key") & (F.col("malicious") <= 0)
     missed = (F.col("kind") == "campaign") & (F.col("flagged") == 0)
     return ledger.where(wrong_key | missed).select(
-        "rule", F.when(wrong_key, "FP").otherwise("FN").alias("error"), "item"
+        "rule", F.when(wrong_key, "FP").otherwise("FN").alias("error"), "item", "username", "source_ip", "login_date"
     )
 
 

@@ -10,6 +10,10 @@ from loginwatch.functions.text import joined
 from loginwatch.operators.normalize import since_day
 
 
+#: Names on a page.
+NAMES_PER_PAGE = 1000
+
+
 def source_day_accounts(events: DataFrame) -> DataFrame:
     """First level: one row per source, day and account.
 
@@ -28,7 +32,7 @@ def spray_groups(events: DataFrame, cfg: HuntConfig) -> DataFrame:
     return (
         accounts.groupBy("source_ip", "login_date")
         .agg(
-            F.expr("count_if(failures > 0) AS accounts_targeted"),
+            F.expr("count_if(failures > 0 AND username IS NOT NULL) AS accounts_targeted"), F.expr("count(1) AS accounts"),
             F.expr("sum(failures) AS total_failures"), F.expr("sum(wins) AS successes"),
             F.expr("min(first_ts) AS first_ts"), F.expr("max(last_ts) AS last_ts"),
         )
@@ -52,9 +56,10 @@ def spray_accounts(events: DataFrame, cfg: HuntConfig) -> DataFrame:
     )
 
 
-def spray_findings(events: DataFrame, cfg: HuntConfig) -> DataFrame:
+def spray_findings(events: DataFrame, cfg: HuntConfig, *more: str) -> DataFrame:
     """Everything about a firing source but the account names."""
     return spray_groups(events, cfg).selectExpr(
+        *more,
         "source_ip", "login_date", "accounts_targeted", "total_failures", "successes",
         "date_format(first_ts, 'HH:mm:ss') AS first_attempt",
         "date_format(last_ts, 'HH:mm:ss') AS last_attempt",
@@ -66,16 +71,28 @@ def spray_findings(events: DataFrame, cfg: HuntConfig) -> DataFrame:
     )
 
 
-def detect_password_spray(events: DataFrame, cfg: HuntConfig) -> DataFrame:
-    """Firing sources with the names of all accounts they touched, as one text.
+def with_name_pages(groups: DataFrame, accounts: DataFrame, page: int = NAMES_PER_PAGE) -> DataFrame:
+    """``groups`` with their account names: one row per ``page``, ``usernames`` in order.
 
-    The text is the result's own shape; use :func:`spray_accounts` for rows, and note
-    that the triage queue never builds it.
+    ``groups`` has the number of ``accounts`` per source and day. A group of up to ``page``
+    accounts is one page, number 0; a wider one is dealt by a hash of the name to as many
+    pages as hold about ``page`` names each. Every name is on a page, and no row or task
+    gathers a whole spray.
     """
-    names = spray_accounts(events, cfg).groupBy("source_ip", "login_date").agg(
-        F.expr(f"{joined('collect_list(username)')} AS usernames")
-    )
-    return spray_findings(events, cfg).join(_keyed(names, "usernames"), F.expr(_SAME_KEY)).select(
-        "source_ip", "login_date", "accounts_targeted", "total_failures", "successes", "usernames",
+    pages = _keyed(groups, f"cast(ceil(accounts / {page}D) AS bigint) AS pages")
+    dealt = accounts.join(pages, F.expr(_SAME_KEY)).selectExpr(
+        "source_ip", "login_date", "username", "pmod(crc32(coalesce(username, '')), pages) AS page"
+    ).groupBy("source_ip", "login_date", "page").agg(F.expr(f"{joined('collect_list(username)')} AS usernames"))
+    return groups.join(_keyed(dealt, "page", "usernames"), F.expr(_SAME_KEY)).drop("key_ip", "key_date")
+
+
+def detect_password_spray(events: DataFrame, cfg: HuntConfig, page: int = NAMES_PER_PAGE) -> DataFrame:
+    """Firing sources with the names of all accounts they touched, page by page.
+
+    Use :func:`spray_accounts` for rows; the triage queue builds no names at all.
+    """
+    accounts = source_day_accounts(since_day(events, cfg.detection_start))
+    return with_name_pages(spray_findings(events, cfg, "accounts"), accounts, page).select(
+        "source_ip", "login_date", "accounts_targeted", "total_failures", "successes", "page", "usernames",
         "first_attempt", "last_attempt", "campaign_key", "severity", "reason",
     )

@@ -99,7 +99,7 @@ def one_user_timeline(events: DataFrame, username: str, cfg: HuntConfig) -> Data
 
 def spray_campaigns(sprays: DataFrame) -> DataFrame:
     return sprays.select(
-        "source_ip", "login_date", "accounts_targeted", "total_failures", "successes", "usernames"
+        "source_ip", "login_date", "accounts_targeted", "total_failures", "successes", "page", "usernames"
     )
 
 

@@ -204,7 +204,7 @@ _VIEWS: dict[str, str] = {
         JOIN wins s USING (username, ts) LEFT JOIN people p ON p.employee_id = s.username
         WHERE s.login_date >= {_START}""",
     "det_spray": f"""
-        SELECT source_ip, login_date, accounts_targeted, total_failures, successes, usernames,
+        SELECT source_ip, login_date, accounts_targeted, total_failures, successes, CAST(0 AS BIGINT) AS page, usernames,
                first_attempt, last_attempt, source_ip || '|' || login_date AS campaign_key,
                CASE WHEN successes > 0 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
                'Password spray: ' || accounts_targeted || ' accounts, ' || total_failures || ' failures from '
@@ -320,17 +320,18 @@ _VIEWS: dict[str, str] = {
                   AND t.event_id NOT IN (SELECT event_id FROM flags f WHERE f.rule = r.rule)) AS fn
         FROM rule_list r WHERE r.grain = 'event'""",
     "campaign_rows": """
-        SELECT s.rule, s.campaign_key, t.campaign_id, coalesce(t.is_malicious, 0) AS bad
+        SELECT s.rule, s.campaign_key, s.username, s.source_ip, s.login_date, t.campaign_id, coalesce(t.is_malicious, 0) AS bad
         FROM (SELECT 'password_spray' AS rule, campaign_key, source_ip, login_date, NULL AS username FROM det_spray
               UNION ALL SELECT 'bruteforce_failed', campaign_key, source_ip, login_date, username FROM det_failed) s
-        LEFT JOIN losses l ON l.source_ip = s.source_ip AND l.login_date = s.login_date
+        LEFT JOIN losses l ON l.source_ip IS NOT DISTINCT FROM s.source_ip AND l.login_date = s.login_date
               AND (s.username IS NULL OR l.username = s.username)
         LEFT JOIN truth t ON t.event_id = l.event_id""",
     "campaign_keys": """
-        SELECT rule, campaign_key, max(bad) AS bad FROM campaign_rows GROUP BY ALL""",
+        SELECT rule, campaign_key, username, source_ip, login_date, max(bad) AS bad FROM campaign_rows GROUP BY ALL""",
     "covered": """
         SELECT DISTINCT c.rule, c.campaign_id FROM campaign_rows c JOIN campaign_keys k
-            ON k.rule = c.rule AND k.campaign_key = c.campaign_key AND k.bad = 1
+            ON k.rule = c.rule AND k.username IS NOT DISTINCT FROM c.username
+               AND k.source_ip IS NOT DISTINCT FROM c.source_ip AND k.login_date = c.login_date AND k.bad = 1
         WHERE c.campaign_id IS NOT NULL""",
     "expected": """
         SELECT DISTINCT r.rule, t.campaign_id FROM truth t JOIN rule_list r ON r.designed_class = t.anomaly_class
@@ -463,7 +464,7 @@ _BODIES: dict[str, str] = {
                CAST(success AS INTEGER) AS success, source_ip
         FROM logins WHERE login_date >= {_START} AND username IN (SELECT username FROM det_guess)""",
     "spray_campaigns": """
-        SELECT source_ip, CAST(login_date AS VARCHAR) AS login_date, accounts_targeted, total_failures, successes, usernames
+        SELECT source_ip, CAST(login_date AS VARCHAR) AS login_date, accounts_targeted, total_failures, successes, page, usernames
         FROM det_spray""",
     "live_compromise_sprays": _SPRAY + " WHERE successes > 0",
     "orphan_devices": "SELECT * FROM orphans",
@@ -531,7 +532,15 @@ _BODIES: dict[str, str] = {
         FROM recent GROUP BY username, source_ip, login_date HAVING failures >= {queries.HUNT_FAILED} AND successes = 0""",
     "hunt_password_spray": f"""
         SELECT source_ip, CAST(login_date AS VARCHAR) AS day, count(DISTINCT username) AS accounts_targeted,
-               count(*) AS total_failures, string_agg(DISTINCT username, ',' ORDER BY username) AS usernames
+               count(*) AS total_failures
+        FROM recent WHERE success = 0 GROUP BY source_ip, login_date HAVING accounts_targeted >= {queries.HUNT_ACCOUNTS}""",
+    "hunt_password_spray_names": f"""
+        SELECT source_ip, CAST(login_date AS VARCHAR) AS day, count(DISTINCT username) AS accounts_targeted,
+               count(*) AS total_failures, CAST(0 AS BIGINT) AS page, string_agg(DISTINCT username, ',' ORDER BY username) AS usernames
+        FROM recent WHERE success = 0 GROUP BY source_ip, login_date HAVING accounts_targeted >= {queries.HUNT_ACCOUNTS}""",
+    "hunt_password_spray_estimate": f"""
+        SELECT source_ip, CAST(login_date AS VARCHAR) AS day, count(DISTINCT username) AS accounts_targeted,
+               count(*) AS total_failures, true AS close
         FROM recent WHERE success = 0 GROUP BY source_ip, login_date HAVING accounts_targeted >= {queries.HUNT_ACCOUNTS}""",
     "hunt_inactive_account": f"""
         SELECT r.event_id, r.username, p.status AS account_status, {_text('r.ts')} AS ts,
@@ -592,8 +601,12 @@ _BODIES: dict[str, str] = {
           AND NOT EXISTS (SELECT 1 FROM flags f WHERE f.rule = r.rule AND f.event_id = t.event_id)""",
     "campaign_metrics": "SELECT rule, flagged, tp, fp, tp_designed, fn FROM campaign_scores",
     "campaign_errors": """
-        SELECT rule, 'FP' AS error, campaign_key AS item FROM campaign_keys WHERE bad = 0
-        UNION ALL SELECT e.rule, 'FN', e.campaign_id FROM expected e ANTI JOIN covered c USING (rule, campaign_id)""",
+        SELECT rule, 'FP' AS error, campaign_key AS item, username, source_ip, CAST(login_date AS VARCHAR) AS login_date
+        FROM campaign_keys WHERE bad = 0
+        UNION ALL SELECT e.rule, 'FN', e.campaign_id, NULL, NULL, NULL FROM expected e ANTI JOIN covered c USING (rule, campaign_id)""",
+    "campaign_findings_counted": """
+        SELECT 'password_spray' AS rule, count(*) AS findings, count(*) AS flagged FROM det_spray
+        UNION ALL SELECT 'bruteforce_failed', count(*), count(*) FROM det_failed""",
     "rule_scores": "SELECT * FROM all_scores",
     "micro_average": f"""
         SELECT {_SCORE_TOTALS}, sum(tp) / sum(flagged) AS precision, sum(tp_designed) / (sum(tp_designed) + sum(fn)) AS recall

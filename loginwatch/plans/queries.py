@@ -139,10 +139,11 @@ QUERIES: dict[str, Query] = {
     "hunt_failed_bruteforce": lambda h, s, d: hunts.hunt_failed_bruteforce(
         h.events, ASOF, LOOKBACK, HUNT_FAILED
     ),
-    "hunt_password_spray": lambda h, s, d: hunts.hunt_password_spray(
-        h.events, ASOF, LOOKBACK, HUNT_ACCOUNTS, exact=True
+    "hunt_password_spray": lambda h, s, d: hunts.hunt_password_spray(h.events, ASOF, LOOKBACK, HUNT_ACCOUNTS),
+    "hunt_password_spray_names": lambda h, s, d: hunts.hunt_password_spray(
+        h.events, ASOF, LOOKBACK, HUNT_ACCOUNTS, password_spray.NAMES_PER_PAGE
     ),
-    "hunt_password_spray_estimate": lambda h, s, d: hunts.hunt_password_spray(
+    "hunt_password_spray_estimate": lambda h, s, d: hunts.hunt_password_spray_estimate(
         h.events, ASOF, LOOKBACK, HUNT_ACCOUNTS
     ),
     "hunt_inactive_account": lambda h, s, d: hunts.hunt_inactive_account(
@@ -181,6 +182,9 @@ QUERIES: dict[str, Query] = {
     "event_errors": lambda h, s, d: metrics.event_errors(h.event_findings(), h.labels),
     "campaign_metrics": lambda h, s, d: metrics.campaign_metrics(h.campaign_findings(), h.window_events, h.labels),
     "campaign_errors": lambda h, s, d: metrics.campaign_errors(h.campaign_findings(), h.window_events, h.labels),
+    "campaign_findings_counted": lambda h, s, d: metrics.campaign_findings_counted(
+        h.campaign_findings(), h.window_events, h.labels
+    ),
     "rule_scores": lambda h, s, d: h.scores(),
     "micro_average": lambda h, s, d: metrics.micro_average(h.scores()),
     "dataset_summary": lambda h, s, d: h.summary(),
