@@ -17,13 +17,14 @@ def _micros(span: timedelta) -> int:
 
 
 def correlate_event_count(
-    events: DataFrame, group: str = "username", timespan: timedelta = HOUR, gte: int = 5
+    events: DataFrame, group: str = "username", timespan: timedelta = HOUR, gte: int = 5, weight: str = "1L"
 ) -> DataFrame:
     """Instants at which ``group`` has at least ``gte`` events within the trailing span.
 
-    ``events`` is the rule's base selection, such as the failures.
+    ``events`` is the rule's base selection, such as the failures; a row stands for
+    ``weight`` events.
     """
-    totals = trailing_total(events, group, "1L", _micros(timespan))
+    totals = trailing_total(events, group, weight, _micros(timespan))
     return totals.where(f"trailing >= {gte}").selectExpr(
         group, "timestamp_micros(at) AS ts", "trailing AS event_count"
     )

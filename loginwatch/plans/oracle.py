@@ -575,9 +575,19 @@ _BODIES: dict[str, str] = {
                                    THEN 0 ELSE 1 END AS fresh FROM hop_values))
         GROUP BY source_ip, burst""",
     "stream_event_count": f"""
+        SELECT username, {_text('ts')} AS ts, event_count FROM rolling_events
+        WHERE ts + INTERVAL 1 SECOND <= (SELECT closed_until FROM watermark)""",
+    "stream_value_count": f"""
+        SELECT DISTINCT source_ip, {_text('ts')} AS ts, n AS value_count FROM (
+            SELECT source_ip, ts, count(DISTINCT username) OVER (PARTITION BY source_ip ORDER BY ts
+                RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS n FROM losses)
+        WHERE n >= {queries.BURST} AND ts + INTERVAL 1 SECOND <= (SELECT closed_until FROM watermark)""",
+    "stream_missed_events": f"""
+        SELECT username, {_text('ts')} AS ts, event_count FROM rolling_events WHERE false""",
+    "stream_hopping_event_count": f"""
         SELECT username, {_text('window_start')} AS window_start, {_text('window_end')} AS window_end, event_count
         FROM hop_events WHERE window_end <= (SELECT closed_until FROM watermark)""",
-    "stream_value_count": f"""
+    "stream_hopping_value_count": f"""
         SELECT source_ip, {_text('window_start')} AS window_start, {_text('window_end')} AS window_end, value_count
         FROM hop_values WHERE window_end <= (SELECT closed_until FROM watermark)""",
     "stream_terminated": f"""

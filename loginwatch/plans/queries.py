@@ -64,6 +64,13 @@ def _stream_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.with_lateness(failures(_stream_events(spark, sf_dir)))
 
 
+def _closed(spark: SparkSession, sf_dir: str, alerts: DataFrame) -> DataFrame:
+    """Alerts at instants that the stream's watermark has passed at its end."""
+    newest = failures(login_events(demo.log_in_attempts(spark, sf_dir))).agg(F.max("ts")).scalar()
+    closed = newest - F.expr(f"INTERVAL {stream.LATENESS // timedelta(seconds=1)} SECOND")
+    return alerts.where(F.col("ts") + F.expr("INTERVAL 1 SECOND") <= closed)
+
+
 def _signals(h: Hunt) -> DataFrame:
     users = triage.flagged_users(h.stored_queue)
     return incidents.incident_signals(h.events, users, h.feed, h.cfg, reference.CENTROIDS)
@@ -163,10 +170,15 @@ QUERIES: dict[str, Query] = {
     "merge_hopping_alerts": lambda h, s, d: correlate.merge_windows(
         stream.hopping_value_count(failures(h.events), gte=BURST), "source_ip", "value_count"
     ),
-    "stream_event_count": lambda h, s, d: stream.run_available(
+    "stream_event_count": lambda h, s, d: stream.rolling_event_count(s, _stream_failures(s, d), gte=BURST),
+    "stream_value_count": lambda h, s, d: stream.rolling_value_count(s, _stream_failures(s, d), gte=BURST),
+    "stream_missed_events": lambda h, s, d: _closed(s, d, correlate.correlate_event_count(failures(h.events), gte=BURST)).join(
+        stream.rolling_event_count(s, _stream_failures(s, d), gte=BURST), ["username", "ts"], "left_anti"
+    ),
+    "stream_hopping_event_count": lambda h, s, d: stream.run_available(
         s, stream.hopping_event_count(_stream_failures(s, d), gte=BURST), "event_count"
     ),
-    "stream_value_count": lambda h, s, d: stream.run_available(
+    "stream_hopping_value_count": lambda h, s, d: stream.run_available(
         s, stream.hopping_value_count(_stream_failures(s, d), gte=BURST), "value_count"
     ),
     "stream_terminated": lambda h, s, d: stream.run_available(

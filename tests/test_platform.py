@@ -139,3 +139,35 @@ def test_stream_drops_late_events_and_counts_like_the_batch(spark, tmp_path, tab
     assert {tuple(r) for r in run().collect()} == first
     merged = correlate.merge_windows(run(), "source_ip", "value_count").collect()
     assert len(merged) == 1 and merged[0]["windows"] == 3
+
+
+def _rolling(spark, inbox, home, gte=5):
+    raw = spark.readStream.schema(schemas.LOG_IN_ATTEMPTS).parquet(inbox)
+    found = stream.rolling_event_count(spark, stream.with_lateness(failures(login_events(raw))), gte=gte, home=home)
+    return sorted(tuple(r) for r in found.collect())
+
+
+def test_rolling_stream_finds_bursts_at_every_offset_of_the_hour(spark, tmp_path, tables):
+    """Five failures over 59 minutes, one account per offset: every one is found."""
+    rows = [
+        (100 * k + i, f"u{k}", at(day(1, "08:00:00"), 300 * k + i * 885), "US", 0, "1.1.1.1")
+        for k in range(13) for i in range(5)
+    ]
+    tables.attempts(rows + [(9999, "late", day(2), "US", 0, "x")]).coalesce(1).write.parquet(str(tmp_path / "in"))
+    got = _rolling(spark, str(tmp_path / "in"), str(tmp_path / "home"))
+    assert [r[0] for r in got] == sorted(f"u{k}" for k in range(13)) and {r[2] for r in got} == {5}
+
+
+def test_rolling_stream_goes_on_in_the_same_folder(spark, tmp_path, tables):
+    inbox, home = str(tmp_path / "in"), str(tmp_path / "home")
+    rows = [(i, f"u{i % 2}", at(day(1, "08:00:00"), i * 240), "US", 0, "1.1.1.1") for i in range(60)]
+    rows += [(100 + i, "u1", at(day(1, "09:00:00"), i // 2), "US", 0, "1.1.1.1") for i in range(9)]
+    rows.sort(key=lambda r: r[2])
+    for start in range(0, len(rows), 23):
+        tables.attempts(rows[start: start + 23]).coalesce(1).write.mode("append").parquet(inbox)
+        _rolling(spark, inbox, home, 8)
+    tables.attempts([(9999, "late", day(2), "US", 0, "x")]).coalesce(1).write.mode("append").parquet(inbox)
+    got = _rolling(spark, inbox, home, 8)
+    want = correlate.correlate_event_count(failures(tables.events(rows)), gte=8)
+    assert got == sorted(tuple(r) for r in want.collect()) and len(got) > 20
+    assert _rolling(spark, inbox, home, 8) == got
