@@ -1,7 +1,10 @@
-"""IPv4 addresses as integers, as SQL text."""
+"""IPv4 and IPv6 addresses as hexadecimal text of all their bits, as SQL text.
 
-from __future__ import annotations
+The eight or 32 digits order and cut like the address: the network under a mask is a
+prefix of them, the last digit masked.
+"""
 
+from __future__ import annotations
 
 # Splitting is the costly step: project it once, then build the number from the parts.
 OCTETS = r"split({address}, '\\.')"
@@ -15,19 +18,71 @@ def ipv4_number(octets: str) -> str:
     return f"CASE WHEN size({octets}) = 4 THEN if({valid}, {number}, NULL) END"
 
 
-def network_of(number: str, prefix_length: int) -> str:
-    """The network address of ``number`` under a mask of ``prefix_length`` bits."""
-    return f"({number} - pmod({number}, {1 << (32 - prefix_length)}L))"
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``value`` under a name, computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def ipv4_bits(address: str) -> str:
+    number = _let("octets", OCTETS.format(address=address), ipv4_number("octets"))
+    return f"lower(lpad(hex({number}), 8, '0'))"
+
+
+def ipv6_bits(address: str) -> str:
+    """``::`` is filled with zeros and a dotted quad at the end counts as two groups."""
+    tail = "substring_index(a, ':', -1)"
+    quad = f"concat(substring(q, 1, 4), ':', substring(q, 5, 4))"
+    plain = _let(
+        "a", f"lower({address})",
+        f"if(instr(a, '.') = 0, a, {_let('q', ipv4_bits(tail), f'concat(left(a, length(a) - length({tail})), {quad})')})",
+    )
+    groups = (
+        "if(size(h) = 1, split(h[0], ':'), concat("
+        "if(h[0] = '', array(), split(h[0], ':')),"
+        " array_repeat('0', 8 - if(h[0] = '', 0, size(split(h[0], ':'))) - if(h[1] = '', 0, size(split(h[1], ':')))),"
+        " if(h[1] = '', array(), split(h[1], ':'))))"
+    )
+    valid = "size(g) = 8 AND forall(g, x -> x RLIKE '^[0-9a-f]{1,4}$')"
+    joined = f"if({valid}, array_join(transform(g, x -> lpad(x, 4, '0')), ''), NULL)"
+    whole = _let("h", f"split({plain}, '::')", f"if(size(h) > 2, NULL, {_let('g', groups, joined)})")
+    # With ``::`` at most seven groups are written, else the fill is empty and a ninth would fit.
+    return f"if(instr({address}, ':::') > 0 OR ({address} LIKE '%::%' AND size(split({address}, ':')) > 9), NULL, {whole})"
+
+
+def address_bits(address: str) -> str:
+    """Hexadecimal digits of an address; NULL for NULL and malformed text."""
+    return f"if(instr({address}, ':') > 0, {ipv6_bits(address)}, {ipv4_bits(address)})"
+
+
+def network(bits: str, width: str | int) -> str:
+    """The digits of the network of ``bits`` under a mask of ``width`` bits, host bits cleared."""
+    digits = "0123456789abcdef"
+    masked = " ".join(
+        f"WHEN {r} THEN translate(substring({bits}, {width} div 4 + 1, 1), '{digits}',"
+        f" '{''.join(digits[i - i % (1 << (4 - r))] for i in range(16))}')" for r in (1, 2, 3)
+    )
+    return f"concat(substring({bits}, 1, int({width} div 4)), CASE {width} % 4 {masked} ELSE '' END)"
+
+
+#: Widths of both families in one number: IPv4 masks from 4000, IPv6 masks from 6000.
+FAMILIES = {4: 32, 6: 128}
+
+
+def cidr_code(cidr: str) -> str:
+    """Family and width of a CIDR text as one number; NULL unless the width is one."""
+    text = f"substring_index({cidr}, '/', -1)"
+    number = f"if(size(split({cidr}, '/')) = 2 AND {text} RLIKE '^[0-9]{{1,3}}$', cast({text} AS int), NULL)"
+    return _let("w", number, f"CASE WHEN instr({cidr}, ':') > 0 THEN if(w <= 128, 6000 + w, NULL) WHEN w <= 32 THEN 4000 + w END")
 
 
-def cidr_length(cidr: str) -> str:
-    return f"try_cast(substring_index({cidr}, '/', -1) AS int)"
+def cidr_base(cidr: str, code: str) -> str:
+    """Network digits of a CIDR text, given its code."""
+    return _let("b", address_bits(f"substring_index({cidr}, '/', 1)"), network("b", f"({code} % 1000)"))
 
 
-def cidr_base(cidr: str) -> str:
-    """Network address of a CIDR text, host bits cleared."""
-    number = ipv4_number(OCTETS.format(address=f"substring_index({cidr}, '/', 1)"))
-    return f"({number}) - pmod({number}, cast(pow(2D, 32 - {cidr_length(cidr)}) AS bigint))"
+def network_of(bits: str, code: int) -> str:
+    """Network of an address under a coded mask; NULL for one of the other family."""
+    return f"if(length({bits}) = {FAMILIES[code // 1000] // 4}, {network(bits, code % 1000)}, NULL)"
 
 
 def leading_octets(address: str, octets: int) -> str:

@@ -21,45 +21,51 @@ _INTEL_TYPE = "STRUCT<cidr STRING, is_malicious INT, confidence DOUBLE, source S
 class ThreatFeed:
     """A feed with the facts a plan needs: the mask widths that occur, and its size.
 
-    ``ranges`` has one row per listed range with ``width`` and ``key``: prefix length
-    and network number, or, in ``prefix`` mode, octet count and dotted prefix text.
+    ``ranges`` has one row per listed range with ``width`` and ``key``: coded mask width
+    and network digits, or, in ``prefix`` mode, octet count and dotted prefix text.
+    ``rejected`` has the rows of the feed that are no range: a width beyond 32 or 128
+    bits, a malformed address, no prefix.
     """
 
     ranges: DataFrame
+    rejected: DataFrame
     widths: tuple[int, ...]
     rows: int
     unique: bool
     mode: str
+    broadcast_rows: int | None = None
 
     @classmethod
-    def load(cls, ip_enrichment: DataFrame, mode: str = "network") -> ThreatFeed:
-        """Index a feed. One small aggregate runs here; it returns at most 33 rows."""
+    def load(cls, ip_enrichment: DataFrame, mode: str = "network", broadcast_rows: int | None = None) -> ThreatFeed:
+        """Index a feed. One small aggregate runs here, of a row per width: at most 162."""
         if mode == "network":
-            width, key = net.cidr_length("cidr"), net.cidr_base("cidr")
+            width, key = net.cidr_code("cidr"), net.cidr_base("cidr", "width")
         elif mode == "prefix":
             width, key = f"size({net.OCTETS.format(address='ip_prefix')}) - 1", "ip_prefix"
         else:
             raise ValueError(f"unknown match mode {mode!r}")
-        ranges = ip_enrichment.selectExpr(
-            f"{width} AS width", f"{key} AS key", f"cast(struct({', '.join(_INTEL)}) AS {_INTEL_TYPE}) AS intel"
-        ).where("key IS NOT NULL")
+        listed = ip_enrichment.selectExpr(
+            "*", f"{width} AS width", f"cast(struct({', '.join(_INTEL)}) AS {_INTEL_TYPE}) AS intel"
+        ).selectExpr("*", f"{key} AS key")
+        ranges = listed.where("key IS NOT NULL AND width IS NOT NULL").select("width", "key", "intel")
+        rejected = listed.where("key IS NULL OR width IS NULL").select(*ip_enrichment.columns)
         facts = ranges.groupBy("width").agg(
             F.expr("count(1) AS n"), F.expr("count(DISTINCT key) AS keys")
         ).collect()
         return cls(
-            ranges, tuple(sorted(r["width"] for r in facts)), sum(r["n"] for r in facts),
-            all(r["n"] == r["keys"] for r in facts), mode,
+            ranges, rejected, tuple(sorted(r["width"] for r in facts)), sum(r["n"] for r in facts),
+            all(r["n"] == r["keys"] for r in facts), mode, broadcast_rows,
         )
 
     @property
     def fits_broadcast(self) -> bool:
-        return self.rows <= BROADCAST_RANGES
+        return self.rows <= (BROADCAST_RANGES if self.broadcast_rows is None else self.broadcast_rows)
 
     def key_for(self, width: int) -> str:
-        """Key of ``source_ip`` at a width, given its number as ``ip_number``."""
+        """Key of ``source_ip`` at a width, given its digits as ``ip_bits``."""
         if self.mode == "prefix":
             return net.leading_octets("source_ip", width)
-        return net.network_of("ip_number", width)
+        return net.network_of("ip_bits", width)
 
 
 def with_intel(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFrame:
@@ -75,14 +81,13 @@ def with_intel(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFrame:
     return match(rows, feed, outer)
 
 
-def _with_number(rows: DataFrame) -> DataFrame:
-    parts = rows.selectExpr("*", f"{net.OCTETS.format(address='source_ip')} AS octets")
-    return parts.selectExpr(*rows.columns, f"{net.ipv4_number('octets')} AS ip_number")
+def _with_bits(rows: DataFrame) -> DataFrame:
+    return rows.selectExpr("*", f"{net.address_bits('source_ip')} AS ip_bits")
 
 
 def _broadcast_match(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFrame:
     columns = rows.columns
-    rows = _with_number(rows).selectExpr(*columns, *[f"{feed.key_for(w)} AS key_{w}" for w in feed.widths])
+    rows = _with_bits(rows).selectExpr(*columns, *[f"{feed.key_for(w)} AS key_{w}" for w in feed.widths])
     for width in feed.widths:
         ranges = feed.ranges.where(f"width = {width}")
         if feed.unique:
@@ -98,12 +103,18 @@ def _broadcast_match(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFram
 
 def _address_match(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFrame:
     keys = ", ".join(f"struct({w} AS width, {feed.key_for(w)} AS key)" for w in feed.widths)
-    addresses = rows.select("source_ip").where("source_ip IS NOT NULL").distinct()
+    known = rows.where("source_ip IS NOT NULL")
+    addresses = known.select("source_ip").distinct()
     matched = (
-        _with_number(addresses).selectExpr("source_ip", f"inline(array({keys}))")
+        _with_bits(addresses).selectExpr("source_ip", f"inline(array({keys}))")
         .join(feed.ranges, ["width", "key"]).select("source_ip", "intel")
     )
-    return rows.join(matched, "source_ip", "left" if outer else "inner")
+    found = known.join(matched, "source_ip", "left" if outer else "inner").select(*rows.columns, "intel")
+    if not outer:
+        return found
+    # Unknown sources stay out of the shuffle, where they would meet in one task.
+    unknown = rows.where("source_ip IS NULL").selectExpr("*", f"cast(NULL AS {_INTEL_TYPE}) AS intel")
+    return found.unionByName(unknown)
 
 
 def ip_enrichment(events: DataFrame, feed: ThreatFeed) -> DataFrame:

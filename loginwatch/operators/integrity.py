@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
 from loginwatch.functions.accounts import FULL_NAME, is_service, text_list
+from loginwatch.functions.clock import is_time_of_day
 
 
 def orphan_devices(machines: DataFrame, employees: DataFrame) -> DataFrame:
@@ -89,8 +90,13 @@ def dataset_invariants(
     hunt_config: DataFrame,
     pair_tables: Mapping[str, DataFrame],
     first_id: int = 1,
+    rejected_ranges: DataFrame | None = None,
 ) -> DataFrame:
-    """``(check, value)`` rows: violations per invariant, and the label totals."""
+    """``(check, value)`` rows: violations per invariant, and the label totals.
+
+    Attempts whose time does not parse have no instant and take part in no rule about
+    time; feed rows that are no range match nothing. Both are counted here.
+    """
     # An id below first_id is out of sequence; one missing up to the largest is a gap.
     below = f"count_if(event_id < {first_id})"
     gaps = f"greatest(coalesce(max(event_id) - {first_id} + 1, 0), 0) - (count(1) - {below}) + {below}"
@@ -108,10 +114,15 @@ def dataset_invariants(
     malicious = labels.where("is_malicious = 1").select("event_id").distinct()
     checks = [
         id_checks,
+        _violations("malformed_times", log_in_attempts.where(
+            f"login_date IS NULL OR NOT {is_time_of_day()}"
+        )),
         _violations("unlabelled_events", unlabelled),
         _violations("malicious_events", malicious),
         _violations("missing_config_keys", hunt_config, f"{len(keys)} - {found}"),
     ]
+    if rejected_ranges is not None:
+        checks.append(_violations("rejected_feed_ranges", rejected_ranges))
     for name, table in pair_tables.items():
         pairs = table.groupBy("country_a", "country_b").agg(F.expr("count(1) AS n"))
         checks.append(_violations(f"{name}_unordered_pairs", table.where("country_a >= country_b")))

@@ -141,8 +141,8 @@ class Hunt:
 def demo_hunt(spark: SparkSession, sf_dir: str, cfg: HuntConfig = demo.DEMO_CONFIG) -> Hunt:
     """A hunt over the demo log of ``sf_dir``."""
     derived = ["log_in_attempts", "employees", "machines", "machines_backup", "ground_truth",
-               "ground_truth_assets"]
-    fixed = ["ip_enrichment", "country_distance", "travel_exceptions"]
+               "ground_truth_assets", "ip_enrichment"]
+    fixed = ["country_distance", "travel_exceptions"]
     tables = {name: partial(getattr(demo, name), spark, sf_dir) for name in derived}
     tables |= {name: partial(getattr(reference, f"{name}_table"), spark) for name in fixed}
     return Hunt(tables, cfg)

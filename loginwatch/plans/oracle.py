@@ -7,10 +7,11 @@ each query is prefixed with the ones it needs.
 
 from __future__ import annotations
 
+import ipaddress
 import re
 
 from loginwatch.plans import queries
-from loginwatch.sources import reference
+from loginwatch.sources import demo, reference
 from loginwatch.sources.demo import DEMO_CONFIG as CFG
 
 _START = f"DATE '{CFG.detection_start}'"
@@ -27,6 +28,17 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
 
 
+def _numbered_ranges() -> list[tuple]:
+    rows = []
+    for _, cidr, *intel in reference.IP_RANGES + demo.EXTRA_RANGES:
+        try:
+            net = ipaddress.ip_network(cidr, strict=False)
+        except ValueError:
+            continue
+        rows.append((net.version, str(int(net.network_address)), str(int(net.broadcast_address)), cidr, *intel))
+    return rows
+
+
 def _account(n: str) -> str:
     return f"CASE WHEN {n} % 37 = 36 THEN 'svc_' ELSE 'U' END || lpad(CAST({n} AS VARCHAR), 6, '0')"
 
@@ -80,6 +92,22 @@ _VIEWS: dict[str, str] = {
     "feed": f"""
         SELECT * FROM (VALUES {_values(reference.IP_RANGES)})
             AS f(ip_prefix, cidr, is_malicious, confidence, source, tags)""",
+    # Ranges as whole numbers, by Python's own address module; rows that are no range are left out.
+    "listed": f"""
+        SELECT * FROM (VALUES {_values(_numbered_ranges())})
+            AS f(family, low, high, cidr, is_malicious, confidence, source, tags)""",
+    "spots": """
+        SELECT source_ip, CASE WHEN contains(source_ip, ':') THEN 6 ELSE 4 END AS family,
+               CASE WHEN contains(source_ip, ':')
+                    THEN CAST('42540766411282592856903984951653826560' AS HUGEINT)
+                         + list_sum([(strpos('0123456789abcdef', c) - 1) * CAST(power(16, length(tail) - i) AS BIGINT)
+                                     FOR c, i IN string_split(tail, '')])
+                    ELSE CAST(list_sum([CAST(o AS BIGINT) * CAST(power(256, 4 - i) AS BIGINT)
+                                        FOR o, i IN string_split(source_ip, '.')]) AS HUGEINT) END AS number
+        FROM (SELECT DISTINCT source_ip, split_part(source_ip, '::', 2) AS tail FROM logins WHERE source_ip IS NOT NULL)""",
+    "matched": """
+        SELECT s.source_ip, f.cidr, f.is_malicious, f.confidence, f.source, f.tags
+        FROM spots s JOIN listed f ON f.family = s.family AND s.number BETWEEN CAST(f.low AS HUGEINT) AND CAST(f.high AS HUGEINT)""",
     "km": f"SELECT * FROM (VALUES {_values(reference.COUNTRY_DISTANCES)}) AS d(country_a, country_b, distance_km)",
     "excused": f"SELECT * FROM (VALUES {_values(reference.TRAVEL_EXCEPTIONS)}) AS x(country_a, country_b, rationale)",
     "centroid": "SELECT * FROM (VALUES " + _values(
@@ -254,7 +282,7 @@ _VIEWS: dict[str, str] = {
                severity, 'T1078.002', reason FROM det_inactive""",
     "queue": """
         SELECT q.*, f.source AS intel_source, f.tags AS intel_tags, CAST(f.confidence AS DOUBLE) AS intel_confidence
-        FROM findings q LEFT JOIN feed f ON starts_with(q.source_ip, f.ip_prefix)""",
+        FROM findings q LEFT JOIN matched f ON f.source_ip = q.source_ip""",
     # Integrity
     "orphans": """
         SELECT device_id, employee_id AS listed_owner, operating_system, CAST(os_patch_date AS VARCHAR) AS os_patch_date,
@@ -381,7 +409,7 @@ _VIEWS: dict[str, str] = {
                               FROM case_events f WHERE f.username = u.username AND f.success = 0) b WHERE b.n >= 5)
                          < (SELECT max(w.ts) FROM case_events w WHERE w.username = u.username AND w.success = 1)
                     THEN 25.0 ELSE 0.0 END AS mfa_fatigue,
-               CASE WHEN EXISTS (SELECT 1 FROM case_events c JOIN feed f ON starts_with(c.source_ip, f.ip_prefix)
+               CASE WHEN EXISTS (SELECT 1 FROM case_events c JOIN matched f ON f.source_ip = c.source_ip
                                  WHERE c.username = u.username AND f.is_malicious = 1) THEN 20.0 ELSE 0.0 END AS ip_reputation,
                7.5 AS device_novelty,
                (SELECT round(10.0 * count(*) FILTER (WHERE login_hour NOT BETWEEN 7 AND 18) / count(*), 1)
@@ -408,13 +436,13 @@ _BODIES: dict[str, str] = {
     "login_events": f"SELECT {_EVENT_COLUMNS} FROM logins",
     "ip_enrichment": """
         SELECT l.event_id, l.source_ip, f.cidr, f.is_malicious, CAST(f.confidence AS DOUBLE) AS confidence, f.source, f.tags
-        FROM logins l JOIN feed f ON starts_with(l.source_ip, f.ip_prefix)""",
+        FROM logins l JOIN matched f ON f.source_ip = l.source_ip""",
     "classify_source": """
         SELECT l.event_id, l.username, CAST(l.login_date AS VARCHAR) AS login_date, l.source_ip, l.country,
                CASE WHEN l.source_ip LIKE '10.%' THEN 'INTERNAL' WHEN f.tags IS NOT NULL THEN f.tags
                     ELSE 'EXTERNAL (no intel match)' END AS ip_classification,
                f.source AS intel_source, CAST(f.confidence AS DOUBLE) AS confidence
-        FROM logins l LEFT JOIN feed f ON starts_with(l.source_ip, f.ip_prefix)""",
+        FROM logins l LEFT JOIN matched f ON f.source_ip = l.source_ip""",
     "account_status": f"""
         SELECT {_EVENT_COLUMNS}, p.status AS account_status FROM logins l LEFT JOIN people p ON p.employee_id = l.username""",
     "user_country_baseline": f"SELECT DISTINCT username, country FROM wins WHERE login_date < {_BASE_END}",
@@ -481,16 +509,28 @@ _BODIES: dict[str, str] = {
         SELECT device_id, primary_owner, backup_owner FROM mismatches
         WHERE backup_owner IN (SELECT username FROM det_travel)""",
     "dataset_invariants": """
-        SELECT 'non_contiguous_ids' AS "check", max(event_id) + 1 - count(DISTINCT event_id) AS value FROM logins
-        UNION ALL SELECT 'duplicate_event_ids', count(*) FROM (SELECT event_id FROM logins GROUP BY 1 HAVING count(*) > 1)
-        UNION ALL SELECT 'total_events', count(*) FROM logins
-        UNION ALL SELECT 'unlabelled_events', count(*) FROM logins WHERE event_id NOT IN (SELECT event_id FROM truth)
+        WITH kept AS (SELECT event_id, CASE WHEN event_id % 101 = 7 THEN '25:00:00' WHEN event_id % 103 = 8
+                             THEN left(login_time, 5) ELSE login_time END AS login_time
+                      FROM logins WHERE event_id % 97 <> 5),
+        flawed AS (SELECT * FROM kept UNION ALL SELECT * FROM kept WHERE event_id % 49 = 3),
+        pairs AS (SELECT left(n_name, 1) AS country_a, 'M' AS country_b FROM nation)
+        SELECT 'non_contiguous_ids' AS "check", max(event_id) + 1 - count(DISTINCT event_id) AS value FROM flawed
+        UNION ALL SELECT 'duplicate_event_ids', count(*) FROM (SELECT event_id FROM flawed GROUP BY 1 HAVING count(*) > 1)
+        UNION ALL SELECT 'total_events', count(*) FROM flawed
+        UNION ALL SELECT 'malformed_times', count(*) FROM flawed
+                  WHERE try_strptime(login_time, '%H:%M:%S') IS NULL AND try_strptime(login_time, '%H:%M') IS NULL
+        UNION ALL SELECT 'unlabelled_events', count(*) FROM flawed WHERE event_id NOT IN (SELECT event_id FROM truth)
         UNION ALL SELECT 'malicious_events', count(DISTINCT event_id) FROM truth WHERE is_malicious = 1
-        UNION ALL SELECT 'missing_config_keys', 0
-        UNION ALL SELECT 'country_distance_unordered_pairs', count(*) FROM km WHERE country_a >= country_b
-        UNION ALL SELECT 'country_distance_duplicate_pairs', count(*) - count(DISTINCT country_a || country_b) FROM km
+        UNION ALL SELECT 'missing_config_keys', 2
+        UNION ALL SELECT 'rejected_feed_ranges', 2
+        UNION ALL SELECT 'country_distance_unordered_pairs', count(*) FROM pairs WHERE country_a >= country_b
+        UNION ALL SELECT 'country_distance_duplicate_pairs', count(*)
+                  FROM (SELECT 1 FROM pairs GROUP BY country_a, country_b HAVING count(*) > 1)
         UNION ALL SELECT 'travel_exceptions_unordered_pairs', count(*) FROM excused WHERE country_a >= country_b
-        UNION ALL SELECT 'travel_exceptions_duplicate_pairs', count(*) - count(DISTINCT country_a || country_b) FROM excused""",
+        UNION ALL SELECT 'travel_exceptions_duplicate_pairs', count(*)
+                  FROM (SELECT 1 FROM excused GROUP BY country_a, country_b HAVING count(*) > 1)""",
+    "rejected_feed_ranges": """
+        SELECT * FROM (VALUES ('1.2.3.0/40', 'demo-bad', 'bad-width'), ('nonsense', 'demo-bad', 'no-address')) AS r(cidr, source, tags)""",
     "hunt_after_hours": f"""
         SELECT r.event_id, r.username, {_text('r.ts')} AS ts, r.login_hour, b.min_hour, b.max_hour, r.source_ip
         FROM recent r JOIN (SELECT username, min(login_hour) AS min_hour, max(login_hour) AS max_hour FROM recent
@@ -700,7 +740,10 @@ _BODIES: dict[str, str] = {
     "report_critical_patch": """
         SELECT device_id, owner_name, days_since_patch, patch_risk FROM patches WHERE patch_risk = 'CRITICAL'""",
 }
-_BODIES["ip_enrichment_by_prefix"] = _BODIES["ip_enrichment"]
+_BODIES["ip_enrichment_by_prefix"] = """
+        SELECT l.event_id, l.source_ip, f.cidr, f.is_malicious, CAST(f.confidence AS DOUBLE) AS confidence, f.source, f.tags
+        FROM logins l JOIN feed f ON starts_with(l.source_ip, f.ip_prefix)"""
+_BODIES["classify_source_shuffled"] = _BODIES["classify_source"]
 
 
 def _with_views(body: str) -> str:

@@ -84,6 +84,10 @@ QUERIES: dict[str, Query] = {
         h.events, ThreatFeed.load(reference.ip_enrichment_table(s), "prefix")
     ),
     "classify_source": lambda h, s, d: classify_source(h.events, h.feed),
+    "classify_source_shuffled": lambda h, s, d: classify_source(
+        h.events, ThreatFeed.load(h.table("ip_enrichment"), broadcast_rows=0)
+    ),
+    "rejected_feed_ranges": lambda h, s, d: h.feed.rejected.select("cidr", "source", "tags"),
     "account_status": lambda h, s, d: account_status(h.events, h.employees),
     # Baselines and posture
     "user_country_baseline": lambda h, s, d: baselines.user_country_baseline(h.events, h.cfg),
@@ -126,8 +130,9 @@ QUERIES: dict[str, Query] = {
         h.mismatches(), h.impossible_travel()
     ),
     "dataset_invariants": lambda h, s, d: integrity.dataset_invariants(
-        h.attempts, h.labels, reference.hunt_config_table(s),
-        {"country_distance": h.country_distance, "travel_exceptions": h.travel_exceptions}, first_id=0,
+        demo.flawed_attempts(s, d), h.labels, demo.flawed_config(s, d),
+        {"country_distance": demo.flawed_pairs(s, d), "travel_exceptions": h.travel_exceptions}, first_id=0,
+        rejected_ranges=h.feed.rejected,
     ),
     # Hunts
     "hunt_after_hours": lambda h, s, d: hunts.hunt_after_hours(h.events, ASOF, LOOKBACK, SPLIT_AGE),

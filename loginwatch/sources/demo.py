@@ -10,8 +10,12 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from loginwatch import schemas
 from loginwatch.config import HuntConfig
+from loginwatch.sources import reference
+from loginwatch.sources.tables import local_table
 
 EVENTS = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -128,6 +132,44 @@ def identity_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return employees(spark, sf_dir).selectExpr("employee_id AS principal", "status AS account_status")
 
 
+# Beside the published ranges: one inside another, one off an octet boundary, IPv6, and
+# two rows that are no range.
+EXTRA_RANGES = [
+    (None, "45.33.32.2/31", 1, 0.65, "demo-overlap", "overlap"),
+    (None, "10.2.0.0/20", 0, 0.30, "demo-office", "office-lab"),
+    (None, "2001:db8::8/125", 1, 0.60, "demo-v6", "v6-range"),
+    (None, "1.2.3.0/40", 1, 0.50, "demo-bad", "bad-width"),
+    (None, "nonsense", 1, 0.50, "demo-bad", "no-address"),
+]
+
+
+def ip_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reference.ip_enrichment_table(spark).unionByName(local_table(spark, EXTRA_RANGES, schemas.IP_ENRICHMENT))
+
+
+def flawed_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The attempts with planted errors: impossible and short times, gaps, repeated ids."""
+    rows = log_in_attempts(spark, sf_dir).where("event_id % 97 <> 5").withColumn("login_time", F.expr(
+        "CASE WHEN event_id % 101 = 7 THEN '25:00:00' WHEN event_id % 103 = 8 THEN left(login_time, 5) ELSE login_time END"
+    ))
+    return rows.unionByName(rows.where("event_id % 49 = 3"))
+
+
+def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema("n_nationkey INT, n_name STRING").parquet(f"{sf_dir}/nation.parquet")
+
+
+def flawed_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A configuration of eight keys, one per nation, so that the others are missing."""
+    keys = ", ".join(f"'{k}'" for k in sorted(HuntConfig.keys()))
+    return _nations(spark, sf_dir).where("n_nationkey < 8").selectExpr(f"array({keys})[n_nationkey] AS key", "n_name AS value")
+
+
+def flawed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of the nations' initials with M: some out of order, some repeated."""
+    return _nations(spark, sf_dir).selectExpr("left(n_name, 1) AS country_a", "'M' AS country_b", "n_nationkey AS distance_km")
+
+
 def _labelled(rows: DataFrame, key: str, labels: list[str]) -> DataFrame:
     """One row per label that applies; each is ``if(condition, struct, NULL)``."""
     found = rows.selectExpr(key, f"explode(array({', '.join(labels)})) AS l")

@@ -162,3 +162,32 @@ def test_history_merges_and_replaces_the_old_days(tables):
     ]
     for whole, from_history in pairs:
         assert as_set(whole) == as_set(from_history) and whole.count() > 0
+
+
+def test_addresses_of_both_families_match_ranges_like_whole_numbers(tables):
+    from loginwatch.functions import net
+
+    rnd = random.Random(3)
+    six = [ipaddress.IPv6Address(rnd.choice([0, 1, 0x20010DB8 << 96]) + rnd.choice([rnd.getrandbits(k) for k in (1, 16, 64, 127)]) % (1 << 127)) for _ in range(60)]
+    texts = [t for a in six for t in (a.compressed, a.exploded, a.compressed.upper())]
+    texts += ["::", "::1", "1::", "::ffff:1.2.3.4", "64:ff9b::10.0.0.1", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:1.2.3.4"]
+    texts += ["1.2.3.4", "255.255.255.255", "0.0.0.0", "10.2.15.255", "10.2.16.0"]
+    bad = ["", ":", ":::", "1:2:3", "1::2::3", "12345::", "g::", "1.2.3", "1.2.3.256", "::1.2.3", "1:2:3:4:5:6:7:8:9",
+           "1::2:3:4:5:6:7:8:9", "fe80::1%eth0", "1.2.3.4.5", "a.b.c.d"]
+    frame = tables.table([(t,) for t in texts + bad], "a STRING").selectExpr("a", f"{net.address_bits('a')} AS bits")
+    got = {r["a"]: r["bits"] for r in frame.collect()}
+    for t in texts:
+        assert got[t] == ipaddress.ip_address(t.lower()).packed.hex(), t
+    assert not [t for t in bad if got[t] is not None]
+    ranges = [(None, f"{a.compressed}/{w}", 1, 0.5, f"s{i}", "t") for i, (a, w) in enumerate(zip(six, [0, 3, 32, 47, 64, 65, 66, 67, 113, 128] * 6))]
+    ranges += [(None, "10.2.0.0/20", 1, 0.5, "v4", "t"), (None, "0.0.0.0/0", 1, 0.5, "all4", "t")]
+    wrong = [(None, c, 1, 0.5, "bad", "t") for c in ("1.2.3.0/40", "1.2.3.0/-1", "::/129", "1.2.3.4", "x/8", "1.2.3.0/8/8", "1.2.3.0/", None)]
+    feed = ThreatFeed.load(tables.table(ranges + wrong, IP_ENRICHMENT))
+    events = tables.events([(i, "u", day(1), "US", 1, t) for i, t in enumerate(texts + bad)])
+    found = sorted((r["event_id"], r["source"]) for r in ip_enrichment(events, feed).collect())
+    want = sorted(
+        (i, r[4]) for i, t in enumerate(texts) for r in ranges
+        if ipaddress.ip_address(t.lower()) in ipaddress.ip_network(r[1], strict=False)
+    )
+    assert found == want and len(want) > 100
+    assert feed.rejected.count() == len(wrong)
