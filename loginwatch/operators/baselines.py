@@ -10,6 +10,7 @@ from loginwatch.functions import clock
 from loginwatch.functions.accounts import FULL_NAME, is_service
 from loginwatch.functions.text import joined
 from loginwatch.operators.normalize import directory, since_day, successes
+from loginwatch.operators.sizing import broadcast_if_small
 
 # The window of accounts without any baseline.
 DEFAULT_WINDOW = (6, 20)
@@ -102,7 +103,8 @@ def account_windows(
     def tier(user_value: str, dept_value: str, default: str) -> str:
         return f"CASE WHEN u_n >= {enough} THEN {user_value} WHEN d_n >= {enough} THEN {dept_value} ELSE {default} END"
 
-    tiers = directory(employees).join(user, "username", "left").join(dept, "department", "left")
+    # A handful of departments would make a handful of hot keys.
+    tiers = directory(employees).join(user, "username", "left").join(broadcast_if_small(dept), "department", "left")
     return tiers.selectExpr(
         "username", "user_name", "department",
         tier("'user'", "'department'", "'global-default'") + " AS baseline_source",

@@ -7,9 +7,11 @@ the history; days are added by merging, so old days are never read again.
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
@@ -42,3 +44,49 @@ def merge_history(*parts: DataFrame) -> DataFrame:
     """Combine histories built with the same dates over disjoint sets of events."""
     rows = reduce(DataFrame.unionByName, parts)
     return rows.groupBy("username", "country").agg(*[F.expr(f"{v} AS {c}") for c, v in _MERGE.items()])
+
+
+_SCHEMA = (
+    "username STRING, country STRING, first_ts TIMESTAMP, baseline_logins BIGINT, min_hour INT, max_hour INT, "
+    "last_success STRUCT<ts: TIMESTAMP, event_id: BIGINT, login_date: DATE, login_time: STRING, source_ip: STRING>"
+)
+
+
+def _reached(spark: SparkSession, path: str) -> list[date]:
+    """The days that the folders below ``path`` reach."""
+    try:
+        found = spark.read.schema(f"{_SCHEMA}, until DATE").parquet(path).select("until").distinct()
+        return sorted(r["until"] for r in found.collect())
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+def read_history(spark: SparkSession, path: str, until: date) -> DataFrame:
+    """The stored history of all days before ``until``."""
+    if until not in (reached := _reached(spark, path)):
+        raise ValueError(f"the history at {path} reaches {[str(d) for d in reached]}, not {until}: update it")
+    return spark.read.schema(_SCHEMA).parquet(f"{path}/until={until}")
+
+
+def update_history(events: DataFrame, cfg: HuntConfig, path: str) -> DataFrame:
+    """Extend the history at ``path`` to ``cfg.detection_start`` and return it.
+
+    Only days from the last folder's day on are read from ``events``; older ones come
+    merged from that folder. Dates of the baseline must be those it was built with, and
+    the baseline must not end after the window starts, as such days are not over yet.
+    """
+    spark, until = events.sparkSession, cfg.detection_start
+    if cfg.baseline_end > until:
+        raise ValueError("the baseline ends after the window starts")
+    earlier = [d for d in _reached(spark, path) if d <= until]
+    if until not in earlier:
+        fresh = events.where(f"login_date < date'{until}'")
+        if earlier:
+            fresh = fresh.where(f"login_date >= date'{earlier[-1]}'")
+        history = account_history(fresh, cfg)
+        if earlier:
+            history = merge_history(read_history(spark, path, earlier[-1]), history)
+        history.write.parquet(f"{path}/until={until}")
+    return read_history(spark, path, until)

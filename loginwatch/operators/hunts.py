@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from loginwatch.functions import clock
 from loginwatch.functions.accounts import country_severity, starts_as_service
-from loginwatch.operators.impossible_travel import CHANGED_COUNTRY, with_pair
+from loginwatch.operators.impossible_travel import CHANGED_COUNTRY, one_per_pair, with_pair
 from loginwatch.operators.normalize import after, failures, successes
 from loginwatch.operators.password_spray import source_day_accounts, with_name_pages
 from loginwatch.operators.sizing import broadcast_if_small
@@ -96,7 +96,7 @@ def hunt_impossible_travel(
     fields = ["event_id", "ts", "country"]
     recent = successes(_recent(events, asof, lookback)).select("username", *fields)
     legs = with_pair(with_previous(recent, fields, CHANGED_COUNTRY, hot_rows), "prev.country").join(
-        F.broadcast(country_distance), ["country_a", "country_b"]
+        one_per_pair(country_distance, "distance_km"), ["country_a", "country_b"]
     )
     kmh = clock.round_ratio("distance_km * 3600L", "seconds")
     return legs.selectExpr("*", "unix_seconds(ts) - unix_seconds(prev.ts) AS seconds").selectExpr(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loginwatch.config import HuntConfig
 from loginwatch.functions import clock
 from loginwatch.operators.normalize import named, since_day, successes
+from loginwatch.operators.sizing import broadcast_if_small
 from loginwatch.operators.timeline import HOT_ROWS, with_previous
 
 _CARRIED = ["event_id", "ts", "login_date", "login_time", "country", "source_ip"]
@@ -46,6 +47,12 @@ def with_pair(legs: DataFrame, prev_country: str) -> DataFrame:
     )
 
 
+def one_per_pair(table: DataFrame, value: str) -> DataFrame:
+    """The least ``value`` of every country pair, broadcast if the table is small."""
+    pairs = table.groupBy("country_a", "country_b").agg(F.expr(f"min({value}) AS {value}"))
+    return broadcast_if_small(pairs)
+
+
 def detect_impossible_travel(
     events: DataFrame,
     employees: DataFrame,
@@ -57,8 +64,8 @@ def detect_impossible_travel(
 ) -> DataFrame:
     """Legs whose required speed exceeds the gate; excepted pairs drop to MEDIUM.
 
-    The pair tables have one row per unordered country pair, at most about 31,000, so
-    broadcasting them is bounded. Arithmetic is in whole seconds and kilometres. Of the
+    Pair tables are made one row per pair, so that a repeated one doubles no finding, and
+    broadcast if small: there are about 31,000 pairs of countries. Arithmetic is in whole seconds and kilometres. Of the
     time before the window only one row per account takes part.
     """
     pair = ["country_a", "country_b"]
@@ -66,8 +73,8 @@ def detect_impossible_travel(
     rows = recent.unionByName(_last_before(events, cfg.detection_start, history))
     legs = with_previous(rows, _CARRIED, CHANGED_COUNTRY, hot_rows, counted=recent)
     legs = with_pair(since_day(legs, cfg.detection_start), "prev.country").join(
-        F.broadcast(country_distance), pair
-    ).join(F.broadcast(travel_exceptions), pair, "left")
+        one_per_pair(country_distance, "distance_km"), pair
+    ).join(one_per_pair(travel_exceptions, "rationale"), pair, "left")
     # Same-instant pairs count as one minute apart, so they fire instead of dividing by zero.
     legs = legs.selectExpr(
         "*", "unix_seconds(ts) - unix_seconds(prev.ts) AS gap",

@@ -12,7 +12,7 @@ BROADCAST_ACCOUNTS = 500_000
 def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_ACCOUNTS) -> DataFrame:
     """Broadcast ``side`` if it has at most ``max_rows`` rows, else leave the join to the planner.
 
-    Counting stops one row past the bound. Used where the other side is the whole log,
-    which a shuffle join would move for the sake of a few accounts.
+    A count of partial counts: no rows are moved for it. Used where the other side is the
+    whole log, which a shuffle join would move for the sake of a few accounts.
     """
-    return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side
+    return F.broadcast(side) if side.count() <= max_rows else side

@@ -67,6 +67,14 @@ def in_queue_order(queue: DataFrame) -> DataFrame:
     )
 
 
+def queue_head(queue: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` findings with their ``place``: the top of the list an analyst works on."""
+    head = in_queue_order(queue).limit(n)
+    order = f"{SEVERITY_RANK}, timestamp DESC, detection_type, event_id, campaign_key, intel_source"
+    return head.selectExpr(f"cast(row_number() OVER (ORDER BY {order}) AS bigint) AS place", "detection_type", "event_id", "campaign_key",
+                           "username", "severity", "timestamp", "intel_source")
+
+
 def triage_summary(queue: DataFrame) -> DataFrame:
     """Findings in total and by severity, one row."""
     return queue.agg(
@@ -97,6 +105,14 @@ def one_user_timeline(events: DataFrame, username: str, cfg: HuntConfig) -> Data
     )
 
 
+def account_timeline(events: DataFrame, username: str, cfg: HuntConfig) -> DataFrame:
+    """One account's attempts with their ``place`` in time, event ids breaking ties."""
+    rows = since_day(events, cfg.detection_start).where(F.col("username") == username)
+    return rows.selectExpr(
+        "cast(row_number() OVER (ORDER BY ts, event_id) AS bigint) AS place", "event_id", "login_date", "login_time", "success", "source_ip"
+    )
+
+
 def spray_campaigns(sprays: DataFrame) -> DataFrame:
     return sprays.select(
         "source_ip", "login_date", "accounts_targeted", "total_failures", "successes", "page", "usernames"

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from datetime import timedelta
 from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from loginwatch import schemas
 from loginwatch.config import HuntConfig
-from loginwatch.operators import after_hours, baselines, brute_force, impossible_travel, integrity
+from loginwatch.functions import clock
+from loginwatch.operators import after_hours, baselines, brute_force, impossible_travel, incidents, integrity
 from loginwatch.operators import inactive_account, metrics, password_spray, triage, unfamiliar_country
 from loginwatch.operators.enrich import ThreatFeed
-from loginwatch.operators.history import account_history
+from loginwatch.operators.history import account_history, read_history, update_history
 from loginwatch.operators.normalize import login_events, since_day
 from loginwatch.plans.session import stored
 from loginwatch.sources import demo, reference
@@ -30,15 +32,53 @@ class Hunt:
         tables: Mapping[str, Callable[[], DataFrame]],
         cfg: HuntConfig,
         history: DataFrame | None = None,
+        window: DataFrame | None = None,
     ):
         self._tables = tables
         self._built: dict[str, DataFrame] = {}
         self.cfg = cfg
         self.history = history
+        self._window = window
 
     def with_stored_history(self) -> Hunt:
         """The same hunt over a stored account history: later steps skip the old days."""
-        return Hunt(self._tables, self.cfg, stored(account_history(self.events, self.cfg), "history"))
+        return Hunt(self._tables, self.cfg, stored(account_history(self.events, self.cfg), "history"), self._window)
+
+    def update_history(self, path: str) -> DataFrame:
+        """Bring the history at ``path`` up to the window; reads only the days it lacks.
+
+        Each call writes one folder, named by the day it reaches, that holds the folder
+        before it merged with a fold of the days between.
+        """
+        return update_history(self.events, self.cfg, path)
+
+    def with_history(self, path: str) -> Hunt:
+        """The same hunt over the history at ``path``, which must reach the window."""
+        spark = self.events.sparkSession
+        return Hunt(self._tables, self.cfg, read_history(spark, path, self.cfg.detection_start), self._window)
+
+    @cached_property
+    def prepared(self) -> Hunt:
+        """The same hunt over two stored folds of the log.
+
+        The log is read once for the days before the window, folded per account and
+        country (unless a history is given), and once for the window, with the
+        reach of the brute-force rule before it; rules start from these, however
+        many they are. Only the inactive-account rule looks at the whole log.
+        """
+        if self._window is not None:
+            return self
+        reach = clock.dates_from(clock.utc(self.cfg.detection_start) - timedelta(minutes=self.cfg.bf_window_minutes))
+        window = stored(since_day(self.events, reach), "window")
+        history = self.history
+        if history is None:
+            history = stored(account_history(self.events, self.cfg), "history")
+        return Hunt(self._tables, self.cfg, history, window)
+
+    @property
+    def recent(self) -> DataFrame:
+        """What the window's rules read: the stored window if there is one, else the log."""
+        return self.events if self._window is None else self._window
 
     def table(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -60,7 +100,7 @@ class Hunt:
 
     @property
     def window_events(self) -> DataFrame:
-        return since_day(self.events, self.cfg.detection_start)
+        return since_day(self.recent, self.cfg.detection_start)
 
     @cached_property
     def feed(self) -> ThreatFeed:
@@ -68,30 +108,30 @@ class Hunt:
 
     def unfamiliar_country(self) -> DataFrame:
         return unfamiliar_country.detect_unfamiliar_country(
-            self.events, self.employees, self.cfg, self.history
+            self.recent, self.employees, self.cfg, self.history
         )
 
     def impossible_travel(self) -> DataFrame:
         return impossible_travel.detect_impossible_travel(
-            self.events, self.employees, self.country_distance, self.travel_exceptions, self.cfg,
+            self.recent, self.employees, self.country_distance, self.travel_exceptions, self.cfg,
             history=self.history,
         )
 
     def after_hours(self) -> DataFrame:
-        return after_hours.detect_after_hours(self.events, self.employees, self.cfg, self.history)
+        return after_hours.detect_after_hours(self.recent, self.employees, self.cfg, self.history)
 
     def brute_force(self) -> DataFrame:
-        return brute_force.detect_brute_force(self.events, self.employees, self.cfg)
+        return brute_force.detect_brute_force(self.recent, self.employees, self.cfg)
 
     def bruteforce_failed(self) -> DataFrame:
-        return brute_force.detect_bruteforce_failed(self.events, self.employees, self.cfg)
+        return brute_force.detect_bruteforce_failed(self.recent, self.employees, self.cfg)
 
     def password_spray(self) -> DataFrame:
         """Findings without the account names, which no consumer of the queue needs."""
-        return password_spray.spray_findings(self.events, self.cfg)
+        return password_spray.spray_findings(self.recent, self.cfg)
 
     def password_spray_named(self) -> DataFrame:
-        return password_spray.detect_password_spray(self.events, self.cfg)
+        return password_spray.detect_password_spray(self.recent, self.cfg)
 
     def inactive_account(self) -> DataFrame:
         return inactive_account.detect_inactive_account(self.events, self.employees)
@@ -110,8 +150,13 @@ class Hunt:
         """The queue written once, for hand-off steps that read it several times."""
         return stored(self.queue(), "triage_queue")
 
+    @cached_property
+    def by_user(self) -> DataFrame:
+        """Findings per account, written once: what the hand-off steps start from."""
+        return stored(incidents.findings_by_user(self.queue()), "findings_by_user")
+
     def queue(self) -> DataFrame:
-        return triage.triage_queue(self.detections(), self.feed)
+        return triage.triage_queue(self.prepared.detections(), self.feed)
 
     def patches(self) -> DataFrame:
         return baselines.patch_status(self.machines, self.employees, self.cfg)
@@ -126,9 +171,10 @@ class Hunt:
         return integrity.users_without_devices(self.employees, self.machines)
 
     def scores(self) -> DataFrame:
+        ready = self.prepared
         return metrics.rule_scores(
-            metrics.event_metrics(self.event_findings(), self.labels),
-            metrics.campaign_metrics(self.campaign_findings(), self.window_events, self.labels),
+            metrics.event_metrics(ready.event_findings(), self.labels),
+            metrics.campaign_metrics(ready.campaign_findings(), ready.window_events, self.labels),
         )
 
     def summary(self) -> DataFrame:
@@ -145,6 +191,8 @@ def demo_hunt(spark: SparkSession, sf_dir: str, cfg: HuntConfig = demo.DEMO_CONF
     fixed = ["country_distance", "travel_exceptions"]
     tables = {name: partial(getattr(demo, name), spark, sf_dir) for name in derived}
     tables |= {name: partial(getattr(reference, f"{name}_table"), spark) for name in fixed}
+    # A real hunt has its labels as a table; here they are derived from the log, once.
+    tables["ground_truth"] = lambda: stored(demo.ground_truth(spark, sf_dir), "labels")
     return Hunt(tables, cfg)
 
 

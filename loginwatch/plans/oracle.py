@@ -399,18 +399,19 @@ _VIEWS: dict[str, str] = {
         FROM (SELECT *, lag(country) OVER o AS p_country, lag(ts) OVER o AS p_ts FROM case_events
               WINDOW o AS (PARTITION BY username ORDER BY ts, event_id)) e
         JOIN centroid a ON a.country = e.p_country JOIN centroid b ON b.country = e.country""",
-    "signals": """
+    "signals": f"""
         SELECT username,
                CASE WHEN coalesce((SELECT max(km * 3600 / greatest(secs, 60)) FROM hops_km k
-                                   WHERE k.username = u.username), 0) > 800 THEN 30.0 ELSE 0.0 END AS impossible_travel,
+                                   WHERE k.username = u.username), 0) > {queries.SIGNAL_WEIGHTS.travel_kmh} THEN 30.0 ELSE 0.0 END AS impossible_travel,
                CASE WHEN (SELECT min(b.ts) FROM (
-                              SELECT f.ts, count(*) OVER (ORDER BY f.ts RANGE BETWEEN INTERVAL 10 MINUTE PRECEDING
+                              SELECT f.ts, count(*) OVER (ORDER BY f.ts RANGE BETWEEN INTERVAL 6 HOUR PRECEDING
                                                           AND CURRENT ROW) AS n
-                              FROM case_events f WHERE f.username = u.username AND f.success = 0) b WHERE b.n >= 5)
+                              FROM case_events f WHERE f.username = u.username AND f.success = 0) b
+                          WHERE b.n >= {queries.SIGNAL_WEIGHTS.burst_failures})
                          < (SELECT max(w.ts) FROM case_events w WHERE w.username = u.username AND w.success = 1)
                     THEN 25.0 ELSE 0.0 END AS mfa_fatigue,
                CASE WHEN EXISTS (SELECT 1 FROM case_events c JOIN matched f ON f.source_ip = c.source_ip
-                                 WHERE c.username = u.username AND f.is_malicious = 1) THEN 20.0 ELSE 0.0 END AS ip_reputation,
+                                 WHERE c.username = u.username AND f.is_malicious = 1 AND f.{queries.SIGNAL_FEED}) THEN 20.0 ELSE 0.0 END AS ip_reputation,
                7.5 AS device_novelty,
                (SELECT round(10.0 * count(*) FILTER (WHERE login_hour NOT BETWEEN 7 AND 18) / count(*), 1)
                 FROM case_events c WHERE c.username = u.username) AS login_hour_anomaly
@@ -419,6 +420,25 @@ _VIEWS: dict[str, str] = {
         SELECT username, CAST(impossible_travel AS DOUBLE) AS impossible_travel, CAST(mfa_fatigue AS DOUBLE) AS mfa_fatigue,
                CAST(ip_reputation AS DOUBLE) AS ip_reputation, CAST(device_novelty AS DOUBLE) AS device_novelty,
                CAST(login_hour_anomaly AS DOUBLE) AS login_hour_anomaly FROM signals""",
+    "bands": """
+        SELECT *, CASE WHEN risk_score < 30 THEN 'low_risk' WHEN risk_score > 70 THEN 'high_risk' ELSE 'medium_risk' END AS verdict
+        FROM (SELECT *, CAST(round_even(impossible_travel + mfa_fatigue + ip_reputation + device_novelty
+                                        + login_hour_anomaly, 0) AS INTEGER) AS risk_score FROM sig)""",
+    "firing": """
+        SELECT username, string_agg(name || ' ' || regexp_replace(CAST(score AS VARCHAR), '\\.0$', ''), '; '
+                                    ORDER BY score DESC, i) AS firing_signals
+        FROM (SELECT username, 0 AS i, 'impossible_travel' AS name, impossible_travel AS score FROM sig
+              UNION ALL SELECT username, 1, 'mfa_fatigue', mfa_fatigue FROM sig
+              UNION ALL SELECT username, 2, 'ip_reputation', ip_reputation FROM sig
+              UNION ALL SELECT username, 3, 'device_novelty', device_novelty FROM sig
+              UNION ALL SELECT username, 4, 'login_hour_anomaly', login_hour_anomaly FROM sig)
+        WHERE score > 0 GROUP BY username""",
+    "records": f"""
+        SELECT 'INC-' || c.username AS incident_id,
+               row_number() OVER (PARTITION BY c.username ORDER BY c.ts, c.event_id) AS seq, c.event_id,
+               {_text('c.ts')} AS ts, c.source_ip AS ip_address, CAST(g.lat AS DOUBLE) AS lat, CAST(g.lon AS DOUBLE) AS lon,
+               c.country, CASE c.success WHEN 1 THEN 'success' ELSE 'failure' END AS auth_status
+        FROM case_events c LEFT JOIN centroid g ON g.country = c.country""",
 }
 
 _QUEUE_COLUMNS = (
@@ -479,6 +499,17 @@ _BODIES: dict[str, str] = {
     "detect_inactive_account": "SELECT * FROM det_inactive",
     "triage_queue": f"SELECT {_QUEUE_COLUMNS} FROM queue",
     "triage_queue_from_history": f"SELECT {_QUEUE_COLUMNS} FROM queue",
+    "triage_queue_nightly": f"SELECT {_QUEUE_COLUMNS} FROM queue",
+    "queue_head": f"""
+        SELECT row_number() OVER (ORDER BY CASE severity WHEN 'HIGH' THEN 1 WHEN 'MEDIUM' THEN 2 ELSE 3 END, timestamp DESC,
+                   detection_type, event_id NULLS FIRST, campaign_key NULLS FIRST, intel_source NULLS FIRST) AS place,
+               detection_type, event_id, campaign_key, username, severity, timestamp, intel_source
+        FROM queue QUALIFY place <= {queries.QUEUE_HEAD}""",
+    "account_timeline": f"""
+        SELECT row_number() OVER (ORDER BY ts, event_id) AS place, event_id, CAST(login_date AS VARCHAR) AS login_date, login_time,
+               CAST(success AS INTEGER) AS success, source_ip
+        FROM logins WHERE login_date >= {_START} AND username = '{queries.ACCOUNT}'""",
+    "detect_brute_force_from_config": "SELECT * FROM det_guess",
     "triage_summary": """
         SELECT count(*) AS total, count(*) FILTER (WHERE severity = 'HIGH') AS high,
                count(*) FILTER (WHERE severity = 'MEDIUM') AS medium, count(*) FILTER (WHERE severity = 'LOW') AS low
@@ -695,26 +726,28 @@ _BODIES: dict[str, str] = {
                count(c.event_id) FILTER (WHERE c.success = 0) AS failure_count, {_text('max(c.ts)')} AS created_time
         FROM by_user u LEFT JOIN case_events c USING (username)
         GROUP BY u.username, u.severity, u.detections, u.techniques""",
-    "incident_events": f"""
-        SELECT 'INC-' || c.username AS incident_id,
-               row_number() OVER (PARTITION BY c.username ORDER BY c.ts, c.event_id) AS seq, c.event_id,
-               {_text('c.ts')} AS ts, c.source_ip AS ip_address, CAST(g.lat AS DOUBLE) AS lat, CAST(g.lon AS DOUBLE) AS lon,
-               c.country, CASE c.success WHEN 1 THEN 'success' ELSE 'failure' END AS auth_status
-        FROM case_events c LEFT JOIN centroid g ON g.country = c.country""",
+    "incident_events": "SELECT * FROM records",
     "incident_signals": "SELECT * FROM sig",
-    "risk_band": """
-        SELECT *, CASE WHEN risk_score < 30 THEN 'low_risk' WHEN risk_score > 70 THEN 'high_risk' ELSE 'medium_risk' END AS verdict
-        FROM (SELECT *, CAST(round_even(impossible_travel + mfa_fatigue + ip_reputation + device_novelty
-                                        + login_hour_anomaly, 0) AS INTEGER) AS risk_score FROM sig)""",
-    "signal_summary": """
-        SELECT username, string_agg(name || ' ' || regexp_replace(CAST(score AS VARCHAR), '\\.0$', ''), '; '
-                                    ORDER BY score DESC, i) AS firing_signals
-        FROM (SELECT username, 0 AS i, 'impossible_travel' AS name, impossible_travel AS score FROM sig
-              UNION ALL SELECT username, 1, 'mfa_fatigue', mfa_fatigue FROM sig
-              UNION ALL SELECT username, 2, 'ip_reputation', ip_reputation FROM sig
-              UNION ALL SELECT username, 3, 'device_novelty', device_novelty FROM sig
-              UNION ALL SELECT username, 4, 'login_hour_anomaly', login_hour_anomaly FROM sig)
-        WHERE score > 0 GROUP BY username""",
+    "incident_pages": f"""
+        SELECT incident_id, (seq - 1) // {queries.RECORDS_PER_PAGE} AS page,
+               CAST(to_json(list(struct_pack(seq := seq, ts := ts, ip_address := ip_address, lat := lat, lon := lon,
+                                             country := country, auth_status := auth_status) ORDER BY seq)) AS VARCHAR) AS events
+        FROM records GROUP BY ALL""",
+    "handoff_records": f"""
+        SELECT username, CAST(to_json(struct_pack(
+            username := username, incident_id := 'INC-' || username, principal := lower(username) || '@example.org',
+            created_time := created_time,
+            lab := struct_pack(severity := severity, detections := string_split(detections, ','), techniques := string_split(techniques, ',')),
+            risk := struct_pack(risk_score := risk_score, verdict := verdict, firing_signals := firing_signals,
+                rationale := [struct_pack(signal := 'impossible_travel', score := impossible_travel),
+                              struct_pack(signal := 'mfa_fatigue', score := mfa_fatigue),
+                              struct_pack(signal := 'ip_reputation', score := ip_reputation),
+                              struct_pack(signal := 'device_novelty', score := device_novelty),
+                              struct_pack(signal := 'login_hour_anomaly', score := login_hour_anomaly)]))) AS VARCHAR) AS record
+        FROM by_user JOIN (SELECT username, {_text('max(ts)')} AS created_time FROM case_events GROUP BY username) USING (username)
+        JOIN bands USING (username) JOIN firing USING (username)""",
+    "risk_band": "SELECT * FROM bands",
+    "signal_summary": "SELECT * FROM firing",
     "country_distances": """
         SELECT p.country_a, p.country_b, p.legs,
                CAST(50 * round(2 * 6371 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat))
@@ -740,6 +773,8 @@ _BODIES: dict[str, str] = {
     "report_critical_patch": """
         SELECT device_id, owner_name, days_since_patch, patch_risk FROM patches WHERE patch_risk = 'CRITICAL'""",
 }
+_BODIES["hunt_impossible_travel_csv"] = _BODIES["hunt_impossible_travel"]
+_BODIES["account_history_merged"] = _BODIES["account_history"]
 _BODIES["ip_enrichment_by_prefix"] = """
         SELECT l.event_id, l.source_ip, f.cidr, f.is_malicious, CAST(f.confidence AS DOUBLE) AS confidence, f.source, f.tags
         FROM logins l JOIN feed f ON starts_with(l.source_ip, f.ip_prefix)"""

@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from dataclasses import asdict, replace
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loginwatch.operators import baselines, correlate, geography, hunts, impossible_travel
+from loginwatch.config import HuntConfig
+from loginwatch.operators import baselines, brute_force, correlate, geography, hunts, impossible_travel
 from loginwatch.operators import incidents, inactive_account, integrity, labels, metrics
 from loginwatch.operators import password_spray, triage
 from loginwatch.operators.enrich import ThreatFeed, account_status, classify_source, ip_enrichment
-from loginwatch.operators.history import account_history
+from loginwatch.operators.history import account_history, merge_history
 from loginwatch.operators.normalize import failures, login_events
 from loginwatch.plans.hunt import Hunt, demo_hunt
 from loginwatch.plans.report import detection_report
-from loginwatch.plans.session import use_utc
+from loginwatch.plans.session import shared_dir, stored, use_utc
 from loginwatch.sources import demo, reference
+from loginwatch.sources.tables import read_distance_csv
 from loginwatch.streaming import correlate as stream
 
 ASOF = datetime(2024, 1, 31)
@@ -31,6 +34,13 @@ HUNT_FAILED = 2
 HUNT_ACCOUNTS = 3
 BURST = 2
 
+# Gates of the risk signals, and the part of the feed they use, such that each fires for some accounts.
+SIGNAL_WEIGHTS = incidents.SignalWeights(travel_kmh=10_000.0, burst_window=timedelta(hours=6), burst_failures=2)
+SIGNAL_FEED = "source LIKE 'demo-%'"
+RECORDS_PER_PAGE = 20
+QUEUE_HEAD = 100
+ACCOUNT = "U000003"
+
 REPORT_SECTIONS = [
     "triage_queue", "unfamiliar_country", "impossible_travel", "after_hours", "brute_force",
     "password_spray", "bruteforce_failed", "inactive_account", "orphan_devices",
@@ -72,8 +82,74 @@ def _closed(spark: SparkSession, sf_dir: str, alerts: DataFrame) -> DataFrame:
 
 
 def _signals(h: Hunt) -> DataFrame:
-    users = triage.flagged_users(h.stored_queue)
-    return incidents.incident_signals(h.events, users, h.feed, h.cfg, reference.CENTROIDS)
+    feed = ThreatFeed.load(h.table("ip_enrichment").where(SIGNAL_FEED))
+    return incidents.incident_signals(
+        h.prepared.recent, h.by_user.select("username"), feed, h.cfg, reference.CENTROIDS, SIGNAL_WEIGHTS
+    )
+
+
+def _incident_events(h: Hunt) -> DataFrame:
+    return incidents.incident_events(h.prepared.recent, h.by_user.select("username"), h.cfg, reference.CENTROIDS)
+
+
+def _incident_pages(h: Hunt) -> DataFrame:
+    """Nested records as JSON text, a page per row."""
+    records = _incident_events(h).withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    pages = incidents.incident_pages(records, RECORDS_PER_PAGE)
+    return pages.select("incident_id", "page", F.to_json("events", {"ignoreNullFields": "false"}).alias("events"))
+
+
+def _handoff(h: Hunt) -> DataFrame:
+    """The nested hand-off record of each account as JSON text."""
+    headers = incidents.assemble_incidents(h.prepared.recent, h.by_user, h.cfg).withColumn(
+        "created_time", F.date_format("created_time", "yyyy-MM-dd HH:mm:ss")
+    )
+    signals = stored(_signals(h), "signals")
+    records = incidents.handoff_records(headers, incidents.risk_band(signals), incidents.signal_summary(signals))
+    return records.select("username", F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"))
+
+
+def _merged_history(h: Hunt) -> DataFrame:
+    """The history folded in two slices of days and merged, as nightly runs do."""
+    cut = ASOF.date() - timedelta(days=20)
+    parts = [account_history(h.events.where(c), h.cfg) for c in (f"login_date < date'{cut}'", f"login_date >= date'{cut}'")]
+    return _history_columns(merge_history(*parts))
+
+
+def _history_columns(history: DataFrame) -> DataFrame:
+    return history.select(
+        "username", "country", "first_ts", "baseline_logins", "min_hour", "max_hour",
+        F.col("last_success.event_id").alias("last_event_id"),
+    )
+
+
+def _nightly(h: Hunt, spark: SparkSession) -> DataFrame:
+    """The queue over a history kept in a folder, brought forward in two steps."""
+    path = shared_dir(spark, "kept_history")
+    earlier = replace(h.cfg, detection_start=h.cfg.detection_start - timedelta(days=5))
+    account_history(since_before(h.events, earlier.detection_start), h.cfg).write.parquet(
+        f"{path}/until={earlier.detection_start}"
+    )
+    h.update_history(path)
+    return h.with_history(path).queue()
+
+
+def since_before(events: DataFrame, day: date) -> DataFrame:
+    return events.where(f"login_date < date'{day}'")
+
+
+def _from_config_table(h: Hunt, spark: SparkSession) -> DataFrame:
+    """The brute-force rule under tunables read from a key-value table."""
+    values = {k: str(v) for k, v in asdict(h.cfg).items()}
+    table = stored(reference.hunt_config_table(spark, values), "hunt_config")
+    return brute_force.detect_brute_force(h.events, h.employees, HuntConfig.from_table(table))
+
+
+def _travel_from_csv(h: Hunt, spark: SparkSession) -> DataFrame:
+    """The travel hunt with distances from a CSV file."""
+    path = shared_dir(spark, "distances")
+    h.country_distance.write.option("header", True).csv(path)
+    return hunts.hunt_impossible_travel(h.events, read_distance_csv(spark, path), ASOF, LOOKBACK)
 
 
 QUERIES: dict[str, Query] = {
@@ -97,10 +173,8 @@ QUERIES: dict[str, Query] = {
     "dept_hour_baseline": lambda h, s, d: baselines.dept_hour_baseline(h.events, h.employees, h.cfg),
     "hour_windows": lambda h, s, d: baselines.hour_windows(h.events, h.employees, h.cfg),
     "patch_status": lambda h, s, d: h.patches(),
-    "account_history": lambda h, s, d: account_history(h.events, h.cfg).select(
-        "username", "country", "first_ts", "baseline_logins", "min_hour", "max_hour",
-        F.col("last_success.event_id").alias("last_event_id"),
-    ),
+    "account_history": lambda h, s, d: _history_columns(account_history(h.events, h.cfg)),
+    "account_history_merged": lambda h, s, d: _merged_history(h),
     # Detections
     "detect_unfamiliar_country": lambda h, s, d: h.unfamiliar_country(),
     "travel_transitions": lambda h, s, d: impossible_travel.travel_transitions(h.events),
@@ -114,6 +188,10 @@ QUERIES: dict[str, Query] = {
     # Triage and integrity
     "triage_queue": lambda h, s, d: h.queue(),
     "triage_queue_from_history": lambda h, s, d: h.with_stored_history().queue(),
+    "triage_queue_nightly": lambda h, s, d: _nightly(h, s),
+    "queue_head": lambda h, s, d: triage.queue_head(h.queue(), QUEUE_HEAD),
+    "account_timeline": lambda h, s, d: triage.account_timeline(h.events, ACCOUNT, h.cfg),
+    "detect_brute_force_from_config": lambda h, s, d: _from_config_table(h, s),
     "triage_summary": lambda h, s, d: triage.triage_summary(h.queue()),
     "high_severity_findings": lambda h, s, d: triage.high_severity_findings(h.queue()),
     "user_timeline": lambda h, s, d: triage.user_timeline(h.events, h.brute_force(), h.cfg),
@@ -145,6 +223,7 @@ QUERIES: dict[str, Query] = {
     "hunt_impossible_travel": lambda h, s, d: hunts.hunt_impossible_travel(
         h.events, h.country_distance, ASOF, LOOKBACK
     ),
+    "hunt_impossible_travel_csv": lambda h, s, d: _travel_from_csv(h, s),
     "hunt_failures_since_success": lambda h, s, d: hunts.hunt_failures_since_success(
         h.events, ASOF, LOOKBACK, HUNT_RUN
     ),
@@ -195,12 +274,16 @@ QUERIES: dict[str, Query] = {
         h.attempts, (F.col("success") == 0) & F.col("source_ip").startswith("45.33.32."),
         "password_spray", F.concat(F.lit("spray-"), F.col("login_date").cast("string")), "scanner failures",
     ),
-    "event_metrics": lambda h, s, d: metrics.event_metrics(h.event_findings(), h.labels),
-    "event_errors": lambda h, s, d: metrics.event_errors(h.event_findings(), h.labels),
-    "campaign_metrics": lambda h, s, d: metrics.campaign_metrics(h.campaign_findings(), h.window_events, h.labels),
-    "campaign_errors": lambda h, s, d: metrics.campaign_errors(h.campaign_findings(), h.window_events, h.labels),
+    "event_metrics": lambda h, s, d: metrics.event_metrics(h.prepared.event_findings(), h.labels),
+    "event_errors": lambda h, s, d: metrics.event_errors(h.prepared.event_findings(), h.labels),
+    "campaign_metrics": lambda h, s, d: metrics.campaign_metrics(
+        h.prepared.campaign_findings(), h.prepared.window_events, h.labels
+    ),
+    "campaign_errors": lambda h, s, d: metrics.campaign_errors(
+        h.prepared.campaign_findings(), h.prepared.window_events, h.labels
+    ),
     "campaign_findings_counted": lambda h, s, d: metrics.campaign_findings_counted(
-        h.campaign_findings(), h.window_events, h.labels
+        h.prepared.campaign_findings(), h.prepared.window_events, h.labels
     ),
     "rule_scores": lambda h, s, d: h.scores(),
     "micro_average": lambda h, s, d: metrics.micro_average(h.scores()),
@@ -210,12 +293,10 @@ QUERIES: dict[str, Query] = {
     ),
     # Hand-off
     "findings_by_user": lambda h, s, d: incidents.findings_by_user(h.queue()),
-    "assemble_incidents": lambda h, s, d: incidents.assemble_incidents(
-        h.events, incidents.findings_by_user(h.stored_queue), h.cfg
-    ),
-    "incident_events": lambda h, s, d: incidents.incident_events(
-        h.events, triage.flagged_users(h.stored_queue), h.cfg, reference.CENTROIDS
-    ),
+    "assemble_incidents": lambda h, s, d: incidents.assemble_incidents(h.prepared.recent, h.by_user, h.cfg),
+    "incident_events": lambda h, s, d: _incident_events(h),
+    "incident_pages": lambda h, s, d: _incident_pages(h),
+    "handoff_records": lambda h, s, d: _handoff(h),
     "incident_signals": lambda h, s, d: _signals(h),
     "risk_band": lambda h, s, d: incidents.risk_band(_signals(h)),
     "signal_summary": lambda h, s, d: incidents.signal_summary(_signals(h)),

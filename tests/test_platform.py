@@ -2,6 +2,7 @@
 
 import io
 from contextlib import redirect_stdout
+from datetime import date, timedelta
 
 import compare
 import pytest
@@ -171,3 +172,59 @@ def test_rolling_stream_goes_on_in_the_same_folder(spark, tmp_path, tables):
     want = correlate.correlate_event_count(failures(tables.events(rows)), gte=8)
     assert got == sorted(tuple(r) for r in want.collect()) and len(got) > 20
     assert _rolling(spark, inbox, home, 8) == got
+
+
+def log_scans(frame) -> int:
+    return plan_of(frame).count("/events.parquet]")
+
+
+@pytest.mark.parametrize("name, most", [("triage_queue", 1), ("rule_scores", 1), ("findings_by_user", 1), ("dataset_summary", 2)])
+def test_rules_start_from_two_stored_folds(spark, name, most):
+    """Beside the two reads that make the folds, the log is read for inactive accounts (and
+    for the number of events in the summary)."""
+    assert log_scans(registered()[name](spark, SMALL)) <= most
+
+
+def test_scores_and_hand_off_name_nobody(spark):
+    """Counts need no display columns, so no directory is joined below them."""
+    assert log_scans(registered()["assemble_incidents"](spark, SMALL)) == 0
+
+
+def test_history_goes_forward_without_the_old_days(spark, tmp_path):
+    from dataclasses import replace
+
+    from loginwatch.operators import history as old
+
+    hunt, path = demo_hunt(spark, SMALL), str(tmp_path / "history")
+    days = [hunt.cfg.detection_start - timedelta(days=n) for n in (9, 4, 0)]
+    for d in days:
+        step = old.update_history(hunt.events, replace(hunt.cfg, detection_start=d, baseline_end=d), path)
+        assert "events.parquet" not in plan_of(step)
+    with pytest.raises(ValueError, match="update it"):
+        replaced = replace(hunt.cfg, detection_start=date(2023, 1, 1), baseline_end=date(2023, 1, 1))
+        type(hunt)(hunt._tables, replaced).with_history(path)
+    ready = hunt.with_history(path)
+    whole = {tuple(map(str, r)) for r in old.account_history(hunt.events, hunt.cfg).collect()}
+    assert {tuple(map(str, r)) for r in ready.history.collect()} == whole
+    plan = plan_of(ready.history)
+    assert "events.parquet" not in plan
+    again = plan_of(old.update_history(hunt.events, hunt.cfg, path))
+    assert "events.parquet" not in again
+
+
+def test_every_signal_has_both_outcomes(spark):
+    rows = registered()["incident_signals"](spark, "/root/testdata/sf0.01").collect()
+    for c in ("impossible_travel", "mfa_fatigue", "ip_reputation"):
+        fired = sum(r[c] > 0 for r in rows)
+        assert 10 < fired < len(rows) - 10, c
+    bands = registered()["risk_band"](spark, "/root/testdata/sf0.01").groupBy("verdict").count().collect()
+    assert len(bands) >= 2
+
+
+def test_nested_records_as_json_lines(spark, tmp_path):
+    records = registered()["handoff_records"](spark, SMALL)
+    parsed = spark.read.json(records.select("record").rdd.map(lambda r: r[0]))
+    assert parsed.count() == records.count() and {"lab", "risk", "principal"} <= set(parsed.columns)
+    store.write_json(parsed, str(tmp_path / "out"))
+    back = spark.read.json(str(tmp_path / "out"))
+    assert back.count() == parsed.count() and back.select("risk.rationale.score").first()[0]
