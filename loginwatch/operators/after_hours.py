@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from loginwatch.config import HuntConfig
-from loginwatch.functions import clock
+from loginwatch.functions import clock, messages
 from loginwatch.functions.accounts import IT_DEPARTMENTS, is_service, text_list
 from loginwatch.operators.baselines import account_windows
 from loginwatch.operators.normalize import since_day, successes
@@ -23,6 +23,5 @@ def detect_after_hours(
         "event_id", "username", "user_name", "department", f"{clock.stamp()} AS timestamp",
         "login_hour", "country", "source_ip", "baseline_source", "window_start", "window_end",
         f"if(department IN ({text_list(IT_DEPARTMENTS)}), 'LOW', 'MEDIUM') AS severity",
-        """concat('Login at ', login_time, ' UTC outside ', baseline_source, ' hour window [',
-                  window_start, ':00-', window_end, ':59]') AS reason""",
+        f"{messages.AFTER_HOURS} AS reason",
     )

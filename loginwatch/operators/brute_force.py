@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
-from loginwatch.functions import clock
+from loginwatch.functions import clock, messages
 from loginwatch.operators.normalize import named, since_day, successes
 from loginwatch.operators.timeline import account_points
 
@@ -52,8 +52,7 @@ def detect_brute_force(events: DataFrame, employees: DataFrame, cfg: HuntConfig)
         "event_id", "username", "user_name", "department",
         "date_format(first_failure_ts, 'yyyy-MM-dd HH:mm:ss') AS first_failure",
         f"{clock.stamp()} AS success_time", "failure_count", "source_ip AS success_ip", "'HIGH' AS severity",
-        f"""concat('Brute force: ', failure_count, ' uninterrupted failures within {cfg.bf_window_minutes} min ',
-                   'preceding success from ', source_ip) AS reason""",
+        f"{messages.BRUTE_FORCE.format(minutes=cfg.bf_window_minutes)} AS reason",
     )
 
 
@@ -79,6 +78,5 @@ def detect_bruteforce_failed(events: DataFrame, employees: DataFrame, cfg: HuntC
         "date_format(first_ts, 'HH:mm:ss') AS first_attempt",
         "date_format(last_ts, 'HH:mm:ss') AS last_attempt",
         "concat(username, '|', source_ip, '|', login_date) AS campaign_key", "'MEDIUM' AS severity",
-        """concat('Failed brute force: ', failure_count, ' failures on one account from ', source_ip, ' on ',
-                  login_date, ', no success from that source') AS reason""",
+        f"{messages.BRUTEFORCE_FAILED} AS reason",
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
-from loginwatch.functions import clock
+from loginwatch.functions import clock, messages
 from loginwatch.operators.normalize import named, since_day, successes
 from loginwatch.operators.sizing import broadcast_if_small
 from loginwatch.operators.timeline import HOT_ROWS, with_previous
@@ -92,7 +92,5 @@ def detect_impossible_travel(
         f"{clock.stamp()} AS timestamp_2", "country AS country_2", "source_ip AS ip_2",
         "hours_apart", "distance_km", "required_kmh",
         "if(rationale IS NULL, 'HIGH', 'MEDIUM') AS severity",
-        f"""concat('Impossible travel: ', prev.country, ' -> ', country, ' in ', hours_apart,
-                   'h requires ~', required_kmh, ' km/h (gate: {cfg.speed_text()} km/h)',
-                   coalesce(concat(' [exception: ', rationale, ']'), '')) AS reason""",
+        f"{messages.IMPOSSIBLE_TRAVEL.format(gate=cfg.speed_text())} AS reason",
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from loginwatch.functions import clock
+from loginwatch.functions import clock, messages
 from loginwatch.functions.accounts import FULL_NAME, text_list
 from loginwatch.operators.sizing import broadcast_if_small
 
@@ -23,8 +23,7 @@ def detect_inactive_account(events: DataFrame, employees: DataFrame) -> DataFram
     return events.join(broadcast_if_small(inactive), "username").selectExpr(
         "event_id", "username", "user_name", "department", "account_status", f"{clock.stamp()} AS timestamp",
         "country", "source_ip", "if(success = 1, 'SUCCESS', 'FAILED') AS outcome", "'HIGH' AS severity",
-        """concat(if(success = 1, 'CRITICAL: Successful login on ', 'Login attempt on '), account_status,
-                  ' account from ', country) AS reason""",
+        f"{messages.INACTIVE_ACCOUNT} AS reason",
     )
 
 

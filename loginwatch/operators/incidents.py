@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
-from loginwatch.functions import clock
+from loginwatch.functions import clock, messages
 from loginwatch.functions.accounts import SEVERITY_RANK
 from loginwatch.functions.geo import Centroids, centroid, country_km
 from loginwatch.functions.text import short_number
@@ -42,7 +42,7 @@ class SignalWeights:
     day_end: int = 19
 
 
-SIGNALS = ["impossible_travel", "mfa_fatigue", "ip_reputation", "device_novelty", "login_hour_anomaly"]
+SIGNALS = messages.SIGNALS
 
 
 def findings_by_user(queue: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
+from loginwatch.functions import messages
 from loginwatch.functions.accounts import FULL_NAME, is_service, text_list
 from loginwatch.functions.clock import is_time_of_day
 
@@ -17,7 +18,7 @@ def orphan_devices(machines: DataFrame, employees: DataFrame) -> DataFrame:
     """Devices whose owner is unknown to the directory, or not recorded."""
     return machines.join(employees.select("employee_id"), "employee_id", "left_anti").selectExpr(
         "device_id", "employee_id AS listed_owner", "operating_system", "os_patch_date",
-        "'Device has no valid owner in employee directory' AS issue",
+        f"{messages.ORPHAN_DEVICE} AS issue",
     )
 
 
@@ -32,7 +33,7 @@ def inventory_mismatch(machines: DataFrame, machines_backup: DataFrame, employee
         both = both.join(names, side, "left")
     return both.selectExpr(
         "device_id", "primary_owner", "primary_owner_name", "backup_owner", "backup_owner_name",
-        "'Ownership conflict between inventories' AS issue",
+        f"{messages.INVENTORY_MISMATCH} AS issue",
     )
 
 
@@ -42,7 +43,7 @@ def users_without_devices(employees: DataFrame, machines: DataFrame) -> DataFram
     people = employees.where(f"status = 'Active' AND NOT {is_service('employee_id')}")
     return people.join(owners, "employee_id", "left_anti").selectExpr(
         "employee_id", f"{FULL_NAME} AS employee_name", "department", "status",
-        "'Active employee has no assigned device' AS issue",
+        f"{messages.USER_WITHOUT_DEVICE} AS issue",
     )
 
 

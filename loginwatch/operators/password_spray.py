@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
+from loginwatch.functions import messages
 from loginwatch.functions.text import joined
 from loginwatch.operators.normalize import since_day
 
@@ -65,9 +66,7 @@ def spray_findings(events: DataFrame, cfg: HuntConfig, *more: str) -> DataFrame:
         "date_format(last_ts, 'HH:mm:ss') AS last_attempt",
         "concat(source_ip, '|', login_date) AS campaign_key",
         "if(successes > 0, 'HIGH', 'MEDIUM') AS severity",
-        """concat('Password spray: ', accounts_targeted, ' accounts, ', total_failures, ' failures from ',
-                  source_ip, ' on ', login_date,
-                  if(successes > 0, concat(' - INCLUDES ', successes, ' SUCCESS(ES)'), '')) AS reason""",
+        f"{messages.PASSWORD_SPRAY} AS reason",
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from loginwatch.config import HuntConfig
-from loginwatch.functions import clock
+from loginwatch.functions import clock, messages
 from loginwatch.functions.accounts import country_severity
 from loginwatch.operators.baselines import country_profile
 from loginwatch.operators.normalize import named, since_day, successes
@@ -39,8 +39,5 @@ def detect_unfamiliar_country(
         "country AS anomaly_country", "baseline_countries", "source_ip",
         "if(only_at IS NULL, 'baseline', 'no_baseline') AS baseline_state",
         f"{country_severity()} AS severity",
-        """if(only_at IS NULL,
-              concat('Unfamiliar login location: ', country, ' not in baseline [', baseline_countries, ']'),
-              concat('No geographic baseline (new or dormant account): first observed success from ', country)
-           ) AS reason""",
+        f"{messages.UNFAMILIAR_COUNTRY} AS reason",
     )
