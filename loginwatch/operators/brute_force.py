@@ -45,7 +45,7 @@ def failure_runs(events: DataFrame, cfg: HuntConfig) -> DataFrame:
     )
 
 
-def detect_brute_force(events: DataFrame, employees: DataFrame, cfg: HuntConfig) -> DataFrame:
+def detect_brute_force(events: DataFrame, employees: DataFrame | None, cfg: HuntConfig) -> DataFrame:
     recent = since_day(successes(events), cfg.detection_start)
     hits = recent.join(failure_runs(events, cfg), ["username", "ts"])
     return named(hits, employees).selectExpr(
@@ -56,7 +56,7 @@ def detect_brute_force(events: DataFrame, employees: DataFrame, cfg: HuntConfig)
     )
 
 
-def detect_bruteforce_failed(events: DataFrame, employees: DataFrame, cfg: HuntConfig) -> DataFrame:
+def detect_bruteforce_failed(events: DataFrame, employees: DataFrame | None, cfg: HuntConfig) -> DataFrame:
     """Failures of one account from one source in one day, none of which landed.
 
     Success and failure share the grouping key, so the exclusion is part of the same

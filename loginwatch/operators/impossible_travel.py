@@ -55,7 +55,7 @@ def one_per_pair(table: DataFrame, value: str) -> DataFrame:
 
 def detect_impossible_travel(
     events: DataFrame,
-    employees: DataFrame,
+    employees: DataFrame | None,
     country_distance: DataFrame,
     travel_exceptions: DataFrame,
     cfg: HuntConfig,

@@ -22,12 +22,17 @@ def orphan_devices(machines: DataFrame, employees: DataFrame) -> DataFrame:
     )
 
 
-def inventory_mismatch(machines: DataFrame, machines_backup: DataFrame, employees: DataFrame) -> DataFrame:
-    """Devices in both inventories under different owners."""
+def mismatched_devices(machines: DataFrame, machines_backup: DataFrame) -> DataFrame:
+    """Devices in both inventories under different owners: the keys only."""
     backup = machines_backup.selectExpr("device_id", "employee_id AS backup_owner")
-    both = machines.selectExpr("device_id", "employee_id AS primary_owner").join(
+    return machines.selectExpr("device_id", "employee_id AS primary_owner").join(
         backup, "device_id"
     ).where("primary_owner != backup_owner")
+
+
+def inventory_mismatch(machines: DataFrame, machines_backup: DataFrame, employees: DataFrame) -> DataFrame:
+    """The same with the owners' names."""
+    both = mismatched_devices(machines, machines_backup)
     for side in ("primary_owner", "backup_owner"):
         names = employees.selectExpr(f"employee_id AS {side}", f"{FULL_NAME} AS {side}_name")
         both = both.join(names, side, "left")
@@ -55,7 +60,7 @@ def containment_preflight(
     ``stop`` is set when the inventories disagree, the device has no valid owner, or the
     account is unknown.
     """
-    mismatched = inventory_mismatch(machines, machines_backup, employees).selectExpr(
+    mismatched = mismatched_devices(machines, machines_backup).selectExpr(
         "device_id", "true AS mismatch"
     )
     orphaned = orphan_devices(machines, employees).selectExpr("device_id", "true AS orphan")

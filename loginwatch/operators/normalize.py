@@ -43,6 +43,11 @@ def directory(employees: DataFrame) -> DataFrame:
     return employees.selectExpr("employee_id AS username", f"{FULL_NAME} AS user_name", "department")
 
 
-def named(rows: DataFrame, employees: DataFrame) -> DataFrame:
-    """Attach ``user_name`` and ``department``; unknown accounts keep NULLs."""
+def named(rows: DataFrame, employees: DataFrame | None) -> DataFrame:
+    """Attach ``user_name`` and ``department``; unknown accounts keep NULLs.
+
+    Without ``employees`` both are NULL and nothing is joined: for scores and counts.
+    """
+    if employees is None:
+        return rows.selectExpr("*", "cast(NULL AS string) AS user_name", "cast(NULL AS string) AS department")
     return rows.join(directory(employees), "username", "left")

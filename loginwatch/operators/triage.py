@@ -48,14 +48,16 @@ def as_findings(rule: str, detection: DataFrame) -> DataFrame:
     return detection.selectExpr(*[f"{source.get(c, c)} AS {c}" for c in FINDING_COLUMNS])
 
 
+def all_findings(detections: Mapping[str, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.union, [as_findings(rule, detections[rule]) for rule in RULE_TAGS])
+
+
 def triage_queue(detections: Mapping[str, DataFrame], feed: ThreatFeed) -> DataFrame:
     """All findings with the feed's view of their source; unordered.
 
     Write it with :func:`loginwatch.sources.tables.write_findings`; only reports sort it.
     """
-    branches = [as_findings(rule, detections[rule]) for rule in RULE_TAGS]
-    findings = reduce(DataFrame.union, branches)
-    return with_intel(findings, feed, outer=True).selectExpr(
+    return with_intel(all_findings(detections), feed, outer=True).selectExpr(
         *FINDING_COLUMNS, "intel.source AS intel_source", "intel.tags AS intel_tags",
         "intel.confidence AS intel_confidence",
     )

@@ -27,7 +27,7 @@ def suspect_pairs(events: DataFrame, cfg: HuntConfig, history: DataFrame | None
 
 
 def detect_unfamiliar_country(
-    events: DataFrame, employees: DataFrame, cfg: HuntConfig, history: DataFrame | None = None
+    events: DataFrame, employees: DataFrame | None, cfg: HuntConfig, history: DataFrame | None = None
 ) -> DataFrame:
     """One equi-join of window successes with the few suspect pairs."""
     recent = since_day(successes(events), cfg.detection_start)

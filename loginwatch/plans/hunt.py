@@ -33,12 +33,23 @@ class Hunt:
         cfg: HuntConfig,
         history: DataFrame | None = None,
         window: DataFrame | None = None,
+        names: bool = True,
     ):
         self._tables = tables
         self._built: dict[str, DataFrame] = {}
         self.cfg = cfg
         self.history = history
         self._window = window
+        self._names = names
+
+    @property
+    def unnamed(self) -> Hunt:
+        """The same hunt without display columns: for scores, counts and the hand-off."""
+        return Hunt(self._tables, self.cfg, self.history, self._window, names=False)
+
+    @property
+    def _shown(self) -> DataFrame | None:
+        return self.employees if self._names else None
 
     def with_stored_history(self) -> Hunt:
         """The same hunt over a stored account history: later steps skip the old days."""
@@ -108,12 +119,12 @@ class Hunt:
 
     def unfamiliar_country(self) -> DataFrame:
         return unfamiliar_country.detect_unfamiliar_country(
-            self.recent, self.employees, self.cfg, self.history
+            self.recent, self._shown, self.cfg, self.history
         )
 
     def impossible_travel(self) -> DataFrame:
         return impossible_travel.detect_impossible_travel(
-            self.recent, self.employees, self.country_distance, self.travel_exceptions, self.cfg,
+            self.recent, self._shown, self.country_distance, self.travel_exceptions, self.cfg,
             history=self.history,
         )
 
@@ -121,10 +132,10 @@ class Hunt:
         return after_hours.detect_after_hours(self.recent, self.employees, self.cfg, self.history)
 
     def brute_force(self) -> DataFrame:
-        return brute_force.detect_brute_force(self.recent, self.employees, self.cfg)
+        return brute_force.detect_brute_force(self.recent, self._shown, self.cfg)
 
     def bruteforce_failed(self) -> DataFrame:
-        return brute_force.detect_bruteforce_failed(self.recent, self.employees, self.cfg)
+        return brute_force.detect_bruteforce_failed(self.recent, self._shown, self.cfg)
 
     def password_spray(self) -> DataFrame:
         """Findings without the account names, which no consumer of the queue needs."""
@@ -140,20 +151,19 @@ class Hunt:
         return {rule: getattr(self, rule)() for rule in rules}
 
     def event_findings(self) -> DataFrame:
-        return metrics.event_findings(self.detections(metrics.rules_of("event")))
+        return metrics.event_findings(self.unnamed.detections(metrics.rules_of("event")))
 
     def campaign_findings(self) -> dict[str, DataFrame]:
-        return self.detections(metrics.rules_of("campaign"))
+        return self.unnamed.detections(metrics.rules_of("campaign"))
 
-    @cached_property
-    def stored_queue(self) -> DataFrame:
-        """The queue written once, for hand-off steps that read it several times."""
-        return stored(self.queue(), "triage_queue")
+    def findings_by_user(self) -> DataFrame:
+        """Findings per account; neither names nor the feed take part in them."""
+        return incidents.findings_by_user(triage.all_findings(self.prepared.unnamed.detections()))
 
     @cached_property
     def by_user(self) -> DataFrame:
-        """Findings per account, written once: what the hand-off steps start from."""
-        return stored(incidents.findings_by_user(self.queue()), "findings_by_user")
+        """The same written once: what the hand-off steps start from."""
+        return stored(self.findings_by_user(), "findings_by_user")
 
     def queue(self) -> DataFrame:
         return triage.triage_queue(self.prepared.detections(), self.feed)
@@ -167,6 +177,9 @@ class Hunt:
     def mismatches(self) -> DataFrame:
         return integrity.inventory_mismatch(self.machines, self.machines_backup, self.employees)
 
+    def mismatched(self) -> DataFrame:
+        return integrity.mismatched_devices(self.machines, self.machines_backup)
+
     def deviceless(self) -> DataFrame:
         return integrity.users_without_devices(self.employees, self.machines)
 
@@ -180,7 +193,7 @@ class Hunt:
     def summary(self) -> DataFrame:
         return metrics.dataset_summary(
             self.events, self.labels, self.employees, self.machines, self.queue(),
-            [self.orphans(), self.mismatches(), self.deviceless()], self.patches(),
+            [self.orphans(), self.mismatched(), self.deviceless()], self.patches(),
         )
 
 

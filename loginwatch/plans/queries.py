@@ -205,7 +205,7 @@ QUERIES: dict[str, Query] = {
         h.machines, h.machines_backup, h.employees,
     ),
     "mismatch_live_subjects": lambda h, s, d: integrity.mismatch_live_subjects(
-        h.mismatches(), h.impossible_travel()
+        h.mismatched(), h.unnamed.impossible_travel()
     ),
     "dataset_invariants": lambda h, s, d: integrity.dataset_invariants(
         demo.flawed_attempts(s, d), h.labels, demo.flawed_config(s, d),
@@ -289,10 +289,10 @@ QUERIES: dict[str, Query] = {
     "micro_average": lambda h, s, d: metrics.micro_average(h.scores()),
     "dataset_summary": lambda h, s, d: h.summary(),
     "asset_metrics": lambda h, s, d: metrics.asset_metrics(
-        metrics.asset_findings(h.orphans(), h.mismatches(), h.deviceless(), h.patches()), h.asset_labels
+        metrics.asset_findings(h.orphans(), h.mismatched(), h.deviceless(), h.patches()), h.asset_labels
     ),
     # Hand-off
-    "findings_by_user": lambda h, s, d: incidents.findings_by_user(h.queue()),
+    "findings_by_user": lambda h, s, d: h.findings_by_user(),
     "assemble_incidents": lambda h, s, d: incidents.assemble_incidents(h.prepared.recent, h.by_user, h.cfg),
     "incident_events": lambda h, s, d: _incident_events(h),
     "incident_pages": lambda h, s, d: _incident_pages(h),

@@ -42,7 +42,7 @@ def detection_report(hunt: Hunt) -> dict[str, Callable[[], DataFrame]]:
             "event_id", "username", "outcome", "country"
         ),
         "orphan_devices": lambda: hunt.orphans().select("device_id", "listed_owner", "issue"),
-        "inventory_mismatch": lambda: hunt.mismatches().select("device_id", "primary_owner", "backup_owner"),
+        "inventory_mismatch": lambda: hunt.mismatched().select("device_id", "primary_owner", "backup_owner"),
         "users_without_devices": lambda: hunt.deviceless().select(
             "employee_id", "employee_name", "department"
         ),
