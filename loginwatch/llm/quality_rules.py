@@ -191,9 +191,10 @@ def judged(rows: DataFrame, cutoffs: DataFrame) -> DataFrame:
         exists(sequence(0, size(levels) - 1),
                i -> reject_from[i] is not null and levels[i] >= reject_from[i])
     """
-    return rows.join(cutoffs, "stratum", "left").withColumn(
-        "kept", F.expr(f"NOT base_failed AND NOT coalesce({rejected}, false)")
-    ).drop("reject_from")
+    # One condition over both sides: a part of it that Spark could test before the join would be
+    # computed from the text there and again after it.
+    verdict = f"CASE WHEN base_failed THEN false ELSE NOT coalesce({rejected}, false) END"
+    return rows.join(cutoffs, "stratum", "left").withColumn("kept", F.expr(verdict)).drop("reject_from")
 
 
 def quality_report(documents: DataFrame, labels: DataFrame) -> DataFrame:
