@@ -216,10 +216,14 @@ def first_of_each(documents: DataFrame) -> DataFrame:
     best = classes.groupBy("component_id", F.expr("if(component_id is null, fp, null)").alias("lone")).agg(
         F.min("_key").alias("_key")
     )
-    keep = best.select("_key").distinct()
+    rows = prints.groupBy("_key").agg(F.count(F.lit(1)).alias("n"))
+    keep = stored(best.select("_key").distinct().join(rows, "_key"), "kept_keys")
     kept = keyed.alias("d").join(
-        keep.alias("k").hint("shuffle_hash"),
+        keep.select("_key").alias("k").hint("shuffle_hash"),
         (F.col("d._key.hash") == F.col("k._key.hash")) & F.col("d._key.doc_id").eqNullSafe(F.col("k._key.doc_id")),
         "left_semi",
     )
-    return kept.dropDuplicates(["_key"]).drop("_key")
+    # Texts are shuffled a second time only if a kept row is repeated.
+    if not keep.where("n > 1").isEmpty():
+        kept = kept.dropDuplicates(["_key"])
+    return kept.drop("_key")
