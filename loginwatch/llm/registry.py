@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loginwatch.llm import bpe, classifier, decontamination, html_text, pii, quality_rules, sharding, simhash, url_filters, warc
 from loginwatch.llm.common import table
+from loginwatch.llm.oracle import ORACLE_SQL
 from loginwatch.plans.session import shared_dir
 
+__all__ = ["BPE_FILE", "ORACLE_SQL", "QUERIES"]
+
 #: Where the vocabulary lies; a parameter of the operator.
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -32,5 +35,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": lambda s, d: pii.span_report(table(s, d, "documents")),
     "op10_html_text": lambda s, d: html_text.page_texts(table(s, d, "pages")),
 }
-
-ORACLE_SQL: dict[str, str] = {}

@@ -24,6 +24,8 @@ MIN_CONTEXT = 4
 BACKOFF = 2.0
 #: Score bins of the calibration: bits per character from -RANGE to RANGE.
 BINS, RANGE = 400, 8.0
+#: A fifth of all URLs, by their digest.
+HELD_OUT = "cast(conv(substring(md5(coalesce(url, '')), 1, 7), 16, 10) AS int) % 5 = 0"
 
 
 @dataclass(frozen=True)
@@ -210,14 +212,14 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``score`` and ``verdict``.
 
     A rule's verdict stands. URLs that fit one teach the models; a fifth of them, by the
-    checksum of the URL, is held out for the threshold. All other URLs are allowed when their
+    digest of the URL, is held out for the threshold. All other URLs are allowed when their
     score reaches it. A null URL counts as empty and scores 0. Nothing but counts is
     shuffled, and models reach the rows as two arrays of bounded size. Clashing columns
     are replaced.
     """
     rows = with_rule(with_host_and_path(pages.drop("rule", "score", "verdict", "rule_verdict")), rules)
     labelled = rows.where("rule_verdict IS NOT NULL").select(
-        "url", (F.col("rule_verdict") == "allow").alias("accepted"), (F.crc32("url") % 5 == 0).alias("held_out")
+        "url", (F.col("rule_verdict") == "allow").alias("accepted"), F.expr(HELD_OUT).alias("held_out"),
     )
     learnt = stored(model(labelled.where("NOT held_out")), "url_model")
     cut = stored(threshold(with_score(labelled.where("held_out"), learnt)), "url_threshold")
@@ -228,4 +230,4 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def url_verdicts(pages: DataFrame) -> DataFrame:
     """The result of the query; the pages' html is not read."""
-    return judged(pages.select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
+    return judged(pages.select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
