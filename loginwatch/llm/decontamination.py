@@ -152,5 +152,6 @@ def contamination_report(documents: DataFrame, benchmark: DataFrame) -> DataFram
 
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are clean, with their own columns."""
-    return contamination(documents, benchmark).where("NOT contaminated").select(*documents.columns)
+    """The documents that are clean, with their own columns, whatever their names."""
+    rows = documents.select(F.struct("*").alias("_row"), "text")
+    return contamination(rows, benchmark).where("NOT contaminated").select("_row.*")

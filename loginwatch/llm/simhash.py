@@ -207,10 +207,9 @@ def first_of_each(documents: DataFrame) -> DataFrame:
     and text, one stays. Only keys of kept rows are joined to the texts, which are
     shuffled once and not sorted.
     """
-    keyed = documents.withColumn("_key", F.struct(
-        F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.xxhash64("text").alias("hash"),
-    ))
-    prints = stored(keyed.select("doc_id", _fingerprints("text").alias("fp"), "_key"), "fingerprints")
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.xxhash64("text").alias("hash"))
+    keyed = documents.select(F.struct("*").alias("_row"), key.alias("_key"))
+    prints = stored(documents.select("doc_id", _fingerprints("text").alias("fp"), key.alias("_key")), "fingerprints")
     classes = with_classes(prints)
     # The class of a fingerprint is named by its least id; classes without ids, by themselves.
     best = classes.groupBy("component_id", F.expr("if(component_id is null, fp, null)").alias("lone")).agg(
@@ -226,4 +225,4 @@ def first_of_each(documents: DataFrame) -> DataFrame:
     # Texts are shuffled a second time only if a kept row is repeated.
     if not keep.where("n > 1").isEmpty():
         kept = kept.dropDuplicates(["_key"])
-    return kept.drop("_key")
+    return kept.select("_row.*")

@@ -76,6 +76,8 @@ def test_empty_benchmark_and_clashing_columns(spark):
     docs = odd_documents(spark).withColumn("spans", F.lit(1)).withColumn("items", F.lit("mine"))
     out = dc.contamination(docs, bench)
     assert out.where("contaminated OR n_hit > 0").count() == 0 and out.count() == docs.count()
+    kept = dc.without_contaminated(docs, bench)
+    assert kept.columns == docs.columns and {r["items"] for r in kept.collect()} == {"mine"}
 
 
 def test_shift_tables_skip():

@@ -95,7 +95,7 @@ def test_components_of_a_long_path(spark):
 
 
 def test_one_document_of_each_class_stays(spark):
-    docs = odd_documents(spark).withColumn("fp", F.lit("x")).withColumn("n", F.lit(1))
+    docs = odd_documents(spark).withColumn("fp", F.lit("x")).withColumn("n", F.lit(1)).withColumn("_key", F.lit("k"))
     kept = simhash.first_of_each(docs)
     assert kept.columns == docs.columns
     rows = [(r.doc_id, slow_fingerprint(r.text)) for r in docs.select("doc_id", "text").collect()]
