@@ -30,7 +30,7 @@ def hot_accounts(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
 
 def with_chunk(rows: DataFrame, hot_rows: int = HOT_ROWS, counted: DataFrame | None = None) -> DataFrame:
-    """Add ``chunk``: 0 for ordinary accounts, the second of the event for hot ones.
+    """Add ``chunk``: NULL for ordinary accounts, the second of the event for hot ones.
 
     ``counted`` may name the rows that decide, where ``rows`` adds only a few to them.
     The hot list is broadcast; by counting it holds at most rows / hot_rows names
@@ -38,7 +38,7 @@ def with_chunk(rows: DataFrame, hot_rows: int = HOT_ROWS, counted: DataFrame | N
     """
     hot = F.broadcast(hot_accounts(rows if counted is None else counted, hot_rows))
     return rows.join(hot, "username", "left").selectExpr(
-        *rows.columns, "if(is_hot, unix_seconds(ts), 0L) AS chunk"
+        *rows.columns, "if(is_hot, unix_seconds(ts), NULL) AS chunk"
     )
 
 
@@ -61,13 +61,14 @@ def with_previous(
     )
     if keep is not None:
         local = local.where(f"prev IS NULL OR is_last OR ({keep})")
-    # Edges of one account meet in one lane, at most two per chunk; inner rows stay apart.
-    # The row before a chunk's first row is the last row of the chunk before it: an edge.
-    lane = "if(prev IS NULL OR is_last, -1L, chunk)"
-    across = f"OVER (PARTITION BY username, {lane} ORDER BY ts, event_id)"
-    out = local.selectExpr(*columns, "prev", f"{carried} {across} AS carried").selectExpr(
-        *columns, "coalesce(prev, carried) AS prev"
+    # What stands before a chunk's first row is the last row of the chunk before: an edge.
+    # Only edges of hot accounts are moved again, at most two per second of one account; the
+    # conditions are such that both branches read the same shuffled rows.
+    edges = local.where("CASE WHEN prev IS NULL OR is_last THEN chunk IS NOT NULL ELSE false END").selectExpr(
+        *columns, "prev", f"{carried} OVER (PARTITION BY username ORDER BY ts, event_id) AS carried"
     )
+    inner = local.where("CASE WHEN prev IS NULL THEN chunk IS NULL ELSE true END").select(*columns, "prev")
+    out = inner.unionByName(edges.where("prev IS NULL").selectExpr(*columns, "carried AS prev"))
     return out.where(keep) if keep is not None else out
 
 
