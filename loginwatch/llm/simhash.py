@@ -144,16 +144,18 @@ def links(prints: DataFrame) -> DataFrame:
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = prints.select("fp").repartition(parts, "fp")
     placed = stored(spread.mapInPandas(_anchors, "anchor long, fp long, home boolean"), "anchors")
-    sizes = placed.groupBy("anchor").agg(F.count(F.lit(1)).alias("members"), F.max("home").alias("lived"))
-    used = placed.join(sizes.where("lived AND members > 1"), "anchor")
-    home, reach = used.where(f"home AND members <= {CROWD}"), used.where(f"members <= {CROWD}")
+    sizes = placed.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("lived"))
+    lived_in = stored(sizes.where("lived AND n > 1").drop("lived"), "anchor_sizes")
+    # A crowded anchor may hold a large share of all rows; split_join leaves them where they are.
+    used = split_join(placed, lived_in, "anchor", placed.count()).where("n IS NOT NULL")
+    home, reach = used.where(f"home AND n <= {CROWD}"), used.where(f"n <= {CROWD}")
     near = (
         home.select("anchor", F.col("fp").alias("a"))
         .join(reach.select("anchor", F.col("fp").alias("b")), "anchor")
         .where(f"a <> b AND bit_count(a ^ b) <= {DISTANCE}")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     )
-    crowded = used.where(f"members > {CROWD}").select("fp").distinct()
+    crowded = used.where(f"n > {CROWD}").select("fp").distinct()
     words = crowded.select("fp", F.explode(F.expr(
         "concat(array(fp), transform(sequence(0, 63), i -> fp ^ shiftleft(1L, i)))"
     )).alias("word"))
