@@ -148,7 +148,7 @@ def test_dataset_invariants(tables):
         {"pairs": tables.table([("US", "CA", 1), ("CA", "US", 1), ("CA", "US", 1)], COUNTRY_DISTANCE)},
     ).collect()}
     assert got == {
-        "non_contiguous_ids": 2, "duplicate_event_ids": 1, "total_events": 4, "unlabelled_events": 1,
+        "non_contiguous_ids": 2, "duplicate_event_ids": 1, "total_events": 4, "malformed_times": 0, "unlabelled_events": 1,
         "malicious_events": 1, "missing_config_keys": 1, "pairs_unordered_pairs": 1, "pairs_duplicate_pairs": 1,
     }
 
