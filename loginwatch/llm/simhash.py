@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loginwatch.llm.common import split_join, stored
 from loginwatch.llm.components import components
+from loginwatch.llm.similar import shingle_hashes, shingle_sets, similar_links
 
 SHINGLE = 3
-SEED = 42
 DISTANCE = 2
 #: The perfect binary code of length 23: 12 free bits, covering radius 3.
 LENGTH, RADIUS = 23, 3
@@ -30,19 +29,9 @@ CROWD = 256
 
 def fingerprint(text: str | None) -> int:
     """Majority bits of the XXH64 of every word shingle, repeats included; 0 if no word."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
+    hashes = shingle_hashes(text, SHINGLE)
+    if not len(hashes):
         return 0
-    data = b" ".join(words)
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
-    if len(words) > SHINGLE:
-        starts, ends = starts[: 1 - SHINGLE], ends[SHINGLE - 1:]
-    else:
-        starts, ends = starts[:1], ends[-1:]
-    digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(data[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist())], dtype="<u8")
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at: at + (1 << 16)].view(np.uint8).reshape(-1, 8)
@@ -174,13 +163,16 @@ def near_copies(documents: DataFrame) -> DataFrame:
     return with_classes(stored(fingerprints(documents), "fingerprints"))
 
 
-def with_classes(prints: DataFrame) -> DataFrame:
-    """``component_id`` for rows with ``doc_id`` and ``fp`` (a stored table)."""
+def with_classes(prints: DataFrame, linked: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``component_id`` for rows with ``doc_id`` and ``fp`` (a stored table).
+
+    ``linked`` gives the links of distinct values of ``fp``; by default, of fingerprints.
+    """
     distinct = stored(
         prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")),
         "distinct_fingerprints",
     )
-    member = components(stored(links(distinct), "fingerprint_links")).withColumnRenamed("node", "fp")
+    member = components(stored((linked or links)(distinct), "fingerprint_links")).withColumnRenamed("node", "fp")
     rooted = stored(
         distinct.join(member, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
         .withColumnRenamed("n", "copies"),
@@ -201,7 +193,8 @@ def near_copy_classes(documents: DataFrame) -> DataFrame:
 
 
 def first_of_each(documents: DataFrame) -> DataFrame:
-    """One document of each class, with its own columns: the one whose id names the class.
+    """One document of each class of near copies, with its own columns: the one whose id
+    names the class. Copies of one shingle set, and texts without a word, are one class.
 
     A class of only null ids keeps the least text by hash. Of repeated rows with one id
     and text, one stays. Only keys of kept rows are joined to the texts, which are
@@ -209,9 +202,10 @@ def first_of_each(documents: DataFrame) -> DataFrame:
     """
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.xxhash64("text").alias("hash"))
     keyed = documents.select(F.struct("*").alias("_row"), key.alias("_key"))
-    prints = stored(documents.select("doc_id", _fingerprints("text").alias("fp"), key.alias("_key")), "fingerprints")
-    classes = with_classes(prints)
-    # The class of a fingerprint is named by its least id; classes without ids, by themselves.
+    sets = stored(shingle_sets(documents, "doc_id", key.alias("_key")), "shingle_sets")
+    prints = sets.select("doc_id", "fp", "_key")
+    classes = with_classes(prints, lambda _: similar_links(sets, documents))
+    # The class of a set is named by its least id; classes without ids, by themselves.
     best = classes.groupBy("component_id", F.expr("if(component_id is null, fp, null)").alias("lone")).agg(
         F.min("_key").alias("_key")
     )

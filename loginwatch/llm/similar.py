@@ -1,0 +1,160 @@
+"""Near copies by the similarity of their word shingles, found through rare shingles."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from loginwatch.llm.common import split_join, stored
+from loginwatch.llm.components import components
+
+SEED = 42
+SHINGLE = 5
+#: Sets are near copies from a Jaccard similarity of 4/5 on.
+NUM, DEN = 4, 5
+#: Texts looked at for common shingles, times a shingle must be seen, and most of them that
+#: are kept. They bear on the order of shingles only, and so on the time, not on the result.
+SAMPLE, SEEN, COMMON = 4096, 4, 1 << 17
+#: Bits of the filter that tells which sets are compared at all.
+SLOTS = 1 << 22
+
+
+def shingle_hashes(text: str | None, size: int) -> np.ndarray:
+    """XXH64 of every shingle of ``size`` words, repeats included; of all words if fewer."""
+    words = (text or "").encode("utf-8", "replace").lower().split()
+    if not words:
+        return np.empty(0, "<u8")
+    data = b" ".join(words)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(lengths + 1) - 1
+    starts = ends - lengths
+    if len(words) > size:
+        starts, ends = starts[: 1 - size], ends[size - 1:]
+    else:
+        starts, ends = starts[:1], ends[-1:]
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(data[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist())], dtype="<u8")
+
+
+def shingle_set(text: str | None, common: np.ndarray) -> np.ndarray:
+    """Distinct hashes of a text's shingles: by value, those in ``common`` (sorted) last."""
+    values = np.unique(shingle_hashes(text, SHINGLE)).view(np.int64)
+    if not len(common):
+        return values
+    last = common[np.minimum(np.searchsorted(common, values), len(common) - 1)] == values
+    return np.concatenate([values[~last], values[last]])
+
+
+def digest(values: np.ndarray) -> int:
+    """A signed 64-bit digest of a set; 0 if it is empty."""
+    word = xxhash.xxh64_intdigest(np.sort(values).tobytes(), SEED) if len(values) else 0
+    return word - (1 << 64) if word >> 63 else word
+
+
+def _common(documents: DataFrame) -> np.ndarray:
+    """Shingles that many texts share, from an even choice of texts by hash."""
+    step = max(1, documents.count() // SAMPLE)
+    chosen = documents.where(F.pmod(F.xxhash64("text"), F.lit(step)) == 0).select("text")
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            for text in frame["text"]:
+                yield pd.DataFrame({"shingle": shingle_set(text, np.empty(0, np.int64))})
+
+    counts = chosen.mapInPandas(sets, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.where(F.col("n") >= SEEN).orderBy(F.desc("n"), "shingle").limit(COMMON)
+    return np.sort(np.array([r.shingle for r in top.collect()], np.int64))
+
+
+def similar_sets(pairs: DataFrame, documents: DataFrame) -> DataFrame:
+    """Those of the ``pairs`` of sets (``a``, ``b``, a stored table) that are near copies.
+
+    Sets are made again from the texts rather than kept; a filter of ``SLOTS`` bits, which
+    misses none, leaves those of the pairs.
+    """
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("fp"))
+    slots = np.zeros(SLOTS, bool)
+    slots[[r.slot for r in ends.select(F.pmod("fp", F.lit(SLOTS)).alias("slot")).distinct().collect()]] = True
+    bits = np.packbits(slots)
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted = np.unpackbits(bits)
+        for frame in batches:
+            found = [(digest(s), s) for s in (shingle_set(t, np.empty(0, np.int64)) for t in frame["text"])]
+            found = [x for x in found if wanted[x[0] % SLOTS]]
+            yield pd.DataFrame({"fp": pd.Series([x[0] for x in found], dtype="int64"),
+                                "shingles": pd.Series([x[1] for x in found], dtype=object)})
+
+    full = stored(
+        documents.select("text").mapInPandas(sets, "fp long, shingles array<long>").dropDuplicates(["fp"]), "shingle_sets"
+    )
+    total = pairs.count()
+
+    def with_set(frame: DataFrame, side: str) -> DataFrame:
+        counts = pairs.groupBy(side).agg(F.count(F.lit(1)).alias("n"))
+        own = full.select(F.col("fp").alias(side), F.col("shingles").alias(f"set_{side}")).join(counts, side)
+        return split_join(frame, own, side, total, bound=1000).drop("n")
+
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    # both / (a + b - both) >= NUM / DEN
+    return with_set(with_set(pairs, "a"), "b").where(
+        (NUM + DEN) * both >= NUM * (F.size("set_a") + F.size("set_b"))
+    ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def similar_links(sets: DataFrame, documents: DataFrame) -> DataFrame:
+    """Links ``a``, ``b`` between distinct sets that connect exactly the near copies,
+    directly or over further links. ``sets`` is stored: ``fp``, ``size`` and ``first``.
+
+    If two sets are near copies, the first shingles of both, all but four fifths and one
+    more, have one in common, in whatever order all sets are sorted. Common ones come
+    last, so few sets meet. Each is compared with the least set it meets at a shingle, in
+    linear time; what is not connected by that, pairwise.
+    """
+    placed = sets.select("fp", "size", F.posexplode("first").alias("at", "shingle"))
+    total = placed.count()
+    meeting = placed.groupBy("shingle").agg(
+        F.min("fp").alias("least"), F.max("fp").alias("most"), F.count(F.lit(1)).alias("n")
+    ).where("least < most")
+    met = split_join(placed, stored(meeting, "shingle_meetings"), "shingle", total).where("least IS NOT NULL")
+    used = stored(met.drop("n", "most").distinct(), "shingle_places")
+    stars = stored(used.select(F.col("least").alias("a"), F.col("fp").alias("b")).where("a <> b").distinct(), "shingle_pairs")
+    first = stored(similar_sets(stars, documents), "shingle_links")
+    member = components(first).withColumnRenamed("node", "fp")
+    rooted = stored(
+        used.join(member, "fp", "left").withColumn("root", F.coalesce("root", "fp")).drop("least"), "shingle_roots"
+    )
+    # At two sets, the star was the only pair.
+    open_ = rooted.groupBy("shingle").agg(
+        F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("n")
+    ).where("least < most AND n > 2")
+    apart = stored(split_join(rooted, stored(open_, "shingle_meetings"), "shingle", rooted.count())
+                   .where("least IS NOT NULL").select("shingle", "fp", "size", "at", "root"), "shingle_places")
+    a, b = apart.alias("a"), apart.alias("b")
+    # At the first shingle that near copies share, what follows it must be enough.
+    pairs = a.join(b, F.expr(
+        "a.shingle = b.shingle AND a.fp < b.fp AND a.root <> b.root AND "
+        f"{NUM + DEN} * least(a.size - a.at, b.size - b.at) >= {NUM} * (a.size + b.size)"
+    )).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).distinct()
+    return first.unionByName(similar_sets(stored(pairs, "shingle_pairs"), documents)).distinct()
+
+
+def shingle_sets(documents: DataFrame, *columns) -> DataFrame:
+    """``columns``, ``fp`` (digest of the set), ``size`` and ``first``, the shingles by which
+    a set is found; text is not shuffled."""
+    common = _common(documents)
+
+    @F.pandas_udf("fp long, size int, first array<long>")
+    def sets(texts: pd.Series) -> pd.DataFrame:
+        found = [shingle_set(t, common) for t in texts]
+        return pd.DataFrame({
+            "fp": pd.Series([digest(s) for s in found], dtype="int64"), "size": pd.Series(map(len, found), dtype="int32"),
+            "first": pd.Series([s[: len(s) - -(-NUM * len(s) // DEN) + 1] for s in found], dtype=object),
+        })
+
+    return documents.select(*columns, sets("text").alias("_s")).select("*", "_s.*").drop("_s")

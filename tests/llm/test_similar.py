@@ -1,0 +1,63 @@
+import random
+
+from loginwatch.llm import simhash, similar
+
+from .cases import documents
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def slow_kept(rows):
+    """Least id of every class of texts of similarity 4/5, by comparing all pairs."""
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    sets = [(i, shingles(t)) for i, t in rows]
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[k + 1:]:
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    return sorted({find(i) for i in root})
+
+
+def test_edited_copies_go_whatever_their_fingerprints(spark):
+    """Edited copies, chains of them, a shared passage, short and empty texts."""
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(3000)]
+    passage = rng.choices(words, k=160)
+    texts = [None, "", " ", "one two", "One  two", "a b c d e", "a b c d e f"]
+    for n in (60, 150, 300):
+        for _ in range(4):
+            text = rng.choices(words, k=n)
+            texts.append(" ".join(text))
+            for edits in range(1, 7):
+                if edits > 3:
+                    text = list(texts[-1].split())  # a chain
+                other = list(text)
+                for at in rng.sample(range(n), min(edits, 3)):
+                    other[at] = rng.choice(words)
+                texts.append(" ".join(other))
+    for n in (20, 30, 45, 60):
+        texts += [" ".join(passage + rng.choices(words, k=n)) for _ in range(6)]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    near = [(a, b) for i, a in rows for j, b in rows if i < j and a != b and shingles(a) and shingles(b)
+            and 5 * len(shingles(a) & shingles(b)) >= 4 * len(shingles(a) | shingles(b))]
+    assert sum((simhash.fingerprint(a) ^ simhash.fingerprint(b)).bit_count() > 2 for a, b in near) > 10
+    docs = documents(spark, [(i, t, "en", "s", 0) for i, t in rows]).repartition(4)
+    assert sorted(r.doc_id for r in simhash.first_of_each(docs).collect()) == slow_kept(rows)
+
+
+def test_links_leave_no_pairwise_join(spark):
+    docs = documents(spark, ["a b c d e f", "a b c d e g"])
+    sets = similar.stored(similar.shingle_sets(docs), "t")
+    plan = similar.similar_links(sets, docs)._jdf.queryExecution().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
