@@ -37,6 +37,8 @@ NEAR, REACH = 3, 96
 #: Shares of an entity's information that a term may disclose before it is generalised
 #: and before it is removed, and distinct windows that must show it.
 GENERALISE, REMOVE = 0.85, 0.97
+#: Slots by hash in which told terms are marked, a broadcast of bounded size.
+SLOTS = 1 << 16
 
 _BLOCK = 256
 
@@ -166,8 +168,8 @@ def term_counts(documents: DataFrame) -> DataFrame:
 
 
 def disclosing(mentions: DataFrame, counts: DataFrame) -> DataFrame:
-    """Pairs of an entity and a term that gives it away: ``pair``, ``kind``, and ``n``
-    mentions.
+    """Pairs of an entity and a term that gives it away: ``pair``, ``term``, ``kind``, and
+    ``n`` mentions.
 
     Information content of an entity: -log2 of the share of all term occurrences that lie
     in its windows. What a term discloses is their pointwise mutual information: how much
@@ -196,17 +198,13 @@ def disclosing(mentions: DataFrame, counts: DataFrame) -> DataFrame:
     return weighed.withColumn("share", F.when(content > 0, share / content).otherwise(0.0)).where(
         f"share >= {GENERALISE}"
     ).select(
-        "pair", F.expr(f"if(share >= {REMOVE}, {REMOVED}, {GENERAL})").alias("kind"), F.col("mentions").alias("n"),
+        "pair", "term", F.expr(f"if(share >= {REMOVE}, {REMOVED}, {GENERAL})").alias("kind"), F.col("mentions").alias("n"),
     )
 
 
-def found_data(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Base spans of every document, and term spans of every distinct text that has any.
-
-    The first: ``doc_id``, ``key`` (a digest of the text) and ``base``. The second: ``key``,
-    ``terms`` (structs of ``start``, ``kind``, ``stop``) and ``n``, the documents of that
-    text.
-    """
+def weighed_data(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Base spans of every document (``doc_id``, ``key``, a digest of the text, ``base``), the
+    mentions of terms near them, and the pairs that give an entity away."""
     bases = documents.select("doc_id", "text").withColumn("base", base_spans(F.col("text")))
     searched = stored(bases.select(
         "doc_id", F.md5(_text()).alias("key"), "base",
@@ -218,13 +216,55 @@ def found_data(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         .withColumn("pair", F.concat_ws(" ", "entity", "term")), "pii_mentions",
     )
     counts = stored(term_counts(documents), "pii_terms")
-    told = stored(disclosing(mentions, counts), "pii_disclosing")
+    return searched.select("doc_id", "key", "base"), mentions, stored(disclosing(mentions, counts), "pii_disclosing")
+
+
+def found_data(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Base spans of every document, and term spans of every distinct text that has any.
+
+    The first: ``doc_id``, ``key`` (a digest of the text) and ``base``. The second: ``key``,
+    ``terms`` (structs of ``start``, ``kind``, ``stop``) and ``n``, the documents of that
+    text.
+    """
+    searched, mentions, told = weighed_data(documents)
     hits = split_join(mentions.select("pair", "key", "start", "stop"), told, "pair", mentions.count()).where("kind IS NOT NULL")
     by_text = hits.groupBy("key").agg(
         F.array_sort(F.collect_set(F.struct("start", "kind", "stop"))).alias("terms")
     )
     texts = searched.where("size(base) > 0").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    return searched.select("doc_id", "key", "base"), stored(by_text.join(texts, "key"), "pii_term_spans")
+    return searched, stored(by_text.join(texts, "key"), "pii_term_spans")
+
+
+def told_terms(documents: DataFrame) -> DataFrame:
+    """For every distinct text that holds them anywhere, the terms that give an entity away:
+    ``key``, ``told`` (structs of ``term`` and ``kinds``) and ``n``, the documents of that text.
+
+    Only terms that share a slot with a told one are shuffled.
+    """
+    searched, _, told = weighed_data(documents)
+    kinds = stored(told.groupBy("term").agg(F.array_sort(F.collect_set("kind")).alias("kinds")), "pii_told")
+    slot = F.pmod(F.xxhash64("term"), F.lit(SLOTS)).alias("slot")
+    terms = F.array_distinct(F.transform(F.regexp_extract_all(_text(), F.lit(TERM), F.lit(0)), F.lower))
+    held = stored(
+        documents.select(F.md5(_text()).alias("key"), F.explode(terms).alias("term")).select("key", "term", slot)
+        .join(F.broadcast(kinds.select(slot).distinct()), "slot", "left_semi").select("key", "term").distinct(), "pii_held",
+    )
+    sized = stored(kinds.join(held.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "term"), "pii_told")
+    by_text = split_join(held, sized, "term", held.count()).where("kinds IS NOT NULL").groupBy("key").agg(
+        F.collect_list(F.struct("term", "kinds")).alias("told")
+    )
+    return stored(by_text.join(searched.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key"), "pii_told_texts")
+
+
+def term_spans(text: Column, told: Column) -> Column:
+    """Every occurrence of the told terms: structs of ``start``, ``kind`` and ``stop``."""
+    def spans(m: Column, kinds: Column) -> Column:
+        return F.transform(kinds, lambda k: F.struct(m["start"].alias("start"), k.alias("kind"), m["stop"].alias("stop")))
+
+    return let(F.map_from_entries(told), lambda by: F.flatten(F.transform(
+        F.filter(occurrences(text, TERM), lambda m: F.map_contains_key(by, F.lower(m["value"]))),
+        lambda m: spans(m, F.element_at(by, F.lower(m["value"]))),
+    )))
 
 
 def personal_data(documents: DataFrame) -> DataFrame:
@@ -274,17 +314,17 @@ def masked(text: Column, spans: Column) -> Column:
 def sanitised(documents: DataFrame) -> DataFrame:
     """The documents with masked texts and ``n_chars`` to match; all rows and columns stay.
 
-    Texts without a digit and an ``@`` hold no base span and pass as they are. The others
-    are matched to the term spans of their text by its digest.
+    A term that gives an entity away is masked wherever it stands, also far from the entity
+    and in texts without one. Texts are matched to the told terms they hold by a digest.
     """
     columns = documents.columns
-    _, terms = found_data(documents)
-    maybe = "text IS NOT NULL AND text RLIKE '[0-9@]'"
+    maybe = "text IS NOT NULL"
     rows = documents.where(maybe).select(F.struct("*").alias("_row"), "text", F.md5("text").alias("key"))
-    joined = split_join(rows, terms, "key", documents.count())
+    joined = split_join(rows, told_terms(documents), "key", documents.count())
     none = F.array().cast("array<struct<start: int, kind: int, stop: int>>")
     plain = F.transform(base_spans(F.col("text")), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop")))
-    spans = F.array_sort(F.concat(plain, F.coalesce("terms", none)))
+    terms = F.when(F.col("told").isNotNull(), term_spans(F.col("text"), F.col("told"))).otherwise(none)
+    spans = F.array_sort(F.concat(plain, terms))
     changed = joined.withColumn("_new", let(spans, lambda s: masked(F.col("text"), s)))
     changed = changed.select("_row.*", "_new").withColumn(
         "n_chars", F.when(F.col("_new") == F.col("text"), F.col("n_chars")).otherwise(F.length("_new").cast("long"))

@@ -132,3 +132,19 @@ def test_masked_texts(spark):
 def test_only_built_in_functions(spark):
     for frame in (pii.span_report(documents(spark, TEXTS)), pii.sanitised(documents(spark, TEXTS))):
         assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", frame._jdf.queryExecution().toString())
+
+
+def test_told_terms_are_masked_in_every_text(spark):
+    """Beside the entity, far off in its text, and in texts without an entity."""
+    far = FILL * 3 + "nothing of note " + FILL
+    texts = [*TEXTS, FILL * 40, *[f"{FILL}{a} Xanadu {b} mail xx@top.com every week {FILL}" for a in "abc" for b in "abc"],
+             f"see xx@top.com {far} XANADU again", f"no entity, but Xanadu, {FILL}Xanadus"]
+    docs = documents(spark, texts)
+    assert any("Xanadu" in texts[i][int(s.split(":")[1]):int(s.split(":")[2])] for i, r in enumerate(
+        sorted(pii.span_report(docs).collect(), key=lambda r: r.doc_id)) for s in r.spans.split(",") if s[:5] in ("gener", "remov"))
+    got = {r.doc_id: r for r in pii.sanitised(docs).collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        left = regex.findall(r"[\p{L}\p{N}]{3,}+", got[i].text or "")
+        assert not {"xanadu", "zanzibar", "quuxon"} & {w.lower() for w in left} and got[i].n_chars == len(got[i].text or "")
+    assert got[len(texts) - 1].text.endswith("Xanadus") and got[7].text == texts[7] and got[12].text is None
