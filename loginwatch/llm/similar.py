@@ -123,7 +123,11 @@ def similar_links(sets: DataFrame, documents: DataFrame) -> DataFrame:
     ).where("least < most")
     met = split_join(placed, stored(meeting, "shingle_meetings"), "shingle", total).where("least IS NOT NULL")
     used = stored(met.drop("n", "most").distinct(), "shingle_places")
-    stars = stored(used.select(F.col("least").alias("a"), F.col("fp").alias("b")).where("a <> b").distinct(), "shingle_pairs")
+    # At the first shingle that near copies share, what follows it must be enough.
+    enough = f"{NUM + DEN} * least(a.size - a.at, b.size - b.at) >= {NUM} * (a.size + b.size)"
+    stars = stored(used.where("fp = least").alias("a").join(
+        used.alias("b"), F.expr(f"a.shingle = b.shingle AND a.fp <> b.fp AND {enough}")
+    ).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).distinct(), "shingle_pairs")
     first = stored(similar_sets(stars, documents), "shingle_links")
     member = components(first).withColumnRenamed("node", "fp")
     rooted = stored(
@@ -136,10 +140,8 @@ def similar_links(sets: DataFrame, documents: DataFrame) -> DataFrame:
     apart = stored(split_join(rooted, stored(open_, "shingle_meetings"), "shingle", rooted.count())
                    .where("least IS NOT NULL").select("shingle", "fp", "size", "at", "root"), "shingle_places")
     a, b = apart.alias("a"), apart.alias("b")
-    # At the first shingle that near copies share, what follows it must be enough.
     pairs = a.join(b, F.expr(
-        "a.shingle = b.shingle AND a.fp < b.fp AND a.root <> b.root AND "
-        f"{NUM + DEN} * least(a.size - a.at, b.size - b.at) >= {NUM} * (a.size + b.size)"
+        f"a.shingle = b.shingle AND a.fp < b.fp AND a.root <> b.root AND {enough}"
     )).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).distinct()
     return first.unionByName(similar_sets(stored(pairs, "shingle_pairs"), documents)).distinct()
 
