@@ -34,6 +34,22 @@ _DECONTAMINATION = f"""
            coalesce(covered.n, 0) > 0 AND 20 * coalesce(covered.n, 0) >= len(w) AS contaminated
     FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)"""
 
+_TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+_LEXICAL = f"""
+    WITH q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_folded('text')}, {_TERM})) AS t FROM benchmark),
+    d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_folded('text')}, {_TERM}) AS w FROM documents),
+    total AS (SELECT count(*) AS big_n, CAST(sum(len(w)) AS BIGINT) AS big_l FROM d WHERE len(w) > 0),
+    held AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY r, t),
+    weights AS (SELECT t, CAST(floor(1000 * ln((2 * max(big_n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+                FROM held, total GROUP BY t),
+    parts AS (SELECT r, t, weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(w) * big_n) // big_l))) AS part
+              FROM held JOIN weights USING (t) JOIN d USING (r), total),
+    scored AS (SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM q JOIN parts USING (t)
+               JOIN d USING (r) GROUP BY item_id, r, doc_id)
+    SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+    WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)
+    QUALIFY row_number() OVER best <= 50"""
+
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _QUINTET = " || ".join(f"substr('{_BASE32}', ((v >> {s}) & 31) + 1, 1)" for s in (15, 10, 5, 0))
 _WARC = f"""
@@ -227,4 +243,5 @@ ORACLE_SQL = {
     "op6_url_filters": _urls(),
     "op5_decontamination": _DECONTAMINATION,
     "op7_warc": _WARC,
+    "op13_lexical_search": _LEXICAL,
 }
