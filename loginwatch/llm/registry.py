@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loginwatch.llm import bpe, classifier, decontamination, html_text, lexical, pii, quality_rules, sharding, simhash, url_filters, warc, whitening
+from loginwatch.llm import bpe, classifier, decontamination, html_text, language_id, lexical, pii, quality_rules, sharding, simhash, url_filters, warc, whitening
 from loginwatch.llm.common import table
 from loginwatch.llm.oracle import ORACLE_SQL
 from loginwatch.plans.session import shared_dir
@@ -34,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "op9_pii": lambda s, d: pii.span_report(table(s, d, "documents")),
     "op10_html_text": lambda s, d: html_text.page_texts(table(s, d, "pages")),
-    "op13_lexical_search": lambda s, d: lexical.ranked_documents(table(s, d, "documents"), table(s, d, "benchmark")),
     "op11_whitening": lambda s, d: whitening.whitened(table(s, d, "embeddings")),
+    "op12_language_id": lambda s, d: language_id.language_predictions(table(s, d, "documents")),
+    "op13_lexical_search": lambda s, d: lexical.ranked_documents(table(s, d, "documents"), table(s, d, "benchmark")),
 }

@@ -80,5 +80,5 @@ def test_run_is_the_stages(spark):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))[0].startswith("op1_") and len(QUERIES) == 10
-    assert {int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 11))
+    assert sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))[0].startswith("op1_") and len(QUERIES) == 13
+    assert {int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 14))
