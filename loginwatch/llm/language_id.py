@@ -266,8 +266,8 @@ def with_language(documents: DataFrame, model: Model | None) -> DataFrame:
         return pd.DataFrame(told, columns=["lang_pred", "score"]).astype({"lang_pred": object, "score": float})
 
     other = [c for c in documents.columns if c not in ("lang_pred", "score")]
-    told = documents.select(*other, predict("text").alias("_told"))
-    return told.select(*other, "_told.lang_pred", "_told.score")
+    told = documents.select(F.struct(*other).alias("row"), predict("text").alias("told"))
+    return told.select("row.*", "told.lang_pred", "told.score")
 
 
 def language_predictions(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:

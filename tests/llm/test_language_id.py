@@ -157,8 +157,8 @@ def test_odd_rows(spark):
     assert {(r["lang_pred"], r["score"]) for r in unlabelled} == {("und", 0.0)}
     one = li.language_predictions(docs.where("lang = 'en'")).collect()
     assert {r["lang_pred"] for r in one} == {"en", "und"}
-    clashing = docs.selectExpr("*", "'x' AS score", "1 AS lang_pred", "2 AS _told")
+    clashing = docs.selectExpr("*", "'x' AS score", "1 AS lang_pred", "2 AS told")
     told = li.with_language(clashing, li.train(docs))
-    assert told.columns == [*docs.columns, "_told", "lang_pred", "score"] and told.count() == docs.count()
+    assert told.columns == [*docs.columns, "told", "lang_pred", "score"] and told.count() == docs.count()
     digits = documents(spark, ["12 34", "٣", "ª", "ñ"])
     assert [r["lang_pred"] for r in li.with_language(digits, li.train(docs)).orderBy("doc_id").collect()][:2] == ["und", "und"]
