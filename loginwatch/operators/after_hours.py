@@ -9,14 +9,17 @@ from loginwatch.functions import clock, messages
 from loginwatch.functions.accounts import IT_DEPARTMENTS, is_service, text_list
 from loginwatch.operators.baselines import account_windows
 from loginwatch.operators.normalize import since_day, successes
+from loginwatch.operators.skew import HotKeys, split_join
 
 
 def detect_after_hours(
-    events: DataFrame, employees: DataFrame, cfg: HuntConfig, history: DataFrame | None = None
+    events: DataFrame, employees: DataFrame, cfg: HuntConfig, history: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Both bounds are inclusive; accounts missing from the directory drop out."""
+    """Both bounds are inclusive; accounts missing from the directory drop out. Busy accounts
+    (``hot``, if they are known) are not shuffled."""
     recent = since_day(successes(events), cfg.detection_start).where(f"NOT {is_service()}")
-    hits = recent.join(account_windows(events, employees, cfg, history), "username").where(
+    hits = split_join(recent, account_windows(events, employees, cfg, history), ["username"], hot=hot).where(
         "login_hour < window_start OR login_hour > window_end"
     )
     return hits.selectExpr(

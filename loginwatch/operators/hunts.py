@@ -18,6 +18,7 @@ from loginwatch.operators.impossible_travel import CHANGED_COUNTRY, one_per_pair
 from loginwatch.operators.normalize import after, failures, successes
 from loginwatch.operators.password_spray import source_day_accounts, with_name_pages
 from loginwatch.operators.sizing import broadcast_if_small
+from loginwatch.operators.skew import split_join
 from loginwatch.operators.timeline import HOT_ROWS, with_previous
 
 
@@ -38,15 +39,15 @@ def hunt_after_hours(
 ) -> DataFrame:
     """Detect-phase successes outside the account's baseline hours, give or take ``slack``.
 
-    The hour range is one map-side combined aggregate joined back, so no account's
-    events are gathered in one place. Accounts without a baseline never fire.
+    The hour range is one map-side combined aggregate joined back, busy accounts without
+    a shuffle. Accounts without a baseline never fire.
     """
     recent = successes(_recent(events, asof, lookback)).where(f"NOT {starts_as_service()}")
     detect = _detect_phase(asof, split)
     usual = recent.where(f"NOT {detect}").groupBy("username").agg(
         F.expr("min(login_hour) AS min_hour"), F.expr("max(login_hour) AS max_hour")
     )
-    return recent.where(detect).join(usual, "username").where(
+    return split_join(recent.where(detect), usual, ["username"]).where(
         f"login_hour < min_hour - {slack} OR login_hour > max_hour + {slack}"
     ).select("event_id", "username", "ts", "login_hour", "min_hour", "max_hour", "source_ip")
 
@@ -73,7 +74,8 @@ def hunt_unfamiliar_country(
         logins = recent.where(detect).select("username", "ts", "event_id", "country", "source_ip")
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    rows = logins.join(known, "username", "left")
+    # The newest login is one row per account already.
+    rows = logins.join(known, "username", "left") if mode == "latest" else split_join(logins, known, ["username"], "left")
     return rows.where("NOT coalesce(array_contains(known, country), false)").selectExpr(
         "event_id", "username", "country AS detect_country",
         "coalesce(array_join(known, ','), '') AS baseline", "source_ip", f"{country_severity()} AS severity",

@@ -21,6 +21,7 @@ from loginwatch.functions.text import short_number
 from loginwatch.operators.enrich import ThreatFeed, with_intel
 from loginwatch.operators.impossible_travel import CHANGED_COUNTRY
 from loginwatch.operators.normalize import since_day
+from loginwatch.operators.skew import HotKeys, split_join
 from loginwatch.operators.timeline import HOT_ROWS, trailing_total, with_previous
 from loginwatch.operators.triage import RULE_TAGS
 
@@ -66,9 +67,11 @@ def findings_by_user(queue: DataFrame) -> DataFrame:
     )
 
 
-def incident_attempts(events: DataFrame, users: DataFrame, cfg: HuntConfig) -> DataFrame:
-    """Detection-window attempts of flagged accounts."""
-    return since_day(events, cfg.detection_start).join(users.select("username"), "username", "left_semi")
+def incident_attempts(events: DataFrame, users: DataFrame, cfg: HuntConfig, hot: HotKeys | None = None) -> DataFrame:
+    """Detection-window attempts of flagged accounts; busy ones (``hot``) are not shuffled for it."""
+    return split_join(
+        since_day(events, cfg.detection_start), users.select("username"), ["username"], "left_semi", hot
+    )
 
 
 def assemble_incidents(
@@ -77,13 +80,14 @@ def assemble_incidents(
     cfg: HuntConfig,
     id_prefix: str = "INC-",
     upn_suffix: str = "@example.org",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """One header per flagged account: ids, lab findings and event totals.
 
     ``findings`` is the output of :func:`findings_by_user`. ``created_time`` is the
     account's last attempt in the window.
     """
-    totals = incident_attempts(events, findings, cfg).groupBy("username").agg(
+    totals = incident_attempts(events, findings, cfg, hot).groupBy("username").agg(
         F.expr("count(1) AS event_n"), F.expr("count_if(success = 0) AS failure_n"),
         F.expr("max(ts) AS created_time"),
     )
@@ -101,13 +105,14 @@ def incident_events(
     cfg: HuntConfig,
     centroids: Centroids,
     id_prefix: str = "INC-",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Sign-in records of every incident, numbered in time order.
 
     The number is the count of attempts in earlier seconds, a bounded running sum, plus
     the place within the second; no account is sorted as a whole.
     """
-    attempts = incident_attempts(events, findings, cfg)
+    attempts = incident_attempts(events, findings, cfg, hot)
     seconds = attempts.groupBy("username", "ts").agg(F.expr("count(1) AS n"))
     offsets = seconds.selectExpr(
         "username", "ts",
@@ -157,6 +162,7 @@ def incident_signals(
     centroids: Centroids,
     weights: SignalWeights = SignalWeights(),
     hot_rows: int = HOT_ROWS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Five scores per flagged account over its detection-window attempts.
 
@@ -164,7 +170,7 @@ def incident_signals(
     imitate is not part of the work; totals are not claimed to agree with it beyond its
     published examples.
     """
-    attempts = incident_attempts(events, users, cfg)
+    attempts = incident_attempts(events, users, cfg, hot)
     totals = attempts.groupBy("username").agg(
         F.expr("count(1) AS n"),
         F.expr(f"count_if(login_hour < {weights.day_start} OR login_hour >= {weights.day_end}) AS off_n"),

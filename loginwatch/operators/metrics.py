@@ -145,10 +145,14 @@ def _campaign_ledger(
     key = ["rule", "username", "source_ip", "login_date"]
 
     def members(rule: str, username: str) -> DataFrame:
+        # Without the account in the key, a source's accounts are folded before they meet it.
+        side = marked if username == "username" else marked.groupBy("m_ip", "m_date", "campaign_id").agg(
+            F.max("malicious").alias("malicious")
+        )
         found = detections[rule].selectExpr(f"'{rule}' AS rule", f"{username} AS username", "source_ip", "login_date", "campaign_key")
         # An unknown source is a source of its own, as in the rules' grouping.
         same = "source_ip <=> m_ip AND login_date = m_date" + (" AND username = m_user" if username == "username" else "")
-        return found.join(marked, F.expr(same), "left").select(*key, "campaign_key", "campaign_id", "malicious")
+        return found.join(side, F.expr(same), "left").select(*key, "campaign_key", "campaign_id", "malicious")
 
     every = members("password_spray", "cast(NULL AS string)").unionByName(members("bruteforce_failed", "username"))
     cells = every.groupBy(*key, "campaign_key", "campaign_id").agg(

@@ -9,6 +9,7 @@ from loginwatch.config import HuntConfig
 from loginwatch.functions import messages
 from loginwatch.functions.text import joined
 from loginwatch.operators.normalize import since_day
+from loginwatch.operators.skew import dealt_join
 
 
 #: Names on a page.
@@ -52,7 +53,7 @@ _SAME_KEY = "source_ip <=> key_ip AND login_date = key_date"
 def spray_accounts(events: DataFrame, cfg: HuntConfig) -> DataFrame:
     """Accounts a firing source touched that day, one row each: the unbounded form."""
     accounts = source_day_accounts(since_day(events, cfg.detection_start))
-    return accounts.join(_keyed(spray_groups(events, cfg)), F.expr(_SAME_KEY), "left_semi").select(
+    return dealt_join(accounts, _keyed(spray_groups(events, cfg)), _SAME_KEY, "username", "left_semi").select(
         "source_ip", "login_date", "username", "failures", "wins"
     )
 
@@ -79,7 +80,7 @@ def with_name_pages(groups: DataFrame, accounts: DataFrame, page: int = NAMES_PE
     gathers a whole spray.
     """
     pages = _keyed(groups, f"cast(ceil(accounts / {page}D) AS bigint) AS pages")
-    dealt = accounts.join(pages, F.expr(_SAME_KEY)).selectExpr(
+    dealt = dealt_join(accounts, pages, _SAME_KEY, "username").selectExpr(
         "source_ip", "login_date", "username", "pmod(crc32(coalesce(username, '')), pages) AS page"
     ).groupBy("source_ip", "login_date", "page").agg(F.expr(f"{joined('collect_list(username)')} AS usernames"))
     return groups.join(_keyed(dealt, "page", "usernames"), F.expr(_SAME_KEY)).drop("key_ip", "key_date")

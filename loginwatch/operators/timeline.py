@@ -37,7 +37,8 @@ def with_chunk(rows: DataFrame, hot_rows: int = HOT_ROWS, counted: DataFrame | N
     (250,000 for 10^12 rows), and a name is all a row carries.
     """
     hot = F.broadcast(hot_accounts(rows if counted is None else counted, hot_rows))
-    return rows.join(hot, "username", "left").selectExpr(
+    # Attempts without an account are one account here, and may be many: NULL matches NULL.
+    return rows.join(hot.withColumnRenamed("username", "hot_name"), F.expr("username <=> hot_name"), "left").selectExpr(
         *rows.columns, "if(is_hot, unix_seconds(ts), NULL) AS chunk"
     )
 

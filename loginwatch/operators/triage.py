@@ -12,6 +12,7 @@ from loginwatch.config import HuntConfig
 from loginwatch.functions.accounts import SEVERITY_RANK
 from loginwatch.operators.enrich import ThreatFeed, with_intel
 from loginwatch.operators.normalize import since_day
+from loginwatch.operators.skew import HotKeys, split_join
 from loginwatch.schemas import FINDING_COLUMNS
 
 # Queue tag and ATT&CK technique per rule, in queue order.
@@ -92,10 +93,10 @@ def high_severity_findings(queue: DataFrame) -> DataFrame:
     )
 
 
-def user_timeline(events: DataFrame, users: DataFrame, cfg: HuntConfig) -> DataFrame:
+def user_timeline(events: DataFrame, users: DataFrame, cfg: HuntConfig, hot: HotKeys | None = None) -> DataFrame:
     """Detection-window attempts of the given accounts (``username``), unordered."""
-    return since_day(events, cfg.detection_start).join(
-        users.select("username").distinct(), "username", "left_semi"
+    return split_join(
+        since_day(events, cfg.detection_start), users.select("username").distinct(), ["username"], "left_semi", hot
     ).select("username", "event_id", "login_date", "login_time", "success", "source_ip")
 
 

@@ -9,6 +9,7 @@ from loginwatch.functions import clock, messages
 from loginwatch.functions.accounts import country_severity
 from loginwatch.operators.baselines import country_profile
 from loginwatch.operators.normalize import named, since_day, successes
+from loginwatch.operators.skew import HotKeys, split_join
 
 
 def suspect_pairs(events: DataFrame, cfg: HuntConfig, history: DataFrame | None = None) -> DataFrame:
@@ -27,11 +28,14 @@ def suspect_pairs(events: DataFrame, cfg: HuntConfig, history: DataFrame | None
 
 
 def detect_unfamiliar_country(
-    events: DataFrame, employees: DataFrame | None, cfg: HuntConfig, history: DataFrame | None = None
+    events: DataFrame, employees: DataFrame | None, cfg: HuntConfig, history: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    """One equi-join of window successes with the few suspect pairs."""
-    recent = since_day(successes(events), cfg.detection_start)
-    hits = recent.join(suspect_pairs(events, cfg, history), ["username", "country"]).where(
+    """One equi-join of window successes with the few suspect pairs; busy pairs are not
+    shuffled. ``hot``: the busy accounts of the window, if they are known."""
+    recent, pair = since_day(successes(events), cfg.detection_start), ["username", "country"]
+    busy = HotKeys.of(recent, pair) if hot is None else hot.within(recent, pair)
+    hits = split_join(recent, suspect_pairs(events, cfg, history), pair, hot=busy).where(
         "only_at IS NULL OR ts = only_at"
     )
     return named(hits, employees).selectExpr(

@@ -16,6 +16,7 @@ from loginwatch.operators import inactive_account, metrics, password_spray, tria
 from loginwatch.operators.enrich import ThreatFeed
 from loginwatch.operators.history import account_history, read_history, update_history
 from loginwatch.operators.normalize import login_events, since_day
+from loginwatch.operators.skew import HotKeys
 from loginwatch.plans.session import stored
 from loginwatch.sources import demo, reference
 from loginwatch.sources.tables import read_login_log, read_table
@@ -45,7 +46,10 @@ class Hunt:
     @property
     def unnamed(self) -> Hunt:
         """The same hunt without display columns: for scores, counts and the hand-off."""
-        return Hunt(self._tables, self.cfg, self.history, self._window, names=False)
+        other = Hunt(self._tables, self.cfg, self.history, self._window, names=False)
+        if "hot" in self.__dict__:
+            other.hot = self.hot
+        return other
 
     @property
     def _shown(self) -> DataFrame | None:
@@ -113,13 +117,18 @@ class Hunt:
     def window_events(self) -> DataFrame:
         return since_day(self.recent, self.cfg.detection_start)
 
+    @cached_property
+    def hot(self) -> HotKeys:
+        """Accounts too busy for one task in the window, counted once for all rules."""
+        return HotKeys.of(self.window_events, ["username"])
+
     @cached_property
     def feed(self) -> ThreatFeed:
         return ThreatFeed.load(self.table("ip_enrichment"))
 
     def unfamiliar_country(self) -> DataFrame:
         return unfamiliar_country.detect_unfamiliar_country(
-            self.recent, self._shown, self.cfg, self.history
+            self.recent, self._shown, self.cfg, self.history, self.hot
         )
 
     def impossible_travel(self) -> DataFrame:
@@ -129,7 +138,7 @@ class Hunt:
         )
 
     def after_hours(self) -> DataFrame:
-        return after_hours.detect_after_hours(self.recent, self.employees, self.cfg, self.history)
+        return after_hours.detect_after_hours(self.recent, self.employees, self.cfg, self.history, self.hot)
 
     def brute_force(self) -> DataFrame:
         return brute_force.detect_brute_force(self.recent, self._shown, self.cfg)

@@ -84,12 +84,15 @@ def _closed(spark: SparkSession, sf_dir: str, alerts: DataFrame) -> DataFrame:
 def _signals(h: Hunt) -> DataFrame:
     feed = ThreatFeed.load(h.table("ip_enrichment").where(SIGNAL_FEED))
     return incidents.incident_signals(
-        h.prepared.recent, h.by_user.select("username"), feed, h.cfg, reference.CENTROIDS, SIGNAL_WEIGHTS
+        h.prepared.recent, h.by_user.select("username"), feed, h.cfg, reference.CENTROIDS, SIGNAL_WEIGHTS,
+        hot=h.prepared.hot,
     )
 
 
 def _incident_events(h: Hunt) -> DataFrame:
-    return incidents.incident_events(h.prepared.recent, h.by_user.select("username"), h.cfg, reference.CENTROIDS)
+    return incidents.incident_events(
+        h.prepared.recent, h.by_user.select("username"), h.cfg, reference.CENTROIDS, hot=h.prepared.hot
+    )
 
 
 def _incident_pages(h: Hunt) -> DataFrame:
@@ -101,7 +104,7 @@ def _incident_pages(h: Hunt) -> DataFrame:
 
 def _handoff(h: Hunt) -> DataFrame:
     """The nested hand-off record of each account as JSON text."""
-    headers = incidents.assemble_incidents(h.prepared.recent, h.by_user, h.cfg).withColumn(
+    headers = incidents.assemble_incidents(h.prepared.recent, h.by_user, h.cfg, hot=h.prepared.hot).withColumn(
         "created_time", F.date_format("created_time", "yyyy-MM-dd HH:mm:ss")
     )
     signals = stored(_signals(h), "signals")
@@ -194,7 +197,7 @@ QUERIES: dict[str, Query] = {
     "detect_brute_force_from_config": lambda h, s, d: _from_config_table(h, s),
     "triage_summary": lambda h, s, d: triage.triage_summary(h.queue()),
     "high_severity_findings": lambda h, s, d: triage.high_severity_findings(h.queue()),
-    "user_timeline": lambda h, s, d: triage.user_timeline(h.events, h.brute_force(), h.cfg),
+    "user_timeline": lambda h, s, d: triage.user_timeline(h.events, h.brute_force(), h.cfg, h.hot),
     "spray_campaigns": lambda h, s, d: triage.spray_campaigns(h.password_spray_named()),
     "live_compromise_sprays": lambda h, s, d: triage.live_compromise_sprays(h.password_spray_named()),
     "orphan_devices": lambda h, s, d: h.orphans(),
@@ -293,7 +296,7 @@ QUERIES: dict[str, Query] = {
     ),
     # Hand-off
     "findings_by_user": lambda h, s, d: h.findings_by_user(),
-    "assemble_incidents": lambda h, s, d: incidents.assemble_incidents(h.prepared.recent, h.by_user, h.cfg),
+    "assemble_incidents": lambda h, s, d: incidents.assemble_incidents(h.prepared.recent, h.by_user, h.cfg, hot=h.prepared.hot),
     "incident_events": lambda h, s, d: _incident_events(h),
     "incident_pages": lambda h, s, d: _incident_pages(h),
     "handoff_records": lambda h, s, d: _handoff(h),
