@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loginwatch.config import HuntConfig
 from loginwatch.functions.accounts import SEVERITY_RANK
 from loginwatch.operators.enrich import ThreatFeed, with_intel
 from loginwatch.operators.normalize import since_day
+from loginwatch.operators.ranking import placed
 from loginwatch.operators.skew import HotKeys, split_join
 from loginwatch.schemas import FINDING_COLUMNS
 
@@ -64,10 +65,17 @@ def triage_queue(detections: Mapping[str, DataFrame], feed: ThreatFeed) -> DataF
     )
 
 
+def _queue_order() -> list[Column]:
+    return [F.expr(SEVERITY_RANK), F.desc("timestamp"), *map(F.col, ("detection_type", "event_id", "campaign_key", "intel_source"))]
+
+
 def in_queue_order(queue: DataFrame) -> DataFrame:
-    return queue.orderBy(
-        F.expr(SEVERITY_RANK), F.desc("timestamp"), "detection_type", "event_id", "campaign_key", "intel_source"
-    )
+    return queue.orderBy(*_queue_order())
+
+
+def queue_places(queue: DataFrame) -> DataFrame:
+    """Every finding with its ``place`` in the queue; pass a stored queue, it is read twice."""
+    return placed(queue, _queue_order(), "queue_places")
 
 
 def queue_head(queue: DataFrame, n: int) -> DataFrame:
@@ -109,11 +117,11 @@ def one_user_timeline(events: DataFrame, username: str, cfg: HuntConfig) -> Data
 
 
 def account_timeline(events: DataFrame, username: str, cfg: HuntConfig) -> DataFrame:
-    """One account's attempts with their ``place`` in time, event ids breaking ties."""
+    """One account's attempts with their ``place`` in time, event ids breaking ties. The
+    account may hold a third of the log: places are counted range by range."""
     rows = since_day(events, cfg.detection_start).where(F.col("username") == username)
-    return rows.selectExpr(
-        "cast(row_number() OVER (ORDER BY ts, event_id) AS bigint) AS place", "event_id", "login_date", "login_time", "success", "source_ip"
-    )
+    narrow = rows.select("ts", "event_id", "login_date", "login_time", "success", "source_ip")
+    return placed(narrow, ["ts", "event_id"], "account_timeline").drop("ts")
 
 
 def spray_campaigns(sprays: DataFrame) -> DataFrame:

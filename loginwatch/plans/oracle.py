@@ -505,6 +505,11 @@ _BODIES: dict[str, str] = {
                    detection_type, event_id NULLS FIRST, campaign_key NULLS FIRST, intel_source NULLS FIRST) AS place,
                detection_type, event_id, campaign_key, username, severity, timestamp, intel_source
         FROM queue QUALIFY place <= {queries.QUEUE_HEAD}""",
+    "queue_places": """
+        SELECT row_number() OVER (ORDER BY CASE severity WHEN 'HIGH' THEN 1 WHEN 'MEDIUM' THEN 2 ELSE 3 END, timestamp DESC,
+                   detection_type, event_id NULLS FIRST, campaign_key NULLS FIRST, intel_source NULLS FIRST) AS place,
+               detection_type, event_id, campaign_key, username, severity, timestamp, intel_source
+        FROM queue""",
     "account_timeline": f"""
         SELECT row_number() OVER (ORDER BY ts, event_id) AS place, event_id, CAST(login_date AS VARCHAR) AS login_date, login_time,
                CAST(success AS INTEGER) AS success, source_ip

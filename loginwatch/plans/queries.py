@@ -193,6 +193,9 @@ QUERIES: dict[str, Query] = {
     "triage_queue_from_history": lambda h, s, d: h.with_stored_history().queue(),
     "triage_queue_nightly": lambda h, s, d: _nightly(h, s),
     "queue_head": lambda h, s, d: triage.queue_head(h.queue(), QUEUE_HEAD),
+    "queue_places": lambda h, s, d: triage.queue_places(stored(h.queue(), "queue")).select(
+        "place", "detection_type", "event_id", "campaign_key", "username", "severity", "timestamp", "intel_source"
+    ),
     "account_timeline": lambda h, s, d: triage.account_timeline(h.events, ACCOUNT, h.cfg),
     "detect_brute_force_from_config": lambda h, s, d: _from_config_table(h, s),
     "triage_summary": lambda h, s, d: triage.triage_summary(h.queue()),
