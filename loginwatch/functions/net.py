@@ -1,21 +1,25 @@
-"""IPv4 and IPv6 addresses as hexadecimal text of all their bits, as SQL text.
+"""IPv4 addresses as numbers and IPv6 addresses as hexadecimal text, as SQL text.
 
-The eight or 32 digits order and cut like the address: the network under a mask is a
-prefix of them, the last digit masked.
+Nearly all addresses of a log are IPv4: their number is plain arithmetic in generated
+code. The 32 digits of the others order and cut like the address: the network under a
+mask is a prefix of them, the last digit masked.
 """
 
 from __future__ import annotations
 
-# Splitting is the costly step: project it once, then build the number from the parts.
 OCTETS = r"split({address}, '\\.')"
 
 
-def ipv4_number(octets: str) -> str:
-    """Parts of a dotted quad to BIGINT; NULL for NULL, IPv6 and malformed text."""
-    parts = [f"try_cast({octets}[{i}] AS int)" for i in range(4)]
+def ipv4_number(address: str) -> str:
+    """A dotted quad as BIGINT; NULL for NULL, IPv6 and malformed text.
+
+    Parts are cut off without arrays, so that all of it stays in generated code.
+    """
+    heads = [f"substring_index({address}, '.', {i + 1})" for i in range(4)]
+    parts = [f"try_cast(substring_index({h}, '.', -1) AS int)" for h in heads]
     valid = " AND ".join(f"{p} BETWEEN 0 AND 255" for p in parts)
     number = " + ".join(f"{p} * {256 ** (3 - i)}L" for i, p in enumerate(parts))
-    return f"CASE WHEN size({octets}) = 4 THEN if({valid}, {number}, NULL) END"
+    return f"CASE WHEN length({address}) - length(replace({address}, '.', '')) = 3 AND {valid} THEN {number} END"
 
 
 def _let(name: str, value: str, body: str) -> str:
@@ -24,8 +28,7 @@ def _let(name: str, value: str, body: str) -> str:
 
 
 def ipv4_bits(address: str) -> str:
-    number = _let("octets", OCTETS.format(address=address), ipv4_number("octets"))
-    return f"lower(lpad(hex({number}), 8, '0'))"
+    return f"lower(lpad(hex({ipv4_number(address)}), 8, '0'))"
 
 
 def ipv6_bits(address: str) -> str:
@@ -76,13 +79,39 @@ def cidr_code(cidr: str) -> str:
 
 
 def cidr_base(cidr: str, code: str) -> str:
-    """Network digits of a CIDR text, given its code."""
-    return _let("b", address_bits(f"substring_index({cidr}, '/', 1)"), network("b", f"({code} % 1000)"))
+    """Network of a CIDR text, given its code, in the form of :func:`network_of`."""
+    address = f"substring_index({cidr}, '/', 1)"
+    four = f"cast(shiftright({ipv4_number(address)}, 4032 - {code}) AS string)"
+    six = _let("b", ipv6_bits(address), network("b", f"({code} - 6000)"))
+    return f"CASE WHEN {code} < 6000 THEN {four} WHEN instr({cidr}, ':') > 0 THEN {six} END"
+
+
+def network_of(number: str, bits: str, code: int) -> str:
+    """Network of an address under a coded mask, given its number if it is IPv4 and its
+    digits if it is IPv6; NULL for one of the other family."""
+    if code < 6000:
+        return f"cast(shiftright({number}, {4032 - code}) AS string)"
+    return network(bits, code - 6000)
+
 
+def order_key(number: str, bits: str) -> str:
+    """Text that orders addresses as their bits do, IPv4 before IPv6."""
+    return f"coalesce(concat('4', lower(lpad(hex({number}), 8, '0'))), concat('6', {bits}))"
 
-def network_of(bits: str, code: int) -> str:
-    """Network of an address under a coded mask; NULL for one of the other family."""
-    return f"if(length({bits}) = {FAMILIES[code // 1000] // 4}, {network(bits, code % 1000)}, NULL)"
+
+def range_ends(network_key: str, code: str) -> tuple[str, str]:
+    """Order keys of the first and the last address of a range, from its network and code."""
+    digits = "0123456789abcdef"
+    filled = " ".join(
+        f"WHEN {r} THEN concat(left({network_key}, length({network_key}) - 1), translate(right({network_key}, 1), '{digits}',"
+        f" '{''.join(digits[i | (1 << (4 - r)) - 1] for i in range(16))}'))" for r in (1, 2, 3)
+    )
+    first = f"shiftleft(cast({network_key} AS bigint), 4032 - {code})"
+    size = f"shiftleft(1L, 4032 - {code})"
+    four = [order_key(n, "NULL") for n in (first, f"({first} + {size} - 1)")]
+    last = f"CASE ({code} - 6000) % 4 {filled} ELSE {network_key} END"
+    six = [f"concat('6', rpad({network_key}, 32, '0'))", f"concat('6', rpad({last}, 32, 'f'))"]
+    return tuple(f"CASE WHEN {code} < 6000 THEN {a} ELSE {b} END" for a, b in zip(four, six))
 
 
 def leading_octets(address: str, octets: int) -> str:

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loginwatch.functions import net
 from loginwatch.operators.sizing import broadcast_if_small
+from loginwatch.operators.skew import split_join
+from loginwatch.plans.session import stored
 
 # A range row is about 100 bytes; 200,000 of them are broadcast, more are shuffled.
 BROADCAST_RANGES = 200_000
@@ -34,10 +37,19 @@ class ThreatFeed:
     unique: bool
     mode: str
     broadcast_rows: int | None = None
+    sweep: bool = False
 
     @classmethod
-    def load(cls, ip_enrichment: DataFrame, mode: str = "network", broadcast_rows: int | None = None) -> ThreatFeed:
-        """Index a feed. One small aggregate runs here, of a row per width: at most 162."""
+    def load(
+        cls, ip_enrichment: DataFrame, mode: str = "network", broadcast_rows: int | None = None, sweep: bool = False
+    ) -> ThreatFeed:
+        """Index a feed. One small aggregate runs here, of a row per width: at most 162.
+
+        ``sweep`` matches by disjoint segments, whatever the number of widths; for feeds
+        with many of them that are too large to broadcast.
+        """
+        if sweep and mode != "network":
+            raise ValueError("only ranges of addresses can be swept")
         if mode == "network":
             width, key = net.cidr_code("cidr"), net.cidr_base("cidr", "width")
         elif mode == "prefix":
@@ -54,7 +66,7 @@ class ThreatFeed:
         ).collect()
         return cls(
             ranges, rejected, tuple(sorted(r["width"] for r in facts)), sum(r["n"] for r in facts),
-            all(r["n"] == r["keys"] for r in facts), mode, broadcast_rows,
+            all(r["n"] == r["keys"] for r in facts), mode, broadcast_rows, sweep,
         )
 
     @property
@@ -65,7 +77,34 @@ class ThreatFeed:
         """Key of ``source_ip`` at a width, given its digits as ``ip_bits``."""
         if self.mode == "prefix":
             return net.leading_octets("source_ip", width)
-        return net.network_of("ip_bits", width)
+        return net.network_of("ip_number", "ip_bits", width)
+
+    @cached_property
+    def segments(self) -> DataFrame:
+        """The ranges flattened into segments that do not overlap, written once.
+
+        A segment begins at ``key`` and ends where the next one begins; ``owners`` are the
+        ranges that hold it, or NULL for none. It begins where a range begins or right after
+        a range ends, so there are at most two for each range, and the owners of one are
+        nested: at most 33 widths of them, or 129. Widths are looked up here, for
+        the feed alone.
+        """
+        first, last = net.range_ends("key", "width")
+        listed = stored(self.ranges.selectExpr("width", "key", "intel", f"{first} AS first", f"{last} AS last"), "feed_ranges")
+        # ``~`` follows all digits: such a key lies between the last address and the next one.
+        edges = listed.selectExpr("first AS edge", "first AS at").unionByName(
+            listed.selectExpr("concat(last, '~') AS edge", "last AS at")
+        ).distinct()
+        probe = edges.selectExpr(
+            "edge", "if(at LIKE '4%', cast(conv(substring(at, 2), 16, 10) AS bigint), NULL) AS ip_number",
+            "if(at LIKE '6%', substring(at, 2), NULL) AS ip_bits",
+        )
+        keys = ", ".join(f"struct({w} AS width, {self.key_for(w)} AS key)" for w in self.widths)
+        held = (
+            probe.selectExpr("edge", f"inline(array({keys}))").join(listed, ["width", "key"])
+            .where("edge <= last").groupBy("edge").agg(F.collect_list("intel").alias("owners"))
+        )
+        return stored(edges.select("edge").join(held, "edge", "left").withColumnRenamed("edge", "key"), "feed_segments")
 
 
 def with_intel(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFrame:
@@ -77,12 +116,17 @@ def with_intel(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFrame:
     if not feed.widths:
         unmatched = rows.selectExpr("*", f"cast(NULL AS {_INTEL_TYPE}) AS intel")
         return unmatched if outer else unmatched.where("false")
+    if feed.sweep:
+        return _swept_match(rows, feed, outer)
     match = _broadcast_match if feed.fits_broadcast else _address_match
     return match(rows, feed, outer)
 
 
 def _with_bits(rows: DataFrame) -> DataFrame:
-    return rows.selectExpr("*", f"{net.address_bits('source_ip')} AS ip_bits")
+    return rows.selectExpr(
+        "*", f"{net.ipv4_number('source_ip')} AS ip_number",
+        f"if(instr(source_ip, ':') > 0, {net.ipv6_bits('source_ip')}, NULL) AS ip_bits",
+    )
 
 
 def _broadcast_match(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFrame:
@@ -117,6 +161,43 @@ def _address_match(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFrame:
     return found.unionByName(unknown)
 
 
+def swept(addresses: DataFrame, segments: DataFrame) -> DataFrame:
+    """``source_ip`` and ``owners`` of the addresses that lie in a segment with owners.
+
+    Addresses and beginnings of segments are range-partitioned together and sorted; every
+    address takes the last beginning before it. What reaches over from one partition to the
+    next is the last beginning of each, one row per partition. An address is one row, however
+    many widths the feed has.
+    """
+    spark = addresses.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed = _with_bits(addresses.select("source_ip")).selectExpr("source_ip", f"{net.order_key('ip_number', 'ip_bits')} AS key")
+    both = segments.selectExpr("key", "0 AS kind", "struct(owners) AS held", "cast(NULL AS string) AS source_ip").unionByName(
+        keyed.where("key IS NOT NULL").selectExpr("key", "1 AS kind", "cast(NULL AS struct<owners: array<" + _INTEL_TYPE + ">>) AS held", "source_ip")
+    )
+    dealt = stored(both.repartitionByRange(parts, "key").withColumn("part", F.spark_partition_id()), "swept_ranges")
+    # One row per partition: the beginning that is in force at its end.
+    ends = dealt.where("kind = 0").groupBy("part").agg(F.expr("max_by(held, key) AS held")).orderBy("part").collect()
+    carried, open_now, last = [], None, {r["part"]: r["held"] for r in ends}
+    for part in range(max(last, default=-1) + 1):
+        carried.append((part, open_now))
+        open_now = last.get(part, open_now)
+    # Partitions after the last one that holds a beginning.
+    carried += [(part, open_now) for part in range(len(carried), parts)]
+    before = F.broadcast(spark.createDataFrame(carried, f"part int, before struct<owners: array<{_INTEL_TYPE}>>"))
+    held = "last(held, true) OVER (PARTITION BY part ORDER BY key, kind ROWS UNBOUNDED PRECEDING)"
+    return dealt.selectExpr("part", "kind", "source_ip", f"{held} AS held").where("kind = 1").join(before, "part").selectExpr(
+        "source_ip", "coalesce(held, before).owners AS owners"
+    ).where("owners IS NOT NULL")
+
+
+def _swept_match(rows: DataFrame, feed: ThreatFeed, outer: bool) -> DataFrame:
+    known = rows.where("source_ip IS NOT NULL") if not outer else rows
+    found = stored(swept(rows.where("source_ip IS NOT NULL").select("source_ip").distinct(), feed.segments), "swept_sources")
+    matched = split_join(known, found, ["source_ip"], "left" if outer else "inner")
+    return matched.selectExpr(*rows.columns, f"{'explode_outer' if outer else 'explode'}(owners) AS intel")
+
+
 def ip_enrichment(events: DataFrame, feed: ThreatFeed) -> DataFrame:
     """Events whose source lies in a listed range, once per matching range."""
     rows = with_intel(events.select("event_id", "source_ip"), feed, outer=False)

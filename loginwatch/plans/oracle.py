@@ -783,7 +783,7 @@ _BODIES["account_history_merged"] = _BODIES["account_history"]
 _BODIES["ip_enrichment_by_prefix"] = """
         SELECT l.event_id, l.source_ip, f.cidr, f.is_malicious, CAST(f.confidence AS DOUBLE) AS confidence, f.source, f.tags
         FROM logins l JOIN feed f ON starts_with(l.source_ip, f.ip_prefix)"""
-_BODIES["classify_source_shuffled"] = _BODIES["classify_source"]
+_BODIES["classify_source_shuffled"] = _BODIES["classify_source_swept"] = _BODIES["classify_source"]
 
 
 def _with_views(body: str) -> str:

@@ -166,6 +166,9 @@ QUERIES: dict[str, Query] = {
     "classify_source_shuffled": lambda h, s, d: classify_source(
         h.events, ThreatFeed.load(h.table("ip_enrichment"), broadcast_rows=0)
     ),
+    "classify_source_swept": lambda h, s, d: classify_source(
+        h.events, ThreatFeed.load(h.table("ip_enrichment"), sweep=True)
+    ),
     "rejected_feed_ranges": lambda h, s, d: h.feed.rejected.select("cidr", "source", "tags"),
     "account_status": lambda h, s, d: account_status(h.events, h.employees),
     # Baselines and posture

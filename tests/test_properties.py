@@ -94,12 +94,12 @@ ADDRESSES = [
 ]
 
 
-@pytest.mark.parametrize("limit", [10**6, 0])
+@pytest.mark.parametrize("limit, sweep", [(10**6, False), (0, False), (0, True)])
 @pytest.mark.parametrize("duplicate", [False, True])
-def test_masked_join_matches_address_arithmetic(tables, monkeypatch, limit, duplicate):
+def test_masked_join_matches_address_arithmetic(tables, monkeypatch, limit, sweep, duplicate):
     monkeypatch.setattr("loginwatch.operators.enrich.BROADCAST_RANGES", limit)
     ranges = RANGES + ([("10.1.1.", "10.1.1.0/24", 0, 0.2, "e", "v")] if duplicate else [])
-    feed = ThreatFeed.load(tables.table(ranges, IP_ENRICHMENT))
+    feed = ThreatFeed.load(tables.table(ranges, IP_ENRICHMENT), sweep=sweep)
     events = tables.events([(i, "u", day(1), "US", 1, ip) for i, ip in enumerate(ADDRESSES)])
 
     def inside(ip, cidr):
@@ -183,11 +183,39 @@ def test_addresses_of_both_families_match_ranges_like_whole_numbers(tables):
     ranges += [(None, "10.2.0.0/20", 1, 0.5, "v4", "t"), (None, "0.0.0.0/0", 1, 0.5, "all4", "t")]
     wrong = [(None, c, 1, 0.5, "bad", "t") for c in ("1.2.3.0/40", "1.2.3.0/-1", "::/129", "1.2.3.4", "x/8", "1.2.3.0/8/8", "1.2.3.0/", None)]
     feed = ThreatFeed.load(tables.table(ranges + wrong, IP_ENRICHMENT))
+    swept = ThreatFeed.load(tables.table(ranges + wrong, IP_ENRICHMENT), sweep=True)
     events = tables.events([(i, "u", day(1), "US", 1, t) for i, t in enumerate(texts + bad)])
     found = sorted((r["event_id"], r["source"]) for r in ip_enrichment(events, feed).collect())
+    assert found == sorted((r["event_id"], r["source"]) for r in ip_enrichment(events, swept).collect())
     want = sorted(
         (i, r[4]) for i, t in enumerate(texts) for r in ranges
         if ipaddress.ip_address(t.lower()) in ipaddress.ip_network(r[1], strict=False)
     )
     assert found == want and len(want) > 100
     assert feed.rejected.count() == len(wrong)
+
+
+def test_many_nested_ranges_are_swept(spark, tables, capsys):
+    """200,000 nested ranges: each address is one row, and none is multiplied by widths."""
+    rnd = random.Random(9)
+    nets = {ipaddress.ip_network((rnd.getrandbits(32) & (2**32 - 1) << 32 - w & 2**32 - 1, w)) for w in (8, 12, 16, 20, 24, 27, 32) for _ in range(35_000)}
+    nets = sorted(nets, key=lambda n: (n.prefixlen, n))[:200_000]
+    listed = {(int(n.network_address), n.prefixlen) for n in nets}
+    frame = spark.createDataFrame([(None, str(n), 1, 0.5, str(n), "t") for n in nets], "ip_prefix string, cidr string, is_malicious int, confidence double, source string, tags string")
+    assert frame.count() > 150_000
+    feed = ThreatFeed.load(frame, sweep=True)
+    inside = [int(n.network_address) + rnd.randrange(n.num_addresses) for n in rnd.sample(nets, 300)]
+    edges = [int(x) + d for n in rnd.sample(nets, 200) for x in (n.network_address, n.broadcast_address) for d in (-1, 0, 1)]
+    addresses = [x for x in inside + edges if 0 <= x < 2**32]
+    events = tables.events([(i, "u", day(1), "US", 1, str(ipaddress.IPv4Address(x))) for i, x in enumerate(addresses)])
+    matched = ip_enrichment(events, feed)
+    want = sorted(
+        (i, str(ipaddress.ip_network((x >> 32 - w << 32 - w, w)))) for i, x in enumerate(addresses) for w in range(33)
+        if (x >> 32 - w << 32 - w, w) in listed
+    )
+    assert sorted((r["event_id"], r["source"]) for r in matched.collect()) == want and len(want) > 600
+    capsys.readouterr()
+    matched.explain("formatted")
+    plan = capsys.readouterr().out
+    # The only Generate left is the one that lists the owners of an address.
+    assert "inline(" not in plan and plan.split("== Initial Plan ==")[-1].count("Generate (") == 1
