@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
-from datetime import timedelta
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from datetime import date, timedelta
 from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,18 +59,15 @@ class Hunt:
         """The same hunt over a stored account history: later steps skip the old days."""
         return Hunt(self._tables, self.cfg, stored(account_history(self.events, self.cfg), "history"), self._window)
 
-    def update_history(self, path: str) -> DataFrame:
-        """Bring the history at ``path`` up to the window; reads only the days it lacks.
-
-        Each call writes one folder, named by the day it reaches, that holds the folder
-        before it merged with a fold of the days between.
-        """
-        return update_history(self.events, self.cfg, path)
+    def update_history(self, path: str, dirty: Sequence[date] = ()) -> DataFrame:
+        """Bring the history at ``path`` up to the window; reads only the days it lacks, days
+        that late events have changed, and those named ``dirty``."""
+        return update_history(self.events, self.cfg, path, dirty)
 
     def with_history(self, path: str) -> Hunt:
         """The same hunt over the history at ``path``, which must reach the window."""
         spark = self.events.sparkSession
-        return Hunt(self._tables, self.cfg, read_history(spark, path, self.cfg.detection_start), self._window)
+        return Hunt(self._tables, self.cfg, read_history(spark, path, self.cfg), self._window)
 
     @cached_property
     def prepared(self) -> Hunt:

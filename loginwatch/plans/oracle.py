@@ -779,7 +779,7 @@ _BODIES: dict[str, str] = {
         SELECT device_id, owner_name, days_since_patch, patch_risk FROM patches WHERE patch_risk = 'CRITICAL'""",
 }
 _BODIES["hunt_impossible_travel_csv"] = _BODIES["hunt_impossible_travel"]
-_BODIES["account_history_merged"] = _BODIES["account_history"]
+_BODIES["account_history_merged"] = _BODIES["account_history_late_days"] = _BODIES["account_history"]
 _BODIES["ip_enrichment_by_prefix"] = """
         SELECT l.event_id, l.source_ip, f.cidr, f.is_malicious, CAST(f.confidence AS DOUBLE) AS confidence, f.source, f.tags
         FROM logins l JOIN feed f ON starts_with(l.source_ip, f.ip_prefix)"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import asdict, replace
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from loginwatch.operators import baselines, brute_force, correlate, geography, h
 from loginwatch.operators import incidents, inactive_account, integrity, labels, metrics
 from loginwatch.operators import password_spray, triage
 from loginwatch.operators.enrich import ThreatFeed, account_status, classify_source, ip_enrichment
-from loginwatch.operators.history import account_history, merge_history
+from loginwatch.operators.history import account_history, merge_history, update_history
 from loginwatch.operators.normalize import failures, login_events
 from loginwatch.plans.hunt import Hunt, demo_hunt
 from loginwatch.plans.report import detection_report
@@ -129,16 +129,17 @@ def _history_columns(history: DataFrame) -> DataFrame:
 def _nightly(h: Hunt, spark: SparkSession) -> DataFrame:
     """The queue over a history kept in a folder, brought forward in two steps."""
     path = shared_dir(spark, "kept_history")
-    earlier = replace(h.cfg, detection_start=h.cfg.detection_start - timedelta(days=5))
-    account_history(since_before(h.events, earlier.detection_start), h.cfg).write.parquet(
-        f"{path}/until={earlier.detection_start}"
-    )
+    start = h.cfg.detection_start - timedelta(days=5)
+    update_history(h.events, replace(h.cfg, detection_start=start, baseline_end=min(start, h.cfg.baseline_end)), path)
     h.update_history(path)
     return h.with_history(path).queue()
 
 
-def since_before(events: DataFrame, day: date) -> DataFrame:
-    return events.where(f"login_date < date'{day}'")
+def _late_days(h: Hunt, spark: SparkSession) -> DataFrame:
+    """The kept history after half of the events of all days came in late."""
+    path = shared_dir(spark, "late_history")
+    update_history(h.events.where("event_id % 2 = 0"), h.cfg, path)
+    return _history_columns(h.update_history(path))
 
 
 def _from_config_table(h: Hunt, spark: SparkSession) -> DataFrame:
@@ -181,6 +182,7 @@ QUERIES: dict[str, Query] = {
     "patch_status": lambda h, s, d: h.patches(),
     "account_history": lambda h, s, d: _history_columns(account_history(h.events, h.cfg)),
     "account_history_merged": lambda h, s, d: _merged_history(h),
+    "account_history_late_days": lambda h, s, d: _late_days(h, s),
     # Detections
     "detect_unfamiliar_country": lambda h, s, d: h.unfamiliar_country(),
     "travel_transitions": lambda h, s, d: impossible_travel.travel_transitions(h.events),
