@@ -64,16 +64,17 @@ _WARC = f"""
 
 
 def _quality() -> str:
-    """The rules, their certification and the verdicts; cutoffs from the operator's table."""
+    """The rules, the certification of their steps and the verdicts."""
     space = r"'[\x20\x09-\x0D]+'"
     rules = quality_rules.RULES
-    levels = ", ".join(
-        "(" + " + ".join(f"CAST({r.sign} * ({r.measure}) > {c} AS INTEGER)" for c in r.cutoffs) + ")" for r in rules
-    )
-    sizes = ", ".join(f"({i}, {len(r.cutoffs)})" for i, r in enumerate(rules))
+    ever = [f"[{', '.join(f'{r.sign} * ({r.measure}) > {c}' for c in r.cutoffs)}]" for r in rules]
+    # The first cutoff, from lenient to strict, that rejects.
+    step = "least(" + ", ".join(f"nullif(list_position({e}, true), 0)" for e in ever) + ")"
+    last = max(len(r.cutoffs) for r in rules)
     share = quality_rules.MAX_FALSE_REJECTION
-    tail = f"""list_sum([exp(lgamma(n_good + 1) - lgamma(j + 1) - lgamma(n_good - j + 1)
-                         + j * ln({share}) + (n_good - j) * ln(1 - {share})) FOR j IN range(0, CAST(good AS BIGINT) + 1)])"""
+    tail = f"""CASE WHEN good >= {share} * n_good THEN 1 ELSE
+                         list_sum([exp(lgamma(n_good + 1) - lgamma(j + 1) - lgamma(n_good - j + 1)
+                         + j * ln({share}) + (n_good - j) * ln(1 - {share})) FOR j IN range(0, CAST(good AS BIGINT) + 1)]) END"""
     return f"""
     WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents),
     w AS (SELECT *, list_filter(string_split_regex(text, {space}), lambda x: x <> '') AS words,
@@ -88,25 +89,19 @@ def _quality() -> str:
                  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
                  len(list_distinct(words)) AS n_distinct_words, len(lines) AS n_lines
           FROM w LEFT JOIN repeated USING (r)),
-    f AS (SELECT *, {quality_rules.BASE_FAILED} AS base_failed, [{levels}] AS levels FROM m),
+    f AS (SELECT *, {quality_rules.BASE_FAILED} AS base_failed, {step} AS step FROM m),
     marks AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
-    held AS (SELECT stratum, quality, i - 1 AS rule, levels[i] AS level
-             FROM (SELECT *, unnest(range(1, {len(rules) + 1})) AS i FROM f JOIN marks USING (doc_id) WHERE NOT base_failed)),
-    totals AS (SELECT stratum, rule, count(*) FILTER (quality = 1) AS n_good, count(*) FILTER (quality <> 1) AS n_bad
-               FROM held GROUP BY stratum, rule),
-    tests AS (SELECT t.*, c AS from_level,
-                     (SELECT count(*) FROM held h WHERE h.stratum = t.stratum AND h.rule = t.rule AND h.level >= c AND quality = 1) AS good,
-                     (SELECT count(*) FROM held h WHERE h.stratum = t.stratum AND h.rule = t.rule AND h.level >= c AND quality <> 1) AS bad
-              FROM (SELECT t.*, unnest(range(1, size + 1)) AS c
-                    FROM totals t JOIN (VALUES {sizes}) AS s(rule, size) USING (rule)) t),
-    passed AS (SELECT *, bool_and({tail} <= {quality_rules.ERROR} / ({len(rules)} * (SELECT count(DISTINCT stratum) FROM totals)))
-                         OVER (PARTITION BY stratum, rule ORDER BY from_level DESC) AS ok,
+    held AS (SELECT stratum, quality, step FROM f JOIN marks USING (doc_id) WHERE NOT base_failed),
+    tests AS (SELECT stratum, t, count(*) FILTER (quality = 1) AS n_good, count(*) FILTER (quality <> 1) AS n_bad,
+                     count(*) FILTER (quality = 1 AND step <= t) AS good, count(*) FILTER (quality <> 1 AND step <= t) AS bad
+              FROM held, range(1, {last} + 1) AS steps(t) GROUP BY stratum, t),
+    passed AS (SELECT *, bool_and({tail} <= {quality_rules.ERROR} / (SELECT count(DISTINCT stratum) FROM held))
+                         OVER (PARTITION BY stratum ORDER BY t) AS ok,
                       bad / greatest(n_bad, 1) - {quality_rules.HARM} * good / greatest(n_good, 1) AS gain FROM tests),
-    chosen AS (SELECT stratum, rule, max_by(from_level, (gain, from_level)) AS from_level
-               FROM passed WHERE ok AND bad > 0 AND gain > 0 GROUP BY stratum, rule)
+    chosen AS (SELECT stratum, max_by(t, (gain, -t)) AS t FROM passed WHERE ok AND bad > 0 AND gain > 0 GROUP BY stratum)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-           NOT base_failed AND NOT EXISTS (SELECT 1 FROM chosen c WHERE c.stratum = f.stratum AND f.levels[c.rule + 1] >= c.from_level) AS kept
-    FROM f"""
+           NOT base_failed AND NOT coalesce(step <= t, false) AS kept
+    FROM f LEFT JOIN chosen USING (stratum)"""
 
 
 def _urls() -> str:

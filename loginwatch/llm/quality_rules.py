@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 from loginwatch.llm.common import WORD_BREAK, let, stored
 
-#: Share of good documents that a rule may reject in a stratum, and the chance that any
-#: chosen cutoff of any rule in any stratum breaks that promise.
+#: Share of a stratum's good documents that all rules together may reject, and the chance
+#: that the promise is broken in any stratum.
 MAX_FALSE_REJECTION = 0.01
 ERROR = 0.05
 #: How much worse a wrongly rejected good document counts than a kept bad one.
@@ -88,92 +89,106 @@ def measures(text: Column) -> Column:
 BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
 
 
+def rejecting_step() -> str:
+    """SQL: the first step of strictness at which a rule rejects; NULL if none ever does.
+
+    Step ``t`` has every rule at the ``t``-th of its cutoffs, or at its strictest one: the
+    steps are fixed beforehand, and what one rejects the next one rejects too.
+    """
+    def of(rule: Rule) -> str:
+        value, more = f"{rule.sign} * ({rule.measure})", len(rule.cutoffs) + 1
+        return f"nullif({more} - ({' + '.join(f'int({value} > {c}D)' for c in rule.cutoffs)}), {more})"
+
+    return f"least({', '.join(map(of, RULES))})"
+
+
 def measured(documents: DataFrame) -> DataFrame:
-    """``documents`` with ``MEASURES``, ``base_failed`` and ``levels``: how many of each
-    rule's cutoffs reject the document. Clashing columns are replaced."""
-    added = (*MEASURES, "base_failed", "levels")
+    """``documents`` with ``MEASURES``, ``base_failed`` and ``step``, from which on the rules
+    reject the document. Clashing columns are replaced."""
+    added = (*MEASURES, "base_failed", "step")
     rows = documents.select(
         *[c for c in documents.columns if c not in added], measures(F.col("text")).alias("_m")
     ).select("*", "_m.*").drop("_m")
+    return rows.withColumn("base_failed", F.expr(BASE_FAILED)).withColumn("step", F.expr(rejecting_step()))
 
-    def level(rule: Rule) -> str:
-        value = f"{rule.sign} * ({rule.measure})"
-        return "+".join(f"int({value} > {c}D)" for c in rule.cutoffs)
 
-    return rows.withColumn("base_failed", F.expr(BASE_FAILED)).withColumn(
-        "levels", F.expr(f"array({', '.join(map(level, RULES))})")
+def _log_factorial(x: str) -> str:
+    """SQL: the logarithm of ``x`` factorial, by Stirling's series from 10 on."""
+    y = f"({x} + 1D)"
+    series = (
+        f"({y} - 0.5D) * ln({y}) - {y} + {0.5 * math.log(2 * math.pi)!r}D"
+        f" + 1 / (12 * {y}) - 1 / (360 * pow({y}, 3)) + 1 / (1260 * pow({y}, 5))"
     )
+    return f"if({x} < 10, ln(cast(factorial(int(least({x}, 10))) AS double)), {series})"
 
 
 def binomial_tail(n: str, k: str, share: float) -> str:
-    """SQL: the chance of ``k`` or fewer events among ``n`` of probability ``share``, exact
-    to rounding. Terms are summed as logarithms, relative to the largest so far, so that
-    none underflows."""
-    odds = share / (1 - share)
-    return f"""
+    """SQL: the chance of ``k`` or fewer events among ``n`` of probability ``share``, exact to
+    rounding; 1 where ``k`` is no less than expected, as no test can pass there.
+
+    Below that, terms fall from ``k`` downwards. They are summed in units of the largest;
+    those more than 12 times the root of ``k`` away are below any rounding, so there are few
+    however large the counts.
+    """
+    top = (
+        f"{_log_factorial(n)} - ({_log_factorial(k)}) - ({_log_factorial(f'({n} - {k})')})"
+        f" + {k} * {math.log(share)!r}D + ({n} - {k}) * {math.log1p(-share)!r}D"
+    )
+    units = f"""
         aggregate(
-            if({k} > 0, sequence(1L, {k}), array()),
-            struct({n} * ln(1D - {share}D) as term, {n} * ln(1D - {share}D) as total),
+            sequence(0L, least({k}, 60L + 12L * cast(sqrt({k}) AS bigint))),
+            struct(1D as term, 0D as total),
             (acc, i) -> struct(
-                acc.term + ln(({n} - i + 1) / i * {odds!r}D) as term,
-                greatest(acc.total, acc.term + ln(({n} - i + 1) / i * {odds!r}D))
-                + log1p(exp(-abs(acc.total - acc.term - ln(({n} - i + 1) / i * {odds!r}D)))) as total),
-            acc -> exp(acc.total))
+                acc.term * ({k} - i) / ({n} - {k} + i + 1) * {(1 - share) / share!r}D as term, acc.total + acc.term as total),
+            acc -> acc.total)
     """
+    return f"if({k} >= {share}D * {n}, 1D, exp({top}) * {units})"
 
 
-def certified_cutoffs(
+def certified_steps(
     rows: DataFrame, labels: DataFrame, share: float = MAX_FALSE_REJECTION, error: float = ERROR,
 ) -> DataFrame:
-    """Per ``stratum`` an array: for each rule the level from which it rejects, or null.
-
-    ``rows`` has ``doc_id``, ``stratum``, ``base_failed`` and ``levels``. The holdout is all
-    labelled documents that pass the base rules. For every rule, stratum and cutoff the hypothesis that the
-    rule rejects more than ``share`` of the good documents is tested with the exact
-    binomial tail of the good ones it did reject. Rules and strata share ``error`` equally
-    (Bonferroni); along a rule's cutoffs, fixed beforehand, tests run from lenient to
-    strict and stop at the first that fails, which needs no further correction. Of
-    the certified cutoffs the one with the best balance of rejected bad and good documents
-    is taken, the more lenient of equals; any choice among them keeps the promise. A
-    stratum with too few good documents gets no cutoff, so nothing is rejected on its
-    account.
+    """Per ``stratum`` the step of strictness that is certified (``reject_step``), if any is.
+
+    ``rows`` has ``doc_id``, ``stratum``, ``base_failed`` and ``step``. The holdout is all
+    labelled documents that pass the base rules. For every stratum and step the hypothesis
+    that all rules together reject more than ``share`` of its good documents is tested with
+    the exact binomial tail of the good ones they did reject. Strata share ``error`` equally
+    (Bonferroni); within a stratum the steps, fixed beforehand, are tested from lenient to
+    strict and end at the first that fails, which needs no further correction. Of the
+    certified steps the one with the best balance of rejected bad and good documents is
+    taken, the more lenient of equals; any choice among them keeps the promise. A
+    stratum with too few good documents gets no step, so nothing is rejected on its account.
     """
     one_label = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(
         F.min("quality").alias("quality")
     )
     held = rows.where("NOT base_failed").join(one_label, "doc_id")
-    by_level = (
-        held.select("stratum", "quality", F.posexplode("levels").alias("rule", "level"))
-        .groupBy("stratum", "rule", "level")
-        .agg(F.sum(F.expr("bigint(quality = 1)")).alias("good"), F.sum(F.expr("bigint(quality <> 1)")).alias("bad"))
+    # At most one row per stratum and step from here on.
+    by_step = held.groupBy("stratum", "step").agg(
+        F.sum(F.expr("bigint(quality = 1)")).alias("good"), F.sum(F.expr("bigint(quality <> 1)")).alias("bad")
     )
-    # A cutoff is named by the least level it rejects: the more cutoffs are passed, the higher.
-    grid = F.expr(f"element_at(array({', '.join(str(len(r.cutoffs)) for r in RULES)}), rule + 1)")
-    cells = by_level.groupBy("stratum", "rule").agg(
-        F.collect_list(F.struct("level", "good", "bad")).alias("levels"),
+    cells = by_step.groupBy("stratum").agg(
+        F.collect_list(F.struct("step", "good", "bad")).alias("steps"),
         F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad"),
     )
-    strata = cells.select("stratum").distinct().agg(F.count(F.lit(1)).alias("n_strata"))
+    strata = cells.agg(F.count(F.lit(1)).alias("n_strata"))
+    last = max(len(r.cutoffs) for r in RULES)
     tests = (
-        cells.select("*", F.explode(F.sequence(F.lit(1), grid)).alias("from_level"))
+        cells.select("*", F.explode(F.sequence(F.lit(1), F.lit(last))).alias("at"))
         .select(
-            "stratum", "rule", "from_level", "n_good", "n_bad",
-            *[F.expr(f"aggregate(filter(levels, x -> x.level >= from_level), 0L, (a, x) -> a + x.{c})").alias(c)
-              for c in ("good", "bad")],
+            "stratum", "at", "n_good", "n_bad",
+            *[F.expr(f"aggregate(filter(steps, x -> x.step <= at), 0L, (a, x) -> a + x.{c})").alias(c) for c in ("good", "bad")],
         )
         .withColumn("chance", F.expr(binomial_tail("n_good", "good", share)))
     )
-    allowed = F.lit(error) / (len(RULES) * strata.scalar())
-    order = Window.partitionBy("stratum", "rule").orderBy(F.desc("from_level"))
+    allowed = F.lit(error) / strata.scalar()
+    order = Window.partitionBy("stratum").orderBy("at")
     passed = tests.withColumn("ok", F.min(F.col("chance") <= allowed).over(order)).where("ok AND bad > 0")
     gain = F.expr(f"bad / greatest(n_bad, 1) - {HARM}D * good / greatest(n_good, 1)")
-    chosen = (
-        passed.withColumn("gain", gain).where("gain > 0").groupBy("stratum", "rule")
-        .agg(F.max(F.struct("gain", "from_level")).alias("best"))
-    )
-    return chosen.groupBy("stratum").agg(*[
-        F.max(F.when(F.col("rule") == i, F.col("best.from_level"))).alias(f"_{i}") for i in range(len(RULES))
-    ]).select("stratum", F.array(*[f"_{i}" for i in range(len(RULES))]).alias("reject_from"))
+    return passed.withColumn("gain", gain).where("gain > 0").groupBy("stratum").agg(
+        F.max(F.struct("gain", F.expr("-at").alias("lenient"), "at")).alias("best")
+    ).select("stratum", F.col("best.at").alias("reject_step"))
 
 
 def _strata(documents: DataFrame) -> DataFrame:
@@ -181,30 +196,26 @@ def _strata(documents: DataFrame) -> DataFrame:
     return documents.withColumn("stratum", F.coalesce("lang", F.lit("")))
 
 
-def judged(rows: DataFrame, cutoffs: DataFrame) -> DataFrame:
+def judged(rows: DataFrame, steps: DataFrame) -> DataFrame:
     """``rows`` (measured, with ``stratum``) with ``kept``.
 
-    ``cutoffs`` is a stored table with one row per stratum: from its file size the
+    ``steps`` is a stored table with one row per stratum: from its file size the
     optimizer sees whether it can be broadcast, and else shuffles.
     """
-    rejected = """
-        exists(sequence(0, size(levels) - 1),
-               i -> reject_from[i] is not null and levels[i] >= reject_from[i])
-    """
     # One condition over both sides: a part of it that Spark could test before the join would be
     # computed from the text there and again after it.
-    verdict = f"CASE WHEN base_failed THEN false ELSE NOT coalesce({rejected}, false) END"
-    return rows.join(cutoffs, "stratum", "left").withColumn("kept", F.expr(verdict)).drop("reject_from")
+    verdict = "CASE WHEN base_failed THEN false ELSE NOT coalesce(step <= reject_step, false) END"
+    return rows.join(steps, "stratum", "left").withColumn("kept", F.expr(verdict)).drop("reject_step")
 
 
 def quality_report(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Counts and verdict for every document; null and empty texts fail the base rules.
 
-    Texts are read once: cutoffs are chosen and applied on a narrow table of counts.
+    Texts are read once: steps are chosen and applied on a narrow table of counts.
     """
     rows = stored(measured(_strata(documents).select("doc_id", "stratum", "text")).drop("text"), "quality_measures")
-    cutoffs = stored(certified_cutoffs(rows, labels), "quality_cutoffs")
-    return judged(rows, cutoffs).select(
+    steps = stored(certified_steps(rows, labels), "quality_steps")
+    return judged(rows, steps).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
     )
 
@@ -212,11 +223,11 @@ def quality_report(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def good_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are kept, with their own columns.
 
-    The counts are computed once for the cutoffs and again for the verdict, which costs
+    The counts are computed once for the steps and again for the verdict, which costs
     less than joining verdicts to texts: no text is shuffled.
     """
     own = documents.select(F.struct("*").alias("_row"), "doc_id", "text", "lang")
     rows = _strata(documents.select("doc_id", "text", "lang"))
-    narrow = stored(measured(rows).select("doc_id", "stratum", "base_failed", "levels"), "quality_measures")
-    cutoffs = stored(certified_cutoffs(narrow, labels), "quality_cutoffs")
-    return judged(measured(_strata(own)), cutoffs).where("kept").select("_row.*")
+    narrow = stored(measured(rows).select("doc_id", "stratum", "base_failed", "step"), "quality_measures")
+    steps = stored(certified_steps(narrow, labels), "quality_steps")
+    return judged(measured(_strata(own)), steps).where("kept").select("_row.*")
