@@ -42,6 +42,18 @@ OUTER = frozenset(("header",))
 #: Marks of an article element that is a comment or a teaser, and words that name content.
 NOT_ARTICLES = frozenset("comment comments reply replies respond related recommended ad ads advert promo sponsored teaser".split())
 CONTENT = frozenset("content article post entry story main".split())
+#: Marks that say who speaks; a paragraph of the article may be such a one.
+VOICES = frozenset("comment comments reply replies respond related recommended".split())
+#: Words beside a mark that only say what shape it has; any other word makes it a name.
+SHAPES = frozenset("""
+    area bar block body box button container content entry feed form group head header holder inner item items left
+    link links list main md outer panel right row section site slot sm text title top unit wrap wrapper
+""".split())
+#: A text is part of a host's template if so many different pages at least have it at its
+#: place, and this share of all that differ.
+SEVERAL, SHARE = 3, 0.75
+#: Containers whose fixed texts are labels of the values beside them.
+LABELLED = re.compile(r"(^|>)(table|dl)[.>]|(^|>)(table|dl)$")
 #: Longest group of tokens whose repetition is looked for.
 PERIOD = 10
 #: Token streams that are aligned in one task for one bucket of a host.
@@ -116,16 +128,22 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             at = ending.start() if ending else n
 
 
-def _marks(rest: str) -> tuple[list[str], bool]:
-    """Words of class, id and role in lower case, and whether the element is hidden."""
-    words, hidden = [], False
+def _marks(rest: str) -> tuple[list[str], frozenset[str], bool]:
+    """Words of class, id and role in lower case, those that may be marks, and whether the
+    element is hidden."""
+    words, names, hidden = [], [], False
     for name, a, b, c in _ATTRIBUTE.findall(rest) if "=" in rest or "hidden" in rest else ():
         name, value = name.lower(), a or b or c
         if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value):
             hidden = True
         elif name != "style":
-            words += [w.lower() for w in _WORD.findall(value)]
-    return words, hidden
+            for one in value.split():
+                found = [w.lower() for w in _WORD.findall(one)]
+                words += found
+                # A name such as ``comment-policy`` says more than the mark in it.
+                if all(w in MARKS or w in OUTER or w in SHAPES or w.isdigit() for w in found):
+                    names += found
+    return words, frozenset(names), hidden
 
 
 class Walk:
@@ -143,8 +161,9 @@ class Walk:
         self.path = ""
 
     def open(self, tag: str, rest: str) -> str:
-        words, hidden = _marks(rest) if rest else ((), False)
-        own = set(words)
+        words, own, hidden = _marks(rest) if rest else ((), frozenset(), False)
+        if tag not in CONTAINERS and tag not in ("li", "dd", "tr", "td"):
+            own = own - VOICES
         if tag == "a":
             self.links += 1
         if tag in ("main", "body", "html"):
@@ -153,7 +172,7 @@ class Walk:
             outside = hidden or bool(own & NOT_ARTICLES)
         else:
             outside = tag in NEVER or hidden or bool(own & MARKS) or not self.articles and (tag in OUTER or bool(own & OUTER))
-        label = tag + "".join(f".{w}" for w in sorted(own) if not w.isdigit())
+        label = tag + "".join(f".{w}" for w in sorted(set(words)) if not w.isdigit())
         if tag in VOID:
             return label
         if tag in ("p", "li") and self.stack and self.stack[-1][0] == tag:
@@ -243,9 +262,9 @@ def blocks(page: str) -> Iterator[tuple[str, int, int, str]]:
         yield walk.path, walk.out, *body
 
 
-# A wrapper is a list of items: a tag; a slot ["#", path, characters, text]; a group
-# ["+", items], found once or more; ["?", [item]], an item that may be missing. The text of
-# a slot is a digest that all pages share, or null where they differ.
+# A wrapper is a list of items: a tag; a slot ["#", path, characters, text]; a literal
+# ["=", path, text] of the template; a group ["+", items], found once or more; ["?", [item]],
+# an item that may be missing. Texts are digests; that of a slot is null where pages differ.
 
 def _key(item) -> str:
     """The structure of an item as text: slots are alike whatever they hold."""
@@ -253,12 +272,14 @@ def _key(item) -> str:
         return item
     if item[0] == "#":
         return f"#{item[1]}"
+    if item[0] == "=":
+        return f"={item[1]}={item[2]}"
     return f"{item[0]}({' '.join(map(_key, item[1]))})"
 
 
 def _joined(a, b):
     """One item for two alike: slots add up and keep a text only if it is the same."""
-    if isinstance(a, str):
+    if isinstance(a, str) or a[0] == "=":
         return a
     if a[0] == "#":
         return ["#", a[1], a[2] + b[2], a[3] if a[3] == b[3] else None]
@@ -295,16 +316,30 @@ def folded(items: list) -> list:
     return out
 
 
+def digest(text: str) -> str:
+    data = text.encode("utf-8", "replace")
+    return f"{zlib.crc32(data)}.{len(data)}"
+
+
+def token_stream(page: str | None) -> list:
+    """The tags and slots of a page, one by one."""
+    return [
+        text if out == TAG else ["#", path, 0 if out else max(0, len(text) - linked), digest(text)]
+        for path, out, linked, text in blocks(page or "")
+    ]
+
+
+def with_literals(items: list, literals: frozenset[str]) -> list:
+    """A token stream in which texts of the host's template are told from slots, so that
+    what repeats around them does not swallow them; repetitions folded."""
+    return folded([
+        ["=", x[1], x[3]] if not isinstance(x, str) and x[2] and f"{x[1]}={x[3]}" in literals else x for x in items
+    ])
+
+
 def stream(page: str | None) -> list:
     """The token stream of a page as a wrapper of its own, repetitions folded."""
-    items = []
-    for path, out, linked, text in blocks(page or ""):
-        if out != TAG:
-            data = text.encode("utf-8", "replace")
-            items.append(["#", path, 0 if out else max(0, len(text) - linked), f"{zlib.crc32(data)}.{len(data)}"])
-        else:
-            items.append(text)
-    return folded(items)
+    return folded(token_stream(page))
 
 
 def _inner(item):
@@ -361,7 +396,7 @@ def _slots(items: list) -> Iterator[list]:
         if isinstance(item, list):
             if item[0] == "#":
                 yield item
-            else:
+            elif item[0] != "=":
                 yield from _slots(item[1])
 
 
@@ -374,8 +409,8 @@ def main_region(wrapper: list, pages: int) -> str | None:
 
     Text that all pages of a host share belongs to the template and does not count, unless
     there is one page. An article or main element comes first, then a container named like one,
-    then whatever holds most of the text; inside it, the innermost of the kind with four
-    fifths of it.
+    then the page. Of these, the one with most of the text; inside it, the innermost that
+    holds all of that, so headlines and lead paragraphs beside an inner article stay.
     """
     for fixed in (pages > 1, False):
         volume: dict[str, int] = defaultdict(int)
@@ -398,19 +433,50 @@ def main_region(wrapper: list, pages: int) -> str | None:
     )
     own = next(k for k in kinds if k)
     best = min(own, key=lambda p: (-found[p], len(p), p))
-    while inner := [p for p in own if p != best and _within(p, best) and 5 * found[p] >= 4 * found[best]]:
-        best = min(inner, key=lambda p: (-found[p], len(p), p))
-    return best
+    return max((p for p in own if _within(p, best) and found[p] == found[best]), key=lambda p: (len(p), p))
+
 
+def text_of(page: str | None, region: str | None, literals: frozenset[str] = frozenset()) -> str:
+    """The slots of the region, without the texts of the host's template.
 
-def text_of(page: str | None, region: str | None) -> str:
-    """The blocks of the region; of a page without it, those of the region it has itself."""
+    A page that has more text of its own outside the host's region than in it is built
+    otherwise, and has a region of its own. Where template texts would be half of
+    what is left or more, the page is one of many near copies, and keeps them.
+    """
     found = [(path, text) for path, out, _, text in blocks(page or "") if out == 0]
+    own = [(path, text, f"{path}={digest(text)}" in literals) for path, text in found] if literals else [(p, t, False) for p, t in found]
+
+    def inside(where: str | None) -> list[tuple[str, bool]]:
+        return [(t, fixed) for path, t, fixed in own if where is not None and _within(path, where)]
+
+    def size(texts) -> int:
+        return sum(len(t) for t, fixed in texts if not fixed)
 
-    def inside(where: str | None) -> list[str]:
-        return [t for path, t in found if where is not None and _within(path, where)]
+    chosen = inside(region)
+    if 2 * size(chosen) < size((t, fixed) for _, t, fixed in own) or not chosen:
+        other = inside(main_region(stream(page), 1))
+        chosen = other if size(other) > size(chosen) or not chosen else chosen
+    if 2 * size(chosen) <= sum(len(t) for t, _ in chosen):
+        return "\n\n".join(t for t, _ in chosen)
+    return "\n\n".join(t for t, fixed in chosen if not fixed)
 
-    return "\n\n".join(inside(region) or inside(main_region(stream(page), 1)))
+
+def template_texts(tokens_: DataFrame) -> DataFrame:
+    """``host`` and ``literals``: the texts that a host's different pages share at one place.
+
+    ``tokens_`` has a row per page: ``host``, ``anchor`` (its longest text) and ``places`` (path
+    and digest of its texts, without those of tables and definition lists, where fixed
+    texts are labels). Pages are told apart by their longest text, so copies of
+    a page support nothing. Counted in two levels that combine map-side: a text that
+    every page of a host has is spread over their anchors. A host has at most as many
+    literals as ``SHARE`` of a page's texts allow.
+    """
+    pages = tokens_.select("host", "anchor").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    seen = tokens_.select("host", "anchor", F.explode("places").alias("place")).distinct()
+    shared = seen.where("NOT endswith(place, anchor)").groupBy("host", "place").agg(F.count(F.lit(1)).alias("seen")).where(f"seen >= {SEVERAL}")
+    return shared.join(pages, "host").where(f"seen >= {SHARE}D * n").groupBy("host").agg(
+        F.sort_array(F.collect_list("place")).alias("literals")
+    )
 
 
 def wrappers(shapes: DataFrame) -> DataFrame:
@@ -452,13 +518,13 @@ def _merge_group(group: pd.DataFrame) -> pd.DataFrame:
 
 def _fill(items: list, values: Iterator[tuple]) -> list:
     return [
-        x if isinstance(x, str) else ["#", x[1], *next(values)] if x[0] == "#" else [x[0], _fill(x[1], values)]
+        x if isinstance(x, str) or x[0] == "=" else ["#", x[1], *next(values)] if x[0] == "#" else [x[0], _fill(x[1], values)]
         for x in items
     ]
 
 
 def _bare(items: list) -> list:
-    return [x if isinstance(x, str) else x[:2] if x[0] == "#" else [x[0], _bare(x[1])] for x in items]
+    return [x if isinstance(x, str) or x[0] == "=" else x[:2] if x[0] == "#" else [x[0], _bare(x[1])] for x in items]
 
 
 def _filled(shape: str, sizes, texts):
@@ -475,33 +541,54 @@ def page_texts(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every page.
 
     The host of a null or odd URL is empty, and such pages form a host. Null and empty
-    pages have an empty text. Only streams and wrappers are shuffled; a host's region, one
-    path, comes back to its pages, by broadcast for hosts of more than a thousandth of
-    all pages. Repeated rows and null ids are like any other.
+    pages have an empty text. Only digests, streams and wrappers are shuffled; a host's
+    template texts and its region, one path, come back to its pages, by broadcast for hosts
+    of more than a thousandth of all pages. Repeated rows and null ids are like any other.
     """
     hosted = with_host_and_path(pages.select("page_id", "url", "html")).drop("path")
 
+    @F.pandas_udf("items string, anchor string, places array<string>")
+    def read(htmls: pd.Series) -> pd.DataFrame:
+        found = [token_stream(x) for x in htmls]
+        slots = [[x for x in items if not isinstance(x, str) and x[2] and not LABELLED.search(x[1])] for items in found]
+        return pd.DataFrame({
+            "items": pd.Series([json.dumps(x) for x in found], dtype=object),
+            "anchor": pd.Series([max(((x[2], x[3]) for x in s), default=(0, ""))[1] for s in slots], dtype=object),
+            "places": pd.Series([sorted({f"{x[1]}={x[3]}" for x in s}) for s in slots], dtype=object),
+        })
+
+    read_once = stored(hosted.select("host", read("html").alias("s")).select("host", "s.*"), "html_tokens")
+    total = read_once.count()
+    sizes = read_once.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    texts = stored(sizes.join(template_texts(read_once.select("host", "anchor", "places")), "host", "left"), "html_literals")
+
     @F.pandas_udf("shape string, slots array<struct<size: long, text: string>>")
-    def shape(htmls: pd.Series) -> pd.DataFrame:
-        streams = [stream(x) for x in htmls]
+    def shape(items: pd.Series, literals: pd.Series) -> pd.DataFrame:
+        streams = [with_literals(json.loads(x), frozenset(() if t is None else t)) for x, t in zip(items, literals)]
         return pd.DataFrame({
             "shape": pd.Series([json.dumps(_bare(x)) for x in streams], dtype=object),
             "slots": pd.Series([[{"size": s[2], "text": s[3]} for s in _slots(x)] for x in streams], dtype=object),
         })
 
-    shapes = stored(hosted.select("host", shape("html").alias("s")).select("host", "s.*"), "html_shapes")
+    told = split_join(read_once.select("host", "items"), texts, "host", total, bound=1000)
+    shapes = stored(told.select("host", shape("items", "literals").alias("s")).select("host", "s.*"), "html_shapes")
 
     @F.pandas_udf(T.StringType())
     def region(texts: pd.Series, counts: pd.Series) -> pd.Series:
         return pd.Series([main_region(json.loads(w), n) for w, n in zip(texts, counts)], dtype=object)
 
-    regions = stored(wrappers(shapes).select("host", "n", region("wrapper", "n").alias("region")), "html_regions")
+    regions = stored(
+        wrappers(shapes).select("host", "n", region("wrapper", "n").alias("region")).join(texts.drop("n"), "host", "left"),
+        "html_regions",
+    )
 
     @F.pandas_udf(T.StringType())
-    def extract(htmls: pd.Series, regions_: pd.Series) -> pd.Series:
-        return pd.Series([text_of(h, r) for h, r in zip(htmls, regions_)], dtype=object)
+    def extract(htmls: pd.Series, regions_: pd.Series, literals: pd.Series) -> pd.Series:
+        return pd.Series([
+            text_of(h, r, frozenset(() if t is None else t)) for h, r, t in zip(htmls, regions_, literals)
+        ], dtype=object)
 
-    placed = split_join(hosted, regions, "host", shapes.count(), bound=1000)
-    return placed.select("page_id", "url", extract("html", "region").alias("text")).withColumn(
+    placed = split_join(hosted, regions, "host", total, bound=1000)
+    return placed.select("page_id", "url", extract("html", "region", "literals").alias("text")).withColumn(
         "n_chars", F.length("text").cast("long")
     )

@@ -100,3 +100,72 @@ def test_merging_is_independent_of_partitions(spark, monkeypatch):
 def test_time_is_linear_on_hostile_pages():
     for page in ("<a \"" * 50_000, "<!--" * 50_000, "<p>" * 50_000, "<" * 200_000, "<b x='" * 30_000, "<div>" * 3000 + "</p>" * 3000, "&" * 100_000):
         h.text_of(page, None)
+
+
+def texts_of(spark, htmls, host="one.example"):
+    rows = [(n, f"http://{host}/{n}", x) for n, x in enumerate(htmls)]
+    return [t for _, t in bag(h.page_texts(spark.createDataFrame(rows, PAGES)), "page_id", "text")]
+
+
+def words(n, count):
+    return " ".join(f"w{n}x{i}" for i in range(count))
+
+
+def test_headline_and_lead_beside_an_article_stay(spark):
+    for before, after in (("<main>", "</main>"), ("<div>", "</div>")):
+        inner = ("<article>", "</article>") if before == "<main>" else ("<div class=body>", "</div>")
+        pages = [f"<body><nav>menu {n}</nav>{before}<h1>Head {n}</h1><p>lead {n}</p>{inner[0]}<p>{words(n, 120)}</p>{inner[1]}{after}</body>" for n in range(4)]
+        assert texts_of(spark, pages) == [f"Head {n}\n\nlead {n}\n\n{words(n, 120)}" for n in range(4)]
+
+
+def test_a_page_built_otherwise_keeps_its_text(spark):
+    pages = [f"<body><article><h1>Head {n}</h1><p>{words(n, 60)}</p></article></body>" for n in range(1, 4)]
+    pages.insert(0, f"<body><main><p>{words(0, 120)}</p><article>card 0</article></main></body>")
+    got = texts_of(spark, pages)
+    assert words(0, 120) in got[0] and got[1:] == [f"Head {n}\n\n{words(n, 60)}" for n in range(1, 4)]
+
+
+def test_text_of_the_template_goes(spark):
+    pages = [
+        f"<body><article><h1>Head {n}</h1><p>{words(n, 30)}</p><p>Follow us on all channels today.</p><p>{words(n + 50, 30)}</p></article></body>"
+        for n in range(4)
+    ]
+    assert texts_of(spark, pages) == [f"Head {n}\n\n{words(n, 30)}\n\n{words(n + 50, 30)}" for n in range(4)]
+    # Copies of one page share all they have, which says nothing.
+    assert texts_of(spark, [pages[0]] * 6)[0].count("Follow us") == 1
+    # Nor do two pages that quote the same line.
+    assert all("Follow us" in t for t in texts_of(spark, pages[:2]))
+
+
+def test_near_copies_keep_what_they_share(spark):
+    base = [words(900 + k, 25) for k in range(6)]
+    pages = []
+    for n in range(8):
+        parts = list(base)
+        parts[n % 6] += f" edit{n}"
+        pages.append("<body><article>" + "".join(f"<p>{p}</p>" for p in parts) + "</article></body>")
+    got = texts_of(spark, pages)
+    assert all(t.count("\n\n") == 5 for t in got)
+
+
+def test_names_that_only_contain_a_mark_are_content(spark):
+    pages = [
+        f"<body><article><p>{words(n, 20)}</p><p class=reply>answer {n}</p><div class=comment-policy><p>policy {n}</p></div>"
+        f"<section class=related-work><p>work {n}</p></section><div class='comment-list'><p>reader {n}</p></div>"
+        f"<p class=ad-slot>buy {n}</p><ol class=comments><li>says {n}</li></ol></article></body>" for n in range(4)
+    ]
+    assert texts_of(spark, pages) == [f"{words(n, 20)}\n\nanswer {n}\n\npolicy {n}\n\nwork {n}" for n in range(4)]
+
+
+def test_literals_are_told_from_slots_in_the_wrapper():
+    items = h.token_stream("<body><p>a</p><p>b</p><p>fixed</p><p>c</p></body>")
+    place = next(f"{x[1]}={x[3]}" for x in items if not isinstance(x, str) and x[3] == h.digest("fixed"))
+    wrapper = h.with_literals(items, frozenset([place]))
+    assert [x for x in wrapper if not isinstance(x, str) and x[0] == "="] == [["=", "body", h.digest("fixed")]]
+    assert sum(1 for _ in h._slots(wrapper)) == 2
+
+
+def test_clashing_columns(spark):
+    rows = [(n, f"http://c.example/{n}", f"<article><p>{words(n, 9)}</p></article>", "x", 7, "y", "z") for n in range(3)]
+    frame = spark.createDataFrame(rows, PAGES + ", host string, n_chars int, region string, literals string")
+    assert bag(h.page_texts(frame), "page_id", "text") == [(n, words(n, 9)) for n in range(3)]
