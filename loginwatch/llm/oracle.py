@@ -223,9 +223,10 @@ def _pii() -> str:
     told AS (SELECT entity, term, log2(together * total.n / (seen * inside.n)) / log2(total.n / inside.n) AS share
              FROM (SELECT entity, term, count(*) AS together FROM mentions GROUP BY ALL HAVING count(DISTINCT around) > 1)
              JOIN words USING (term) JOIN inside USING (entity), total WHERE total.n > inside.n),
-    spans AS (SELECT r, start, kind, stop FROM base UNION ALL
-              SELECT DISTINCT m.r, m.start, CASE WHEN share >= {pii.REMOVE} THEN {pii.REMOVED} ELSE {pii.GENERAL} END, m.stop
-              FROM mentions m JOIN told USING (entity, term) WHERE share >= {pii.GENERALISE}),
+    kinds AS (SELECT DISTINCT term, CASE WHEN share >= {pii.REMOVE} THEN {pii.REMOVED} ELSE {pii.GENERAL} END AS kind
+              FROM told WHERE share >= {pii.GENERALISE}),
+    marked AS (SELECT r, lower(value) AS term, start, start + length(value) AS stop FROM ({_placed('text', term, 'r', '', 'd')})),
+    spans AS (SELECT r, start, kind, stop FROM base UNION ALL SELECT r, start, kind, stop FROM marked JOIN kinds USING (term)),
     listed AS (SELECT r, {listed} AS spans FROM spans GROUP BY r),
     based AS (SELECT r, {counts}, {listed} AS base FROM base GROUP BY r)
     SELECT doc_id, {totals}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans

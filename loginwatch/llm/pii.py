@@ -219,22 +219,6 @@ def weighed_data(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
     return searched.select("doc_id", "key", "base"), mentions, stored(disclosing(mentions, counts), "pii_disclosing")
 
 
-def found_data(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Base spans of every document, and term spans of every distinct text that has any.
-
-    The first: ``doc_id``, ``key`` (a digest of the text) and ``base``. The second: ``key``,
-    ``terms`` (structs of ``start``, ``kind``, ``stop``) and ``n``, the documents of that
-    text.
-    """
-    searched, mentions, told = weighed_data(documents)
-    hits = split_join(mentions.select("pair", "key", "start", "stop"), told, "pair", mentions.count()).where("kind IS NOT NULL")
-    by_text = hits.groupBy("key").agg(
-        F.array_sort(F.collect_set(F.struct("start", "kind", "stop"))).alias("terms")
-    )
-    texts = searched.where("size(base) > 0").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    return searched, stored(by_text.join(texts, "key"), "pii_term_spans")
-
-
 def told_terms(documents: DataFrame) -> DataFrame:
     """For every distinct text that holds them anywhere, the terms that give an entity away:
     ``key``, ``told`` (structs of ``term`` and ``kinds``) and ``n``, the documents of that text.
@@ -268,13 +252,24 @@ def term_spans(text: Column, told: Column) -> Column:
 
 
 def personal_data(documents: DataFrame) -> DataFrame:
-    """Every document with ``base`` and ``spans``, the base and term spans by start, then
-    kind. Null texts count as empty; repeated rows and null ids are like any other."""
-    base, terms = found_data(documents)
-    joined = split_join(base, terms, "key", base.count()).drop("n", "key")
-    plain = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop")))
+    """Every document as ``row`` (all its columns) with ``base`` and ``spans``, the base and
+    term spans by start, then kind.
+
+    A term that gives an entity away is marked wherever it stands, also far from the entity
+    and in texts without one. Texts are matched to the told terms they hold by a digest.
+    Null texts count as empty; repeated rows and null ids are like any other.
+    """
+    rows = documents.select(F.struct("*").alias("row"), _text().alias("text"), F.md5(_text()).alias("key"))
+    joined = split_join(rows, told_terms(documents), "key", documents.count())
     none = F.array().cast("array<struct<start: int, kind: int, stop: int>>")
-    return joined.withColumn("spans", F.array_sort(F.concat(plain, F.coalesce("terms", none)))).drop("terms")
+    terms = F.when(F.col("told").isNotNull(), term_spans(F.col("text"), F.col("told"))).otherwise(none)
+
+    def both(base: Column) -> Column:
+        plain = F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop")))
+        return F.struct(plain.alias("base"), F.array_sort(F.concat(plain, terms)).alias("spans"))
+
+    found = joined.select("row", "text", let(base_spans(F.col("text")), both).alias("found"))
+    return found.select("row", "text", "found.*")
 
 
 def _listed(spans: str) -> Column:
@@ -286,8 +281,8 @@ def _listed(spans: str) -> Column:
 
 def span_report(documents: DataFrame) -> DataFrame:
     """The result of the query."""
-    return personal_data(documents).select(
-        "doc_id",
+    return personal_data(documents.select("doc_id", "text")).select(
+        "row.doc_id",
         *[F.expr(f"bigint(size(filter(base, s -> s.kind = {k})))").alias(f"n_{KINDS[k]}") for k in BASE],
         F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"),
     )
@@ -313,20 +308,13 @@ def masked(text: Column, spans: Column) -> Column:
 
 def sanitised(documents: DataFrame) -> DataFrame:
     """The documents with masked texts and ``n_chars`` to match; all rows and columns stay.
-
-    A term that gives an entity away is masked wherever it stands, also far from the entity
-    and in texts without one. Texts are matched to the told terms they hold by a digest.
-    """
-    columns = documents.columns
-    maybe = "text IS NOT NULL"
-    rows = documents.where(maybe).select(F.struct("*").alias("_row"), "text", F.md5("text").alias("key"))
-    joined = split_join(rows, told_terms(documents), "key", documents.count())
-    none = F.array().cast("array<struct<start: int, kind: int, stop: int>>")
-    plain = F.transform(base_spans(F.col("text")), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop")))
-    terms = F.when(F.col("told").isNotNull(), term_spans(F.col("text"), F.col("told"))).otherwise(none)
-    spans = F.array_sort(F.concat(plain, terms))
-    changed = joined.withColumn("_new", let(spans, lambda s: masked(F.col("text"), s)))
-    changed = changed.select("_row.*", "_new").withColumn(
-        "n_chars", F.when(F.col("_new") == F.col("text"), F.col("n_chars")).otherwise(F.length("_new").cast("long"))
-    ).withColumn("text", F.col("_new")).select(*columns)
-    return documents.where(f"NOT coalesce({maybe}, false)").unionByName(changed)
+    What is masked are the spans of :func:`personal_data`."""
+    present = "text IS NOT NULL"
+    changed = personal_data(documents.where(present)).select("row", "text", masked(F.col("text"), F.col("spans")).alias("new"))
+    same = F.col("new") == F.col("text")
+    values = {
+        "text": F.col("new"),
+        "n_chars": F.when(same, F.col("row.n_chars")).otherwise(F.length("new").cast("long")),
+    }
+    own = changed.select(*[values.get(c, F.col(f"row.`{c}`")).alias(c) for c in documents.columns])
+    return documents.where(f"NOT ({present})").unionByName(own)

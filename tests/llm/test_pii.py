@@ -73,8 +73,13 @@ def slow_report(rows):
         share = math.log2(n * total / (seen[term] * inside[entity])) / content if content > 0 else 0
         if len(windows[entity, term]) > 1 and share >= pii.GENERALISE:
             told[entity, term] = 5 if share >= pii.REMOVE else 4
-    for (doc_id, _), b, own in zip(rows, base, near):
-        terms = {(s, told[e, t], z) for e, t, s, z, _ in own if (e, t) in told}
+    kinds = defaultdict(set)
+    for (_, term), kind in told.items():
+        kinds[term].add(kind)
+    for (doc_id, _), text, b in zip(rows, texts, base):
+        terms = {
+            (m.start(), k, m.end()) for m in regex.finditer(r"[\p{L}\p{N}]{3,}+", text) for k in kinds.get(m[0].lower(), ())
+        }
         spans = sorted([x[:3] for x in b] + list(terms))
         names = [",".join(f"{pii.KINDS[k]}:{s}:{z}" for s, k, z in part) for part in ([x[:3] for x in b], spans)]
         counts = Counter(k for _, k, _, _ in b)
@@ -100,8 +105,22 @@ def rows(frame):
     return sorted((tuple(r) for r in frame.collect()), key=repr)
 
 
+FAR = [
+    *[f"{FILL}{a} Xanadu {b} mail xx@top.com every week {FILL}" for a in "abc" for b in "abc"],
+    f"see xx@top.com {FILL * 3} XANADU again", f"no entity, but Xanadu, {FILL}Xanadus",
+]
+
+
+def test_the_fixture_has_terms_that_fire():
+    """Not only beside the entity: in a text without one, too."""
+    spans = [r[-1] for r in slow_report(list(enumerate(TEXTS + FAR)))]
+    assert sum(s.count("general") + s.count("removed") for s in spans) >= 15
+    assert "general" in spans[-1] + spans[-2] or "removed" in spans[-1]
+    assert not set(pii.KINDS[:4]) & {x.split(":")[0] for x in spans[-1].split(",")}
+
+
 @pytest.mark.parametrize("make", [
-    lambda s: documents(s, TEXTS), odd_documents, lambda s: documents(s, []), lambda s: table(s, "documents"),
+    lambda s: documents(s, TEXTS), lambda s: documents(s, TEXTS + FAR), odd_documents, lambda s: documents(s, []), lambda s: table(s, "documents"),
 ])
 def test_report_equals_brute_force(spark, make):
     docs = make(spark)
@@ -117,6 +136,18 @@ def test_revealing_terms_are_found_and_common_ones_left(spark):
     assert "general" not in spans[10] and "removed" not in spans[10]
 
 
+def test_what_the_report_lists_is_what_is_masked(spark):
+    docs = documents(spark, TEXTS + FAR)
+    spans, texts = ({r.doc_id: r[-1] for r in f.select("doc_id", c).collect()} for f, c in ((pii.span_report(docs), "spans"), (pii.sanitised(docs), "text")))
+    for i, text in enumerate(TEXTS + FAR):
+        out, at = [], 0
+        for kind, start, stop in (s.split(":") for s in spans[i].split(",") if s):
+            if int(start) >= at:
+                out += [text[at:int(start)], pii.MASKS[pii.KINDS.index(kind)]]
+            at = max(at, int(stop))
+        assert texts[i] == (None if text is None else "".join(out) + text[at:])
+
+
 def test_masked_texts(spark):
     docs = documents(spark, TEXTS).withColumn("spans", F.lit(1)).withColumn("key", F.lit("mine"))
     out = pii.sanitised(docs)
