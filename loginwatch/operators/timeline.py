@@ -96,18 +96,28 @@ def trailing_total(rows: DataFrame, key: str, value: str, span_micros: int) -> D
     return running_total(moves, key)
 
 
-def running_total(moves: DataFrame, key: str) -> DataFrame:
+# The span of one sort of a key: a day, at two rows per second.
+BLOCK_MICROS = 86_400_000_000
+
+
+def running_total(moves: DataFrame, key: str, block_micros: int = BLOCK_MICROS) -> DataFrame:
     """Running sum of ``delta`` by ``t`` per key, reported at arrivals.
 
-    Moves are netted per key and instant first. That combines map-side and leaves the
-    ordered pass at most two rows per key and second.
+    Moves are netted per key and instant first, which combines map-side and leaves at most
+    two rows per key and second. They are summed in order within blocks of time; what the
+    blocks before add is a scan over one total per key and block. So no task sorts more of
+    a key than a block, however long the log.
     """
     netted = moves.groupBy(key, "t").agg(
         F.expr("sum(delta) AS delta"), F.expr("max(arrives) AS arrives")
-    )
-    running = f"sum(delta) OVER (PARTITION BY {key} ORDER BY t ROWS UNBOUNDED PRECEDING)"
-    return netted.selectExpr(key, "t AS at", f"{running} AS trailing", "arrives").where("arrives").drop(
-        "arrives"
+    ).selectExpr("*", f"cast(floor(t / {block_micros}D) AS bigint) AS block")
+    totals = netted.groupBy(key, "block").agg(F.expr("sum(delta) AS total"))
+    before = f"sum(total) OVER (PARTITION BY {key} ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    offsets = totals.selectExpr(f"{key} AS block_key", "block AS block_no", f"coalesce({before}, 0) AS before")
+    inside = f"sum(delta) OVER (PARTITION BY {key}, block ORDER BY t ROWS UNBOUNDED PRECEDING)"
+    local = netted.selectExpr(key, "block", "t AS at", f"{inside} AS local", "arrives").where("arrives")
+    return local.join(offsets, F.expr(f"{key} <=> block_key AND block = block_no")).selectExpr(
+        key, "at", "local + before AS trailing"
     )
 
 

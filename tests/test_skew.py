@@ -7,7 +7,7 @@ import compare
 import pytest
 from pyspark.sql import functions as F
 
-from loginwatch.operators import skew, triage
+from loginwatch.operators import skew, timeline, triage
 from loginwatch.operators.skew import HotKeys, dealt_join, split_join
 from loginwatch.plans.hunt import demo_hunt
 from loginwatch.plans.queries import registered
@@ -165,3 +165,21 @@ def test_dealt_join_equals_the_plain_one(spark):
         assert sorted(map(tuple, dealt_join(rows, side, "k <=> sk", "v", how, 5).collect()), key=repr) == want
     with pytest.raises(ValueError):
         dealt_join(rows, side, "k = sk", "v", "left")
+
+
+@pytest.mark.parametrize("block", [1, 7, 10, 1000])
+def test_running_totals_do_not_depend_on_blocks(spark, block):
+    """Rows at, just before and just after the edges of blocks, negative instants and a NULL key too."""
+    rows = [(k, t, d, d > 0) for k in ("a", "b", None) for t, d in [(-8, 2), (-7, 1), (0, 3), (6, 4), (7, -1), (9, 5), (10, 1), (10, -2), (11, 6), (70, -3), (71, 1)]]
+    moves = spark.createDataFrame(rows, "k string, t long, delta long, arrives boolean")
+    plain = moves.groupBy("k", "t").agg(F.sum("delta").alias("d"), F.max("arrives").alias("arrives")).selectExpr(
+        "k", "t AS at", "sum(d) OVER (PARTITION BY k ORDER BY t) AS trailing", "arrives").where("arrives").drop("arrives")
+    got = timeline.running_total(moves, "k", block)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def test_no_task_sorts_more_than_a_block_of_a_key(spark, bare):
+    moves = spark.range(20_000).selectExpr("'hot' AS k", "id AS t", "1L AS delta", "true AS arrives")
+    found = timeline.running_total(moves, "k", 500)
+    # Forty blocks on 24 partitions: some tasks get a few of them.
+    assert largest_read(spark, found.collect) <= 20_000 / 4 and found.agg(F.max("trailing")).first()[0] == 20_000
