@@ -20,6 +20,7 @@ from loginwatch.functions.geo import Centroids, centroid, country_km
 from loginwatch.functions.text import short_number
 from loginwatch.operators.enrich import ThreatFeed, with_intel
 from loginwatch.operators.impossible_travel import CHANGED_COUNTRY
+from loginwatch.operators.membership import Membership
 from loginwatch.operators.normalize import since_day
 from loginwatch.operators.skew import HotKeys, split_join
 from loginwatch.operators.timeline import HOT_ROWS, trailing_total, with_previous
@@ -67,11 +68,17 @@ def findings_by_user(queue: DataFrame) -> DataFrame:
     )
 
 
-def incident_attempts(events: DataFrame, users: DataFrame, cfg: HuntConfig, hot: HotKeys | None = None) -> DataFrame:
-    """Detection-window attempts of flagged accounts; busy ones (``hot``) are not shuffled for it."""
-    return split_join(
-        since_day(events, cfg.detection_start), users.select("username"), ["username"], "left_semi", hot
-    )
+def incident_attempts(
+    events: DataFrame, users: DataFrame | Membership, cfg: HuntConfig, hot: HotKeys | None = None
+) -> DataFrame:
+    """Detection-window attempts of flagged accounts; busy ones (``hot``) are not shuffled for it.
+
+    ``users`` as a :class:`Membership` thins the log before the join.
+    """
+    rows = since_day(events, cfg.detection_start)
+    if isinstance(users, Membership):
+        return users.only(rows, hot)
+    return split_join(rows, users.select("username"), ["username"], "left_semi", hot)
 
 
 def assemble_incidents(
@@ -101,7 +108,7 @@ def assemble_incidents(
 
 def incident_events(
     events: DataFrame,
-    findings: DataFrame,
+    findings: DataFrame | Membership,
     cfg: HuntConfig,
     centroids: Centroids,
     id_prefix: str = "INC-",
@@ -156,7 +163,7 @@ def _burst(attempts: DataFrame, weights: SignalWeights) -> DataFrame:
 
 def incident_signals(
     events: DataFrame,
-    users: DataFrame,
+    users: DataFrame | Membership,
     feed: ThreatFeed,
     cfg: HuntConfig,
     centroids: Centroids,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loginwatch.config import HuntConfig
 from loginwatch.functions.accounts import SEVERITY_RANK
 from loginwatch.operators.enrich import ThreatFeed, with_intel
+from loginwatch.operators.membership import Membership
 from loginwatch.operators.normalize import since_day
 from loginwatch.operators.ranking import placed
 from loginwatch.operators.skew import HotKeys, split_join
@@ -101,11 +102,19 @@ def high_severity_findings(queue: DataFrame) -> DataFrame:
     )
 
 
-def user_timeline(events: DataFrame, users: DataFrame, cfg: HuntConfig, hot: HotKeys | None = None) -> DataFrame:
-    """Detection-window attempts of the given accounts (``username``), unordered."""
-    return split_join(
-        since_day(events, cfg.detection_start), users.select("username").distinct(), ["username"], "left_semi", hot
-    ).select("username", "event_id", "login_date", "login_time", "success", "source_ip")
+def user_timeline(
+    events: DataFrame, users: DataFrame | Membership, cfg: HuntConfig, hot: HotKeys | None = None
+) -> DataFrame:
+    """Detection-window attempts of the given accounts (``username``), unordered.
+
+    ``users`` as a :class:`Membership` thins the log before the join.
+    """
+    rows = since_day(events, cfg.detection_start)
+    if isinstance(users, Membership):
+        found = users.only(rows, hot)
+    else:
+        found = split_join(rows, users.select("username").distinct(), ["username"], "left_semi", hot)
+    return found.select("username", "event_id", "login_date", "login_time", "success", "source_ip")
 
 
 def one_user_timeline(events: DataFrame, username: str, cfg: HuntConfig) -> DataFrame:

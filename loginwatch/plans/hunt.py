@@ -15,6 +15,7 @@ from loginwatch.operators import after_hours, baselines, brute_force, impossible
 from loginwatch.operators import inactive_account, metrics, password_spray, triage, unfamiliar_country
 from loginwatch.operators.enrich import ThreatFeed
 from loginwatch.operators.history import account_history, read_history, update_history
+from loginwatch.operators.membership import Membership
 from loginwatch.operators.normalize import login_events, since_day
 from loginwatch.operators.skew import HotKeys
 from loginwatch.plans.session import stored
@@ -171,6 +172,11 @@ class Hunt:
         """The same written once: what the hand-off steps start from."""
         return stored(self.findings_by_user(), "findings_by_user")
 
+    @cached_property
+    def flagged(self) -> Membership:
+        """Accounts with findings, for joins with the log; see :class:`Membership`."""
+        return Membership.of(self.by_user, "username")
+
     def queue(self) -> DataFrame:
         return triage.triage_queue(self.prepared.detections(), self.feed)
 

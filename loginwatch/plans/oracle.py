@@ -732,6 +732,11 @@ _BODIES: dict[str, str] = {
         FROM by_user u LEFT JOIN case_events c USING (username)
         GROUP BY u.username, u.severity, u.detections, u.techniques""",
     "incident_events": "SELECT * FROM records",
+    "flagged_prefilter": f"""
+        SELECT count(DISTINCT username) AS accounts, count(*) AS attempts,
+               count(DISTINCT username) FILTER (WHERE username IN (SELECT username FROM by_user)) AS flagged,
+               count(*) FILTER (WHERE username IN (SELECT username FROM by_user)) AS flagged_rows, true AS within_share
+        FROM logins WHERE login_date >= {_START} AND username IS NOT NULL""",
     "incident_signals": "SELECT * FROM sig",
     "incident_pages": f"""
         SELECT incident_id, (seq - 1) // {queries.RECORDS_PER_PAGE} AS page,
@@ -778,6 +783,8 @@ _BODIES: dict[str, str] = {
     "report_critical_patch": """
         SELECT device_id, owner_name, days_since_patch, patch_risk FROM patches WHERE patch_risk = 'CRITICAL'""",
 }
+_BODIES["user_timeline_thinned"] = _BODIES["user_timeline"]
+_BODIES["incident_events_thinned"] = _BODIES["incident_events"]
 _BODIES["hunt_impossible_travel_csv"] = _BODIES["hunt_impossible_travel"]
 _BODIES["account_history_merged"] = _BODIES["account_history_late_days"] = _BODIES["account_history"]
 _BODIES["ip_enrichment_by_prefix"] = """

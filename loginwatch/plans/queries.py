@@ -16,6 +16,7 @@ from loginwatch.operators import incidents, inactive_account, integrity, labels,
 from loginwatch.operators import password_spray, triage
 from loginwatch.operators.enrich import ThreatFeed, account_status, classify_source, ip_enrichment
 from loginwatch.operators.history import account_history, merge_history, update_history
+from loginwatch.operators.membership import Membership
 from loginwatch.operators.normalize import failures, login_events
 from loginwatch.plans.hunt import Hunt, demo_hunt
 from loginwatch.plans.report import detection_report
@@ -95,6 +96,20 @@ def _incident_events(h: Hunt) -> DataFrame:
     )
 
 
+def _prefilter(h: Hunt) -> DataFrame:
+    """How many accounts of the window are flagged, and whether those let through besides
+    are about as few as the bit table promises."""
+    seen = h.window_events.where("username IS NOT NULL")
+    counts = [F.countDistinct("username").alias("n"), F.count(F.lit(1)).alias("rows")]
+    every, passed = seen.agg(*counts), h.flagged.thin(seen).agg(F.countDistinct("username").alias("passed"))
+    exact = h.flagged.only(seen).agg(F.countDistinct("username").alias("flagged"), F.count(F.lit(1)).alias("flagged_rows"))
+    # One row each.
+    return every.join(F.broadcast(passed), F.lit(True)).join(F.broadcast(exact), F.lit(True)).selectExpr(
+        "n AS accounts", "rows AS attempts", "flagged", "flagged_rows",
+        f"passed - flagged <= 3 + 3 * {h.flagged.share!r}D * (n - flagged) AS within_share",
+    )
+
+
 def _incident_pages(h: Hunt) -> DataFrame:
     """Nested records as JSON text, a page per row."""
     records = _incident_events(h).withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
@@ -206,6 +221,9 @@ QUERIES: dict[str, Query] = {
     "triage_summary": lambda h, s, d: triage.triage_summary(h.queue()),
     "high_severity_findings": lambda h, s, d: triage.high_severity_findings(h.queue()),
     "user_timeline": lambda h, s, d: triage.user_timeline(h.events, h.brute_force(), h.cfg, h.hot),
+    "user_timeline_thinned": lambda h, s, d: triage.user_timeline(
+        h.events, Membership.of(h.brute_force(), "username"), h.cfg, h.hot
+    ),
     "spray_campaigns": lambda h, s, d: triage.spray_campaigns(h.password_spray_named()),
     "live_compromise_sprays": lambda h, s, d: triage.live_compromise_sprays(h.password_spray_named()),
     "orphan_devices": lambda h, s, d: h.orphans(),
@@ -306,6 +324,10 @@ QUERIES: dict[str, Query] = {
     "findings_by_user": lambda h, s, d: h.findings_by_user(),
     "assemble_incidents": lambda h, s, d: incidents.assemble_incidents(h.prepared.recent, h.by_user, h.cfg, hot=h.prepared.hot),
     "incident_events": lambda h, s, d: _incident_events(h),
+    "incident_events_thinned": lambda h, s, d: incidents.incident_events(
+        h.prepared.recent, h.flagged, h.cfg, reference.CENTROIDS, hot=h.prepared.hot
+    ),
+    "flagged_prefilter": lambda h, s, d: _prefilter(h),
     "incident_pages": lambda h, s, d: _incident_pages(h),
     "handoff_records": lambda h, s, d: _handoff(h),
     "incident_signals": lambda h, s, d: _signals(h),
