@@ -510,6 +510,7 @@ _BODIES: dict[str, str] = {
                    detection_type, event_id NULLS FIRST, campaign_key NULLS FIRST, intel_source NULLS FIRST) AS place,
                detection_type, event_id, campaign_key, username, severity, timestamp, intel_source
         FROM queue""",
+    "stored_queue": f"SELECT {_QUEUE_COLUMNS}, substr(timestamp, 1, 10) AS detection_day FROM queue",
     "account_timeline": f"""
         SELECT row_number() OVER (ORDER BY ts, event_id) AS place, event_id, CAST(login_date AS VARCHAR) AS login_date, login_time,
                CAST(success AS INTEGER) AS success, source_ip
@@ -618,6 +619,11 @@ _BODIES: dict[str, str] = {
         SELECT source_ip, CAST(login_date AS VARCHAR) AS day, count(DISTINCT username) AS accounts_targeted,
                count(*) AS total_failures, true AS close
         FROM recent WHERE success = 0 GROUP BY source_ip, login_date HAVING accounts_targeted >= {queries.HUNT_ACCOUNTS}""",
+    "source_breadth": f"""
+        SELECT source_ip, count(DISTINCT login_date) AS days, count(*) AS failures, count(DISTINCT username) AS accounts,
+               true AS same_failures, true AS within
+        FROM losses WHERE login_date BETWEEN CAST({_ASOF} AS DATE) - {queries.BREADTH_SPAN.days} AND CAST({_ASOF} AS DATE)
+        GROUP BY source_ip""",
     "hunt_inactive_account": f"""
         SELECT r.event_id, r.username, p.status AS account_status, {_text('r.ts')} AS ts,
                CAST(r.success AS INTEGER) AS success, r.source_ip, r.country,

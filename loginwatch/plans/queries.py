@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loginwatch.config import HuntConfig
-from loginwatch.operators import baselines, brute_force, correlate, geography, hunts, impossible_travel
+from loginwatch.operators import baselines, breadth, brute_force, correlate, geography, hunts, impossible_travel
 from loginwatch.operators import incidents, inactive_account, integrity, labels, metrics
 from loginwatch.operators import password_spray, triage
 from loginwatch.operators.enrich import ThreatFeed, account_status, classify_source, ip_enrichment
@@ -22,12 +22,14 @@ from loginwatch.plans.hunt import Hunt, demo_hunt
 from loginwatch.plans.report import detection_report
 from loginwatch.plans.session import shared_dir, stored, use_utc
 from loginwatch.sources import demo, reference
+from loginwatch.sources.finding_store import replace_days, stored_findings
 from loginwatch.sources.tables import read_distance_csv
 from loginwatch.streaming import correlate as stream
 
 ASOF = datetime(2024, 1, 31)
 LOOKBACK = timedelta(days=30)
 SPLIT_AGE = timedelta(days=15)
+BREADTH_SPAN = timedelta(days=6)
 
 # Thresholds for the hunts and correlations, loosened to the sparse demo log.
 HUNT_RUN = 3
@@ -157,6 +159,25 @@ def _late_days(h: Hunt, spark: SparkSession) -> DataFrame:
     return _history_columns(h.update_history(path))
 
 
+def _kept_breadth(h: Hunt, spark: SparkSession) -> DataFrame:
+    """Sketches of all days, half of whose events came in late: their days are sketched again."""
+    path = shared_dir(spark, "breadth")
+    days = [r[0] for r in h.events.select("login_date").distinct().collect()]
+    breadth.keep_breadth(h.events.where("event_id % 2 = 0"), path, days)
+    breadth.keep_breadth(h.events, path, days)
+    return breadth.kept_breadth(spark, path)
+
+
+def _stored_queue(h: Hunt, spark: SparkSession) -> DataFrame:
+    """The queue as read back after all days were written and some of them again."""
+    path, queue = shared_dir(spark, "finding_store"), stored(h.queue(), "queue")
+    days = [r[0] for r in queue.select(F.expr("cast(substring(timestamp, 1, 10) AS date)")).distinct().collect()]
+    replace_days(queue.where("event_id IS NULL OR event_id % 2 = 0"), path, days)
+    for part in (days, days[::2]):
+        replace_days(queue, path, part)
+    return stored_findings(spark, path, queue.schema).drop("finding_id")
+
+
 def _from_config_table(h: Hunt, spark: SparkSession) -> DataFrame:
     """The brute-force rule under tunables read from a key-value table."""
     values = {k: str(v) for k, v in asdict(h.cfg).items()}
@@ -216,6 +237,7 @@ QUERIES: dict[str, Query] = {
     "queue_places": lambda h, s, d: triage.queue_places(stored(h.queue(), "queue")).select(
         "place", "detection_type", "event_id", "campaign_key", "username", "severity", "timestamp", "intel_source"
     ),
+    "stored_queue": lambda h, s, d: _stored_queue(h, s),
     "account_timeline": lambda h, s, d: triage.account_timeline(h.events, ACCOUNT, h.cfg),
     "detect_brute_force_from_config": lambda h, s, d: _from_config_table(h, s),
     "triage_summary": lambda h, s, d: triage.triage_summary(h.queue()),
@@ -266,6 +288,9 @@ QUERIES: dict[str, Query] = {
     "hunt_password_spray_estimate": lambda h, s, d: hunts.hunt_password_spray_estimate(
         h.events, ASOF, LOOKBACK, HUNT_ACCOUNTS
     ),
+    "source_breadth": lambda h, s, d: breadth.breadth_check(
+        h.events, _kept_breadth(h, s), (ASOF - BREADTH_SPAN).date(), ASOF.date()
+    ),
     "hunt_inactive_account": lambda h, s, d: hunts.hunt_inactive_account(
         h.events, demo.identity_feed(s, d), ASOF, LOOKBACK
     ),
