@@ -789,6 +789,8 @@ _BODIES: dict[str, str] = {
     "report_critical_patch": """
         SELECT device_id, owner_name, days_since_patch, patch_risk FROM patches WHERE patch_risk = 'CRITICAL'""",
 }
+_BODIES["travel_transitions_settled"] = _BODIES["travel_transitions"]
+_BODIES["detect_brute_force_settled"] = _BODIES["detect_brute_force"]
 _BODIES["user_timeline_thinned"] = _BODIES["user_timeline"]
 _BODIES["incident_events_thinned"] = _BODIES["incident_events"]
 _BODIES["hunt_impossible_travel_csv"] = _BODIES["hunt_impossible_travel"]

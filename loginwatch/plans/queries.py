@@ -22,6 +22,7 @@ from loginwatch.plans.hunt import Hunt, demo_hunt
 from loginwatch.plans.report import detection_report
 from loginwatch.plans.session import shared_dir, stored, use_utc
 from loginwatch.sources import demo, reference
+from loginwatch.sources.account_log import AccountLog, read_account_log, write_account_log
 from loginwatch.sources.finding_store import replace_days, stored_findings
 from loginwatch.sources.tables import read_distance_csv
 from loginwatch.streaming import correlate as stream
@@ -41,6 +42,8 @@ BURST = 2
 SIGNAL_WEIGHTS = incidents.SignalWeights(travel_kmh=10_000.0, burst_window=timedelta(hours=6), burst_failures=2)
 SIGNAL_FEED = "source LIKE 'demo-%'"
 RECORDS_PER_PAGE = 20
+ACCOUNT_BUCKETS = 16
+BUSY_ROWS = 70  # low, so that the demo log has both kinds of accounts
 QUEUE_HEAD = 100
 ACCOUNT = "U000003"
 
@@ -178,6 +181,14 @@ def _stored_queue(h: Hunt, spark: SparkSession) -> DataFrame:
     return stored_findings(spark, path, queue.schema).drop("finding_id")
 
 
+def _account_log(h: Hunt, spark: SparkSession) -> AccountLog:
+    """The log written by account, with the busiest accounts apart."""
+    path = shared_dir(spark, "account_log")
+    name = f"account_log_{path.rsplit('/', 1)[-1]}"
+    write_account_log(h.attempts, name, path, ACCOUNT_BUCKETS, BUSY_ROWS)
+    return read_account_log(spark, name)
+
+
 def _from_config_table(h: Hunt, spark: SparkSession) -> DataFrame:
     """The brute-force rule under tunables read from a key-value table."""
     values = {k: str(v) for k, v in asdict(h.cfg).items()}
@@ -222,6 +233,10 @@ QUERIES: dict[str, Query] = {
     # Detections
     "detect_unfamiliar_country": lambda h, s, d: h.unfamiliar_country(),
     "travel_transitions": lambda h, s, d: impossible_travel.travel_transitions(h.events),
+    "travel_transitions_settled": lambda h, s, d: _account_log(h, s).per_account(impossible_travel.travel_transitions),
+    "detect_brute_force_settled": lambda h, s, d: _account_log(h, s).per_account(
+        lambda events: brute_force.detect_brute_force(events, h.employees, h.cfg)
+    ),
     "detect_impossible_travel": lambda h, s, d: h.impossible_travel(),
     "detect_after_hours": lambda h, s, d: h.after_hours(),
     "detect_brute_force": lambda h, s, d: h.brute_force(),
