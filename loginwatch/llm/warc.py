@@ -21,9 +21,12 @@ from loginwatch.llm.common import numbered, split_join, stored
 #: Payload bytes of a shard, and compressed bytes from which its file is rolled.
 SHARD_BYTES = 32 << 20
 FILE_BYTES = 4 << 20
+#: Shards at most: beyond that they grow, so that their first keys stay a bounded list.
+MAX_SHARDS = 100_000
 LEVEL = 6
 #: The date of every record: archives of the same pages are the same bytes.
 DATE = "2024-01-01T00:00:00Z"
+NO_URL = "urn:x-page:none"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _NAMES = uuid.UUID("6f1d3c1e-5d0a-5c57-9c0e-2c6f5a1b7d11")
 
@@ -41,25 +44,35 @@ def _uri(url: str) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
 
 
-def record(page: str | None, url: str | None, payload: bytes, sha1: str, refers: str | None, copy: int, revisit: bool) -> bytes:
+def record(
+    page: str | None, url: str | None, payload: bytes, sha1: str, original: tuple | None = None, copy: int = 0,
+) -> bytes:
     """One record as its own gzip member; every header and digest is made anew.
 
-    A revisit holds the HTTP header alone, whose length field still tells the payload's
-    size. Nothing in it depends on the clock, the task or the attempt.
+    With an ``original``, the page and url of the response that has the payload, it is a
+    revisit: it names that record by id, uri and date and holds the HTTP header alone, whose
+    length field still tells the payload's size. Nothing in it depends on the clock, the
+    task or the attempt.
     """
+    revisit = original is not None
     http = (
         f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
     ).encode()
     block = http if revisit else http + payload
     fields = {
         "WARC-Type": "revisit" if revisit else "response", "WARC-Record-ID": record_id(page, url, sha1, copy),
-        "WARC-Date": DATE, "WARC-Target-URI": _uri(url or "urn:x-page:none"),
+        "WARC-Date": DATE, "WARC-Target-URI": _uri(url or NO_URL),
         "WARC-Payload-Digest": f"sha1:{sha1}", "WARC-Block-Digest": f"sha1:{digest(block)}",
         "X-Page": page or "", "X-No-URL": "" if url else "null" if url is None else "empty",
         "Content-Type": "application/http; msgtype=response", "Content-Length": str(len(block)),
     }
     if revisit:
-        fields |= {"WARC-Profile": PROFILE, "X-Refers-To-Page": refers or ""}
+        refers, refers_url = original
+        fields |= {
+            "WARC-Profile": PROFILE, "WARC-Refers-To": record_id(refers, refers_url, sha1, 0),
+            "WARC-Refers-To-Target-URI": _uri(refers_url or NO_URL), "WARC-Refers-To-Date": DATE,
+            "X-Refers-To-Page": refers or "",
+        }
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields.items()) + "\r\n"
     return gzip.compress(head.encode() + block + b"\r\n\r\n", LEVEL, mtime=0)
 
@@ -124,28 +137,36 @@ MANIFEST = "file string, shard long, records long, bytes long, sha256 string"
 def _save(folder: str, limit: int):
     """Writes sorted rows: decisions (kind 0) stand right before the rows they are about."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        files, last, decision, copy = _Files(folder, limit), None, None, 0
+        files, last, decision, first, copy = _Files(folder, limit), None, None, None, 0
         for frame in batches:
             for shard, page, url, payload, sha1, kind, refers in frame.itertuples(index=False, name=None):
                 key = (page, sha1)
                 if kind == 0:
-                    decision = (key, refers)
+                    # The url of a decision is that of the response.
+                    decision = (key, (refers, url))
                     continue
                 files.turn_to(shard)
                 copy = copy + 1 if key == last else 0
+                if not copy:
+                    first = (page, url)
                 last = key
-                refers = decision[1] if decision and decision[0] == key else page
+                original = decision[1] if decision and decision[0] == key else first
                 payload = bytes(payload)
-                revisit = copy > 0 or refers != page
-                files.write(record(page, url, payload, digest(payload), refers, copy, revisit))
+                revisit = copy > 0 or original[0] != page
+                files.write(record(page, url, payload, digest(payload), original if revisit else None, copy))
             yield files.manifest()
         files.close()
         yield files.manifest()
     return run
 
 
-def _bounds(index: DataFrame, shard_bytes: int) -> list[tuple]:
-    """The first key of every shard: running bytes within blocks of rows and over blocks."""
+def _bounds(index: DataFrame, shard_bytes: int, max_shards: int = MAX_SHARDS) -> list[tuple]:
+    """The first key of every shard: running bytes within blocks of rows and over blocks.
+
+    There are about ``max_shards`` at most, as shards of a larger table are larger.
+    """
+    total = index.agg(F.sum("size")).first()[0] or 0
+    shard_bytes = max(shard_bytes, -(-total // max_shards))
     blocks = index.withColumn("block", F.expr("row div 4096"))
     sums = blocks.groupBy("block").agg(F.sum("size").alias("bytes"))
     before = F.sum("bytes").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
@@ -162,15 +183,17 @@ def _order(page_id: int | None, sha1: str) -> tuple:
     return page_id is not None, page_id or 0, sha1
 
 
-def write(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
+def write(
+    pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES, max_shards: int = MAX_SHARDS,
+) -> DataFrame:
     """Writes ``page_id``, ``url``, ``html`` as archives below ``folder`` (a URI); returns
     the manifest, which is written last and names every file with its digest.
 
     Records are sorted by page, then payload digest, and cut into shards of about equal
     bytes at keys that depend on the data alone: a narrow table of pages is numbered in that
-    order, and the first key of each shard, one per ``shard_bytes``, is brought to the
-    driver (100 TB make 3 million at the default; take larger shards there). Html is shuffled
-    once, to its shard. Of equal payloads the smallest page is the response; this is
+    order, and the first key of each shard, one per ``shard_bytes`` and ``MAX_SHARDS`` at
+    most, goes to all tasks. Html is shuffled once, to its shard; rows of one page and
+    payload are one shard. Of equal payloads the smallest page is the response; this is
     decided on digests, hot ones by broadcast, and reaches the writer as rows that sort in
     front of their page. Null pages come first and are a response only among themselves;
     a null url stays null; rows equal in all are separate records. An empty table gives
@@ -180,28 +203,33 @@ def write(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, file_by
     payload = F.coalesce("html", F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("sha1", F.sha1("payload"))
     index = numbered(
-        rows.select("page_id", "sha1", (F.octet_length("payload") + 600).cast("long").alias("size")),
+        rows.select("page_id", "sha1", "url", (F.octet_length("payload") + 600).cast("long").alias("size")),
         ["page_id", "sha1", "size"], "warc_index",
     )
-    copies = index.groupBy("sha1").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # The response of a payload is the row that is written first for its smallest page.
+    first = F.min(F.struct(F.col("page_id").isNull(), F.col("page_id").alias("refers_to"), F.col("url").alias("refers_url")))
+    copies = index.groupBy("sha1").agg(first.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    copies = copies.select("sha1", "first.refers_to", "first.refers_url", "n")
     decided = split_join(index.select("page_id", "sha1"), stored(copies, "warc_copies"), "sha1", index.count())
-    decided = decided.where("n IS NOT NULL").groupBy("page_id", "sha1").agg(F.min("refers_to").alias("refers_to"))
-    bounds = _bounds(index, shard_bytes)
+    decided = decided.where("n IS NOT NULL").groupBy("page_id", "sha1").agg(
+        F.min(F.struct("refers_to", "refers_url")).alias("first")
+    ).select("page_id", "sha1", "first.*")
+    bounds = pages.sparkSession.sparkContext.broadcast(_bounds(index, shard_bytes, max_shards))
 
     @F.pandas_udf("long")
     def shard_of(page_ids: pd.Series, digests: pd.Series) -> pd.Series:
         keys = (_order(None if p is None else int(p), d) for p, d in zip(page_ids, digests))
-        return pd.Series([max(0, bisect.bisect_right(bounds, k) - 1) for k in keys], dtype="int64")
+        return pd.Series([max(0, bisect.bisect_right(bounds.value, k) - 1) for k in keys], dtype="int64")
 
     # Page numbers go to Python as text: a long with nulls would come as a float.
     both = rows.select("page_id", "url", "payload", "sha1", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("refers_to"))
     both = both.unionByName(decided.select(
-        "page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "sha1",
+        "page_id", F.col("refers_url").alias("url"), F.lit(None).cast("binary").alias("payload"), "sha1",
         F.lit(0).alias("kind"), "refers_to",
     )).withColumn("page", F.col("page_id").cast("string"))
     sorted_rows = (
         both.withColumn("shard", shard_of("page", "sha1"))
-        .repartitionById(max(1, len(bounds)), F.col("shard").cast("int"))
+        .repartitionById(max(1, len(bounds.value)), F.col("shard").cast("int"))
         .sortWithinPartitions("shard", "page_id", "sha1", "kind", "url")
         .select("shard", "page", "url", "payload", "sha1", "kind", F.col("refers_to").cast("string").alias("refers"))
     )
@@ -248,26 +276,26 @@ PARTS = ("page", "url", "record_type", "payload_digest", "payload_bytes", "refer
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """The records of the archives that the manifest names: ``page_id``, ``url``,
     ``record_type``, ``payload_digest``, ``payload_bytes``, ``refers_to`` and ``payload``
-    (null for a revisit). A file that the manifest's digest belies is an error."""
-    known = {
-        r["file"]: r["sha256"]
-        for r in spark.read.schema(MANIFEST).parquet(f"{folder}/_manifest").select("file", "sha256").collect()
-    }
+    (null for a revisit). Manifest rows are dealt to tasks, each of which opens the files
+    it is given: one that is missing or that the manifest's digest belies is an error."""
+    manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/_manifest")
     schema = "page string, url string, record_type string, payload_digest string, payload_bytes long, refers string, payload binary"
+    total = manifest.agg(F.sum("bytes")).first()[0] or 0
+    tasks = min(MAX_SHARDS, max(1, -(-total // SHARD_BYTES), spark.sparkContext.defaultParallelism))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, root = fs.FileSystem.from_uri(folder)
         for frame in batches:
-            for path, content in frame.itertuples(index=False, name=None):
-                name = path.rsplit("/", 1)[-1]
-                if hashlib.sha256(content).hexdigest() != known[name]:
+            for name, sha256 in frame.itertuples(index=False, name=None):
+                if store.get_file_info(f"{root}/{name}").type == fs.FileType.NotFound:
+                    raise ValueError(f"{name} is in the manifest but is missing")
+                with store.open_input_stream(f"{root}/{name}", compression=None) as source:
+                    content = source.read()
+                if hashlib.sha256(content).hexdigest() != sha256:
                     raise ValueError(f"{name} is not what was committed")
-                yield from _records(bytes(content))
+                yield from _records(content)
 
-    if known:
-        files = spark.read.format("binaryFile").load([f"{folder}/{name}" for name in sorted(known)])
-        records = files.select("path", "content").mapInPandas(run, schema)
-    else:
-        records = spark.createDataFrame([], schema)
+    records = manifest.select("file", "sha256").repartition(tasks, "file").mapInPandas(run, schema)
     return records.select(
         F.col("page").cast("long").alias("page_id"), "url", "record_type", "payload_digest", "payload_bytes",
         F.col("refers").cast("long").alias("refers_to"), "payload",

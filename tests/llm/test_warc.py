@@ -97,6 +97,38 @@ def test_damage_and_uncommitted_files(spark, tmp_path):
     victim.write_bytes(victim.read_bytes()[:-1] + b"x")
     with pytest.raises(Exception, match="not what was committed"):
         warc.read(spark, folder).collect()
+    victim.unlink()
+    with pytest.raises(Exception, match="is missing"):
+        warc.read(spark, folder).count()
+
+
+def test_revisits_name_their_response(spark, tmp_path):
+    """By id, uri and date, as other readers resolve them."""
+    warc.write(spark.createDataFrame(ROWS, PAGES).repartition(4), f"file://{tmp_path}/w", 1, 1)
+    heads = []
+    for data in files(tmp_path / "w").values():
+        plain = gzip.decompress(data)
+        while plain:
+            head, _, rest = plain.partition(b"\r\n\r\n")
+            fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:] if ": " in line)
+            heads.append(fields)
+            plain = rest[int(fields["Content-Length"]) + 4:]
+    ids = {f["WARC-Record-ID"]: f for f in heads}
+    assert len(ids) == len(ROWS)
+    revisits = [f for f in heads if f["WARC-Type"] == "revisit"]
+    assert len(revisits) == sum(r[3] == "revisit" for r in slow(ROWS)) > 4
+    for f in revisits:
+        response = ids[f["WARC-Refers-To"]]
+        assert response["WARC-Type"] == "response" and response["WARC-Payload-Digest"] == f["WARC-Payload-Digest"]
+        assert f["WARC-Refers-To-Target-URI"] == response["WARC-Target-URI"]
+        assert f["WARC-Refers-To-Date"] == response["WARC-Date"]
+
+
+def test_shards_of_a_large_table_are_larger(spark, tmp_path):
+    pages = table(spark, "pages")
+    manifest = warc.write(pages, f"file://{tmp_path}/w", 1, 1 << 20, 5)
+    assert 2 <= manifest.select("shard").distinct().count() <= 6
+    assert bag(warc.read(spark, f"file://{tmp_path}/w"), *COLUMNS) == slow([tuple(r) for r in pages.collect()])
 
 
 def test_empty_table(spark, tmp_path):
