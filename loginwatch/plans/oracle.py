@@ -664,6 +664,9 @@ _BODIES: dict[str, str] = {
             SELECT source_ip, ts, count(DISTINCT username) OVER (PARTITION BY source_ip ORDER BY ts
                 RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS n FROM losses)
         WHERE n >= {queries.BURST} AND ts + INTERVAL 1 SECOND <= (SELECT closed_until FROM watermark)""",
+    "stream_early_event_count": f"""
+        SELECT username, {_text('ts')} AS ts, event_count, CAST(0 AS BIGINT) AS first_batch, CAST(0 AS BIGINT) AS confirmed_batch
+        FROM rolling_events WHERE ts + INTERVAL 1 SECOND <= (SELECT closed_until FROM watermark)""",
     "stream_missed_events": f"""
         SELECT username, {_text('ts')} AS ts, event_count FROM rolling_events WHERE false""",
     "stream_hopping_event_count": f"""

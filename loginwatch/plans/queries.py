@@ -26,6 +26,7 @@ from loginwatch.sources.account_log import AccountLog, read_account_log, write_a
 from loginwatch.sources.finding_store import replace_days, stored_findings
 from loginwatch.sources.tables import read_distance_csv
 from loginwatch.streaming import correlate as stream
+from loginwatch.streaming import early
 
 ASOF = datetime(2024, 1, 31)
 LOOKBACK = timedelta(days=30)
@@ -325,6 +326,9 @@ QUERIES: dict[str, Query] = {
     ),
     "stream_event_count": lambda h, s, d: stream.rolling_event_count(s, _stream_failures(s, d), gte=BURST),
     "stream_value_count": lambda h, s, d: stream.rolling_value_count(s, _stream_failures(s, d), gte=BURST),
+    "stream_early_event_count": lambda h, s, d: early.confirmed(
+        early.early_event_count(s, failures(_stream_events(s, d)), gte=BURST)
+    ),
     "stream_missed_events": lambda h, s, d: _closed(s, d, correlate.correlate_event_count(failures(h.events), gte=BURST)).join(
         stream.rolling_event_count(s, _stream_failures(s, d), gte=BURST), ["username", "ts"], "left_anti"
     ),
