@@ -106,13 +106,15 @@ def _prefilter(h: Hunt) -> DataFrame:
     """How many accounts of the window are flagged, and whether those let through besides
     are about as few as the bit table promises."""
     seen = h.window_events.where("username IS NOT NULL")
-    counts = [F.countDistinct("username").alias("n"), F.count(F.lit(1)).alias("rows")]
-    every, passed = seen.agg(*counts), h.flagged.thin(seen).agg(F.countDistinct("username").alias("passed"))
-    exact = h.flagged.only(seen).agg(F.countDistinct("username").alias("flagged"), F.count(F.lit(1)).alias("flagged_rows"))
-    # One row each.
-    return every.join(F.broadcast(passed), F.lit(True)).join(F.broadcast(exact), F.lit(True)).selectExpr(
-        "n AS accounts", "rows AS attempts", "flagged", "flagged_rows",
-        f"passed - flagged <= 3 + 3 * {h.flagged.share!r}D * (n - flagged) AS within_share",
+    parts = [seen, h.flagged.thin(seen), h.flagged.only(seen)]
+    every, passed, exact = (p.groupBy("username").agg(F.count(F.lit(1)).alias("n"), F.lit(i).alias("part")) for i, p in enumerate(parts))
+    return every.unionByName(passed).unionByName(exact).selectExpr(
+        "count_if(part = 0) AS accounts", "coalesce(sum(n) FILTER (WHERE part = 0), 0L) AS attempts",
+        "count_if(part = 1) AS passed", "count_if(part = 2) AS flagged",
+        "coalesce(sum(n) FILTER (WHERE part = 2), 0L) AS flagged_rows",
+    ).selectExpr(
+        "accounts", "attempts", "flagged", "flagged_rows",
+        f"passed - flagged <= 3 + 3 * {h.flagged.share!r}D * (accounts - flagged) AS within_share",
     )
 
 
